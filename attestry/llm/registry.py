@@ -1,12 +1,15 @@
 """Queries of the operators in this subpackage, with SQL where SQL can express them."""
 
-from attestry.llm import chat, mixing, simhash, warc
+from attestry.llm import chat, language, mixing, ngrams, quality, simhash, warc
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
+    "op2_quality_rules": quality.op2_quality_rules,
+    "op3_language_id": language.op3_language_id,
     "op4_warc": warc.op4_warc,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
     "op7_mixing": mixing.op7_mixing,
+    "op9_lm_scoring": ngrams.op9_lm_scoring,
 }
 ORACLE_SQL = {
     "op4_warc": warc.ORACLE,
