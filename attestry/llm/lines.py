@@ -1,7 +1,7 @@
 """Fuzzy line deduplication over a corpus.
 
 Lines are normalised and hashed where they lie; only hashes and SimHashes are shuffled. SimHashes within the radius of each
-other agree on two of five blocks, which makes ten tables; in a bucket they are compared bit-sliced. The lines of each group
+other agree on two of five blocks, which makes ten tables to join on. The lines of each group
 that this finds are fetched and compared by edit similarity, skipping pairs that are already connected, so that a group of m
 alike lines costs about m comparisons and gives m - 1 links. Of each connected group of lines the first occurrence stays.
 """
@@ -17,9 +17,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm.common import forget, grouped, map_rows, partitions, table, written
+from attestry.llm.common import forget, grouped, map_rows, pack, partitions, table, written
 from attestry.llm.components import components
-from attestry.llm.simhash import links, majority, masks
+from attestry.llm.simhash import majorities, masks
 
 #: Lines with fewer words are left alone: headings and the like may repeat.
 LEAST_WORDS = 5
@@ -87,130 +87,153 @@ def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     return distance(a, b, most) <= most
 
 
+class WordHashes(dict):
+    """Hashes of words, remembered."""
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word, 7)
+        return h
+
+
 class LineHashes:
-    """Per line its number, hash and SimHash; words' hashes are remembered up to a bound."""
+    """Per text the number, hash and SimHash of each line; words' hashes are remembered up to a bound.
+
+    A line's features are its distinct words, so that frequent ones don't make all lines of a language alike.
+    """
 
     def __init__(self, least_words: int, most: int = 1 << 19) -> None:
-        self.least, self.most, self.held = least_words, most, {}
-
-    def __call__(self, text: str) -> list[tuple[int, int, int]]:
-        held, digest = self.held, xxhash.xxh64_intdigest
-        if len(held) > self.most:
-            held.clear()
-        numbers, keys, hashes, starts = [], [], [], []
-        for number, line in enumerate(text.lower().split("\n")):
-            words = _WORD.findall(line)
-            if len(words) < self.least:
-                continue
-            numbers.append(number)
-            keys.append(xxhash.xxh3_64_intdigest(" ".join(words)))
-            starts.append(len(hashes))
-            for w in words:
-                h = held.get(w)
-                if h is None:
-                    h = held[w] = digest(w, 7)
-                hashes.append(h)
-        if not numbers:
-            return []
-        values, starts = np.array(hashes, dtype="<u8"), np.array([*starts, len(hashes)])
-        if len(values) > 1 << 16:
-            sims = [majority(values[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        self.least, self.most, self.held = least_words, most, WordHashes()
+
+    def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, int, int]]]:
+        if len(self.held) > self.most:
+            self.held.clear()
+        of, digest, find = self.held.__getitem__, xxhash.xxh3_64_intdigest, _WORD.findall
+        numbers, keys, hashes, starts, ends = [], [], [], [], []
+        for text in texts:
+            for number, line in enumerate(text.lower().split("\n")):
+                words = find(line)
+                if len(words) >= self.least:
+                    numbers.append(number)
+                    keys.append(digest(" ".join(words)))
+                    starts.append(len(hashes))
+                    hashes.extend(map(of, set(words)))
+            ends.append(len(numbers))
+        if numbers:
+            sims = majorities(np.array(hashes, dtype="<u8"), np.array(starts)).tolist()
+            found = list(zip(numbers, np.array(keys, dtype=np.uint64).view(np.int64).tolist(), sims, strict=True))
         else:
-            bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            sums = np.add.reduceat(bits, starts[:-1], axis=0, dtype=np.int32)
-            sims = np.packbits(2 * sums > np.diff(starts)[:, None], axis=1, bitorder="little").view("<i8")[:, 0].tolist()
-        signed = np.array(keys, dtype=np.uint64).view(np.int64).tolist()
-        return list(zip(numbers, signed, sims, strict=True))
+            found = []
+        for a, b in zip([0, *ends[:-1]], ends, strict=True):
+            yield found[a:b]
 
 
 def occurrences(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """docs (doc_id, text) -> (doc_id, mark, line, h, s): mark is a hash of the text, line counts from 0."""
 
     def run(rows):
-        hashed = LineHashes(least_words)
-        for doc_id, mark, text in rows:
-            for line, h, s in hashed(text):
-                yield doc_id, mark, line, h, s
+        hashed, waiting, size = LineHashes(least_words), [], 0
+
+        def out():
+            for (doc_id, mark, _), found in zip(waiting, hashed([w[2] for w in waiting]), strict=True):
+                for line, h, s in found:
+                    yield doc_id, mark, line, h, s
+            waiting.clear()
+
+        for row in rows:
+            waiting.append(row)
+            size += len(row[2])
+            if size > 1 << 18:
+                yield from out()
+                size = 0
+        if waiting:
+            yield from out()
 
     kind = dict(docs.dtypes)["doc_id"]
     return map_rows(docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), "text"), run, f"doc_id {kind}, mark long, line int, h long, s long")
 
 
-def _bucket_groups(chosen: list[int], radius: int, most: int | None):
+def near_pairs(values: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes (i, j) of values of one group, group numbers being sorted, that differ in at most radius bits."""
+    first, second = [], []
+    here = np.arange(len(values))
+    for offset in range(1, len(values)):
+        here = here[here + offset < len(values)]
+        here = here[group[here] == group[here + offset]]
+        if not len(here):
+            break
+        near = here[np.bitwise_count(values[here] ^ values[here + offset]) <= radius]
+        first.append(near)
+        second.append(near + offset)
+    return (np.concatenate(first), np.concatenate(second)) if first else (here[:0], here[:0])
+
+
+def _bucket_groups(radius: int, most: int | None):
     """Batches of (t, key, s), sorted, to rows (hot, t, key, g, s): the groups of near SimHashes in each bucket, by a hash g of their members.
 
     The rows of a bucket beyond `most` come back as they are, with hot set.
     """
+    schema = pa.schema([("hot", pa.bool_()), ("t", pa.int32()), ("key", pa.int64()), ("g", pa.int64()), ("s", pa.int64())])
+
+    def compare(t: np.ndarray, key: np.ndarray, s: np.ndarray) -> list[tuple]:
+        """Whole buckets."""
+        number = np.cumsum(np.concatenate([[0], (t[1:] != t[:-1]) | (key[1:] != key[:-1])]))
+        pairs = near_pairs(s.view(np.uint64), number, radius)
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        for i, j in zip(*(p.tolist() for p in pairs), strict=True):
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+        members: dict[int, list[int]] = {}
+        for i in root:
+            members.setdefault(find(i), []).append(int(s[i]))
+        out = []
+        for found in members.values():
+            g = xxhash.xxh64_intdigest(np.array(sorted(found), dtype="<i8").tobytes())
+            out.extend((False, None, None, g - (g >> 63 << 64), v) for v in found)
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        empty = np.zeros(0, np.int64)
-        kept, hot = (empty, empty, empty), False
-
-        def group(values: list[int]) -> None:
-            root: dict[int, int] = {}
-
-            def find(x: int) -> int:
-                while root.setdefault(x, x) != x:
-                    x = root[x]
-                return x
-
-            for i, j in links([v & (1 << 64) - 1 for v in values], radius):
-                a, b = find(values[i]), find(values[j])
-                root[max(a, b)] = min(a, b)
-            members: dict[int, list[int]] = {}
-            for v in root:
-                members.setdefault(find(v), []).append(v)
-            for found in members.values():
-                g = xxhash.xxh64_intdigest(np.array(sorted(found), dtype="<i8").tobytes())
-                g -= (g >> 63) << 64
-                out.extend((False, None, None, g, v) for v in found)
-
-        def pack() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True))
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["hot", "t", "key", "g", "s"])
-
-        def close(t, key, s) -> None:
-            if hot:
-                out.extend((True, int(a), int(b), None, int(c)) for a, b, c in zip(t, key, s, strict=True))
-            elif len(s) > 1:
-                group(s.tolist())
-
+        kept: tuple[np.ndarray, ...] = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        hot = None  # the bucket that is passed through
         for batch in batches:
-            columns = [np.asarray(c) for c in batch.columns]
-            if not len(columns[0]):
-                continue
-            if len(kept[0]) and (kept[0][0] != columns[0][0] or kept[1][0] != columns[1][0]):
-                close(*kept)
-                kept, hot = (empty, empty, empty), False
-            elif not len(kept[0]) and hot:
-                hot = last == (columns[0][0], columns[1][0])
-            t, key, s = (np.concatenate(x) for x in zip(kept, columns, strict=True))
-            edges = np.flatnonzero((t[1:] != t[:-1]) | (key[1:] != key[:-1])) + 1
-            bounds = [0, *edges.tolist()]
-            sizes = np.diff([*bounds, len(t)])
-            for k in np.flatnonzero(sizes[:-1] > 1) if not hot else range(len(bounds) - 1):
-                a, b = bounds[k], bounds[k + 1]
-                if most is not None and b - a > most:
-                    hot = True
-                close(t[a:b], key[a:b], s[a:b])
-                hot = False
-            a = bounds[-1]
-            if len(bounds) > 1:
-                hot = False
-            kept = (t[a:], key[a:], s[a:])
-            last = (t[-1], key[-1])
-            if most is not None and (hot or len(kept[0]) > most):  # it goes out as it comes, so that no bucket piles up
-                hot = True
-                close(*kept)
-                kept = (empty, empty, empty)
-            if len(out) > 1 << 14:
-                yield pack()
-        if len(kept[0]):
-            close(*kept)
-        if out:
-            yield pack()
+            t, key, s = (np.concatenate([a, np.asarray(b)]) for a, b in zip(kept, batch.columns, strict=True))
+            out: list[tuple] = []
+            if hot is not None:
+                n = int(((t == hot[0]) & (key == hot[1])).sum())
+                out += ((True, *hot, None, v) for v in s[:n].tolist())
+                t, key, s = t[n:], key[n:], s[n:]
+                if len(t):
+                    hot = None
+            if len(t):
+                edges = np.flatnonzero((t[1:] != t[:-1]) | (key[1:] != key[:-1])) + 1
+                bounds = np.array([0, *edges, len(t)])
+                if most is not None and (np.diff(bounds) > most).any():
+                    keep = np.ones(len(t), dtype=bool)
+                    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                        if b - a > most:
+                            here = (int(t[a]), int(key[a]))
+                            out += ((True, *here, None, v) for v in s[a:b].tolist())
+                            keep[a:b] = False
+                            if b == len(t):
+                                hot = here
+                    last = 0 if hot else int(bounds[-1] - bounds[-2])
+                    t, key, s = t[keep], key[keep], s[keep]
+                else:
+                    last = int(bounds[-1] - bounds[-2])
+                whole = len(t) - last
+                if whole:
+                    out += compare(t[:whole], key[:whole], s[:whole])
+                t, key, s = t[whole:], key[whole:], s[whole:]
+            kept = (t, key, s)
+            if out:
+                yield pack(out, schema)
+        if len(kept[0]) and (out := compare(*kept)):
+            yield pack(out, schema)
 
     return run
 
@@ -226,7 +249,7 @@ def near_groups(sims: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, buc
     rows = sims.select("s", F.explode(F.array(*(F.lit(i) for i in range(len(chosen))))).alias("t"))
     key = F.element_at(F.array(*(F.lit(m) for m in chosen)), F.col("t") + 1).bitwiseAND(F.col("s"))
     sorted_ = rows.repartition(n, "t", key).select("t", key.alias("key"), "s").sortWithinPartitions("t", "key", "s")
-    found = written(sorted_.mapInArrow(_bucket_groups(chosen, radius, bucket), schema), "groups")
+    found = written(sorted_.mapInArrow(_bucket_groups(radius, bucket), schema), "groups")
     out = found.where("not hot").select("g", "s")
     hot = found.where("hot").select("t", "key", "s")
     parts = hot.groupBy("t", "key").agg(F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) * 2 / bucket)).cast("int").alias("parts"))
@@ -235,7 +258,7 @@ def near_groups(sims: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, buc
         dealt = hot.join(parts, ["t", "key"]).withColumn("a", part).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         dealt = dealt.where("a <> b").select(F.col("t"), F.xxhash64("key", "t", F.least("a", "b"), F.greatest("a", "b")).alias("key"), "s")
         dealt = dealt.repartition(n, "t", "key").sortWithinPartitions("t", "key", "s")
-        out = out.unionByName(dealt.mapInArrow(_bucket_groups(chosen, radius, None), schema).select("g", "s"))
+        out = out.unionByName(dealt.mapInArrow(_bucket_groups(radius, None), schema).select("g", "s"))
     return out.distinct()
 
 

@@ -41,11 +41,32 @@ def fingerprint(text: bytes | None, width: int = 3, seed: int = SEED) -> int:
     return majority(hashes)
 
 
+#: For each byte a word of eight byte lanes, lane i holding bit i: 255 hashes can be added before a lane overflows.
+_LANES = np.array([sum((b >> i & 1) << 8 * i for i in range(8)) for b in range(256)], dtype="<u8")
+
+
+def bit_sums(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each run of little-endian 64-bit hashes, beginning at starts, how many have each bit set; runs must not be empty."""
+    sizes = np.diff([*starts, len(hashes)])
+    pieces = -(-sizes // 255)
+    at = np.repeat(np.asarray(starts), pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    sums = np.add.reduceat(_LANES[hashes.view(np.uint8).reshape(-1, 8)], at, axis=0).view(np.uint8).reshape(-1, 64)
+    if len(at) == len(sizes):
+        return sums
+    return np.add.reduceat(sums.astype(np.int64), np.cumsum(pieces) - pieces, axis=0)
+
+
+def majorities(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Signed 64-bit values of the bits that are set in over half of the hashes of each run."""
+    sizes = np.diff([*starts, len(hashes)])
+    return np.packbits(2 * bit_sums(hashes, starts).astype(np.int64) > sizes[:, None], axis=1, bitorder="little").view("<i8")[:, 0]
+
+
 def majority(hashes: np.ndarray) -> int:
     """Signed 64-bit value of the bits that are set in over half of the hashes."""
     total = np.zeros(64, dtype=np.int64)
-    for part in (hashes[i : i + 8192] for i in range(0, len(hashes), 8192)):
-        total += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    for part in (hashes[i : i + (1 << 16)] for i in range(0, len(hashes), 1 << 16)):
+        total += bit_sums(part, np.zeros(1, dtype=np.int64))[0]
     return int(np.packbits(total * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
