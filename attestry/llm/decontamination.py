@@ -9,6 +9,7 @@ subsequence with the item, and for paraphrases also by the item's answer, its la
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -24,15 +25,15 @@ STRIDE = 32
 STRIDES = 2
 RANK = 96
 #: Weight of the benchmark's own passages among those that the decomposition is fitted to, as a share of all variance.
-ITEM_SHARE = 0.5
-LEAST_COSINE = 0.3
+ITEM_SHARE = 0.9
+LEAST_COSINE = 0.4
 #: Share of an item's words in the longest common subsequence: enough alone, and enough with its answer.
 VERBATIM = 0.8
 PARAPHRASE = 0.6
 ANSWER_WORDS = 6
 ANSWER_SHARE = 0.8
 #: Items that are looked for in one pass over the documents.
-ITEMS = 4096
+ITEMS = 2048
 #: Terms whose part of the covariance is summed in one row.
 ROWS = 512
 _WORD = re.compile(r"\w+")
@@ -87,27 +88,34 @@ def passages(sums: np.ndarray, n: int = STRIDES) -> np.ndarray:
 
 
 def numbered(docs: DataFrame, terms: Terms) -> DataFrame:
-    """(doc_id, ids binary): the documents' words as term numbers, in order, without what is behind the last term."""
-    kind = dict(docs.dtypes)["doc_id"]
+    """(doc_id, ids binary): the documents' words as term numbers, in order, without what is behind the last term; two bytes each if that does."""
+    id_kind = dict(docs.dtypes)["doc_id"]
+    kind = kind_of(len(terms.number))
     shared = docs.sparkSession.sparkContext.broadcast(terms.number)  # the words of ITEMS items at most
 
     def run(rows):
         get = shared.value.get
         for doc_id, text in rows:
-            ids = np.array([get(w, 0) for w in words_in(text)], dtype=np.int32)
+            ids = np.array([get(w, 0) for w in words_in(text)], dtype=kind)
             last = np.flatnonzero(ids)
             yield doc_id, ids[: last[-1] + 1].tobytes() if len(last) else b""
 
-    return map_rows(docs.select("doc_id", "text"), run, f"doc_id {kind}, ids binary")
+    return map_rows(docs.select("doc_id", "text"), run, f"doc_id {id_kind}, ids binary")
+
+
+def kind_of(terms: int) -> type:
+    return np.uint16 if terms < 1 << 16 else np.int32
 
 
 def term_weights(ids: DataFrame, terms: int, step: int = STRIDE * STRIDES) -> np.ndarray:
     """Inverse document frequency of each term over all passages (on end); index 0, the unknown word, has weight 0."""
 
+    kind = kind_of(terms)
+
     def run(rows):
         seen, total = np.zeros(terms + 1, dtype=np.int64), 0
         for (raw,) in rows:
-            found = np.frombuffer(raw, np.int32)
+            found = np.frombuffer(raw, kind).astype(np.int64)
             total += max(1, -(-len(found) // step))
             pairs = np.unique((np.arange(len(found)) // step) * (terms + 1) + found)
             seen += np.bincount(pairs % (terms + 1), minlength=terms + 1)
@@ -130,6 +138,7 @@ def covariance(ids: DataFrame, omega: np.ndarray) -> tuple[np.ndarray, float]:
     """
     spark = ids.sparkSession
     terms, rank = omega.shape
+    kind = kind_of(terms - 1)
     shared = spark.sparkContext.broadcast(omega.astype(np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +160,7 @@ def covariance(ids: DataFrame, omega: np.ndarray) -> tuple[np.ndarray, float]:
 
         for batch in batches:
             for raw in batch.column(0):
-                found = np.frombuffer(raw.as_py(), np.int32)
+                found = np.frombuffer(raw.as_py(), kind)
                 where = np.flatnonzero(found)
                 if len(where):
                     held.append(found[where])
@@ -219,6 +228,8 @@ class Finder:
 
     def __init__(self, items: list[tuple[int, np.ndarray]], values: np.ndarray, least: float, verbatim: float, paraphrase: float) -> None:
         self.items = [(i, ids.tolist()) for i, ids in items]
+        self.bags = [np.unique(ids, return_counts=True) for _, ids in items]
+        self.longest = max(len(ids) for _, ids in items)
         self.values = values.astype(np.float32)
         self.queries = unit(np.stack([values[ids].sum(axis=0) for _, ids in items])).astype(np.float32)
         self.least, self.verbatim, self.paraphrase = least, verbatim, paraphrase
@@ -230,10 +241,7 @@ class Finder:
     def verdict(self, item: list[int], near: np.ndarray) -> float | None:
         """Share of the item's words in the best window of the words near a candidate, if it is a copy or a paraphrase."""
         need = min(self.verbatim, self.paraphrase) * len(item)
-        mine = set(item)
-        hit = np.array([x in mine for x in near.tolist()])
-        if hit.sum() < need:
-            return None
+        hit = np.isin(near, item)
         width = len(item) + max(4, len(item) // 4)
         sums = np.cumsum(np.concatenate([[0], hit]))
         inside = sums[width:] - sums[:-width] if len(near) > width else sums[-1:]
@@ -255,12 +263,17 @@ class Finder:
         found: dict[int, float] = {}
         if not len(ids):
             return found
-        for passage, k in self.candidates(ids):
-            number, item = self.items[k]
+        least = min(self.verbatim, self.paraphrase)
+        for passage, pairs in itertools.groupby(self.candidates(ids).tolist(), key=lambda c: c[0]):
             start = passage * STRIDE
-            near = ids[max(0, start - len(item)) : start + STRIDE * STRIDES + len(item)]
-            if (share := self.verdict(item, near)) is not None:
-                found[number] = max(share, found.get(number, 0.0))
+            near = ids[max(0, start - self.longest) : start + STRIDE * STRIDES + self.longest]
+            there = np.bincount(near, minlength=len(self.values))
+            for _, k in pairs:
+                number, item = self.items[k]
+                terms, counts = self.bags[k]
+                # the words that item and surroundings share bound the common subsequence from above
+                if np.minimum(there[terms], counts).sum() >= least * len(item) and (share := self.verdict(item, near)) is not None:
+                    found[number] = max(share, found.get(number, 0.0))
         return found
 
 
@@ -287,9 +300,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, least: float
         shared = docs.sparkSession.sparkContext.broadcast((items, space * weights[:, None]))  # ITEMS items, terms by rank numbers
 
         def run(rows, shared=shared):
-            finder = Finder(*shared.value, least, verbatim, paraphrase)
+            finder, kind = Finder(*shared.value, least, verbatim, paraphrase), kind_of(len(shared.value[1]) - 1)
             for doc_id, raw in rows:
-                for item, share in finder(np.frombuffer(raw, np.int32)).items():
+                for item, share in finder(np.frombuffer(raw, kind)).items():
                     yield doc_id, item, share
 
         out = out.unionByName(map_rows(ids, run, schema))
