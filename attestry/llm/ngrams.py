@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm.common import forget, map_rows, table, written
+from attestry.llm.common import map_rows, partitions, table, written
 from attestry.llm.language import remainder
 
 #: Bounds of the filter: bits for an entry that it aims at, and bits at most (64 MB).
@@ -33,7 +33,7 @@ PRIOR = 8.0
 #: Tokens with the highest counts, which are sent to the workers with their exact counts; the others are joined.
 HEAD = 1 << 17
 #: Tokens that a task counts before it passes its counts on.
-FLUSH = 1 << 20
+FLUSH = 1 << 18
 END = b""
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -51,25 +51,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Hashes:
-    """64-bit hashes of words, remembered up to a bound."""
+class Vocabulary(dict):
+    """Numbers of words in the order in which they come, from a start; with their hashes."""
 
-    def __init__(self, most: int = 1 << 19) -> None:
+    def __init__(self, words: list[bytes] = ()) -> None:
         from xxhash import xxh64_intdigest
 
-        self.digest, self.most, self.held = xxh64_intdigest, most, {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        held, digest = self.held, self.digest
-        if len(held) > self.most:
-            held.clear()
-        out = []
+        self.digest, self.hashes, self.held = xxh64_intdigest, [], np.zeros(0, np.uint64)
         for w in words:
-            h = held.get(w)
-            if h is None:
-                h = held[w] = digest(w, 1)
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
+            self[w]
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self.hashes)
+        self.hashes.append(self.digest(word, 1))
+        return n
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        """Hashes of words by their numbers."""
+        more = len(self.hashes) - len(self.held)
+        if more > 1 << 15:
+            self.held = np.concatenate([self.held, np.array(self.hashes[len(self.held) :], dtype=np.uint64)])
+            more = 0
+        if not more:
+            return self.held[numbers]
+        new = np.array(self.hashes[len(self.held) :], dtype=np.uint64)
+        old = numbers < len(self.held)
+        out = np.empty(len(numbers), dtype=np.uint64)
+        out[old], out[~old] = self.held[numbers[old]], new[numbers[~old] - len(self.held)]
+        return out
 
 
 def grams(hashes: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
@@ -89,51 +98,53 @@ def quantum(counts: np.ndarray, base: float) -> np.ndarray:
 
 
 class LogFrequencyFilter:
-    """A Bloom filter of (n-gram, quantum) in equal segments by the high bits of the n-gram's hash."""
+    """A Bloom filter of (n-gram, quantum) in equal segments by the high bits of the n-gram's hash.
+
+    All bits of an entry lie in one 64-bit word, so that a probe is one access (Putze et al., "Cache-, hash- and space-efficient
+    Bloom filters", 2007).
+    """
 
-    def __init__(self, bits: np.ndarray, segments: int, base: float, probes: int = PROBES) -> None:
-        self.bits, self.segments, self.base, self.probes = bits, segments, base, probes
-        self.size = np.uint64(len(bits) * 8 // segments)
+    def __init__(self, words: np.ndarray, segments: int, base: float, probes: int = PROBES) -> None:
+        self.words, self.segments, self.base, self.probes = words, segments, base, probes
+        self.size = np.uint64(len(words) // segments)
 
-    def places(self, hashes: np.ndarray, level: int) -> Iterator[np.ndarray]:
-        """Bit numbers in the hash's segment, one array for each probe."""
+    def entry(self, hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Word number in the hash's segment, and the bits of the entry."""
         x = mix(hashes + np.array([level], dtype=np.uint64) * _K1)
-        step = mix(x) | np.uint64(1)
-        for _ in range(self.probes):
-            yield (x >> np.uint64(11)) % self.size
-            x = x + step
+        mask = np.uint64(1) << (x & np.uint64(63))
+        for k in range(1, self.probes):
+            mask |= np.uint64(1) << (x >> np.uint64(6 * k) & np.uint64(63))
+        return (x >> np.uint64(32)) * self.size >> np.uint64(32), mask
 
     @staticmethod
     def segment(hashes: np.ndarray, segments: int) -> np.ndarray:
         return (hashes >> np.uint64(40)) * np.uint64(segments) >> np.uint64(24)
 
     def add(self, hashes: np.ndarray, counts: np.ndarray) -> None:
-        """hashes: of one segment, of which self.bits then holds that segment alone."""
+        """hashes: of one segment, of which self.words then holds that segment alone."""
         q = quantum(counts, self.base)
         for level in range(1, int(q.max(initial=0)) + 1):
-            for place in self.places(hashes[q >= level], level):
-                np.bitwise_or.at(self.bits, place >> np.uint64(3), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+            place, mask = self.entry(hashes[q >= level], level)
+            np.bitwise_or.at(self.words, place, mask)
 
     def counts(self, hashes: np.ndarray, most: int = 64) -> np.ndarray:
         """Estimated counts: the middle of the quantum that the probes reach, 0 if the first fails."""
-        found = np.zeros(len(hashes), dtype=np.float64)
-        alive = np.arange(len(hashes))
-        offset = self.segment(hashes, self.segments) * self.size
+        reached = np.zeros(len(hashes), dtype=np.int64)
+        alive, h = np.arange(len(hashes)), hashes
+        o = self.segment(h, self.segments) * self.size
         for level in range(1, most + 1):
-            h, o = hashes[alive], offset[alive]
-            hit = np.ones(len(alive), dtype=bool)
-            for place in self.places(h, level):
-                place = place + o
-                hit &= (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            alive = alive[hit]
+            place, mask = self.entry(h, level)
+            hit = self.words[place + o] & mask == mask
+            alive, h, o = alive[hit], h[hit], o[hit]
             if not len(alive):
                 break
-            low = math.ceil(self.base ** (level - 1) - 1e-9)
-            found[alive] = (low + max(low, math.ceil(self.base**level - 1e-9) - 1)) / 2
-        return found
+            reached[alive] = level
+        low = np.array([0.0, *(math.ceil(self.base ** (k - 1) - 1e-9) for k in range(1, most + 1))])
+        high = np.array([0.0, *(max(math.ceil(self.base ** (k - 1) - 1e-9), math.ceil(self.base**k - 1e-9) - 1) for k in range(1, most + 1))])
+        return ((low + high) / 2)[reached]
 
 
-def texts_of(texts: Iterator[list[bytes]], most: int = 1 << 16) -> Iterator[list[list[bytes]]]:
+def texts_of(texts: Iterator[list[bytes]], most: int = 1 << 17) -> Iterator[list[list[bytes]]]:
     """Texts together up to a number of tokens, so that arrays are worth their while."""
     held, size = [], 0
     for t in texts:
@@ -150,11 +161,15 @@ def first_of(texts: list[list[bytes]]) -> np.ndarray:
     return np.array([0, *itertools.accumulate(len(t) for t in texts[:-1])], dtype=np.int64)
 
 
-def gram_counts(training: DataFrame, order: int) -> DataFrame:
-    """(h long, n long): partial counts of the 1- to order-grams of the texts, by hash; each task adds up what fits in memory."""
+def gram_counts(training: DataFrame, order: int, frequent: list[bytes]) -> DataFrame:
+    """(h long, n long): partial counts of the 2- to order-grams of the texts, by hash; each task adds up what fits in memory.
+
+    frequent: words whose hashes each task keeps throughout.
+    """
+    shared = training.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed, held, size = Hashes(), [], 0
+        words, held, size = Vocabulary(shared.value), [], 0
 
         def flush():
             h, n = np.unique(np.concatenate(held), return_counts=True)
@@ -163,8 +178,11 @@ def gram_counts(training: DataFrame, order: int) -> DataFrame:
 
         for batch in batches:
             for texts in texts_of(tokens(t.as_py()) for t in batch.column(0).cast(pa.binary())):
-                held += grams(hashed([w for t in texts for w in t]), first_of(texts), order)
-                size += len(held[-1]) * order
+                numbers = np.array([n for t in texts for n in map(words.__getitem__, t)], dtype=np.int64)
+                held += grams(words.of(numbers), first_of(texts), order)[1:]
+                size += len(numbers) * (order - 1)
+                if len(words) > len(shared.value) + FLUSH:
+                    words = Vocabulary(shared.value)
                 if size > 4 * FLUSH:
                     yield from flush()
                     held, size = [], 0
@@ -174,56 +192,61 @@ def gram_counts(training: DataFrame, order: int) -> DataFrame:
     return training.select("text").mapInArrow(run, "h long, n long")
 
 
-def built(counts: DataFrame, base: float, entry_bits: int, most_bits: int) -> LogFrequencyFilter:
-    """The filter of partial counts (h, n). A task holds one segment of it and streams through its n-grams, sorted by hash."""
-    spark = counts.sparkSession
-    held = written(counts, "grams")
-    entries = held.agg(F.approx_count_distinct("h", 0.02)).first()[0]
-    segments = 64
-    while segments * (1 << 20) < min(most_bits, entries * entry_bits):
+def word_hashes(counts: DataFrame) -> DataFrame:
+    """(token, c) -> (h, n), h being the hash of the token as a 1-gram."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = Vocabulary([t.as_py() for t in batch.column(0)])
+            h = grams(np.array(words.hashes, dtype=np.uint64), np.zeros(0, np.int64), 1)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(1)], names=["h", "n"])
+
+    return counts.select("token", "c").mapInArrow(run, "h long, n long")
+
+
+def built(counts: DataFrame, entries: int, base: float, entry_bits: int, most_bits: int) -> LogFrequencyFilter:
+    """The filter of partial counts (h, n) with about that many entries. A task streams through the n-grams of its segments, sorted by hash."""
+    n = partitions(counts.sparkSession)
+    segments = 16
+    while segments < 2 * n and segments < 8192:
         segments *= 2
-    bits = max(1 << 16, min(most_bits, 2 * entries * entry_bits)) // segments // 8 * 8
+    words = max(64, min(most_bits, entries * entry_bits) // segments // 64)
     place = F.floor(F.shiftrightunsigned(F.col("h"), 40).cast("double") * segments / (1 << 24)).cast("int")
-    sorted_ = held.select("h", "n", place.alias("segment")).repartition(max(segments, 1), "segment").sortWithinPartitions("segment", "h")
+    sorted_ = counts.repartition(min(n, segments), place).select("h", "n").sortWithinPartitions(F.shiftrightunsigned(F.col("h"), 1), "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, filled, last = None, None, None
-
-        def done():
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([filled.bits.tobytes()], pa.binary())], names=["segment", "bits"])
+        filled: dict[int, LogFrequencyFilter] = {}
+        last: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+        def add(h: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+            of = LogFrequencyFilter.segment(h, segments)
+            for segment in np.unique(of).tolist():
+                if segment not in filled:
+                    yield from done()
+                    filled[segment] = LogFrequencyFilter(np.zeros(words, np.uint64), 1, base)
+                filled[segment].add(h[of == segment], sums[of == segment])
+
+        def done() -> Iterator[pa.RecordBatch]:
+            for segment, part in filled.items():
+                yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([part.words.tobytes()], pa.binary())], names=["segment", "bits"])
+            filled.clear()
 
         for batch in batches:
-            h, n, s = (np.asarray(c) for c in batch.columns)
-            h = h.view(np.uint64)
-            if last is not None:  # the last n-gram of a batch may go on in the next
-                h, n, s = np.concatenate([last[0], h]), np.concatenate([last[1], n]), np.concatenate([last[2], s])
+            h = np.concatenate([last[0], np.asarray(batch.column(0)).view(np.uint64)])
+            counted = np.concatenate([last[1], np.asarray(batch.column(1))])
             if not len(h):
                 continue
             starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            sums = np.add.reduceat(n, starts)
-            h, s = h[starts], s[starts]
-            last = (h[-1:], sums[-1:], s[-1:])
-            for segment in np.unique(s[:-1]):
-                if now is not None and segment != now:
-                    yield done()
-                    filled = None
-                if filled is None:
-                    now, filled = int(segment), LogFrequencyFilter(np.zeros(bits // 8, np.uint8), 1, base)
-                mine = s[:-1] == segment
-                filled.add(h[:-1][mine], sums[:-1][mine])
-        if last is not None:
-            if now is not None and last[2][0] != now:
-                yield done()
-                filled = None
-            if filled is None:
-                now, filled = int(last[2][0]), LogFrequencyFilter(np.zeros(bits // 8, np.uint8), 1, base)
-            filled.add(last[0], last[1])
-            yield done()
-
-    whole = np.zeros(segments * (bits // 8), np.uint8)
-    for row in sorted_.mapInArrow(run, "segment int, bits binary").toLocalIterator():
-        whole[row["segment"] * (bits // 8) : (row["segment"] + 1) * (bits // 8)] = np.frombuffer(row["bits"], np.uint8)
-    forget(held)
+            sums, h = np.add.reduceat(counted, starts), h[starts]
+            yield from add(h[:-1], sums[:-1])
+            last = (h[-1:], sums[-1:])  # the last n-gram of a batch may go on in the next
+        if len(last[0]):
+            yield from add(*last)
+        yield from done()
+
+    whole = np.zeros(segments * words, np.uint64)
+    for row in sorted_.mapInArrow(run, "segment int, bits binary").collect():  # most_bits in all
+        whole[row["segment"] * words : (row["segment"] + 1) * words] = np.frombuffer(row["bits"], np.uint64)
     return LogFrequencyFilter(whole, segments, base)
 
 
@@ -247,7 +270,9 @@ def log_probabilities(model: LogFrequencyFilter, hashes: np.ndarray, starts: np.
 
     texts: the texts learned from, which is how often the start was a context.
     """
-    counted = [model.counts(g) for g in grams(hashes, starts, order)]
+    first, *rest = grams(hashes, starts, order)
+    distinct, back = np.unique(first, return_inverse=True)
+    counted = [model.counts(distinct)[back], *map(model.counts, rest)]
     p = (counted[0] + 1) / (total + vocabulary + 1)
     for n in range(2, order + 1):
         context = np.concatenate([[0.0], counted[n - 2][:-1]])
@@ -268,41 +293,45 @@ def scored(docs: DataFrame, training: DataFrame, order: int = 2, base: float = B
     spark = docs.sparkSession
     counts = written(word_counts(training), "counts")
     total, vocabulary = (int(x or 0) for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
-    top = {bytes(r["token"]): r["c"] for r in counts.orderBy(F.desc("c"), "token").limit(head).collect()}
-    model = built(gram_counts(training, order), base, entry_bits, most_bits)
-    shared = spark.sparkContext.broadcast((top, model.bits, model.segments))  # head entries and most_bits bits at most
+    top = [(bytes(r["token"]), r["c"]) for r in counts.orderBy(F.desc("c"), "token").limit(head).collect()]
+    rows = gram_counts(training, order, [w for w, _ in top]).unionByName(word_hashes(counts))
+    model = built(rows, vocabulary + (order - 1) * total, base, entry_bits, most_bits)
+    shared = spark.sparkContext.broadcast((top, model.words, model.segments))  # head entries and most_bits bits at most
     complete = vocabulary <= head
     add = math.log10(total + vocabulary + 1)
+    texts_learned = dict(top).get(END, 0)
     kinds = dict(docs.dtypes)
 
     def run(rows):
-        known, bits, segments = shared.value
-        filter_, hashed = LogFrequencyFilter(bits, segments, base), Hashes()
-        logs: dict[int, float] = {}
+        top, bits, segments = shared.value
+        filter_ = LogFrequencyFilter(bits, segments, base)
+        frequent = [w for w, _ in top]
+        words, gains = Vocabulary(frequent), np.log10(np.array([c for _, c in top], dtype=np.float64) + 1)
         waiting = []
 
         def out():
-            texts = [t for _, _, t in waiting]
-            scores = log_probabilities(filter_, hashed([w for t in texts for w in t]), first_of(texts), order, total, vocabulary, prior, known.get(END, 0))
-            for (doc_id, held_out, found), score in zip(waiting, scores, strict=True):
-                sure, there, rest = 0.0, 0, Counter()
-                for w in found:
-                    c = known.get(w)
-                    if c is None:
-                        rest[w] += 1
-                    else:
-                        there += 1
-                        sure += logs.get(c) or logs.setdefault(c, math.log10(c + 1))
-                if complete:
-                    rest.clear()
-                yield doc_id, held_out, len(found), there, sure - add * len(found), float(score), [{"token": w, "n": n} for w, n in rest.items()]
+            nonlocal words
+            texts, starts = [t for _, _, t in waiting], first_of([t for _, _, t in waiting])
+            numbers = np.array([n for t in texts for n in map(words.__getitem__, t)], dtype=np.int64)
+            scores = log_probabilities(filter_, words.of(numbers), starts, order, total, vocabulary, prior, texts_learned)
+            known = numbers < len(frequent)
+            there = np.add.reduceat(known.astype(np.int64), starts)
+            sure = np.add.reduceat(np.where(known, np.concatenate([gains, [0.0]])[np.minimum(numbers, len(frequent))], 0.0), starts)
+            for k, (doc_id, held_out, found) in enumerate(waiting):
+                rest: Counter = Counter()
+                if not complete and there[k] < len(found):
+                    at = starts[k]
+                    rest.update(found[i] for i in np.flatnonzero(~known[at : at + len(found)]).tolist())
+                yield doc_id, held_out, len(found), int(there[k]), float(sure[k]) - add * len(found), float(scores[k]), [{"token": w, "n": n} for w, n in rest.items()]
             waiting.clear()
+            if len(words) > len(frequent) + FLUSH:
+                words = Vocabulary(frequent)
 
         size = 0
         for doc_id, held_out, text in rows:
             waiting.append((doc_id, held_out, tokens(text)))
             size += len(waiting[-1][2])
-            if size > 1 << 16:
+            if size > 1 << 17:
                 yield from out()
                 size = 0
         if waiting:
