@@ -9,7 +9,7 @@ alike lines costs about m comparisons and gives m - 1 links. Of each connected g
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,8 @@ def normal(line: str) -> str:
     return " ".join(_WORD.findall(line.lower()))
 
 
-def distance(a: str, b: str, most: int) -> int:
-    """Levenshtein distance of two texts, or more than most if it is more (Myers 1999, on whole integers)."""
+def distance(a: Sequence, b: Sequence, most: int) -> int:
+    """Levenshtein distance of two texts or lists, or more than most if it is more (Myers 1999, on whole integers)."""
     if len(a) > len(b):
         a, b = b, a
     if len(b) - len(a) > most:
@@ -59,7 +59,7 @@ def distance(a: str, b: str, most: int) -> int:
     if not a:
         return len(b)
     full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    at: dict[str, int] = {}
+    at: dict[object, int] = {}
     for i, x in enumerate(a):
         at[x] = at.get(x, 0) | 1 << i
     plus, minus, score = full, 0, len(a)
@@ -81,18 +81,29 @@ def distance(a: str, b: str, most: int) -> int:
 
 
 def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
-    """Whether 1 - distance / longer length is at least `least`."""
+    """Whether 1 - distance / longer length is at least `least`.
+
+    A distance in words bounds that in characters by the longest word and its space, and is found sooner.
+    """
     longer = max(len(a), len(b))
     most = int((1 - least) * longer + 1e-9)
-    return distance(a, b, most) <= most
+    one, two = a.split(" "), b.split(" ")
+    few = most // (1 + max(map(len, one + two)))
+    return few > 0 and distance(one, two, few) <= few or distance(a, b, most) <= most
+
 
+class WordNumbers(dict):
+    """Numbers of words in the order in which they come, and their hashes: small numbers make arrays sooner."""
 
-class WordHashes(dict):
-    """Hashes of words, remembered."""
+    def __init__(self) -> None:
+        self.hashes = np.zeros(1 << 16, dtype="<u8")
 
     def __missing__(self, word: str) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word, 7)
-        return h
+        n = self[word] = len(self)
+        if n == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros(n, dtype="<u8")])
+        self.hashes[n] = xxhash.xxh64_intdigest(word, 7)
+        return n
 
 
 class LineHashes:
@@ -102,11 +113,11 @@ class LineHashes:
     """
 
     def __init__(self, least_words: int, most: int = 1 << 19) -> None:
-        self.least, self.most, self.held = least_words, most, WordHashes()
+        self.least, self.most, self.held = least_words, most, WordNumbers()
 
     def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, int, int]]]:
         if len(self.held) > self.most:
-            self.held.clear()
+            self.held = WordNumbers()
         of, digest, find = self.held.__getitem__, xxhash.xxh3_64_intdigest, _WORD.findall
         numbers, keys, hashes, starts, ends = [], [], [], [], []
         for text in texts:
@@ -119,7 +130,7 @@ class LineHashes:
                     hashes.extend(map(of, set(words)))
             ends.append(len(numbers))
         if numbers:
-            sims = majorities(np.array(hashes, dtype="<u8"), np.array(starts)).tolist()
+            sims = majorities(self.held.hashes[np.array(hashes, dtype=np.int64)], np.array(starts)).tolist()
             found = list(zip(numbers, np.array(keys, dtype=np.uint64).view(np.int64).tolist(), sims, strict=True))
         else:
             found = []
@@ -263,15 +274,24 @@ def near_groups(sims: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, buc
 
 
 def line_groups(docs: DataFrame, seen: DataFrame, lines: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (a, b) between hashes of lines whose SimHashes are within the radius and whose edit similarity suffices."""
+    """(h, s, label): lines linked to others, and the smallest hash that they reach.
+
+    Lines link if their SimHashes are within the radius and their edit similarity suffices.
+    """
     spark = docs.sparkSession
     n = partitions(spark)
-    alike = lines.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("s").alias("g"), "s")
-    groups = written(near_groups(lines.select("s").distinct(), radius).unionByName(alike), "near")
-    of = written(groups.join(lines.select("s", "h", "first"), "s").select("g", "h", "first"), "members")
-    wanted = of.select("h", "first").distinct().groupBy("first.doc_id", "first.mark").agg(F.collect_list(F.struct("first.line", "h")).alias("wanted"))
+    sims = written(lines.groupBy("s").agg(F.count(F.lit(1)).alias("n")), "sims")
+    alike = sims.where("n > 1").select(F.col("s").alias("g"), "s")
+    groups = written(near_groups(sims.select("s"), radius).unionByName(alike), "near")
+    of = written(groups.join(lines.select("s", "h"), "s").select("g", "h", "s"), "members")
+    places = of.select("h").distinct()
+    few = of.agg(F.count(F.lit(1))).first()[0] <= BROADCAST_LINES
+    if few:
+        places = F.broadcast(places)
+    first = seen.join(places, "h").groupBy("h").agg(F.min(F.struct("doc_id", "mark", "line")).alias("first"))
+    wanted = first.groupBy("first.doc_id", "first.mark").agg(F.collect_list(F.struct("first.line", "h")).alias("wanted"))
     wanted = wanted.select(F.col("doc_id").alias("w_doc"), F.col("mark").alias("w_mark"), "wanted")
-    if of.agg(F.count(F.lit(1))).first()[0] <= BROADCAST_LINES:
+    if few:
         wanted = F.broadcast(wanted)
     here = docs.where("text is not null").select("doc_id", "text")
     here = here.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.xxhash64("text") == F.col("w_mark"))).select("text", "wanted")
@@ -306,20 +326,22 @@ def line_groups(docs: DataFrame, seen: DataFrame, lines: DataFrame, radius: int
                 elif not all(clusters):
                     clusters = [c for c in clusters if c]
 
-    out = written(map_rows(pairs, verify, "a long, b long").distinct(), "links")
-    forget(groups, of, texts)
+    label = components(map_rows(pairs, verify, "a long, b long"))
+    out = written(label.join(of.select("h", "s").distinct(), F.col("node") == F.col("h")).select("h", "s", "label"), "labels")
+    forget(sims, groups, of, texts)
     return out
 
 
 def repeated_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
     """docs (doc_id, text) -> (doc_id, mark, gone): the numbers of the lines to remove from the text with that hash."""
     seen = written(occurrences(docs, least_words), "seen")
-    lines = written(seen.groupBy("h", "s").agg(F.min(F.struct("doc_id", "mark", "line")).alias("first"), F.count(F.lit(1)).alias("n")), "lines")
-    label = components(line_groups(docs, seen, lines, radius, similarity))
-    named = lines.join(label, lines.h == label.node, "left").select("h", "s", "first", "n", F.coalesce("label", "h").alias("label"), F.when(F.col("label").isNull(), F.col("s")).alias("own"))
-    kept = named.groupBy("label", "own").agg(F.min("first").alias("keep"), F.sum("n").alias("total")).where("total > 1").select(F.col("label").alias("k_label"), F.col("own").alias("k_own"), "keep")
-    rule = written(named.join(kept, (F.col("label") == F.col("k_label")) & F.col("own").eqNullSafe(F.col("k_own"))).select("h", "s", "keep"), "rule")
-    gone = seen.join(rule, ["h", "s"]).where(~F.struct("doc_id", "mark", "line").eqNullSafe(F.col("keep")))
+    lines = written(seen.groupBy("h", "s").agg(F.count(F.lit(1)).alias("n")), "lines")
+    linked = line_groups(docs, seen, lines, radius, similarity)
+    exact = lines.where("n > 1").join(linked, ["h", "s"], "left_anti").select("h", "s", F.col("h").alias("label"))
+    rule = linked.select("h", "s", "label", F.lit(None).cast("long").alias("own")).unionByName(exact.withColumn("own", F.col("s")))
+    places = written(seen.join(rule, ["h", "s"]).select("doc_id", "mark", "line", "label", "own"), "places")
+    keep = places.groupBy(F.col("label").alias("k_label"), F.col("own").alias("k_own")).agg(F.min(F.struct("doc_id", "mark", "line")).alias("keep"))
+    gone = places.join(keep, (F.col("label") == F.col("k_label")) & F.col("own").eqNullSafe(F.col("k_own"))).where(~F.struct("doc_id", "mark", "line").eqNullSafe(F.col("keep")))
     return gone.groupBy("doc_id", "mark").agg(F.collect_list("line").alias("gone"))
 
 
