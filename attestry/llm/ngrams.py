@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm.common import map_rows, partitions, table, written
+from attestry.llm.common import forget, map_rows, partitions, table, written
 from attestry.llm.language import remainder
 
 #: Bounds of the filter: bits for an entry that it aims at, and bits at most (64 MB).
@@ -212,7 +212,7 @@ def built(counts: DataFrame, entries: int, base: float, entry_bits: int, most_bi
         segments *= 2
     words = max(64, min(most_bits, entries * entry_bits) // segments // 64)
     place = F.floor(F.shiftrightunsigned(F.col("h"), 40).cast("double") * segments / (1 << 24)).cast("int")
-    sorted_ = counts.repartition(min(n, segments), place).select("h", "n").sortWithinPartitions(F.shiftrightunsigned(F.col("h"), 1), "h")
+    sorted_ = counts.repartition(min(n, segments), place).select("h", "n").sortWithinPartitions("h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled: dict[int, LogFrequencyFilter] = {}
@@ -245,34 +245,41 @@ def built(counts: DataFrame, entries: int, base: float, entry_bits: int, most_bi
         yield from done()
 
     whole = np.zeros(segments * words, np.uint64)
-    for row in sorted_.mapInArrow(run, "segment int, bits binary").collect():  # most_bits in all
-        whole[row["segment"] * words : (row["segment"] + 1) * words] = np.frombuffer(row["bits"], np.uint64)
+    parts = written(sorted_.mapInArrow(run, "segment int, bits binary"), "filter")
+    for row in parts.toLocalIterator():  # most_bits in all
+        whole[row["segment"] * words : (row["segment"] + 1) * words] |= np.frombuffer(row["bits"], np.uint64)
+    forget(parts)
     return LogFrequencyFilter(whole, segments, base)
 
 
 def word_counts(training: DataFrame) -> DataFrame:
     """(token binary, c long) of the training texts, the end included; exact."""
 
-    def run(rows):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        for (text,) in rows:
-            counts.update(tokens(text))
-            if len(counts) > FLUSH:
-                yield from counts.items()
-                counts.clear()
-        yield from counts.items()
 
-    return map_rows(training.select("text"), run, "token binary, n long", binary=("text",)).groupBy("token").agg(F.sum("n").alias("c"))
+        def flush():
+            words, n = list(counts.keys()), list(counts.values())
+            for i in range(0, len(words), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(words[i : i + (1 << 16)], pa.binary()), pa.array(n[i : i + (1 << 16)], pa.int64())], names=["token", "n"])
+            counts.clear()
+
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()):
+                counts.update(tokens(text.as_py()))
+                if len(counts) > 2 * FLUSH:
+                    yield from flush()
+        yield from flush()
+
+    return training.select("text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("c"))
 
 
-def log_probabilities(model: LogFrequencyFilter, hashes: np.ndarray, starts: np.ndarray, order: int, total: int, vocabulary: int, prior: float, texts: int) -> np.ndarray:
+def log_probabilities(model: LogFrequencyFilter, hashes: np.ndarray, unigrams: np.ndarray, starts: np.ndarray, order: int, total: int, vocabulary: int, prior: float, texts: int) -> np.ndarray:
     """log10 probability of each text: at each order the counts of its n-grams over those of their contexts, with the lower order as prior.
 
-    texts: the texts learned from, which is how often the start was a context.
+    unigrams: the words' counts by the filter. texts: the texts learned from, which is how often the start was a context.
     """
-    first, *rest = grams(hashes, starts, order)
-    distinct, back = np.unique(first, return_inverse=True)
-    counted = [model.counts(distinct)[back], *map(model.counts, rest)]
+    counted = [unigrams, *map(model.counts, grams(hashes, starts, order)[1:])]
     p = (counted[0] + 1) / (total + vocabulary + 1)
     for n in range(2, order + 1):
         context = np.concatenate([[0.0], counted[n - 2][:-1]])
@@ -307,13 +314,16 @@ def scored(docs: DataFrame, training: DataFrame, order: int = 2, base: float = B
         filter_ = LogFrequencyFilter(bits, segments, base)
         frequent = [w for w, _ in top]
         words, gains = Vocabulary(frequent), np.log10(np.array([c for _, c in top], dtype=np.float64) + 1)
+        none, unigrams = np.zeros(0, np.int64), np.zeros(0)
         waiting = []
 
         def out():
-            nonlocal words
+            nonlocal words, unigrams
             texts, starts = [t for _, _, t in waiting], first_of([t for _, _, t in waiting])
             numbers = np.array([n for t in texts for n in map(words.__getitem__, t)], dtype=np.int64)
-            scores = log_probabilities(filter_, words.of(numbers), starts, order, total, vocabulary, prior, texts_learned)
+            more = words.of(np.arange(len(unigrams), len(words)))
+            unigrams = np.concatenate([unigrams, filter_.counts(grams(more, none, 1)[0])])  # each word is probed once
+            scores = log_probabilities(filter_, words.of(numbers), unigrams[numbers], starts, order, total, vocabulary, prior, texts_learned)
             known = numbers < len(frequent)
             there = np.add.reduceat(known.astype(np.int64), starts)
             sure = np.add.reduceat(np.where(known, np.concatenate([gains, [0.0]])[np.minimum(numbers, len(frequent))], 0.0), starts)
@@ -325,7 +335,7 @@ def scored(docs: DataFrame, training: DataFrame, order: int = 2, base: float = B
                 yield doc_id, held_out, len(found), int(there[k]), float(sure[k]) - add * len(found), float(scores[k]), [{"token": w, "n": n} for w, n in rest.items()]
             waiting.clear()
             if len(words) > len(frequent) + FLUSH:
-                words = Vocabulary(frequent)
+                words, unigrams = Vocabulary(frequent), unigrams[: len(frequent)]
 
         size = 0
         for doc_id, held_out, text in rows:
