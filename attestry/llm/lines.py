@@ -8,7 +8,6 @@ alike lines costs about m comparisons and gives m - 1 links. Of each connected g
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -28,14 +27,17 @@ BLOCKS = 5
 SIMILARITY = 0.8
 #: Distinct SimHashes that are compared in one go; a larger bucket is dealt out in pairs of parts.
 BUCKET = 2048
+#: Buckets up to which all pairs are listed.
+PAIRS = 32
 #: Lines to verify up to which their places are broadcast (at most 16 MB), and beyond which they are joined.
 BROADCAST_LINES = 1 << 18
-_WORD = re.compile(r"\w+")
+#: Bytes of words and line ends stay, all others become spaces.
+_PLAIN = bytes(c if c >= 128 or c == 10 or bytes([c]).isalnum() else 32 for c in range(256))
 
 
 def normal(line: str) -> str:
-    """Lower-case words, joined by single spaces."""
-    return " ".join(_WORD.findall(line.lower()))
+    """Lower-case words, joined by single spaces; ASCII characters other than letters and digits part words."""
+    return b" ".join(line.lower().encode().translate(_PLAIN).split()).decode()
 
 
 def distance(a: Sequence, b: Sequence, most: int) -> int:
@@ -98,7 +100,7 @@ class WordNumbers(dict):
     def __init__(self) -> None:
         self.hashes = np.zeros(1 << 16, dtype="<u8")
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self)
         if n == len(self.hashes):
             self.hashes = np.concatenate([self.hashes, np.zeros(n, dtype="<u8")])
@@ -118,14 +120,14 @@ class LineHashes:
     def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, int, int]]]:
         if len(self.held) > self.most:
             self.held = WordNumbers()
-        of, digest, find = self.held.__getitem__, xxhash.xxh3_64_intdigest, _WORD.findall
+        of, digest = self.held.__getitem__, xxhash.xxh3_64_intdigest
         numbers, keys, hashes, starts, ends = [], [], [], [], []
         for text in texts:
-            for number, line in enumerate(text.lower().split("\n")):
-                words = find(line)
+            for number, line in enumerate(text.lower().encode().translate(_PLAIN).split(b"\n")):
+                words = line.split()
                 if len(words) >= self.least:
                     numbers.append(number)
-                    keys.append(digest(" ".join(words)))
+                    keys.append(digest(b" ".join(words)))
                     starts.append(len(hashes))
                     hashes.extend(map(of, set(words)))
             ends.append(len(numbers))
@@ -178,6 +180,22 @@ def near_pairs(values: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.n
     return (np.concatenate(first), np.concatenate(second)) if first else (here[:0], here[:0])
 
 
+def spanned(values: np.ndarray, radius: int) -> Iterator[np.ndarray]:
+    """Index sets of the components of two and more values under the radius; each value is compared once with those not yet reached."""
+    left = np.arange(len(values))
+    while len(left):
+        found, at, left = [left[:1]], 0, left[1:]
+        while at < len(found):
+            for i in found[at]:
+                near = np.bitwise_count(values[left] ^ values[i]) <= radius
+                if near.any():
+                    found.append(left[near])
+                    left = left[~near]
+            at += 1
+        if len(found) > 1:
+            yield np.concatenate(found)
+
+
 def _bucket_groups(radius: int, most: int | None):
     """Batches of (t, key, s), sorted, to rows (hot, t, key, g, s): the groups of near SimHashes in each bucket, by a hash g of their members.
 
@@ -188,6 +206,13 @@ def _bucket_groups(radius: int, most: int | None):
     def compare(t: np.ndarray, key: np.ndarray, s: np.ndarray) -> list[tuple]:
         """Whole buckets."""
         number = np.cumsum(np.concatenate([[0], (t[1:] != t[:-1]) | (key[1:] != key[:-1])]))
+        sizes = np.bincount(number)
+        groups = []
+        for large in np.flatnonzero(sizes > PAIRS).tolist():
+            mine = s[number == large]
+            groups += (mine[found] for found in spanned(mine.view(np.uint64), radius))
+        small = sizes[number] <= PAIRS
+        s, number = s[small], number[small]
         pairs = near_pairs(s.view(np.uint64), number, radius)
         root: dict[int, int] = {}
 
@@ -203,7 +228,7 @@ def _bucket_groups(radius: int, most: int | None):
         for i in root:
             members.setdefault(find(i), []).append(int(s[i]))
         out = []
-        for found in members.values():
+        for found in [*members.values(), *(g.tolist() for g in groups)]:
             g = xxhash.xxh64_intdigest(np.array(sorted(found), dtype="<i8").tobytes())
             out.extend((False, None, None, g - (g >> 63 << 64), v) for v in found)
         return out
