@@ -179,7 +179,8 @@ def mixed(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, block: int = B
     lie = placed.where("size > 0").select("row_id", "doc_id", "number", "size", "start", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
     low = F.greatest(F.col("start"), F.col("block") * block)
     high = F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("words"))
-    pieces = drawn.join(lie, ["number", "block"]).withColumns({"from_at": low - F.col("block") * block, "from_word": low - F.col("start"), "to_word": high - F.col("start")}).where("to_word > from_word")
+    pieces = drawn.hint("merge").join(lie, ["number", "block"])  # the slots are as many as the blocks, though their plan looks small
+    pieces = pieces.withColumns({"from_at": low - F.col("block") * block, "from_word": low - F.col("start"), "to_word": high - F.col("start")}).where("to_word > from_word")
     return placed, pieces.select("shard", "slot", "number", "row_id", "doc_id", "from_at", "from_word", "to_word")
 
 
