@@ -35,6 +35,8 @@ HEAD = 1 << 17
 #: Tokens that a task counts before it passes its counts on.
 FLUSH = 1 << 18
 END = b""
+#: An odd multiplier for each level of the filter.
+_LEVELS = [2 * (0x9E3779B97F4A7C15 * (k + 1) % (1 << 63)) % (1 << 64) + 1 for k in range(80)]
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -105,16 +107,15 @@ class LogFrequencyFilter:
     """
 
     def __init__(self, words: np.ndarray, segments: int, base: float, probes: int = PROBES) -> None:
-        self.words, self.segments, self.base, self.probes = words, segments, base, probes
+        self.words, self.segments, self.base = words, segments, base
         self.size = np.uint64(len(words) // segments)
+        bits = np.random.default_rng(11).integers(0, 64, (1 << 16, probes)).astype(np.uint64)
+        self.masks = np.bitwise_or.reduce(np.uint64(1) << bits, axis=1)
 
-    def entry(self, hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """Word number in the hash's segment, and the bits of the entry."""
-        x = mix(hashes + np.array([level], dtype=np.uint64) * _K1)
-        mask = np.uint64(1) << (x & np.uint64(63))
-        for k in range(1, self.probes):
-            mask |= np.uint64(1) << (x >> np.uint64(6 * k) & np.uint64(63))
-        return (x >> np.uint64(32)) * self.size >> np.uint64(32), mask
+    def entry(self, folded: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Word number in the hash's segment, and the bits of the entry; folded: hash ^ hash >> 32."""
+        x = folded * np.array([_LEVELS[level]], dtype=np.uint64)
+        return (x >> np.uint64(32)) * self.size >> np.uint64(32), self.masks[(x >> np.uint64(16)) & np.uint64(0xFFFF)]
 
     @staticmethod
     def segment(hashes: np.ndarray, segments: int) -> np.ndarray:
@@ -124,7 +125,8 @@ class LogFrequencyFilter:
         """hashes: of one segment, of which self.words then holds that segment alone."""
         q = quantum(counts, self.base)
         for level in range(1, int(q.max(initial=0)) + 1):
-            place, mask = self.entry(hashes[q >= level], level)
+            h = hashes[q >= level]
+            place, mask = self.entry(h ^ h >> np.uint64(32), level)
             np.bitwise_or.at(self.words, place, mask)
 
     def counts(self, hashes: np.ndarray, most: int = 64) -> np.ndarray:
@@ -132,6 +134,7 @@ class LogFrequencyFilter:
         reached = np.zeros(len(hashes), dtype=np.int64)
         alive, h = np.arange(len(hashes)), hashes
         o = self.segment(h, self.segments) * self.size
+        h = h ^ h >> np.uint64(32)
         for level in range(1, most + 1):
             place, mask = self.entry(h, level)
             hit = self.words[place + o] & mask == mask
