@@ -1,4 +1,5 @@
 """Queries over the driver's tables, by name."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from attestry.plans.queries import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

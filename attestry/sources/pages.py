@@ -1,0 +1,61 @@
+"""Landed pages of a paginated table: decoding, rows, and proof that a walk is whole."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from attestry.errors import CollectionError
+from attestry.functions.scalars import paginator
+
+CELL = "struct<heading:string,salary_text:string,marker_text:string>"
+SNAPSHOT = f"indicator_text string, back_disabled boolean, forward_disabled boolean, headings array<string>, rows array<struct<display_text:string,url:string,logo_url:string,rank_text:string,description:string,cells:array<{CELL}>>>, content_token string"
+
+
+def decode(raw: DataFrame, column: str = "value") -> DataFrame:
+    """Snapshots from JSON text with an explicit schema; what is missing has defaults."""
+    s = F.from_json(F.col(column), SNAPSHOT)
+    rest = [c for c in raw.columns if c != column]
+    return raw.select(
+        *rest, F.coalesce(s["indicator_text"], F.lit("")).alias("indicator_text"), F.coalesce(s["back_disabled"], F.lit(False)).alias("back_disabled"), F.coalesce(s["forward_disabled"], F.lit(False)).alias("forward_disabled"),
+        F.coalesce(s["headings"], F.array().cast("array<string>")).alias("headings"), s["rows"].alias("rows"), F.coalesce(s["content_token"], F.lit("")).alias("content_token"),
+    )
+
+
+def numbered(pages: DataFrame) -> DataFrame:
+    found = paginator(F.col("indicator_text"))
+    return pages.withColumns({"page": found["page"], "final_page": found["pages"]})
+
+
+def rows_of(pages: DataFrame) -> DataFrame:
+    """Rows with their page and 1-based position, which order the whole walk."""
+    return pages.select("page", F.posexplode("rows").alias("k", "row")).select("page", (F.col("k") + 1).alias("row_position"), "row.*")
+
+
+def walk_problems(pages: DataFrame) -> DataFrame:
+    """(page, problem) of numbered pages with columns walk (the order of landing), headings, n_rows and content_token.
+
+    A walk is a list of pages, as long as a paginator; it is ordered in one window of narrow columns.
+    """
+    w = Window.orderBy("walk")
+    before = lambda c: F.lag(c).over(w)
+    rows = pages.withColumns({"first": before("walk").isNull(), "p_page": before("page"), "p_final": before("final_page"), "p_headings": before("headings"), "p_token": before("content_token")})
+    tests = {
+        "paginator": F.col("page").isNull(), "first_page": F.col("first") & (F.col("page") != 1), "step": ~F.col("first") & (F.col("page") != F.col("p_page") + 1),
+        "final_page_changed": ~F.col("first") & (F.col("final_page") != F.col("p_final")), "headings_changed": ~F.col("first") & (F.col("headings") != F.col("p_headings")),
+        "content_unchanged": ~F.col("first") & (F.col("content_token") == F.col("p_token")), "back_button": F.col("back_disabled") != (F.col("page") == 1),
+        "forward_button": F.col("forward_disabled") != (F.col("page") == F.col("final_page")), "empty_page": (F.col("n_rows") == 0) & (F.col("page") < F.col("final_page")),
+    }
+    each = rows.select("page", F.explode(F.array_compact(F.array(*(F.when(t, F.lit(n)) for n, t in tests.items())))).alias("problem"))
+    visited = pages.agg(F.max("final_page").alias("m"), F.collect_set("page").alias("seen"))
+    missing = visited.select(F.explode(F.array_except(F.sequence(F.lit(1), F.greatest(F.coalesce("m", F.lit(1)), F.lit(1))), "seen")).alias("page"), F.lit("missing_page").alias("problem"))
+    return each.unionByName(missing)
+
+
+def prove_walk(pages: DataFrame) -> None:
+    if bad := walk_problems(pages).limit(20).collect():
+        raise CollectionError("; ".join(f"page {r['page']}: {r['problem']}" for r in bad))
+
+
+def page_counts(rows: DataFrame, page: str) -> DataFrame:
+    return rows.groupBy(page).agg(F.count(F.lit(1)).alias("n_rows"))
