@@ -197,15 +197,15 @@ def spanned(values: np.ndarray, radius: int) -> Iterator[np.ndarray]:
 
 
 def _bucket_groups(radius: int, most: int | None):
-    """Batches of (t, key, s), sorted, to rows (hot, t, key, g, s): the groups of near SimHashes in each bucket, by a hash g of their members.
+    """Batches of (key, s), sorted by key, to rows (hot, key, g, s): the groups of near SimHashes in each bucket, by a hash g of their members.
 
     The rows of a bucket beyond `most` come back as they are, with hot set.
     """
-    schema = pa.schema([("hot", pa.bool_()), ("t", pa.int32()), ("key", pa.int64()), ("g", pa.int64()), ("s", pa.int64())])
+    schema = pa.schema([("hot", pa.bool_()), ("key", pa.int64()), ("g", pa.int64()), ("s", pa.int64())])
 
-    def compare(t: np.ndarray, key: np.ndarray, s: np.ndarray) -> list[tuple]:
+    def compare(key: np.ndarray, s: np.ndarray) -> list[tuple]:
         """Whole buckets."""
-        number = np.cumsum(np.concatenate([[0], (t[1:] != t[:-1]) | (key[1:] != key[:-1])]))
+        number = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
         sizes = np.bincount(number)
         groups = []
         for large in np.flatnonzero(sizes > PAIRS).tolist():
@@ -230,42 +230,38 @@ def _bucket_groups(radius: int, most: int | None):
         out = []
         for found in [*members.values(), *(g.tolist() for g in groups)]:
             g = xxhash.xxh64_intdigest(np.array(sorted(found), dtype="<i8").tobytes())
-            out.extend((False, None, None, g - (g >> 63 << 64), v) for v in found)
+            out.extend((False, None, g - (g >> 63 << 64), v) for v in found)
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: tuple[np.ndarray, ...] = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        kept: tuple[np.ndarray, ...] = (np.zeros(0, np.int64), np.zeros(0, np.int64))
         hot = None  # the bucket that is passed through
         for batch in batches:
-            t, key, s = (np.concatenate([a, np.asarray(b)]) for a, b in zip(kept, batch.columns, strict=True))
+            key, s = (np.concatenate([a, np.asarray(b)]) for a, b in zip(kept, batch.columns, strict=True))
             out: list[tuple] = []
             if hot is not None:
-                n = int(((t == hot[0]) & (key == hot[1])).sum())
-                out += ((True, *hot, None, v) for v in s[:n].tolist())
-                t, key, s = t[n:], key[n:], s[n:]
-                if len(t):
+                n = int((key == hot).sum())
+                out += ((True, hot, None, v) for v in s[:n].tolist())
+                key, s = key[n:], s[n:]
+                if len(key):
                     hot = None
-            if len(t):
-                edges = np.flatnonzero((t[1:] != t[:-1]) | (key[1:] != key[:-1])) + 1
-                bounds = np.array([0, *edges, len(t)])
+            if len(key):
+                bounds = np.array([0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)])
+                last = int(bounds[-1] - bounds[-2])
                 if most is not None and (np.diff(bounds) > most).any():
-                    keep = np.ones(len(t), dtype=bool)
+                    keep = np.ones(len(key), dtype=bool)
                     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                         if b - a > most:
-                            here = (int(t[a]), int(key[a]))
-                            out += ((True, *here, None, v) for v in s[a:b].tolist())
+                            out += ((True, int(key[a]), None, v) for v in s[a:b].tolist())
                             keep[a:b] = False
-                            if b == len(t):
-                                hot = here
-                    last = 0 if hot else int(bounds[-1] - bounds[-2])
-                    t, key, s = t[keep], key[keep], s[keep]
-                else:
-                    last = int(bounds[-1] - bounds[-2])
-                whole = len(t) - last
+                            if b == len(key):
+                                hot, last = int(key[a]), 0
+                    key, s = key[keep], s[keep]
+                whole = len(key) - last
                 if whole:
-                    out += compare(t[:whole], key[:whole], s[:whole])
-                t, key, s = t[whole:], key[whole:], s[whole:]
-            kept = (t, key, s)
+                    out += compare(key[:whole], s[:whole])
+                key, s = key[whole:], s[whole:]
+            kept = (key, s)
             if out:
                 yield pack(out, schema)
         if len(kept[0]) and (out := compare(*kept)):
@@ -277,23 +273,23 @@ def _bucket_groups(radius: int, most: int | None):
 def near_groups(sims: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, bucket: int = BUCKET) -> DataFrame:
     """sims (s long, distinct) -> (g, s): groups in which any two SimHashes within the radius are found together.
 
-    Buckets of more than `bucket` SimHashes are dealt into parts by hash, and each pair of parts is a group of its own.
+    A bucket is named by one hash of its table and of the blocks that agree; should two share a name, their SimHashes are still
+    compared. Buckets of more than `bucket` SimHashes are dealt into parts by hash, and each pair of parts is a group of its own.
     """
     n = partitions(sims.sparkSession)
-    chosen = masks(blocks, radius)
-    schema = "hot boolean, t int, key long, g long, s long"
-    rows = sims.select("s", F.explode(F.array(*(F.lit(i) for i in range(len(chosen))))).alias("t"))
-    key = F.element_at(F.array(*(F.lit(m) for m in chosen)), F.col("t") + 1).bitwiseAND(F.col("s"))
-    sorted_ = rows.repartition(n, "t", key).select("t", key.alias("key"), "s").sortWithinPartitions("t", "key", "s")
+    schema = "hot boolean, key long, g long, s long"
+    names = F.array(*(F.xxhash64(F.lit(i), F.col("s").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(blocks, radius))))
+    rows = sims.select(F.explode(names).alias("key"), "s")
+    sorted_ = rows.repartition(n, "key").sortWithinPartitions("key")
     found = written(sorted_.mapInArrow(_bucket_groups(radius, bucket), schema), "groups")
     out = found.where("not hot").select("g", "s")
-    hot = found.where("hot").select("t", "key", "s")
-    parts = hot.groupBy("t", "key").agg(F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) * 2 / bucket)).cast("int").alias("parts"))
+    hot = found.where("hot").select("key", "s")
+    parts = hot.groupBy("key").agg(F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) * 2 / bucket)).cast("int").alias("parts"))
     if parts.head(1):
         part = F.pmod(F.xxhash64("s"), F.col("parts")).cast("int")
-        dealt = hot.join(parts, ["t", "key"]).withColumn("a", part).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        dealt = dealt.where("a <> b").select(F.col("t"), F.xxhash64("key", "t", F.least("a", "b"), F.greatest("a", "b")).alias("key"), "s")
-        dealt = dealt.repartition(n, "t", "key").sortWithinPartitions("t", "key", "s")
+        dealt = hot.join(parts, "key").withColumn("a", part).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        dealt = dealt.where("a <> b").select(F.xxhash64("key", F.least("a", "b"), F.greatest("a", "b")).alias("key"), "s")
+        dealt = dealt.repartition(n, "key").sortWithinPartitions("key")
         out = out.unionByName(dealt.mapInArrow(_bucket_groups(radius, None), schema).select("g", "s"))
     return out.distinct()
 
