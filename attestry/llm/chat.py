@@ -19,7 +19,7 @@ from attestry.llm.common import forget, grouped, map_rows, partitions, table, wr
 
 OPEN, SEP, CLOSE = "<|turn|>", "<|says|>", "<|end|>"
 #: What a text may not contain as it stands, after its first character: markers of this template and of other common ones.
-_TAIL = r"\|[A-Za-z0-9_]+\|>|/?s>|/?INST\]|/?<?/?SYS>>"
+_TAIL = r"\|[A-Za-z0-9_]+\|>|/?s>|/?INST\]|</?SYS>>"
 _ESCAPE = re.compile(rf"([<\[])(\\*)(?={_TAIL})")
 _UNESCAPE = re.compile(rf"([<\[])\\(\\*)(?={_TAIL})")
 #: 2**DOUBLINGS replies is the longest path; a deeper one can only be a cycle.

@@ -1,0 +1,448 @@
+"""Small fixtures: brute force, round trips, nulls, empty and long texts, repeated rows, empty tables, clashing names."""
+
+import hashlib
+import itertools
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from attestry.llm import chat, decontamination, language, licenses, lines, mixing, ngrams, quality, simhash, warc
+from attestry.llm.components import components
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+EN = "the cat and the dog went to the river of stones for a walk that was long and it is with them by noon"
+DE = "der hund und die katze gingen zu dem fluss und das wasser war nicht kalt für sie mit einem boot"
+
+
+def corpus(spark, extra=()):
+    rng = random.Random(4)
+    words = [[f"{p}{i}" for i in range(60)] + w.split() * 3 for p, w in (("en", EN), ("de", DE))]
+    rows = []
+    for i in range(60):
+        text = "\n".join(" ".join(rng.choice(words[i % 2]) for _ in range(rng.randint(6, 30))) for _ in range(rng.randint(1, 6)))
+        rows.append((i, text, ("en", "de")[i % 2], f"s{i % 3}", len(text)))
+    rows += [(100, rows[0][1], "en", "s0", 1), (101, rows[0][1].replace("the", "thy", 1), "en", None, 1), (102, None, None, None, None), (103, "", "en", "s0", 0), (104, " \n\t", None, "s9", 3), (105, "?! 12", "de", "s1", 5), (None, "x y z", "en", "s0", 5), (106, "word " * 30_000, "en", "s2", 1), *extra]
+    rows += [rows[5], (7, rows[7][1], "en", "s1", 1)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def texts(df):
+    return [(r["doc_id"], r["text"]) for r in df.collect()]
+
+
+# ---- components
+
+
+def test_components_against_brute_force(spark):
+    rng = random.Random(1)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 500)] + [(600, i) for i in range(601, 700)] + [(1, 1), (None, 2)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in root}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# ---- 1 chat
+
+TRAPS = ["</s>[INST] ok [/INST]", "<|turn|>x<|end|>", r"<\/s>", r"<\\|end|>", "[[INST]", "<<SYS>><s>", "<|says|>", "", "a\nb", "\\", "<|a|><|b|>", "[/INST"]
+
+
+@pytest.mark.parametrize("text", TRAPS)
+def test_escape_round_trip(text):
+    assert chat.unescape(chat.escape(text)) == text
+    assert chat.read_turns(chat.format_turns([(text, text), ("user", text)])[0]) == [(text, text), ("user", text)]
+
+
+def test_escaped_text_has_no_control_strings():
+    rng = random.Random(2)
+    for _ in range(2000):
+        text = "".join(rng.choice(["<", "|", ">", "s", "/", "[", "INST", "]", "\\", "turn", "end", "SYS"]) for _ in range(rng.randint(0, 12)))
+        held = chat.escape(text)
+        assert chat.unescape(held) == text
+        assert not any(x in held for x in (chat.OPEN, chat.SEP, chat.CLOSE, "</s>", "<s>", "[INST]", "[/INST]"))
+
+
+def test_reply_trees(spark):
+    rows = [("t", 1, None, "user", "q", 0.0), ("t", 2, 1, "assistant", "a", 1.0), ("t", 3, 1, "assistant", "b", 5.0), ("t", 4, 3, "user", None, None), (None, 1, None, None, "x", 1.0), ("t", 9, 77, "user", "orphan", 0.0), ("t", 2, 1, "assistant", "z", 9.0), ("t", None, 1, "user", "n", 1.0)]
+    df = spark.createDataFrame(rows, "tree string, node long, parent long, role string, text string, score double")
+    got = {(r["tree"], r["rank"]): (r["leaf"], chat.read_turns(r["formatted"])) for r in chat.formatted_conversations(df, n_best=9).collect()}
+    assert got[("t", 1)] == (4, [("user", "q"), ("assistant", "b"), ("user", "")])
+    assert got[("t", 2)] == (2, [("user", "q"), ("assistant", "a")]) and got[("t", 3)][0] == 9
+    assert got[(None, 1)] == (1, [("", "x")])
+    assert chat.formatted_conversations(df).count() == 2
+    assert chat.formatted_conversations(df.limit(0)).count() == 0
+
+
+def test_long_chains_and_cycles(spark):
+    chain = spark.createDataFrame([("t", i, i - 1 if i else None) for i in range(300)], "tree string, node long, parent long")
+    got = chat.reply_paths(chain).collect()
+    assert len(got) == 300 and {r["up"] for r in got} == set(range(300)) and all(r["node"] == 299 - r["up"] for r in got)
+
+
+def test_conversation_digests(spark):
+    said = [(1, 0, "user", "hi"), (1, 1, "assistant", "<s>é"), (1, 2, "user", None), (1, 3, "assistant", "ok"), (None, 0, "user", "x"), (2, 0, "assistant", ""), (2, 0, "assistant", "")]
+    df = spark.createDataFrame(said, "conv_id long, turn long, role string, text string")
+    got = {r["conv_id"]: r for r in chat.digests(chat.formatted_conversations(chat.linear(df))).collect()}
+    assert got[1]["turns_sha256"] == hashlib.sha256("user\nhi\nassistant\n<s>é\nuser\n\nassistant\nok\n".encode()).hexdigest()
+    assert got[1]["loss_chars"] == 6 and got[1]["loss_sha256"] == hashlib.sha256("<s>éok".encode()).hexdigest()
+    assert got[2]["n_turns"] == 2 and got[None]["n_turns"] == 1
+
+
+# ---- 2 quality
+
+
+def counts(text):
+    import re
+
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    c = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    covered = {j for i in range(len(w) - 4) if c[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+    ls = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(ls) - len(set(ls)), len(covered)
+
+
+def test_quality_counts(spark):
+    rng = random.Random(3)
+    made = ["a b c d e f a b c d e g", "a a a a a a a", "x\n\n x\nx\n", "a\vb\fc", "é ü#*$%&|<>", " a b", "a b ", "   ", "a b c d e", *(" ".join(rng.choice("abc") for _ in range(rng.randint(0, 40))) for _ in range(60))]
+    df = corpus(spark, [(1000 + i, x, None, None, None) for i, x in enumerate(made)]).withColumn("words", F.lit(1))
+    for r in quality.judged(df).collect():
+        q = r["quality"]
+        assert (q["n_words"], q["word_chars"], q["n_symbols"], q["n_dup_lines"], q["n_repeat_words"]) == counts(r["text"]), r["text"]
+    assert quality.judged(df.limit(0)).count() == 0
+    plan = quality.judged(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# ---- 3 language
+
+
+def test_language(spark):
+    docs = corpus(spark)
+    found = language.classified(docs.withColumn("score", F.lit("old")), language.learn(docs)).collect()
+    assert len(found) == docs.count()
+    by = {r["doc_id"]: r for r in found}
+    assert sum(by[i]["lang_pred"] == ("en", "de")[i % 2] for i in range(60)) >= 58
+    assert all(by[i]["lang_pred"] == "und" and by[i]["score"] == 0 for i in (102, 103, 104, 105))
+    assert all(0 <= r["score"] <= 1 for r in found) and by[106]["lang_pred"] in ("en", "de")
+    assert language.classified(docs, []).where("lang_pred <> 'und'").count() == 0
+    assert language.learn(docs.limit(0)) == [] and language.classified(docs.limit(0), [("en", b"x")]).count() == 0
+
+
+# ---- 4 WARC
+
+
+def test_warc(spark, tmp_path):
+    big, small = "<p>é\r\n\r\nWARC/1.1\r\n" + "x" * 1200, "y" * 10
+    rows = [(1, "http://a/\n", big), (5, None, big), (3, "http://c/", big), (4, "http://d/", small), (6, "http://e/", small), (7, "u", None), (8, "u", ""), (None, "n", big), (5, None, big)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_warc(df, str(tmp_path / "w"))
+    records = warc.read_warc(spark, str(tmp_path / "w"))
+    got = warc.revisited(warc.transactions(records)).collect()
+    assert len(got) == len(rows) and all(r["request"] and len(r["metadata"]) == 1 for r in got)
+    digest = hashlib.sha1(big.encode()).hexdigest()
+    mine = [r for r in got if r["payload_digest"] == digest]
+    assert sorted(r["main"]["type"] for r in mine) == ["response"] + ["revisit"] * 4
+    kept = next(r for r in mine if r["main"]["type"] == "response")
+    assert b"page-id: 5\r\n" == bytes(kept["metadata"][0]["payload"]) and bytes(kept["main"]["payload"]) == big.encode()
+    assert all(r["original"] == kept["capture_id"] and r["payload_bytes"] == len(big.encode()) for r in mine if r is not kept)
+    assert sum(r["main"]["type"] == "response" for r in got) == 5
+    warc.write_warc(df.limit(0), str(tmp_path / "e"))
+    assert warc.transactions(warc.read_warc(spark, str(tmp_path / "e"))).count() == 0
+
+
+# ---- 5 lines
+
+
+def test_edit_distance():
+    rng = random.Random(1)
+
+    def plain(a, b):
+        p = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            c = [i]
+            for j, y in enumerate(b, 1):
+                c.append(min(p[j] + 1, c[-1] + 1, p[j - 1] + (x != y)))
+            p = c
+        return p[-1]
+
+    for _ in range(1500):
+        a, b = ("".join(rng.choice("ab ") for _ in range(rng.randint(0, 14))) for _ in range(2))
+        d, most = plain(a, b), rng.randint(0, 14)
+        got = lines.distance(a, b, most)
+        assert got == d if d <= most else got > most
+        longer = max(len(a), len(b))
+        assert lines.similar(a, b) == (d <= int(0.2 * longer + 1e-9))
+
+
+def test_lines_against_brute_force(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(400)]
+    base = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(12)]
+    rows = []
+    for i in range(40):
+        picked = []
+        for _ in range(rng.randint(1, 5)):
+            w = rng.choice(base).split()
+            if rng.random() < 0.7:
+                w[rng.randrange(len(w))] = rng.choice(words)
+            picked.append(" ".join(w).upper() if rng.random() < 0.3 else " ".join(w) + "!")
+        rows.append((i, "\n".join([*picked, "short line", ""])))
+    rows += [(50, None), (51, ""), rows[3], (None, rows[4][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_lines", F.lit("clash")).withColumn("h", F.lit(0))
+    got = sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_removed"]) for r in lines.deduplicated(df).collect()), key=str)
+    hashed = lines.LineHashes(lines.LEAST_WORDS)
+    marks = {x: m for x, m in spark.createDataFrame([(t,) for t in {t for _, t in rows if t is not None}], "t string").select("t", F.xxhash64("t")).collect()}
+    spots = sorted({((d is not None, d), marks[t], n, h, s, lines.normal(t.split("\n")[n])) for d, t in rows if t is not None for n, h, s in next(hashed([t]))}, key=lambda x: x[:3] if x[0][0] else ((False, 0), *x[1:3]))
+    kinds = {h: (s, said) for _, _, _, h, s, said in spots}
+    root = {h: h for h in kinds}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(kinds, 2):
+        if ((kinds[a][0] ^ kinds[b][0]) & (2**64 - 1)).bit_count() <= lines.RADIUS and lines.similar(kinds[a][1], kinds[b][1]):
+            root[find(a)] = find(b)
+    seen, gone = set(), set()
+    for d, m, n, h, _, _ in spots:
+        if find(h) in seen:
+            gone.add((d, m, n))
+        seen.add(find(h))
+    want = []
+    for d, t in rows:
+        if t is None:
+            want.append((d, None, 0, 0))
+            continue
+        said = t.split("\n")
+        left = [x for n, x in enumerate(said) if ((d is not None, d), marks[t], n) not in gone]
+        want.append((d, "\n".join(left), len(said), len(said) - len(left)))
+    assert len(gone) > 40 and any(find(h) != h for h in root)
+    assert got == sorted(want, key=str)
+    assert lines.deduplicated(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("bucket", [2048, 8])
+def test_near_groups_lose_no_pair(spark, bucket):
+    rng = random.Random(2)
+    base, values = rng.getrandbits(64), set()
+    for _ in range(150):
+        v = base
+        for _ in range(rng.randint(0, 4)):
+            v ^= 1 << rng.randrange(64)
+        values.add(v - (v >> 63 << 64))
+    df = spark.createDataFrame([(v,) for v in values], "s long")
+    of = {}
+    for g, s in lines.near_groups(df, bucket=bucket).collect():
+        of.setdefault(s, set()).add(g)
+    for a, b in itertools.combinations(values, 2):
+        if ((a ^ b) & (2**64 - 1)).bit_count() <= lines.RADIUS:
+            assert of.get(a, set()) & of.get(b, set())
+
+
+# ---- 6 SimHash
+
+
+def test_bit_sliced_distances():
+    rng = random.Random(5)
+    values = [rng.getrandbits(8) << rng.choice([0, 30, 56]) for _ in range(200)]
+    free = list(range(64))
+    block = simhash.planes(values, free)
+    for radius in (0, 1, 2, 3, 6):
+        q = rng.choice(values)
+        got = simhash.within(block, free, len(values), q, radius)
+        assert got == sum(1 << i for i, v in enumerate(values) if (v ^ q).bit_count() <= radius)
+
+
+def test_majorities():
+    h = np.random.default_rng(1).integers(0, 2**63, 3000).astype("<u8")
+    starts = np.array([0, 1, 3, 700, 1000])
+    want = []
+    for a, b in zip(starts, [*starts[1:], len(h)], strict=True):
+        bits = [sum(int(x) >> k & 1 for x in h[a:b]) * 2 > b - a for k in range(64)]
+        v = sum(1 << k for k, on in enumerate(bits) if on)
+        want.append(v - (v >> 63 << 64))
+    assert simhash.majorities(h, starts).tolist() == want
+
+
+def test_near_duplicates_against_brute_force(spark):
+    docs = corpus(spark).withColumn("fp", F.lit("clash"))
+    got = simhash.near_duplicates(docs).collect()
+    assert len(got) == docs.count()
+    fps = {r["fp"] for r in got}
+    root = {f: f for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(fps, 2):
+        if ((a ^ b) & (2**64 - 1)).bit_count() <= 2:
+            root[find(a)] = find(b)
+    least = {}
+    for r in got:
+        if r["doc_id"] is not None:
+            least[find(r["fp"])] = min(r["doc_id"], least.get(find(r["fp"]), 10**9))
+    assert all(r["component_id"] == least.get(find(r["fp"])) for r in got)
+    assert {r["fp"] for r in got if r["doc_id"] in (102, 103, 104)} == {0}
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_chains_of_fingerprints_link(spark):
+    df = spark.createDataFrame([((1 << k) - 1,) for k in range(0, 60, 2)], "fp long")
+    assert components(simhash.near_fingerprints(df)).select("label").distinct().count() == 1
+
+
+# ---- 7 mixing
+
+
+def test_targets():
+    assert mixing.targets([100, 100, 100]) == pytest.approx([187.5, 75, 37.5])
+    got = mixing.targets([10, 100, 100])
+    assert got[0] == 30 and sum(got) == pytest.approx(210) and got[1] == pytest.approx(120) and got[2] == pytest.approx(60)
+    assert mixing.targets([0, 0]) == [0, 0] and mixing.targets([]) == []
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 1000])
+def test_permutations(n):
+    x = np.arange(n)
+    y = mixing.permuted(x, n, b"k")
+    assert sorted(y.tolist()) == x.tolist() and mixing.permuted(y, n, b"k", back=True).tolist() == x.tolist()
+
+
+def test_mix(spark):
+    docs = corpus(spark).withColumn("size", F.lit("clash"))
+    once, again = ([tuple(r) for r in mixing.mix_report(docs).orderBy("doc_id", "source", "size").collect()] for _ in range(2))
+    assert once == again and len(once) == docs.count()
+    per = {}
+    for _, source, size, source_size, target, taken in once:
+        assert taken <= 3 * size and source_size >= size
+        per.setdefault(source, [target, 0])[1] += taken
+    assert all(abs(t - n) <= 1 for t, n in per.values())
+    assert mixing.mix_report(docs.limit(0)).count() == 0
+
+
+def test_pieces_fill_the_slots(spark):
+    sized = spark.createDataFrame([(i, "ab"[i % 2], 40 + i) for i in range(30)], "doc_id long, source string, size long")
+    placed, pieces = mixing.mixed(sized, block=32, shard_slots=8)
+    per = pieces.groupBy("shard", "slot").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("n")).collect()
+    assert all(r["n"] <= 32 for r in per) and sum(r["n"] == 32 for r in per) >= len(per) - 6
+    assert placed.count() == 30
+
+
+# ---- 8 decontamination
+
+
+def test_common_subsequence():
+    rng = random.Random(3)
+
+    def plain(a, b):
+        p = [0] * (len(b) + 1)
+        for x in a:
+            c = [0]
+            for j, y in enumerate(b, 1):
+                c.append(p[j - 1] + 1 if x == y else max(p[j], c[-1]))
+            p = c
+        return p[-1]
+
+    for _ in range(500):
+        a, b = ([rng.randrange(5) for _ in range(rng.randint(1, 12))] for _ in range(2))
+        assert decontamination.common_subsequence(a, b) == plain(a, b)
+
+
+def test_leaks(spark):
+    rng = random.Random(8)
+    words = EN.split() + [f"w{i}" for i in range(1500)]
+    say = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [say(rng.randint(15, 59)) for _ in range(30)]
+    rows, want = [], set()
+    for i in range(200):
+        text = say(rng.randint(5, 400))
+        if i % 4 == 0:
+            k = rng.randrange(30)
+            item = list(items[k])
+            if i % 8 == 0:
+                for j in range(0, len(item) - 8, 5):
+                    item[j] = "other"
+            at = rng.randint(0, len(text))
+            text[at:at] = item
+            want.add((i, k))
+        rows.append((i, ("\n" if i % 3 else " ").join(text).upper() if i % 5 else " ".join(text)))
+    docs = spark.createDataFrame([*rows, (300, None), (301, ""), (None, " ".join(items[0])), rows[0]], "doc_id long, text string")
+    bench = spark.createDataFrame([*((i, " ".join(x) + ".") for i, x in enumerate(items)), (90, None), (91, "too short")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, bench).collect()}
+    assert got - {(None, 0)} == want and (None, 0) in got
+    blocks = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, bench, items_at_once=7).collect()}
+    assert blocks == got
+    flat = decontamination.contamination(docs, bench)
+    assert flat.count() == 203 and flat.where("contaminated").count() == len({d for d, _ in got})
+    assert decontamination.leaks(docs.limit(0), bench).count() == 0 and decontamination.leaks(docs, bench.limit(0)).count() == 0
+
+
+# ---- 9 n-grams
+
+
+def test_filter_counts():
+    h = ngrams.mix(np.arange(1, 5001, dtype=np.uint64))
+    counts = np.concatenate([np.arange(1, 2501), np.full(2500, 1)])
+    f = ngrams.LogFrequencyFilter(np.zeros(1 << 14, np.uint64), 1, 2.0)
+    f.add(h, counts)
+    got = f.counts(h)
+    assert (got * 2 >= counts).all()  # one-sided but for the middle of a quantum
+    assert np.mean(got <= 2 * counts) > 0.99
+    assert np.mean(f.counts(ngrams.mix(np.arange(10**6, 10**6 + 5000, dtype=np.uint64))) > 0) < 0.05
+
+
+@pytest.mark.parametrize("head", [1 << 17, 10])
+def test_base_scores(spark, head):
+    docs = corpus(spark).select("doc_id", (language.remainder(by=7) == 2).alias("held_out"), "text").withColumn("c", F.lit("clash"))
+    train = docs.where("not held_out")
+    tokens = lambda t: (t or "").encode().lower().split() + [b""]
+    c = Counter(w for r in train.collect() for w in tokens(r["text"]))
+    n, v = sum(c.values()), len(c)
+    got = ngrams.scored(docs, train, head=head).collect()
+    assert len(got) == docs.count()
+    of = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in got:
+        said = tokens(of[r["doc_id"]])
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(said), sum(c[w] > 0 for w in said), n)
+        assert r["base_score"] == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in said))
+        assert r["score"] <= 0
+    assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
+
+
+def test_scores_without_training(spark):
+    docs = corpus(spark).select("doc_id", F.lit(False).alias("held_out"), "text")
+    assert {r["n_known"] for r in ngrams.scored(docs, docs.limit(0)).collect()} == {0}
+    assert ngrams.scored(docs.limit(0), docs.limit(0)).count() == 0
+
+
+# ---- 10 licences
+
+
+def test_licences(spark):
+    mit = (
+        "// Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal\n// in the Software without restriction, including without limitation the rights\n// to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\n// copies of the Software, and to permit persons to whom the Software is\n// furnished to do so, subject to the following conditions:\n\n"
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
+    )
+    cases = [(mit, ["MIT"]), ("Fine. Licensed under the Apache License, Version 2.0. More", ["Apache-2.0"]), ("a\nReleased under the MIT License.\nThis work is licensed under the GNU General Public License, version 3.", ["MIT", "GPL-3.0-only"]), ("the license of poets", []), ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]), (None, []), ("", []), ("SPDX-License-Identifier: MIT", ["MIT"]), (". ".join(reversed([licenses.SENTENCES[k] for k in ("bsd-grant", "bsd-source", "bsd-binary")])) + ".", [])]
+    cases += [(". ".join(licenses.SENTENCES[k] for k in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")) + ".", ["BSD-3-Clause"]), (". ".join(licenses.SENTENCES[k] for k in ("bsd-grant", "bsd-source", "bsd-binary")) + ".", ["BSD-2-Clause"])]
+    df = spark.createDataFrame([(i, t, "clash") for i, (t, _) in enumerate(cases)], "doc_id long, text string, matches string")
+    got = {r["doc_id"]: [m["licence"] for m in r["matches"]] for r in licenses.scanned(df).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+    assert licenses.scanned(df.limit(0)).count() == 0
