@@ -115,7 +115,7 @@ class LineHashes:
     A line's features are its distinct words, so that frequent ones don't make all lines of a language alike.
     """
 
-    def __init__(self, least_words: int, most: int = 1 << 19) -> None:
+    def __init__(self, least_words: int, most: int = 1 << 17) -> None:
         self.least, self.most, self.held = least_words, most, WordNumbers()
 
     def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, int, int]]]:
