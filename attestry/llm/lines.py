@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from attestry.llm.common import forget, grouped, map_rows, pack, partitions, table, written
 from attestry.llm.components import components
-from attestry.llm.quality import let
 from attestry.llm.simhash import majorities, masks
 
 #: Lines with fewer words are left alone: headings and the like may repeat.
@@ -378,10 +377,22 @@ def deduplicated(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMI
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     gone = repeated_lines(docs.select("doc_id", "text"), radius, similarity, least_words).select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"), F.col("gone").alias("__gone"))
     rows = docs.select(*names).join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__mark")), "left").select(*names, "__gone")
-    n = F.char_length("text") - F.char_length(F.translate("text", "\n", "")) + 1
-    left = lambda said: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(said) - 1), F.col("__gone")), lambda i: F.get(said, i)), "\n")
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(let(F.split("text", "\n"), left))
-    return rows.withColumns({"n_lines": F.coalesce(n, F.lit(0)).cast("long"), "n_removed": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"), "text": text}).select(*names, "n_lines", "n_removed")
+    at = names.index("text")
+
+    def run(found):
+        for row in found:
+            text, numbers = row[at], row[-1]
+            if text is None:
+                yield (*row[:-1], 0, 0)
+                continue
+            if not numbers:
+                yield (*row[:-1], text.count("\n") + 1, 0)
+                continue
+            drop, said = set(numbers), text.split("\n")
+            left = "\n".join(x for i, x in enumerate(said) if i not in drop)
+            yield (*row[:at], left, *row[at + 1 : -1], len(said), len(drop))
+
+    return map_rows(rows, run, rows.drop("__gone").withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
