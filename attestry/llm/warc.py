@@ -73,7 +73,7 @@ def write_warc(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None:
     response = _record([*base("response", me), http, digest], F.concat(head, F.col("payload")))
     asked = _record([*base("request", request), ("Content-Type", "application/http; msgtype=request"), ("WARC-Concurrent-To", me)], F.concat(F.lit("GET "), uri, F.lit(f" HTTP/1.1{CRLF * 2}")))
     number = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    noted = _record([*base("metadata", meta), ("Content-Type", "application/warc-fields"), ("WARC-Concurrent-To", request)], F.concat(F.lit("page-id: "), number, F.lit(CRLF)))
+    noted = _record([*base("metadata", meta), ("Content-Type", "application/warc-fields"), ("WARC-Concurrent-To", me)], F.concat(F.lit("page-id: "), number, F.lit(CRLF)))
     records = rows.select(F.concat_ws(CRLF * 2, asked, F.when(F.col("original").isNull(), response).otherwise(revisit), noted).alias("value"))
     records.write.option("lineSep", CRLF * 2).option("compression", "gzip").text(path)
 
@@ -117,7 +117,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     return map_rows(files, run, RECORD)
 
 
-def transactions(records: DataFrame) -> DataFrame:
+def transactions(records: DataFrame, hops: int = HOPS) -> DataFrame:
     """Records -> one nested row per capture: capture_id, main (response or revisit), request, metadata.
 
     A record belongs to the capture whose main record it reaches over WARC-Concurrent-To; one that reaches none is a capture
@@ -126,7 +126,7 @@ def transactions(records: DataFrame) -> DataFrame:
     name = F.col("record_id")
     links = records.where("concurrent_to is not null").select(F.col("record_id").alias("l_id"), F.col("concurrent_to").alias("l_to")).groupBy("l_id").agg(F.min("l_to").alias("l_to"))
     rows = records.withColumn("root", F.coalesce("concurrent_to", name))
-    for _ in range(HOPS - 1):
+    for _ in range(hops - 1):
         rows = rows.join(links, F.col("root") == F.col("l_id"), "left").withColumn("root", F.coalesce("l_to", "root")).drop("l_id", "l_to")
     whole = F.struct(*records.columns)
     of = lambda *kinds: F.min(F.when(F.col("type").isin(*kinds), whole))
@@ -154,7 +154,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{workdir(spark)}/attestry-{uuid.uuid4().hex}/warc"
     write_warc(table(spark, sf_dir, "pages"), path)
     page = lambda notes: F.nullif(F.regexp_extract(F.col(notes)[0].payload.cast("string"), r"page-id: (.*)\r\n", 1), F.lit("")).cast("long")
-    rows = revisited(transactions(read_warc(spark, path, payloads=False)))
+    rows = revisited(transactions(read_warc(spark, path, payloads=False).drop("target_uri"), hops=1))  # write_warc() names the response itself
     return rows.select(page("metadata").alias("page_id"), "payload_bytes", "payload_digest", F.col("main.type").alias("record_type"), page("h_metadata").alias("refers_to"))
 
 
