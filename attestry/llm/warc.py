@@ -16,13 +16,15 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from attestry.llm.common import map_rows, table, workdir
+from attestry.llm.common import map_rows, table, workdir, written
 
 #: Payloads below this many bytes are always written in full.
 LEAST_BYTES = 1000
 CRLF = "\r\n"
 DATE = "1970-01-01T00:00:00Z"
 RECORD = "record_id string, type string, concurrent_to string, refers_to string, target_uri string, payload_bytes long, payload_digest string, declared_digest string, payload binary"
+#: Revisits up to which they are broadcast (some 32 MB), and beyond which they are joined.
+BROADCAST_ROWS = 1 << 17
 #: Longest chain of WARC-Concurrent-To that is followed, from metadata by request to response.
 HOPS = 2
 
@@ -52,8 +54,11 @@ def captures(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     narrow = rows.where(F.col("bytes") >= least).select("page_id", "url", "bytes", "digest")
     kept = narrow.groupBy(F.col("digest").alias("k_digest"), F.col("bytes").alias("k_bytes")).agg(F.max(F.struct("page_id", "url")).alias("original"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = narrow.join(kept, (F.col("digest") == F.col("k_digest")) & (F.col("bytes") == F.col("k_bytes"))).where(~F.struct("page_id", "url").eqNullSafe(F.col("original")))
-    again = again.select(F.col("page_id").alias("r_page"), F.col("url").alias("r_url"), F.col("digest").alias("r_digest"), "original").distinct()
-    whole = rows.join(again, F.col("page_id").eqNullSafe(F.col("r_page")) & (F.col("url") == F.col("r_url")) & (F.col("digest") == F.col("r_digest")), "left").drop("r_page", "r_url", "r_digest")
+    again = written(again.select(F.col("page_id").alias("r_page"), F.col("url").alias("r_url"), F.col("digest").alias("r_digest"), "original").distinct(), "revisits")
+    few = again.count() <= BROADCAST_ROWS
+    whole = rows.join(F.broadcast(again) if few else again, F.col("page_id").eqNullSafe(F.col("r_page")) & (F.col("url") == F.col("r_url")) & (F.col("digest") == F.col("r_digest")), "left").drop("r_page", "r_url", "r_digest")
+    if few and not rows.groupBy("page_id", "url", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").head(1):
+        return whole.withColumn("copy", F.lit(1))  # no row repeats, so that payloads need not be brought together
     whole = whole.withColumn("copy", F.row_number().over(Window.partitionBy("page_id", "url", "digest").orderBy("bytes")))
     return whole.withColumn("original", F.coalesce("original", F.when((F.col("copy") > 1) & (F.col("bytes") >= least), F.struct("page_id", "url"))))
 
