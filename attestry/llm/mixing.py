@@ -10,6 +10,7 @@ indices with a key for each source and epoch: a source is used up before it repe
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,18 +49,38 @@ def targets(sizes: list[int], weights: tuple[float, ...] = WEIGHTS, most: float
     return out
 
 
-def draw(quota: list[int], shard_slots: int, seed: int) -> list[np.ndarray]:
-    """Counts of each source for each shard: multinomial in what is left of the quotas, whose sums they meet exactly."""
-    left, rng, out = np.array(quota, dtype=np.int64), np.random.default_rng(seed), []
-    while (rest := int(left.sum())) > 0:
-        n = min(shard_slots, rest)
-        counts = np.minimum(rng.multinomial(n, left / rest), left)
-        while (lack := n - int(counts.sum())) > 0:
-            room = left - counts
-            counts = np.minimum(counts + rng.multinomial(lack, room / room.sum()), left)
-        out.append(counts)
-        left -= counts
-    return out
+def taken(left: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """Counts of n slots drawn multinomially in what is left, none above what is left of it."""
+    counts = np.minimum(rng.multinomial(n, left / left.sum()), left)
+    while (lack := n - int(counts.sum())) > 0:
+        room = left - counts
+        counts = np.minimum(counts + rng.multinomial(lack, room / room.sum()), left)
+    return counts
+
+
+def shards_of(quota: np.ndarray, shard_slots: int) -> int:
+    return -(-int(quota.sum()) // shard_slots)
+
+
+def draw(quota: np.ndarray, shard_slots: int, seed: int, low: int = 0, high: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(shard, slots of each source in the shards before it, its own counts) for the shards from low to high; together they meet the quotas.
+
+    The shards' range is halved down to single shards. What the first half gets is drawn multinomially, with the halves' bounds
+    as seed, and the rest goes to the second, so that any task finds the counts of its shards without those of all others.
+    """
+    shards = shards_of(quota, shard_slots)
+    high = shards if high is None else high
+    open_ = [(0, shards, np.asarray(quota, dtype=np.int64), np.zeros(len(quota), dtype=np.int64))]
+    while open_:
+        first, end, left, before = open_.pop()
+        if first >= end or end <= low or first >= high:
+            continue
+        if end - first == 1:
+            yield first, before, left
+            continue
+        middle = (first + end) // 2
+        half = taken(left, (middle - first) * shard_slots, np.random.default_rng([seed, first, end]))
+        open_ += [(middle, end, left - half, before + half), (first, middle, half, before)]
 
 
 def permuted(index: np.ndarray, n: int, key: bytes, back: bool = False) -> np.ndarray:
@@ -149,33 +170,31 @@ def mixed(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, block: int = B
     rows = packed(sized).join(F.broadcast(names), F.col("source").eqNullSafe(F.col("b_source"))).drop("b_source")  # at most MAX_SOURCES rows
     placed = written(rows.withColumn("row_id", F.monotonically_increasing_id()), "placed")
 
-    counts = draw([p["slots"] for p in plans], shard_slots, seed)
-    firsts, runs = np.zeros(len(plans), dtype=np.int64), []
-    for shard, drawn in enumerate(counts):
-        slot = 0
-        for i in np.flatnonzero(drawn):
-            runs.append((shard, int(i), slot, int(firsts[i]), int(drawn[i])))
-            slot += int(drawn[i])
-        firsts += drawn
+    quota = np.array([p["slots"] for p in plans], dtype=np.int64)
+    shards = shards_of(quota, shard_slots)
     info = [(p["blocks"], p["slots"], p["last"], n) for p, (_, _, n, _) in zip(plans, listed, strict=True)]
 
     def slots(batches):
         for batch in batches:
-            for shard, i, slot, first, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                blocks, total, last, size = info[i]
-                j = np.arange(first, first + n)
-                epoch, inner = j // blocks, j % blocks
-                index = np.empty(n, dtype=np.int64)
-                for e in np.unique(epoch):
-                    index[epoch == e] = permuted(inner[epoch == e], blocks, f"{seed}/{i}/{e}".encode())
-                words = np.minimum(block, size - index * block)
-                if last is not None:
-                    words[j == total - 1] = last
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, shard, np.int32)), pa.array(slot + np.arange(n, dtype=np.int32)), pa.array(np.full(n, i, np.int32)), pa.array(index), pa.array(words)], names=["shard", "slot", "number", "block", "words"])
-
-    drawn = spark.createDataFrame(runs, "shard int, number int, slot int, first long, n long") if runs else spark.createDataFrame([], "shard int, number int, slot int, first long, n long")
-    spread = max(1, min(len(runs), 8 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
-    drawn = drawn.repartition(spread).select("shard", "number", "slot", "first", "n").mapInArrow(slots, "shard int, slot int, number int, block long, words long")
+            numbers = batch.column(0).to_pylist()  # of a range, so that they follow each other
+            for shard, before, counts in draw(quota, shard_slots, seed, numbers[0], numbers[-1] + 1) if numbers else ():
+                slot = 0
+                for i in np.flatnonzero(counts).tolist():
+                    n, first = int(counts[i]), int(before[i])
+                    blocks, total, last, size = info[i]
+                    j = np.arange(first, first + n)
+                    epoch, inner = j // blocks, j % blocks
+                    index = np.empty(n, dtype=np.int64)
+                    for e in np.unique(epoch):
+                        index[epoch == e] = permuted(inner[epoch == e], blocks, f"{seed}/{i}/{e}".encode())
+                    words = np.minimum(block, size - index * block)
+                    if last is not None:
+                        words[j == total - 1] = last
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, shard, np.int32)), pa.array(slot + np.arange(n, dtype=np.int32)), pa.array(np.full(n, i, np.int32)), pa.array(index), pa.array(words)], names=["shard", "slot", "number", "block", "words"])
+                    slot += n
+
+    spread = max(1, min(shards, 8 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+    drawn = spark.range(0, shards, 1, spread).mapInArrow(slots, "shard int, slot int, number int, block long, words long")
     lie = placed.where("size > 0").select("row_id", "doc_id", "number", "size", "start", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
     low = F.greatest(F.col("start"), F.col("block") * block)
     high = F.least(F.col("start") + F.col("size"), F.col("block") * block + F.col("words"))

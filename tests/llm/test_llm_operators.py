@@ -325,6 +325,22 @@ def test_permutations(n):
     assert sorted(y.tolist()) == x.tolist() and mixing.permuted(y, n, b"k", back=True).tolist() == x.tolist()
 
 
+@pytest.mark.parametrize("quota", [[5, 0, 1], [1000, 3, 250, 17], [1], []])
+def test_shards_are_drawn_exactly_and_alike_in_parts(quota):
+    quota = np.array(quota, dtype=np.int64)
+    every = list(mixing.draw(quota, 8, 3))
+    assert [s for s, _, _ in every] == list(range(mixing.shards_of(quota, 8)))
+    before = np.zeros_like(quota)
+    for shard, first, counts in every:
+        assert first.tolist() == before.tolist() and (counts >= 0).all()
+        assert counts.sum() == min(8, quota.sum() - 8 * shard)
+        before = before + counts
+    assert before.tolist() == quota.tolist()
+    for low in range(0, len(every), 3):
+        part = list(mixing.draw(quota, 8, 3, low, low + 3))
+        assert [(s, f.tolist(), c.tolist()) for s, f, c in part] == [(s, f.tolist(), c.tolist()) for s, f, c in every[low : low + 3]]
+
+
 def test_mix(spark):
     docs = corpus(spark).withColumn("size", F.lit("clash"))
     once, again = ([tuple(r) for r in mixing.mix_report(docs).orderBy("doc_id", "source", "size").collect()] for _ in range(2))
