@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm.common import forget, map_rows, partitions, table, written
+from attestry.llm.common import batches_of, forget, map_rows, partitions, table, written
 from attestry.llm.language import remainder
 
 #: Bounds of the filter: bits for an entry that it aims at, and bits at most (64 MB).
@@ -32,6 +32,8 @@ BASE = 2.0
 PRIOR = 8.0
 #: Tokens with the highest counts, which are sent to the workers with their exact counts; the others are joined.
 HEAD = 1 << 17
+#: Bytes of text, or of counts, that come to Python at once.
+BATCH_BYTES = 4 << 20
 #: Tokens that a task counts before it passes its counts on.
 FLUSH = 1 << 18
 END = b""
@@ -301,11 +303,13 @@ def scored(docs: DataFrame, training: DataFrame, order: int = 2, base: float = B
     which its error grows; no n-gram is left out of it.
     """
     spark = docs.sparkSession
-    counts = written(word_counts(training), "counts")
+    with batches_of(spark, BATCH_BYTES):
+        counts = written(word_counts(training), "counts")
     total, vocabulary = (int(x or 0) for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
     top = [(bytes(r["token"]), r["c"]) for r in counts.orderBy(F.desc("c"), "token").limit(head).collect()]
     rows = gram_counts(training, order, [w for w, _ in top]).unionByName(word_hashes(counts))
-    model = built(rows, vocabulary + (order - 1) * total, base, entry_bits, most_bits)
+    with batches_of(spark, BATCH_BYTES):
+        model = built(rows, vocabulary + (order - 1) * total, base, entry_bits, most_bits)
     shared = spark.sparkContext.broadcast((top, model.words, model.segments))  # head entries and most_bits bits at most
     complete = vocabulary <= head
     add = math.log10(total + vocabulary + 1)
@@ -352,7 +356,8 @@ def scored(docs: DataFrame, training: DataFrame, order: int = 2, base: float = B
 
     schema = f"doc_id {kinds['doc_id']}, held_out boolean, n_tokens long, known long, sure double, score double, rest array<struct<token:binary,n:long>>"
     rows = map_rows(docs.select("doc_id", "held_out", "text"), run, schema, binary=("text",)).withColumn("row_id", F.monotonically_increasing_id())
-    rows = written(rows, "scored")
+    with batches_of(spark, BATCH_BYTES):
+        rows = written(rows, "scored")
     tail = rows.select("row_id", F.explode("rest").alias("x")).select("row_id", "x.token", "x.n").join(counts, "token")
     tail = tail.groupBy("row_id").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("gain"))
     return rows.drop("rest").join(tail, "row_id", "left").select(
