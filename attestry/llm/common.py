@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -16,6 +15,9 @@ from pyspark.sql import types as T
 OUT_ROWS = 4096
 #: Bytes of text after which it hands them back early.
 OUT_BYTES = 4 << 20
+#: Bytes of rows that Python gets at once.
+BATCH_BYTES = 4 << 20
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +40,7 @@ def workdir(spark: SparkSession) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read again: its lineage ends there, and a lost executor costs no recomputation."""
+    bound_batches(df.sparkSession)
     path = f"{workdir(df.sparkSession)}/attestry-{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -54,16 +57,10 @@ def forget(*frames: DataFrame | None) -> None:
             where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
-@contextlib.contextmanager
-def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
-    """What runs inside hands batches of about `size` bytes to Python; by default long texts come 10,000 at a time."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(size))
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+def bound_batches(spark: SparkSession) -> None:
+    """Rows come to Python by BATCH_BYTES unless the session says otherwise; by default they come 10,000 at a time, however long."""
+    if spark.conf.get(BATCH_KEY, None) is None:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
 
 
 def partitions(spark: SparkSession) -> int:
@@ -99,7 +96,9 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[tuple]], sch
                 held, size = [], 0
         if held:
             yield pack(held, arrow)
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
+    bound_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
