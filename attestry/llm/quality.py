@@ -118,3 +118,35 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.col("quality")
     base = (q["n_words"] < 10) | (100 * q["n_repeat_words"] > 20 * q["n_words"])
     return rows.select("doc_id", *(q[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), base.alias("base_failed"), (~base & (F.size("failed") == 0)).alias("kept"))
+
+
+def oracle(rules=RULES, stop_words: Sequence[str] = STOP_WORDS) -> str:
+    """DuckDB SQL for op2_quality_rules, from the same table of thresholds."""
+    tests = []
+    for _, over, under, low, high in rules:
+        ratio = over if under is None else f"case when {under} > 0 then {over} / {under} else 0 end"
+        tests += [f"({ratio}) >= {low}"] if low is not None else []
+        tests += [f"({ratio}) <= {high}"] if high is not None else []
+    listed = ", ".join(f"'{w}'" for w in dict.fromkeys(stop_words))
+    return f"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+s as (select *, translate(t, chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     ') as spaced from d),
+w as (select *, list_filter(string_split(spaced, ' '), lambda x: x <> '') as words,
+  list_filter(string_split(t, chr(10)), lambda x: translate(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13), '') <> '') as lines from s),
+spots as (select r, unnest(range(1, len(words) - {WINDOW - 2})) as i, words from w where len(words) >= {WINDOW}),
+windows as (select r, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') as said from spots),
+twice as (select r, i from windows qualify count(*) over (partition by r, said) > 1),
+covered as (select r, count(distinct i + k) as n from twice, range(0, {WINDOW}) as x(k) group by r),
+q as (select doc_id, len(words) as n_words, len(replace(spaced, ' ', '')) as word_chars, len(t) - len(translate(t, '{SYMBOLS}', '')) as n_symbols,
+  len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(covered.n, 0) as n_repeat_words,
+  len(list_filter(string_split(translate(lower(spaced), '.,;:!?"' || chr(39) || '()', '          '), ' '), lambda x: x in ({listed}))) as n_stop_words,
+  coalesce(list_max(list_transform(words, lambda x: len(x))), 0) as longest_word
+  from w left join covered using (r)),
+b as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from q)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
+  cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words, base_failed, not base_failed and {" and ".join(tests)} as kept
+from b
+"""
+
+
+ORACLE = oracle()

@@ -17,5 +17,7 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
+    "op1_chat_formatting": chat.ORACLE,
+    "op2_quality_rules": quality.ORACLE,
     "op4_warc": warc.ORACLE,
 }
