@@ -1,7 +1,8 @@
 """Fuzzy line deduplication over a corpus.
 
-Lines are normalised and hashed where they lie; only hashes and SimHashes are shuffled. SimHashes within the radius of each
-other agree on two of five blocks, which makes ten tables to join on. The lines of each group
+Lines are normalised and hashed where they lie; only hashes and sketches are shuffled. Candidates come from two kinds of tables:
+lines that share word triples agree on some of 16 min-hashes of them, and SimHashes within three bits of each other agree on two
+of five blocks, which makes ten tables. Candidates whose SimHashes are too far apart part again. The lines of each group
 that this finds are fetched and compared by edit similarity, skipping pairs that are already connected, so that a group of m
 alike lines costs about m comparisons and gives m - 1 links. Of each connected group of lines the first occurrence stays.
 """
@@ -22,8 +23,18 @@ from attestry.llm.simhash import majorities, masks
 
 #: Lines with fewer words are left alone: headings and the like may repeat.
 LEAST_WORDS = 5
-RADIUS = 3
-BLOCKS = 5
+#: Lines with fewer words and fewer characters are compared for equality alone, as one edit can change what they say.
+FUZZY_WORDS = 5
+FUZZY_CHARS = 20
+#: Lines whose SimHashes differ in more bits aren't compared (unrelated ones differ in some 27, those of similarity 0.8 in some 13).
+RADIUS = 22
+#: Beyond so many bits two min-hashes must agree, as one triple of words in common says little.
+SURE = 16
+#: Min-hashes of a line, and the radius within which SimHashes are found whatever min-hashes they have.
+TABLES = 16
+#: Triples of words with fewer bytes in all, such as those of articles, are many lines' own; they count where a line has no others.
+LONG = 12
+CLOSE = 3
 SIMILARITY = 0.8
 #: Distinct SimHashes that are compared in one go; a larger bucket is dealt out in pairs of parts.
 BUCKET = 2048
@@ -31,6 +42,8 @@ BUCKET = 2048
 PAIRS = 32
 #: Lines to verify up to which their places are broadcast (at most 16 MB), and beyond which they are joined.
 BROADCAST_LINES = 1 << 18
+#: An odd multiplier for each table of min-hashes.
+_ODD = [np.uint64(int.from_bytes(xxhash.xxh64_digest(bytes([k]), 3)) | 1) for k in range(TABLES)]
 #: Bytes of words and line ends stay, all others become spaces.
 _PLAIN = bytes(c if c >= 128 or c == 10 or bytes([c]).isalnum() else 32 for c in range(256))
 
@@ -95,61 +108,108 @@ def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
 
 
 class WordNumbers(dict):
-    """Numbers of words in the order in which they come, and their hashes: small numbers make arrays sooner."""
+    """Numbers of words in the order in which they come, and their hashes and bytes: small numbers make arrays sooner."""
 
     def __init__(self) -> None:
-        self.hashes = np.zeros(1 << 16, dtype="<u8")
+        self.hashes, self.sizes = np.zeros(1 << 16, dtype="<u8"), np.zeros(1 << 16, dtype=np.int64)
 
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self)
         if n == len(self.hashes):
-            self.hashes = np.concatenate([self.hashes, np.zeros(n, dtype="<u8")])
-        self.hashes[n] = xxhash.xxh64_intdigest(word, 7)
+            self.hashes, self.sizes = (np.concatenate([x, np.zeros(n, dtype=x.dtype)]) for x in (self.hashes, self.sizes))
+        self.hashes[n], self.sizes[n] = xxhash.xxh64_intdigest(word, 7), len(word)
         return n
 
 
+def min_hashes(tokens: np.ndarray, lengths: np.ndarray, starts: np.ndarray, tables: int = TABLES) -> np.ndarray:
+    """For each run of token hashes, beginning at starts, the low halves of the least hashes of its triples, a column a table.
+
+    Triples go on from the end of a run to its beginning, so that each token is in three.
+    """
+    sizes = np.diff([*starts, len(tokens)])
+    first, size = np.repeat(starts, sizes), np.repeat(sizes, sizes)
+    at = np.arange(len(tokens)) - first
+    triples, length = tokens, lengths
+    for k in (1, 2):
+        there = first + (at + k) % size
+        triples, length = triples * np.uint64(0x9E3779B97F4A7C15) + tokens[there], length + lengths[there]
+        triples = (triples ^ (triples >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        triples ^= triples >> np.uint64(29)
+    last = np.where(length < LONG, np.uint64(0xFF << 56), np.uint64(0))
+    out = np.empty((len(starts), tables), dtype="<u4")
+    for k, odd in enumerate(_ODD[:tables]):
+        x = triples * odd
+        out[:, k] = np.minimum.reduceat((x ^ (x >> np.uint64(32))) | last, starts).astype("<u4")
+    return out
+
+
 class LineHashes:
     """Per text the number, hash and SimHash of each line; words' hashes are remembered up to a bound.
 
-    A line's features are its distinct words, so that frequent ones don't make all lines of a language alike.
+    A line's features are its distinct words, so that frequent ones don't make all lines of a language alike. Lines of few words
+    have pairs of characters instead, which parts unspaced scripts too. The SimHash of a line too short for FUZZY_WORDS and
+    FUZZY_CHARS is 0.
     """
 
     def __init__(self, least_words: int, most: int = 1 << 17) -> None:
         self.least, self.most, self.held = least_words, most, WordNumbers()
 
     def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, int, int]]]:
+        for found in self.sketched(texts):
+            yield [x[:3] for x in found]
+
+    def sketched(self, texts: list[str]) -> Iterator[list[tuple[int, int, int, bytes | None]]]:
+        """With the min-hashes of the line's word triples, or of windows of characters in lines of few words; None for short lines."""
         if len(self.held) > self.most:
             self.held = WordNumbers()
         of, digest = self.held.__getitem__, xxhash.xxh3_64_intdigest
-        numbers, keys, hashes, starts, ends = [], [], [], [], []
+        numbers, keys, long, hashes, starts, tokens, firsts, ends = [], [], [], [], [], [], [], []
         for text in texts:
             for number, line in enumerate(text.lower().encode().translate(_PLAIN).split(b"\n")):
                 words = line.split()
-                if len(words) >= self.least:
-                    numbers.append(number)
-                    keys.append(digest(b" ".join(words)))
+                if len(words) < self.least or not words:
+                    continue
+                whole = b" ".join(words)
+                if len(words) >= FUZZY_WORDS:
+                    told = list(map(of, words))
+                    features = set(told)
+                elif len(whole) >= FUZZY_CHARS and len(said := whole.decode()) >= FUZZY_CHARS:
+                    width = 2 if 2 * sum(c > "\x7f" for c in said) > len(said) else 6
+                    told = [of(said[i : i + width].encode()) for i in range(len(said) - width + 1)]
+                    features = {of(said[i : i + 2].encode()) for i in range(len(said) - 1)}
+                else:
+                    told = features = ()
+                if told:
+                    long.append(len(numbers))
                     starts.append(len(hashes))
-                    hashes.extend(map(of, set(words)))
+                    hashes.extend(features)
+                    firsts.append(len(tokens))
+                    tokens.extend(told)
+                numbers.append(number)
+                keys.append(digest(whole))
             ends.append(len(numbers))
-        if numbers:
-            sims = majorities(self.held.hashes[np.array(hashes, dtype=np.int64)], np.array(starts)).tolist()
-            found = list(zip(numbers, np.array(keys, dtype=np.uint64).view(np.int64).tolist(), sims, strict=True))
-        else:
-            found = []
+        sims, mins = [0] * len(numbers), [None] * len(numbers)
+        if long:
+            found = majorities(self.held.hashes[np.array(hashes, dtype=np.int64)], np.array(starts)).tolist()
+            of_words = np.array(tokens, dtype=np.int64)
+            least = min_hashes(self.held.hashes[of_words], self.held.sizes[of_words], np.array(firsts))
+            for i, s, m in zip(long, found, least, strict=True):
+                sims[i], mins[i] = s, m.tobytes()
+        rows = list(zip(numbers, np.array(keys, dtype=np.uint64).view(np.int64).tolist(), sims, mins, strict=True))
         for a, b in zip([0, *ends[:-1]], ends, strict=True):
-            yield found[a:b]
+            yield rows[a:b]
 
 
 def occurrences(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """docs (doc_id, text) -> (doc_id, mark, line, h, s): mark is a hash of the text, line counts from 0."""
+    """docs (doc_id, text) -> (doc_id, mark, line, h, s, mins): mark is a hash of the text, line counts from 0."""
 
     def run(rows):
         hashed, waiting, size = LineHashes(least_words), [], 0
 
         def out():
-            for (doc_id, mark, _), found in zip(waiting, hashed([w[2] for w in waiting]), strict=True):
-                for line, h, s in found:
-                    yield doc_id, mark, line, h, s
+            for (doc_id, mark, _), found in zip(waiting, hashed.sketched([w[2] for w in waiting]), strict=True):
+                for line, h, s, mins in found:
+                    yield doc_id, mark, line, h, s, mins
             waiting.clear()
 
         for row in rows:
@@ -162,7 +222,7 @@ def occurrences(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
             yield from out()
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_rows(docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), "text"), run, f"doc_id {kind}, mark long, line int, h long, s long")
+    return map_rows(docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), "text"), run, f"doc_id {kind}, mark long, line int, h long, s long, mins binary")
 
 
 def near_pairs(values: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -270,16 +330,26 @@ def _bucket_groups(radius: int, most: int | None):
     return run
 
 
-def near_groups(sims: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, bucket: int = BUCKET) -> DataFrame:
+def near_groups(sims: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
     """sims (s long, distinct) -> (g, s): groups in which any two SimHashes within the radius are found together.
 
     A bucket is named by one hash of its table and of the blocks that agree; should two share a name, their SimHashes are still
     compared. Buckets of more than `bucket` SimHashes are dealt into parts by hash, and each pair of parts is a group of its own.
     """
-    n = partitions(sims.sparkSession)
+    names = F.array(*(F.xxhash64(F.lit(i), F.col("s").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(radius + 2, radius))))
+    return bucket_groups(sims.select(F.explode(names).alias("key"), "s"), radius, bucket)
+
+
+def alike_groups(lines: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """lines (s long, mins binary) -> (g, s): groups of SimHashes within the radius of lines that agree on a min-hash."""
+    names = F.array(*(F.xxhash64(F.lit(-1 - k), F.substring("mins", 4 * k + 1, 4)) for k in range(TABLES)))
+    return bucket_groups(lines.select(F.explode(names).alias("key"), "s"), radius, bucket)
+
+
+def bucket_groups(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
+    """rows (key, s) -> (g, s): groups of the SimHashes of a key in which any two within the radius are found together."""
+    n = partitions(rows.sparkSession)
     schema = "hot boolean, key long, g long, s long"
-    names = F.array(*(F.xxhash64(F.lit(i), F.col("s").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(blocks, radius))))
-    rows = sims.select(F.explode(names).alias("key"), "s")
     sorted_ = rows.repartition(n, "key").sortWithinPartitions("key")
     found = written(sorted_.mapInArrow(_bucket_groups(radius, bucket), schema), "groups")
     out = found.where("not hot").select("g", "s")
@@ -297,14 +367,16 @@ def near_groups(sims: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, buc
 def line_groups(docs: DataFrame, seen: DataFrame, lines: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
     """(h, s, label): lines linked to others, and the smallest hash that they reach.
 
-    Lines link if their SimHashes are within the radius and their edit similarity suffices.
+    Lines link if their edit similarity suffices and their SimHashes are within the radius; of these all are found that agree on
+    a min-hash or are within CLOSE.
     """
     spark = docs.sparkSession
     n = partitions(spark)
+    lines = lines.where("mins is not null")
     sims = written(lines.groupBy("s").agg(F.count(F.lit(1)).alias("n")), "sims")
     alike = sims.where("n > 1").select(F.col("s").alias("g"), "s")
-    groups = written(near_groups(sims.select("s"), radius).unionByName(alike), "near")
-    of = written(groups.join(lines.select("s", "h"), "s").select("g", "h", "s"), "members")
+    groups = written(near_groups(sims.select("s"), min(radius, CLOSE)).unionByName(alike_groups(lines.select("s", "mins"), radius)).unionByName(alike).distinct(), "near")
+    of = written(groups.join(lines.select("s", "h", "mins"), "s").select("g", "h", "s", "mins"), "members")
     places = of.select("h").distinct()
     few = of.agg(F.count(F.lit(1))).first()[0] <= BROADCAST_LINES
     if few:
@@ -324,26 +396,28 @@ def line_groups(docs: DataFrame, seen: DataFrame, lines: DataFrame, radius: int
                 yield place["h"], normal(said[place["line"]])
 
     texts = written(map_rows(here, fetch, "h long, said string").dropDuplicates(["h"]), "texts")
-    pairs = of.select("g", "h").join(texts, "h").repartition(n, "g").sortWithinPartitions("g", "h").select("g", "h", "said")
+    pairs = of.join(texts, "h").repartition(n, "g").sortWithinPartitions("g", "h").select("g", "h", "s", "mins", "said")
+    bits = (1 << 64) - 1
 
     def verify(rows):
         for _, members in grouped(rows, 1):
-            clusters: list[list[tuple[int, str]]] = []
-            for _, h, said in members:
-                mine = None
+            clusters: list[list[tuple[int, int, np.ndarray, str]]] = []
+            for _, h, s, mins, said in members:
+                mine, mins = None, np.frombuffer(mins, "<u4")
                 for cluster in clusters:
-                    for other, text in cluster:
-                        if similar(said, text, similarity):
+                    for other, t, least, text in cluster:
+                        apart = ((s ^ t) & bits).bit_count()
+                        if apart <= radius and (apart <= SURE or np.count_nonzero(mins == least) > 1) and similar(said, text, similarity):
                             yield h, other
                             if mine is None:
                                 mine = cluster
-                                cluster.append((h, said))
+                                cluster.append((h, s, mins, said))
                             else:
                                 mine += cluster
                                 cluster.clear()
                             break
                 if mine is None:
-                    clusters.append([(h, said)])
+                    clusters.append([(h, s, mins, said)])
                 elif not all(clusters):
                     clusters = [c for c in clusters if c]
 
@@ -356,7 +430,7 @@ def line_groups(docs: DataFrame, seen: DataFrame, lines: DataFrame, radius: int
 def repeated_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
     """docs (doc_id, text) -> (doc_id, mark, gone): the numbers of the lines to remove from the text with that hash."""
     seen = written(occurrences(docs, least_words), "seen")
-    lines = written(seen.groupBy("h", "s").agg(F.count(F.lit(1)).alias("n")), "lines")
+    lines = written(seen.groupBy("h", "s").agg(F.count(F.lit(1)).alias("n"), F.first("mins").alias("mins")), "lines")
     linked = line_groups(docs, seen, lines, radius, similarity)
     exact = lines.where("n > 1").join(linked, ["h", "s"], "left_anti").select("h", "s", F.col("h").alias("label"))
     rule = linked.select("h", "s", "label", F.lit(None).cast("long").alias("own")).unionByName(exact.withColumn("own", F.col("s")))
@@ -370,8 +444,9 @@ def deduplicated(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMI
     """docs (doc_id, text, ...) with text without the lines that repeat, and n_lines and n_removed.
 
     Lines are parted by U+000A. A line of at least least_words words stays only at the first place of its connected group, by
-    doc_id (null first), hash of the text and line number; shorter lines stay. Lines link if their normal forms are equal, or if
-    their SimHashes differ in at most radius bits and their edit similarity is at least `similarity`. Null texts stay null and have no
+    doc_id (null first), hash of the text and line number; lines without a word stay. Lines link if their normal forms are equal, or,
+    from FUZZY_WORDS words or FUZZY_CHARS characters on, if their edit similarity is at least `similarity`, their
+    SimHashes differ in at most radius bits, and a min-hash of their word triples agrees (two beyond SURE bits) or they are within CLOSE. Null texts stay null and have no
     lines. Rows that repeat doc_id and text are one document and come out alike. Columns named n_lines or n_removed are replaced.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]

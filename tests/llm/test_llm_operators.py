@@ -236,6 +236,25 @@ def test_lines_against_brute_force(spark):
     assert lines.deduplicated(df.limit(0)).count() == 0
 
 
+def test_lines_that_are_similar_are_found_whatever_their_simhash(spark):
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    held, rows = [], []
+    for n in [6, 10, 15, 20, 40] * 30:
+        line = [rng.choice(words) for _ in range(n)]
+        other = list(line)
+        for i in rng.sample(range(n), max(1, n // 8)):
+            other[i] = rng.choice(words)
+        if lines.similar(" ".join(line), " ".join(other)):
+            held.append((" ".join(line), " ".join(other)))
+            rows += [(2 * len(held), held[-1][0]), (2 * len(held) + 1, held[-1][1])]
+    got = {r["doc_id"]: r["n_removed"] for r in lines.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # by brute force without a radius each pair is one group: the second of it goes, and no first
+    assert not any(lines.similar(a, b) for (a, _), (b, _) in itertools.combinations(held, 2))
+    assert len(held) > 100 and not any(got[2 * k] for k in range(1, len(held) + 1))
+    assert sum(got[2 * k + 1] for k in range(1, len(held) + 1)) >= 0.98 * len(held)
+
+
 @pytest.mark.parametrize("bucket", [2048, 8])
 def test_near_groups_lose_no_pair(spark, bucket):
     rng = random.Random(2)
