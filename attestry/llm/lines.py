@@ -21,8 +21,8 @@ from attestry.llm.common import forget, grouped, map_rows, pack, partitions, tab
 from attestry.llm.components import components
 from attestry.llm.simhash import majorities, masks
 
-#: Lines with fewer words are left alone: headings and the like may repeat.
-LEAST_WORDS = 5
+#: Lines with fewer words are left alone; with 1 only those without a word, such as blank ones.
+LEAST_WORDS = 1
 #: Lines with fewer words and fewer characters are compared for equality alone, as one edit can change what they say.
 FUZZY_WORDS = 5
 FUZZY_CHARS = 20

@@ -255,6 +255,13 @@ def test_lines_that_are_similar_are_found_whatever_their_simhash(spark):
     assert sum(got[2 * k + 1] for k in range(1, len(held) + 1)) >= 0.98 * len(held)
 
 
+def test_short_lines_that_repeat_go_and_differing_ones_stay(spark):
+    long = "未来的天气将会变得越来越暖和所以我们今天要出门去公园散步"
+    rows = [(1, "Read more\n\nChapter 1\n你好世界\n" + long), (2, "read  more!\n\nChapter 2\n你好世界\n" + long.replace("公园", "海边")), (3, "Read more\n---\nChapter 1\n---")]
+    got = {r["doc_id"]: r["text"] for r in lines.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "\nChapter 2", 3: "---\n---"}
+
+
 @pytest.mark.parametrize("bucket", [2048, 8])
 def test_near_groups_lose_no_pair(spark, bucket):
     rng = random.Random(2)
