@@ -77,7 +77,7 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 #: Fragments that one sentence may be spread over, and other fragments between two sentences of a rule.
 FRAGMENTS = 12
 GAP = 6
-_ANCHOR = re.compile(r"licen[cs]e|permission|redistribut|warrant|copyright|liable|spdx|free software|public domain", re.IGNORECASE)
+_ANCHOR = re.compile(r"licen[cs]e|permission|redistribut|warrant|copyright|liable|spdx|free software|public domain|(?:released|distributed|published|available)[^a-z0-9]+under", re.IGNORECASE)
 _PART = re.compile(r"[.!?:;](?=\s|$)|\n")
 _PLAIN = re.compile(r"[a-z0-9]+")
 

@@ -488,3 +488,14 @@ def test_licences(spark):
     got = {r["doc_id"]: [m["licence"] for m in r["matches"]] for r in licenses.scanned(df).collect()}
     assert got == {i: want for i, (_, want) in enumerate(cases)}
     assert licenses.scanned(df.limit(0)).count() == 0
+
+
+def test_every_known_sentence_is_found_alone():
+    known = licenses.known_sentences()
+    scan = licenses.Scanner(known)
+    for said, name in known.items():
+        for text in (said, said.capitalize() + ".", "Some words.\n" + said.replace(" ", "\n", 2)):
+            assert [x[2] for x in scan.sentences(text)] == [name], text
+            assert scan(text)[1] == 1, text
+    for text, licence in (("Released under CC BY 4.0.", "CC-BY-4.0"), ("Published under CC0-1.0.", "CC0-1.0"), ("Available\nunder GPL version 3.", "GPL-3.0-only")):
+        assert [m[0] for m in scan(text)[0]] == [licence]
