@@ -4,7 +4,7 @@ Documents are cut into overlapping passages of words. Words of the benchmark are
 frequency over all passages; a randomised eigendecomposition of the passages' term covariance (the right singular vectors of
 the TF-IDF matrix) is summed over all passages in one pass and solved on the driver, where it is terms by rank. Passages and
 benchmark items are compared by cosine in that space, and candidates are checked on their words: by the longest common
-subsequence with the item, and for paraphrases also by the item's answer, its last words.
+subsequence with the item, and for paraphrases also by that of its rarer words, or by its last words.
 """
 
 from __future__ import annotations
@@ -27,11 +27,13 @@ RANK = 96
 #: Weight of the benchmark's own passages among those that the decomposition is fitted to, as a share of all variance.
 ITEM_SHARE = 0.9
 LEAST_COSINE = 0.4
-#: Share of an item's words in the longest common subsequence: enough alone, and enough with its answer.
+#: Share of an item's words in the longest common subsequence: enough alone, and enough with its rarer words or its last ones.
 VERBATIM = 0.8
 PARAPHRASE = 0.6
 ANSWER_WORDS = 6
 ANSWER_SHARE = 0.8
+#: Share of the rarer half of an item's words in order that tells a paraphrase from a text with the same frequent words.
+RARE_SHARE = 0.4
 #: Items that are looked for in one pass over the documents.
 ITEMS = 2048
 #: Terms whose part of the covariance is summed in one row.
@@ -232,8 +234,9 @@ def unit(x: np.ndarray) -> np.ndarray:
 class Finder:
     """Items of the benchmark in a document, from its term numbers."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], values: np.ndarray, least: float, verbatim: float, paraphrase: float) -> None:
+    def __init__(self, items: list[tuple[int, np.ndarray]], values: np.ndarray, least: float, verbatim: float, paraphrase: float, weights: np.ndarray) -> None:
         self.items = [(i, ids.tolist()) for i, ids in items]
+        self.rare = [set(ids[weights[ids] >= np.median(weights[ids])].tolist()) for _, ids in items]
         self.bags = [np.unique(ids, return_counts=True) for _, ids in items]
         self.longest = max(len(ids) for _, ids in items)
         self.values = values.astype(np.float32)
@@ -244,7 +247,7 @@ class Finder:
         """Pairs (passage, item) whose cosine suffices."""
         return np.argwhere(unit(passages(strides(ids, self.values))) @ self.queries.T >= self.least)
 
-    def verdict(self, item: list[int], near: np.ndarray) -> float | None:
+    def verdict(self, item: list[int], rare: set[int], near: np.ndarray) -> float | None:
         """Share of the item's words in the best window of the words near a candidate, if it is a copy or a paraphrase."""
         need = min(self.verbatim, self.paraphrase) * len(item)
         hit = np.isin(near, item)
@@ -261,6 +264,9 @@ class Finder:
             if n >= need:
                 answer = item[-ANSWER_WORDS:]
                 told = common_subsequence(answer, window) >= ANSWER_SHARE * len(answer)
+                if not told:
+                    seldom = [x for x in item if x in rare]
+                    told = common_subsequence(seldom, window) >= RARE_SHARE * len(seldom)
                 if n >= self.verbatim * len(item) or told and n >= self.paraphrase * len(item):
                     best = max(best, n)
         return best / len(item) if best else None
@@ -278,7 +284,7 @@ class Finder:
                 number, item = self.items[k]
                 terms, counts = self.bags[k]
                 # the words that item and surroundings share bound the common subsequence from above
-                if np.minimum(there[terms], counts).sum() >= least * len(item) and (share := self.verdict(item, near)) is not None:
+                if np.minimum(there[terms], counts).sum() >= least * len(item) and (share := self.verdict(item, self.rare[k], near)) is not None:
                     found[number] = max(share, found.get(number, 0.0))
         return found
 
@@ -303,10 +309,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, least: float
         ids = written(numbered(docs, terms), "ids")
         weights = term_weights(ids, len(terms.number))
         space = latent_space(ids, [x for _, x in items], weights, rank)
-        shared = docs.sparkSession.sparkContext.broadcast((items, space * weights[:, None]))  # ITEMS items, terms by rank numbers
+        shared = docs.sparkSession.sparkContext.broadcast((items, space * weights[:, None], weights))  # ITEMS items, terms by rank numbers
 
         def run(rows, shared=shared):
-            finder, kind = Finder(*shared.value, least, verbatim, paraphrase), kind_of(len(shared.value[1]) - 1)
+            items, values, weights = shared.value
+            finder, kind = Finder(items, values, least, verbatim, paraphrase, weights), kind_of(len(values) - 1)
             for doc_id, raw in rows:
                 for item, share in finder(np.frombuffer(raw, kind)).items():
                     yield doc_id, item, share

@@ -436,6 +436,28 @@ def test_leaks(spark):
     assert decontamination.leaks(docs.limit(0), bench).count() == 0 and decontamination.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_paraphrases_with_another_ending_are_found(spark):
+    rng = random.Random(9)
+    words = EN.split() + [f"w{i}" for i in range(1500)]
+    say = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [say(rng.randint(20, 50)) for _ in range(30)]
+    rows, want = [], set()
+    for i in range(150):
+        text = say(rng.randint(50, 300))
+        if i % 2:
+            k = rng.randrange(30)
+            item = list(items[k])
+            for j in {len(item) - 1, len(item) - 3, *rng.sample(range(len(item)), len(item) // 4)}:
+                item[j] = "other"
+            text[40:40] = item
+            want.add((i, k))
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, bench).collect()}
+    assert not got - want and len(got) >= 0.95 * len(want)
+
+
 # ---- 9 n-grams
 
 
