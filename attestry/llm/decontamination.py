@@ -34,8 +34,8 @@ ANSWER_WORDS = 6
 ANSWER_SHARE = 0.8
 #: Share of the rarer half of an item's words in order that tells a paraphrase from a text with the same frequent words.
 RARE_SHARE = 0.4
-#: Items that are looked for in one pass over the documents.
-ITEMS = 2048
+#: Items that are looked for in one pass over the documents; RANK dimensions don't tell many more apart.
+ITEMS = 256
 #: Terms whose part of the covariance is summed in one row.
 ROWS = 512
 _WORD = re.compile(r"\w+")

@@ -458,6 +458,22 @@ def test_paraphrases_with_another_ending_are_found(spark):
     assert not got - want and len(got) >= 0.95 * len(want)
 
 
+def test_short_copies_of_a_large_benchmark_are_found(spark):
+    rng = random.Random(10)
+    words = EN.split() + [f"w{i}" for i in range(4000)]
+    say = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [say(15) for _ in range(1500)]
+    rows = []
+    for k in range(300):
+        text = say(200)
+        text[70:70] = items[k]
+        rows.append((k, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, bench).collect()}
+    assert got <= {(k, k) for k in range(300)} and len(got) >= 0.95 * 300
+
+
 # ---- 9 n-grams
 
 
