@@ -25,7 +25,7 @@ MAX_LANGUAGES = 512
 PIECE = 2048
 LEVEL = 9
 #: Margin below which the pipeline rejects a text.
-LEAST_MARGIN = 0.002
+LEAST_MARGIN = 0.02
 UNKNOWN = "und"
 _NOISE = re.compile(r"[\W\d_]+")
 

@@ -142,6 +142,19 @@ def test_language(spark):
     assert language.learn(docs.limit(0)) == [] and language.classified(docs.limit(0), [("en", b"x")]).count() == 0
 
 
+def test_unlearned_languages_and_noise_are_narrow():
+    rng = random.Random(11)
+    syllables = lambda n: ["".join(rng.choice("bcdfghklmnprstvwz") + rng.choice("aeiou") for _ in range(rng.randint(1, 2))) for _ in range(n)]
+    spoken = {k: syllables(120) for k in "abc"}
+    say = lambda words, n: " ".join(f"{rng.choice(words)}{rng.choice(words)}" for _ in range(n))
+    classify = language.Classifier([(k, say(v, 12000).encode()) for k, v in spoken.items()])
+    kept = lambda texts: sum(classify(t.encode())[1] >= language.LEAST_MARGIN for t in texts) / len(texts)
+    other = ["õ", "ä", "ü", "kk", "ll", "tt", "aa", "uu", "ja", "on", "sy", "yö"]
+    assert kept([say(spoken[k], 80) for k in "abc" * 30]) >= 0.97
+    assert kept([say(other, 80) for _ in range(90)]) <= 0.1
+    assert kept([" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(80)) for _ in range(90)]) <= 0.1
+
+
 # ---- 4 WARC
 
 
