@@ -27,9 +27,7 @@ LEAST_WORDS = 1
 FUZZY_WORDS = 5
 FUZZY_CHARS = 20
 #: Lines whose SimHashes differ in more bits aren't compared (unrelated ones differ in some 27, those of similarity 0.8 in some 13).
-RADIUS = 22
-#: Beyond so many bits two min-hashes must agree, as one triple of words in common says little.
-SURE = 16
+RADIUS = 26
 #: Min-hashes of a line, and the radius within which SimHashes are found whatever min-hashes they have.
 TABLES = 16
 #: Triples of words with fewer bytes in all, such as those of articles, are many lines' own; they count where a line has no others.
@@ -376,7 +374,7 @@ def line_groups(docs: DataFrame, seen: DataFrame, lines: DataFrame, radius: int
     sims = written(lines.groupBy("s").agg(F.count(F.lit(1)).alias("n")), "sims")
     alike = sims.where("n > 1").select(F.col("s").alias("g"), "s")
     groups = written(near_groups(sims.select("s"), min(radius, CLOSE)).unionByName(alike_groups(lines.select("s", "mins"), radius)).unionByName(alike).distinct(), "near")
-    of = written(groups.join(lines.select("s", "h", "mins"), "s").select("g", "h", "s", "mins"), "members")
+    of = written(groups.join(lines.select("s", "h"), "s").select("g", "h", "s"), "members")
     places = of.select("h").distinct()
     few = of.agg(F.count(F.lit(1))).first()[0] <= BROADCAST_LINES
     if few:
@@ -396,28 +394,27 @@ def line_groups(docs: DataFrame, seen: DataFrame, lines: DataFrame, radius: int
                 yield place["h"], normal(said[place["line"]])
 
     texts = written(map_rows(here, fetch, "h long, said string").dropDuplicates(["h"]), "texts")
-    pairs = of.join(texts, "h").repartition(n, "g").sortWithinPartitions("g", "h").select("g", "h", "s", "mins", "said")
+    pairs = of.join(texts, "h").repartition(n, "g").sortWithinPartitions("g", "h").select("g", "h", "s", "said")
     bits = (1 << 64) - 1
 
     def verify(rows):
         for _, members in grouped(rows, 1):
-            clusters: list[list[tuple[int, int, np.ndarray, str]]] = []
-            for _, h, s, mins, said in members:
-                mine, mins = None, np.frombuffer(mins, "<u4")
+            clusters: list[list[tuple[int, int, str]]] = []
+            for _, h, s, said in members:
+                mine = None
                 for cluster in clusters:
-                    for other, t, least, text in cluster:
-                        apart = ((s ^ t) & bits).bit_count()
-                        if apart <= radius and (apart <= SURE or np.count_nonzero(mins == least) > 1) and similar(said, text, similarity):
+                    for other, t, text in cluster:
+                        if ((s ^ t) & bits).bit_count() <= radius and similar(said, text, similarity):
                             yield h, other
                             if mine is None:
                                 mine = cluster
-                                cluster.append((h, s, mins, said))
+                                cluster.append((h, s, said))
                             else:
                                 mine += cluster
                                 cluster.clear()
                             break
                 if mine is None:
-                    clusters.append([(h, s, mins, said)])
+                    clusters.append([(h, s, said)])
                 elif not all(clusters):
                     clusters = [c for c in clusters if c]
 
@@ -446,7 +443,7 @@ def deduplicated(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMI
     Lines are parted by U+000A. A line of at least least_words words stays only at the first place of its connected group, by
     doc_id (null first), hash of the text and line number; lines without a word stay. Lines link if their normal forms are equal, or,
     from FUZZY_WORDS words or FUZZY_CHARS characters on, if their edit similarity is at least `similarity`, their
-    SimHashes differ in at most radius bits, and a min-hash of their word triples agrees (two beyond SURE bits) or they are within CLOSE. Null texts stay null and have no
+    SimHashes differ in at most radius bits, and a min-hash of their word triples agrees or they are within CLOSE. Null texts stay null and have no
     lines. Rows that repeat doc_id and text are one document and come out alike. Columns named n_lines or n_removed are replaced.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
