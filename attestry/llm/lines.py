@@ -1,10 +1,11 @@
 """Fuzzy line deduplication over a corpus.
 
-Lines are normalised and hashed where they lie; only hashes and sketches are shuffled. Candidates come from two kinds of tables:
-lines that share word triples agree on some of 16 min-hashes of them, and SimHashes within three bits of each other agree on two
-of five blocks, which makes ten tables. Candidates whose SimHashes are too far apart part again. The lines of each group
-that this finds are fetched and compared by edit similarity, skipping pairs that are already connected, so that a group of m
-alike lines costs about m comparisons and gives m - 1 links. Of each connected group of lines the first occurrence stays.
+Lines are normalised, hashed and sketched where they lie; only hashes and sketches are shuffled. Each line lies in one bucket of
+each of TABLES tables, named by a min-hash of its word triples. Lines of a bucket are candidates if their SimHashes differ in
+few bits and their lengths allow the similarity. Pigeonhole blocks of the SimHash alone can't name the buckets: lines of similarity 0.8
+differ in some 13 of 64 bits, for which blocks would have four bits. The lines of each group of candidates are fetched and compared by
+edit similarity, each pair in the first table in which it agrees and not if it is connected already, so that a group of m alike lines
+costs about m comparisons and gives m - 1 links. Of each connected group of lines the first occurrence stays.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from attestry.llm.common import forget, grouped, map_rows, pack, partitions, table, written
+from attestry.llm.common import forget, grouped, map_rows, partitions, table, written
 from attestry.llm.components import components
-from attestry.llm.simhash import majorities, masks
+from attestry.llm.simhash import majorities
 
 #: Lines with fewer words are left alone; with 1 only those without a word, such as blank ones.
 LEAST_WORDS = 1
@@ -27,18 +28,18 @@ LEAST_WORDS = 1
 FUZZY_WORDS = 5
 FUZZY_CHARS = 20
 #: Lines whose SimHashes differ in more bits aren't compared (unrelated ones differ in some 27, those of similarity 0.8 in some 13).
-RADIUS = 26
-#: Min-hashes of a line, and the radius within which SimHashes are found whatever min-hashes they have.
-TABLES = 16
+RADIUS = 22
+#: Min-hashes of a line, and the bytes of each.
+TABLES = 10
+WIDTH = 6
 #: Triples of words with fewer bytes in all, such as those of articles, are many lines' own; they count where a line has no others.
 LONG = 12
-CLOSE = 3
 SIMILARITY = 0.8
-#: Distinct SimHashes that are compared in one go; a larger bucket is dealt out in pairs of parts.
+#: Lines of a bucket that are compared in one go; a larger bucket is dealt out in pairs of parts.
 BUCKET = 2048
 #: Buckets up to which all pairs are listed.
 PAIRS = 32
-#: Lines to verify up to which their places are broadcast (at most 16 MB), and beyond which they are joined.
+#: Lines to fetch or to look up until which their places are broadcast (some 16 MB), and beyond which they are joined.
 BROADCAST_LINES = 1 << 18
 #: An odd multiplier for each table of min-hashes.
 _ODD = [np.uint64(int.from_bytes(xxhash.xxh64_digest(bytes([k]), 3)) | 1) for k in range(TABLES)]
@@ -120,7 +121,7 @@ class WordNumbers(dict):
 
 
 def min_hashes(tokens: np.ndarray, lengths: np.ndarray, starts: np.ndarray, tables: int = TABLES) -> np.ndarray:
-    """For each run of token hashes, beginning at starts, the low halves of the least hashes of its triples, a column a table.
+    """For each run of token hashes, beginning at starts, WIDTH bytes of the least hash of its triples in each table.
 
     Triples go on from the end of a run to its beginning, so that each token is in three.
     """
@@ -134,49 +135,49 @@ def min_hashes(tokens: np.ndarray, lengths: np.ndarray, starts: np.ndarray, tabl
         triples = (triples ^ (triples >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
         triples ^= triples >> np.uint64(29)
     last = np.where(length < LONG, np.uint64(0xFF << 56), np.uint64(0))
-    out = np.empty((len(starts), tables), dtype="<u4")
+    out = np.empty((len(starts), tables), dtype="<u8")
     for k, odd in enumerate(_ODD[:tables]):
         x = triples * odd
-        out[:, k] = np.minimum.reduceat((x ^ (x >> np.uint64(32))) | last, starts).astype("<u4")
-    return out
+        out[:, k] = np.minimum.reduceat((x ^ (x >> np.uint64(32))) | last, starts)
+    return np.ascontiguousarray(out.view(np.uint8).reshape(len(starts), tables, 8)[:, :, :WIDTH]).reshape(len(starts), -1)
 
 
 class LineHashes:
-    """Per text the number, hash and SimHash of each line; words' hashes are remembered up to a bound.
+    """Per text the number, hash, length, SimHash and min-hashes of each line; words' hashes are remembered up to a bound.
 
     A line's features are its distinct words, so that frequent ones don't make all lines of a language alike. Lines of few words
-    have pairs of characters instead, which parts unspaced scripts too. The SimHash of a line too short for FUZZY_WORDS and
-    FUZZY_CHARS is 0.
+    have pairs of characters instead, which parts unspaced scripts too. Min-hashes are those of word triples, or of windows of
+    characters in lines of few words; a line too short for FUZZY_WORDS and FUZZY_CHARS has none, and one that this object saw
+    not long ago has none again.
     """
 
     def __init__(self, least_words: int, most: int = 1 << 17) -> None:
-        self.least, self.most, self.held = least_words, most, WordNumbers()
-
-    def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, int, int]]]:
-        for found in self.sketched(texts):
-            yield [x[:3] for x in found]
+        self.least, self.most, self.held, self.met = least_words, most, WordNumbers(), set()
 
-    def sketched(self, texts: list[str]) -> Iterator[list[tuple[int, int, int, bytes | None]]]:
-        """With the min-hashes of the line's word triples, or of windows of characters in lines of few words; None for short lines."""
+    def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, int, int, int, bytes | None]]]:
         if len(self.held) > self.most:
             self.held = WordNumbers()
+        if len(self.met) > self.most:
+            self.met = set()
         of, digest = self.held.__getitem__, xxhash.xxh3_64_intdigest
-        numbers, keys, long, hashes, starts, tokens, firsts, ends = [], [], [], [], [], [], [], []
+        numbers, keys, sizes, long, hashes, starts, tokens, firsts, ends = [], [], [], [], [], [], [], [], []
         for text in texts:
             for number, line in enumerate(text.lower().encode().translate(_PLAIN).split(b"\n")):
                 words = line.split()
                 if len(words) < self.least or not words:
                     continue
                 whole = b" ".join(words)
-                if len(words) >= FUZZY_WORDS:
-                    told = list(map(of, words))
-                    features = set(told)
-                elif len(whole) >= FUZZY_CHARS and len(said := whole.decode()) >= FUZZY_CHARS:
-                    width = 2 if 2 * sum(c > "\x7f" for c in said) > len(said) else 6
-                    told = [of(said[i : i + width].encode()) for i in range(len(said) - width + 1)]
-                    features = {of(said[i : i + 2].encode()) for i in range(len(said) - 1)}
-                else:
-                    told = features = ()
+                key = digest(whole)
+                told = features = ()
+                if key not in self.met:
+                    self.met.add(key)
+                    if len(words) >= FUZZY_WORDS:
+                        told = list(map(of, words))
+                        features = set(told)
+                    elif len(whole) >= FUZZY_CHARS and len(said := whole.decode()) >= FUZZY_CHARS:
+                        width = 2 if 2 * sum(c > "\x7f" for c in said) > len(said) else 6
+                        told = [of(said[i : i + width].encode()) for i in range(len(said) - width + 1)]
+                        features = {of(said[i : i + 2].encode()) for i in range(len(said) - 1)}
                 if told:
                     long.append(len(numbers))
                     starts.append(len(hashes))
@@ -184,7 +185,8 @@ class LineHashes:
                     firsts.append(len(tokens))
                     tokens.extend(told)
                 numbers.append(number)
-                keys.append(digest(whole))
+                keys.append(key)
+                sizes.append(len(whole) if whole.isascii() else len(whole.decode()))
             ends.append(len(numbers))
         sims, mins = [0] * len(numbers), [None] * len(numbers)
         if long:
@@ -193,21 +195,22 @@ class LineHashes:
             least = min_hashes(self.held.hashes[of_words], self.held.sizes[of_words], np.array(firsts))
             for i, s, m in zip(long, found, least, strict=True):
                 sims[i], mins[i] = s, m.tobytes()
-        rows = list(zip(numbers, np.array(keys, dtype=np.uint64).view(np.int64).tolist(), sims, mins, strict=True))
+        rows = list(zip(numbers, np.array(keys, dtype=np.uint64).view(np.int64).tolist(), sizes, sims, mins, strict=True))
         for a, b in zip([0, *ends[:-1]], ends, strict=True):
             yield rows[a:b]
 
 
 def occurrences(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """docs (doc_id, text) -> (doc_id, mark, line, h, s, mins): mark is a hash of the text, line counts from 0."""
+    """docs (doc_id, text) -> (doc_id, mark, line, lead, h, size, s, mins): mark is a hash of the text, line counts from 0, lead
+    is the text's first line that is listed. mins is null in lines that are too short, and where a task repeats a line."""
 
     def run(rows):
         hashed, waiting, size = LineHashes(least_words), [], 0
 
         def out():
-            for (doc_id, mark, _), found in zip(waiting, hashed.sketched([w[2] for w in waiting]), strict=True):
-                for line, h, s, mins in found:
-                    yield doc_id, mark, line, h, s, mins
+            for (doc_id, mark, _), found in zip(waiting, hashed([w[2] for w in waiting]), strict=True):
+                for k, (line, *rest) in enumerate(found):
+                    yield doc_id, mark, line, k == 0, *rest
             waiting.clear()
 
         for row in rows:
@@ -220,58 +223,79 @@ def occurrences(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
             yield from out()
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_rows(docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), "text"), run, f"doc_id {kind}, mark long, line int, h long, s long, mins binary")
+    schema = f"doc_id {kind}, mark long, line int, lead boolean, h long, size int, s long, mins binary"
+    return map_rows(docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), "text"), run, schema)
+
+
+class Near:
+    """Which of two lines may be similar, by SimHash and length."""
+
+    def __init__(self, radius: int, similarity: float) -> None:
+        self.radius, self.similarity = radius, similarity
+
+    def __call__(self, s: np.ndarray, size: np.ndarray, t: np.ndarray, other: np.ndarray) -> np.ndarray:
+        near = np.bitwise_count(s ^ t) <= self.radius
+        # a line can't be similar to one that is shorter by more than the edits allowed
+        return near & (np.abs(size - other) <= (1 - self.similarity) * np.maximum(size, other) + 1e-9)
 
 
-def near_pairs(values: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes (i, j) of values of one group, group numbers being sorted, that differ in at most radius bits."""
+def near_pairs(s: np.ndarray, size: np.ndarray, group: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes (i, j) of near values of one group, group numbers being sorted."""
     first, second = [], []
-    here = np.arange(len(values))
-    for offset in range(1, len(values)):
-        here = here[here + offset < len(values)]
+    here = np.arange(len(s))
+    for offset in range(1, len(s)):
+        here = here[here + offset < len(s)]
         here = here[group[here] == group[here + offset]]
         if not len(here):
             break
-        near = here[np.bitwise_count(values[here] ^ values[here + offset]) <= radius]
-        first.append(near)
-        second.append(near + offset)
+        found = here[near(s[here], size[here], s[here + offset], size[here + offset])]
+        first.append(found)
+        second.append(found + offset)
     return (np.concatenate(first), np.concatenate(second)) if first else (here[:0], here[:0])
 
 
-def spanned(values: np.ndarray, radius: int) -> Iterator[np.ndarray]:
-    """Index sets of the components of two and more values under the radius; each value is compared once with those not yet reached."""
-    left = np.arange(len(values))
+def spanned(s: np.ndarray, size: np.ndarray, near: Near) -> Iterator[np.ndarray]:
+    """Index sets of the components of two and more near values; each value is compared once with those not yet reached."""
+    left = np.arange(len(s))
     while len(left):
         found, at, left = [left[:1]], 0, left[1:]
         while at < len(found):
             for i in found[at]:
-                near = np.bitwise_count(values[left] ^ values[i]) <= radius
-                if near.any():
-                    found.append(left[near])
-                    left = left[~near]
+                hit = near(s[left], size[left], s[i], size[i])
+                if hit.any():
+                    found.append(left[hit])
+                    left = left[~hit]
             at += 1
         if len(found) > 1:
             yield np.concatenate(found)
 
 
-def _bucket_groups(radius: int, most: int | None):
-    """Batches of (key, s), sorted by key, to rows (hot, key, g, s): the groups of near SimHashes in each bucket, by a hash g of their members.
+GROUPS = pa.schema([("hot", pa.bool_()), ("key", pa.int64()), ("g", pa.int64()), ("h", pa.int64()), ("size", pa.int32()), ("s", pa.int64())])
 
-    The rows of a bucket beyond `most` come back as they are, with hot set.
+
+def _rows(hot: bool, key: np.ndarray | None, g: np.ndarray | None, h: np.ndarray, size: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
+    none = pa.nulls(len(h), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), hot)), none if key is None else pa.array(key), none if g is None else pa.array(g), pa.array(h), pa.array(size), pa.array(s)], schema=GROUPS)
+
+
+def _bucket_groups(near: Near, most: int | None):
+    """Batches of (key, h, size, s), sorted by (key, h), to rows (hot, key, g, h, size, s): the groups of near lines in each bucket, by a hash g of their members.
+
+    The lines of a bucket beyond `most` come back as they are, with hot set. Rows that repeat key and h count once.
     """
-    schema = pa.schema([("hot", pa.bool_()), ("key", pa.int64()), ("g", pa.int64()), ("s", pa.int64())])
 
-    def compare(key: np.ndarray, s: np.ndarray) -> list[tuple]:
+    def compare(key: np.ndarray, h: np.ndarray, size: np.ndarray, s: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Whole buckets."""
+        u = s.view(np.uint64)
         number = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
         sizes = np.bincount(number)
         groups = []
         for large in np.flatnonzero(sizes > PAIRS).tolist():
-            mine = s[number == large]
-            groups += (mine[found] for found in spanned(mine.view(np.uint64), radius))
-        small = sizes[number] <= PAIRS
-        s, number = s[small], number[small]
-        pairs = near_pairs(s.view(np.uint64), number, radius)
+            mine = np.flatnonzero(number == large)
+            groups += (mine[found] for found in spanned(u[mine], size[mine], near))
+        small = np.flatnonzero((sizes > 1) & (sizes <= PAIRS))
+        small = np.flatnonzero(np.isin(number, small))
+        pairs = near_pairs(u[small], size[small], number[small], near)
         root: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -279,193 +303,191 @@ def _bucket_groups(radius: int, most: int | None):
                 x = root[x]
             return x
 
-        for i, j in zip(*(p.tolist() for p in pairs), strict=True):
+        for i, j in zip(*(small[p].tolist() for p in pairs), strict=True):
             a, b = find(i), find(j)
             root[max(a, b)] = min(a, b)
         members: dict[int, list[int]] = {}
         for i in root:
-            members.setdefault(find(i), []).append(int(s[i]))
-        out = []
-        for found in [*members.values(), *(g.tolist() for g in groups)]:
-            g = xxhash.xxh64_intdigest(np.array(sorted(found), dtype="<i8").tobytes())
-            out.extend((False, None, g - (g >> 63 << 64), v) for v in found)
-        return out
+            members.setdefault(find(i), []).append(i)
+        groups += (np.array(x) for x in members.values())
+        if groups:
+            names = [xxhash.xxh64_intdigest(np.sort(h[x]).tobytes()) for x in groups]
+            all_ = np.concatenate(groups)
+            yield _rows(False, None, np.repeat(np.array(names, dtype=np.uint64).view(np.int64), [len(x) for x in groups]), h[all_], size[all_], s[all_])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: tuple[np.ndarray, ...] = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        hot = None  # the bucket that is passed through
+        kinds = (np.int64, np.int64, np.int32, np.int64)
+        kept = tuple(np.zeros(0, k) for k in kinds)
+        hot = None  # the bucket that is passed through, and the last of its lines
         for batch in batches:
-            key, s = (np.concatenate([a, np.asarray(b)]) for a, b in zip(kept, batch.columns, strict=True))
-            out: list[tuple] = []
-            if hot is not None:
-                n = int((key == hot).sum())
-                out += ((True, hot, None, v) for v in s[:n].tolist())
-                key, s = key[n:], s[n:]
-                if len(key):
-                    hot = None
+            key, h, size, s = (np.concatenate([a, np.asarray(b)]) for a, b in zip(kept, batch.columns, strict=True))
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = (key[1:] != key[:-1]) | (h[1:] != h[:-1])
+            if hot is not None and len(key) and (int(key[0]), int(h[0])) == hot:
+                new[: int(((key == hot[0]) & (h == hot[1])).sum())] = False
+            key, h, size, s = key[new], h[new], size[new], s[new]
+            if hot is not None and (n := int((key == hot[0]).sum())):
+                yield _rows(True, key[:n], None, h[:n], size[:n], s[:n])
+                hot = (hot[0], int(h[n - 1]))
+                key, h, size, s = key[n:], h[n:], size[n:], s[n:]
             if len(key):
+                hot = None
                 bounds = np.array([0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)])
                 last = int(bounds[-1] - bounds[-2])
                 if most is not None and (np.diff(bounds) > most).any():
                     keep = np.ones(len(key), dtype=bool)
                     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                         if b - a > most:
-                            out += ((True, int(key[a]), None, v) for v in s[a:b].tolist())
+                            yield _rows(True, key[a:b], None, h[a:b], size[a:b], s[a:b])
                             keep[a:b] = False
                             if b == len(key):
-                                hot, last = int(key[a]), 0
-                    key, s = key[keep], s[keep]
+                                hot, last = (int(key[a]), int(h[b - 1])), 0
+                    key, h, size, s = key[keep], h[keep], size[keep], s[keep]
                 whole = len(key) - last
                 if whole:
-                    out += compare(key[:whole], s[:whole])
-                key, s = key[whole:], s[whole:]
-            kept = (key, s)
-            if out:
-                yield pack(out, schema)
-        if len(kept[0]) and (out := compare(*kept)):
-            yield pack(out, schema)
+                    yield from compare(key[:whole], h[:whole], size[:whole], s[:whole])
+                key, h, size, s = key[whole:], h[whole:], size[whole:], s[whole:]
+            kept = (key, h, size, s)
+        if len(kept[0]):
+            yield from compare(*kept)
 
     return run
 
 
-def near_groups(sims: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """sims (s long, distinct) -> (g, s): groups in which any two SimHashes within the radius are found together.
+def alike_groups(lines: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
+    """lines (h, size, s, mins; repeated or not) -> (g, h): groups in which any two lines that agree on a min-hash and are near are found together.
 
-    A bucket is named by one hash of its table and of the blocks that agree; should two share a name, their SimHashes are still
-    compared. Buckets of more than `bucket` SimHashes are dealt into parts by hash, and each pair of parts is a group of its own.
+    Buckets of more than `bucket` lines are dealt into parts by hash, and each pair of parts is a bucket of its own.
     """
-    names = F.array(*(F.xxhash64(F.lit(i), F.col("s").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(radius + 2, radius))))
-    return bucket_groups(sims.select(F.explode(names).alias("key"), "s"), radius, bucket)
-
-
-def alike_groups(lines: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """lines (s long, mins binary) -> (g, s): groups of SimHashes within the radius of lines that agree on a min-hash."""
-    names = F.array(*(F.xxhash64(F.lit(-1 - k), F.substring("mins", 4 * k + 1, 4)) for k in range(TABLES)))
-    return bucket_groups(lines.select(F.explode(names).alias("key"), "s"), radius, bucket)
-
-
-def bucket_groups(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
-    """rows (key, s) -> (g, s): groups of the SimHashes of a key in which any two within the radius are found together."""
-    n = partitions(rows.sparkSession)
-    schema = "hot boolean, key long, g long, s long"
-    sorted_ = rows.repartition(n, "key").sortWithinPartitions("key")
-    found = written(sorted_.mapInArrow(_bucket_groups(radius, bucket), schema), "groups")
-    out = found.where("not hot").select("g", "s")
-    hot = found.where("hot").select("key", "s")
+    n = partitions(lines.sparkSession)
+    near = Near(radius, similarity)
+    schema = "hot boolean, key long, g long, h long, size int, s long"
+    names = F.array(*(F.xxhash64(F.lit(k), F.substring("mins", WIDTH * k + 1, WIDTH)) for k in range(TABLES)))
+    rows = lines.select(F.explode(names).alias("key"), "h", "size", "s")
+    found = written(rows.repartition(n, "key").sortWithinPartitions("key", "h").mapInArrow(_bucket_groups(near, bucket), schema), "groups")
+    out = found.where("not hot").select("g", "h")
+    hot = found.where("hot").select("key", "h", "size", "s")
     parts = hot.groupBy("key").agg(F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) * 2 / bucket)).cast("int").alias("parts"))
     if parts.head(1):
-        part = F.pmod(F.xxhash64("s"), F.col("parts")).cast("int")
+        part = F.pmod(F.xxhash64("h"), F.col("parts")).cast("int")
         dealt = hot.join(parts, "key").withColumn("a", part).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        dealt = dealt.where("a <> b").select(F.xxhash64("key", F.least("a", "b"), F.greatest("a", "b")).alias("key"), "s")
-        dealt = dealt.repartition(n, "key").sortWithinPartitions("key")
-        out = out.unionByName(dealt.mapInArrow(_bucket_groups(radius, None), schema).select("g", "s"))
+        dealt = dealt.where("a <> b").select(F.xxhash64("key", F.least("a", "b"), F.greatest("a", "b")).alias("key"), "h", "size", "s")
+        dealt = dealt.repartition(n, "key").sortWithinPartitions("key", "h")
+        out = out.unionByName(dealt.mapInArrow(_bucket_groups(near, None), schema).select("g", "h"))
     return out.distinct()
 
 
-def line_groups(docs: DataFrame, seen: DataFrame, lines: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
-    """(h, s, label): lines linked to others, and the smallest hash that they reach.
+def verified(members: list[tuple[int, int, int, bytes, str]], near: Near, similarity: float) -> Iterator[tuple[int, int]]:
+    """members (h, size, s, mins, text) of a group -> links (h, h) that connect those whose texts are similar.
 
-    Lines link if their edit similarity suffices and their SimHashes are within the radius; of these all are found that agree on
-    a min-hash or are within CLOSE.
+    A pair is compared only in the first table in which it agrees, of all those in which the whole group does.
     """
-    spark = docs.sparkSession
-    n = partitions(spark)
-    lines = lines.where("mins is not null")
-    sims = written(lines.groupBy("s").agg(F.count(F.lit(1)).alias("n")), "sims")
-    alike = sims.where("n > 1").select(F.col("s").alias("g"), "s")
-    groups = written(near_groups(sims.select("s"), min(radius, CLOSE)).unionByName(alike_groups(lines.select("s", "mins"), radius)).unionByName(alike).distinct(), "near")
-    of = written(groups.join(lines.select("s", "h"), "s").select("g", "h", "s"), "members")
-    places = of.select("h").distinct()
-    few = of.agg(F.count(F.lit(1))).first()[0] <= BROADCAST_LINES
-    if few:
-        places = F.broadcast(places)
-    first = seen.join(places, "h").groupBy("h").agg(F.min(F.struct("doc_id", "mark", "line")).alias("first"))
-    wanted = first.groupBy("first.doc_id", "first.mark").agg(F.collect_list(F.struct("first.line", "h")).alias("wanted"))
-    wanted = wanted.select(F.col("doc_id").alias("w_doc"), F.col("mark").alias("w_mark"), "wanted")
-    if few:
-        wanted = F.broadcast(wanted)
+    h = [m[0] for m in members]
+    size, s = np.array([m[1] for m in members]), np.array([m[2] for m in members], dtype=np.int64).view(np.uint64)
+    mins = np.frombuffer(b"".join(m[3] for m in members), dtype=np.uint8).reshape(len(members), -1, WIDTH)
+    here = int(np.argmax((mins == mins[:1]).all(axis=(0, 2))))
+    label = np.arange(len(members))
+    for i in range(1, len(members)):
+        other = np.flatnonzero(near(s[:i], size[:i], s[i], size[i]))
+        if here and len(other):
+            other = other[~(mins[other, :here] == mins[i, :here]).all(axis=2).any(axis=1)]
+        for j in other[np.argsort(np.bitwise_count(s[other] ^ s[i]), kind="stable")].tolist():
+            if label[i] != label[j] and similar(members[i][4], members[j][4], similarity):
+                yield h[i], h[j]
+                label[label == label[i]] = label[j]
+
+
+def line_groups(docs: DataFrame, seen: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, bucket: int = BUCKET, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
+    """(h, label): lines linked to others, and the smallest hash that they reach.
+
+    Lines link if their edit similarity suffices; of such pairs those are found that agree on a min-hash and whose SimHashes are
+    within the radius. Places of up to broadcast_lines lines are broadcast, more are joined.
+    """
+    n = partitions(docs.sparkSession)
+    lines = seen.where("mins is not null").select("h", "size", "s", "mins")
+    groups = written(alike_groups(lines, radius, similarity, bucket), "near")
+    places = written(groups.select("h").distinct(), "members")
+    few = F.broadcast if places.count() <= broadcast_lines else lambda df: df
+    told = F.first(F.when(F.col("mins").isNotNull(), F.struct("size", "s", "mins")), ignorenulls=True).alias("told")
+    first = seen.join(few(places), "h").groupBy("h").agg(F.min(F.struct("doc_id", "mark", "line")).alias("at"), told)
+    wanted = first.groupBy("at.doc_id", "at.mark").agg(F.collect_list(F.struct("at.line", "h", "told.size", "told.s", "told.mins")).alias("wanted"))
+    wanted = few(wanted.select(F.col("doc_id").alias("w_doc"), F.col("mark").alias("w_mark"), "wanted"))
     here = docs.where("text is not null").select("doc_id", "text")
     here = here.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.xxhash64("text") == F.col("w_mark"))).select("text", "wanted")
 
     def fetch(rows):
         for text, places in rows:
             said = text.split("\n")
-            for place in places:
-                yield place["h"], normal(said[place["line"]])
-
-    texts = written(map_rows(here, fetch, "h long, said string").dropDuplicates(["h"]), "texts")
-    pairs = of.join(texts, "h").repartition(n, "g").sortWithinPartitions("g", "h").select("g", "h", "s", "said")
-    bits = (1 << 64) - 1
-
-    def verify(rows):
-        for _, members in grouped(rows, 1):
-            clusters: list[list[tuple[int, int, str]]] = []
-            for _, h, s, said in members:
-                mine = None
-                for cluster in clusters:
-                    for other, t, text in cluster:
-                        if ((s ^ t) & bits).bit_count() <= radius and similar(said, text, similarity):
-                            yield h, other
-                            if mine is None:
-                                mine = cluster
-                                cluster.append((h, s, said))
-                            else:
-                                mine += cluster
-                                cluster.clear()
-                            break
-                if mine is None:
-                    clusters.append([(h, s, said)])
-                elif not all(clusters):
-                    clusters = [c for c in clusters if c]
-
-    label = components(map_rows(pairs, verify, "a long, b long"))
-    out = written(label.join(of.select("h", "s").distinct(), F.col("node") == F.col("h")).select("h", "s", "label"), "labels")
-    forget(sims, groups, of, texts)
-    return out
+            for p in places:
+                yield p["h"], p["size"], p["s"], p["mins"], normal(said[p["line"]])
 
+    texts = written(map_rows(here, fetch, "h long, size int, s long, mins binary, said string").dropDuplicates(["h"]), "texts")
+    rows = groups.join(texts, "h").repartition(n, "g").sortWithinPartitions("g", "h").select("g", "h", "size", "s", "mins", "said")
+    near = Near(radius, similarity)
 
-def repeated_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
-    """docs (doc_id, text) -> (doc_id, mark, gone): the numbers of the lines to remove from the text with that hash."""
-    seen = written(occurrences(docs, least_words), "seen")
-    lines = written(seen.groupBy("h", "s").agg(F.count(F.lit(1)).alias("n"), F.first("mins").alias("mins")), "lines")
-    linked = line_groups(docs, seen, lines, radius, similarity)
-    exact = lines.where("n > 1").join(linked, ["h", "s"], "left_anti").select("h", "s", F.col("h").alias("label"))
-    rule = linked.select("h", "s", "label", F.lit(None).cast("long").alias("own")).unionByName(exact.withColumn("own", F.col("s")))
-    places = written(seen.join(rule, ["h", "s"]).select("doc_id", "mark", "line", "label", "own"), "places")
-    keep = places.groupBy(F.col("label").alias("k_label"), F.col("own").alias("k_own")).agg(F.min(F.struct("doc_id", "mark", "line")).alias("keep"))
-    gone = places.join(keep, (F.col("label") == F.col("k_label")) & F.col("own").eqNullSafe(F.col("k_own"))).where(~F.struct("doc_id", "mark", "line").eqNullSafe(F.col("keep")))
-    return gone.groupBy("doc_id", "mark").agg(F.collect_set("line").alias("gone"))
+    def verify(found):
+        for _, members in grouped(found, 1):
+            yield from verified([m[1:] for m in members], near, similarity)
 
+    label = components(map_rows(rows, verify, "a long, b long"))
+    out = written(label.select(F.col("node").alias("h"), "label"), "labels")
+    forget(groups, places, texts)
+    return out
 
-def deduplicated(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
-    """docs (doc_id, text, ...) with text without the lines that repeat, and n_lines and n_removed.
+
+def repeated_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS, bucket: int = BUCKET, broadcast_lines: int = BROADCAST_LINES) -> tuple[DataFrame, bool]:
+    """docs (doc_id, text) -> (doc_id, mark, gone), the numbers of the lines to remove from the text with that hash; and whether
+    any row repeats both doc_id and text."""
+    seen = written(occurrences(docs, least_words), "seen")
+    twice = bool(seen.where("lead").groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").head(1))
+    linked = line_groups(docs, seen, radius, similarity, bucket, broadcast_lines)
+    place = F.struct("doc_id", "mark", "line")
+    lines = seen.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+    again = lines.join(linked.withColumnRenamed("h", "l_h"), F.col("h") == F.col("l_h"), "left").where("n > 1 or label is not null")
+    again = written(again.select("h", "first", F.coalesce("label", "h").alias("label")), "again")
+    keep = again.groupBy("label").agg(F.min("first").alias("keep"))
+    rule = again.select("h", "label").join(keep, "label").select("h", "keep")
+    if again.count() <= broadcast_lines:
+        rule = F.broadcast(rule)
+    gone = seen.select("doc_id", "mark", "line", "h").join(rule, "h").where(~place.eqNullSafe(F.col("keep")))
+    return gone.groupBy("doc_id", "mark").agg(F.collect_set("line").alias("gone")), twice
+
+
+def deduplicated(docs: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS, bucket: int = BUCKET, broadcast_lines: int = BROADCAST_LINES, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """docs (doc_id, text, ...) with text without the lines that repeat, and n_lines and n_removed (long), which `counts` names.
 
     Lines are parted by U+000A. A line of at least least_words words stays only at the first place of its connected group, by
     doc_id (null first), hash of the text and line number; lines without a word stay. Lines link if their normal forms are equal, or,
-    from FUZZY_WORDS words or FUZZY_CHARS characters on, if their edit similarity is at least `similarity`, their
-    SimHashes differ in at most radius bits, and a min-hash of their word triples agrees or they are within CLOSE. Null texts stay null and have no
-    lines. Rows that repeat doc_id and text are one document and come out alike. Columns named n_lines or n_removed are replaced.
+    from FUZZY_WORDS words or FUZZY_CHARS characters on, if their edit similarity is at least `similarity` and they are found as
+    candidates (see line_groups). Null texts stay null and have no lines; empty ones have one, which stays. An empty table gives an
+    empty one. Of rows that repeat doc_id and text one loses its repeated lines, the others all their lines that have a word, as
+    those repeat that one's. Columns of docs that have a name of `counts` are replaced.
     """
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    gone = repeated_lines(docs.select("doc_id", "text"), radius, similarity, least_words).select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"), F.col("gone").alias("__gone"))
+    names = [c for c in docs.columns if c not in counts]
+    gone, twice = repeated_lines(docs.select("doc_id", "text"), radius, similarity, least_words, bucket, broadcast_lines)
+    gone = gone.select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"), F.col("gone").alias("__gone"))
     rows = docs.select(*names).join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__mark")), "left").select(*names, "__gone")
+    copy = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))) if twice else F.lit(1)
+    rows = rows.withColumn("__copy", copy)
     at = names.index("text")
 
     def run(found):
         for row in found:
-            text, numbers = row[at], row[-1]
+            text, numbers, copy = row[at], row[-2], row[-1]
             if text is None:
-                yield (*row[:-1], 0, 0)
+                yield (*row[:-2], 0, 0)
                 continue
-            if not numbers:
-                yield (*row[:-1], text.count("\n") + 1, 0)
+            if not numbers and copy == 1:
+                yield (*row[:-2], text.count("\n") + 1, 0)
                 continue
-            drop, said = set(numbers), text.split("\n")
+            said = text.split("\n")
+            drop = set(numbers or ()) if copy == 1 else {i for i, x in enumerate(said) if len(normal(x).split()) >= max(1, least_words)}
             left = "\n".join(x for i, x in enumerate(said) if i not in drop)
-            yield (*row[:at], left, *row[at + 1 : -1], len(said), len(drop))
+            yield (*row[:at], left, *row[at + 1 : -2], len(said), len(drop))
 
-    return map_rows(rows, run, rows.drop("__gone").withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema)
+    return map_rows(rows, run, rows.drop("__gone", "__copy").withColumns({c: F.lit(0).cast("long") for c in counts}).schema)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that repeat: doc_id, text, n_lines, n_removed; a row for each."""
     return deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))

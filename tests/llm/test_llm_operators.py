@@ -219,8 +219,8 @@ def test_lines_against_brute_force(spark):
     got = sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_removed"]) for r in lines.deduplicated(df).collect()), key=str)
     hashed = lines.LineHashes(lines.LEAST_WORDS)
     marks = {x: m for x, m in spark.createDataFrame([(t,) for t in {t for _, t in rows if t is not None}], "t string").select("t", F.xxhash64("t")).collect()}
-    spots = sorted({((d is not None, d), marks[t], n, h, s, lines.normal(t.split("\n")[n])) for d, t in rows if t is not None for n, h, s in next(hashed([t]))}, key=lambda x: x[:3] if x[0][0] else ((False, 0), *x[1:3]))
-    kinds = {h: (s, said) for _, _, _, h, s, said in spots}
+    spots = sorted({((d is not None, d), marks[t], n, h, lines.normal(t.split("\n")[n])) for d, t in rows if t is not None for n, h, *_ in next(hashed([t]))}, key=lambda x: x[:3] if x[0][0] else ((False, 0), *x[1:3]))
+    kinds = {h: said for _, _, _, h, said in spots}
     root = {h: h for h in kinds}
 
     def find(x):
@@ -229,20 +229,21 @@ def test_lines_against_brute_force(spark):
         return x
 
     for a, b in itertools.combinations(kinds, 2):
-        if ((kinds[a][0] ^ kinds[b][0]) & (2**64 - 1)).bit_count() <= lines.RADIUS and lines.similar(kinds[a][1], kinds[b][1]):
+        if lines.similar(kinds[a], kinds[b]) and len(kinds[a]) >= lines.FUZZY_CHARS:
             root[find(a)] = find(b)
     seen, gone = set(), set()
-    for d, m, n, h, _, _ in spots:
+    for d, m, n, h, _ in spots:
         if find(h) in seen:
             gone.add((d, m, n))
         seen.add(find(h))
     want = []
-    for d, t in rows:
+    for k, (d, t) in enumerate(rows):
         if t is None:
             want.append((d, None, 0, 0))
             continue
         said = t.split("\n")
-        left = [x for n, x in enumerate(said) if ((d is not None, d), marks[t], n) not in gone]
+        # a row that repeats another whole loses all its lines with a word
+        left = [x for n, x in enumerate(said) if (not x if (d, t) in rows[:k] else ((d is not None, d), marks[t], n) not in gone)]
         want.append((d, "\n".join(left), len(said), len(said) - len(left)))
     assert len(gone) > 40 and any(find(h) != h for h in root)
     assert got == sorted(want, key=str)
@@ -275,22 +276,57 @@ def test_short_lines_that_repeat_go_and_differing_ones_stay(spark):
     assert got == {1: rows[0][1], 2: "\nChapter 2", 3: "---\n---"}
 
 
+def test_lines_of_documents_are_found_by_edit_similarity_alone(spark):
+    said = sorted({x for t in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text is not null").toPandas()["text"] for x in map(lines.normal, t.split("\n")) if len(x) >= lines.FUZZY_CHARS})
+    size = np.array([len(x) for x in said])
+    letters = np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le"), np.uint32) % 61, minlength=61) for x in said])
+    pairs = []
+    for i in range(1, len(said)):
+        most = 0.2 * np.maximum(size[:i], size[i])
+        near = np.flatnonzero((abs(size[:i] - size[i]) <= most) & (abs(letters[:i] - letters[i]).sum(axis=1) <= 2 * most))
+        pairs += [(i, j) for j in near.tolist() if lines.similar(said[i], said[j])]
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(said)], "doc_id long, text string")
+    groups = lines.alike_groups(lines.occurrences(rows).where("mins is not null"))
+    of = {}
+    for g, h in groups.collect():
+        of.setdefault(h, set()).add(g)
+    key = {r["doc_id"]: r["h"] for r in lines.occurrences(rows).collect()}
+    found = sum(bool(of.get(key[i], set()) & of.get(key[j], set())) for i, j in pairs)
+    assert len(pairs) > 20 and found >= 0.9 * len(pairs)
+
+
 @pytest.mark.parametrize("bucket", [2048, 8])
-def test_near_groups_lose_no_pair(spark, bucket):
+def test_alike_groups_lose_no_pair(spark, bucket):
     rng = random.Random(2)
-    base, values = rng.getrandbits(64), set()
-    for _ in range(150):
+    base, rows = rng.getrandbits(64), []
+    for h in range(150):
         v = base
-        for _ in range(rng.randint(0, 4)):
+        for _ in range(rng.randint(0, 15)):
             v ^= 1 << rng.randrange(64)
-        values.add(v - (v >> 63 << 64))
-    df = spark.createDataFrame([(v,) for v in values], "s long")
+        mins = b"".join(rng.choice((b"common", bytes(rng.choices(range(256), k=6)))) for _ in range(lines.TABLES))
+        rows += [(h, rng.randint(80, 110), v - (v >> 63 << 64), mins)] * rng.randint(1, 2)
     of = {}
-    for g, s in lines.near_groups(df, bucket=bucket).collect():
-        of.setdefault(s, set()).add(g)
-    for a, b in itertools.combinations(values, 2):
-        if ((a ^ b) & (2**64 - 1)).bit_count() <= lines.RADIUS:
-            assert of.get(a, set()) & of.get(b, set())
+    for g, h in lines.alike_groups(spark.createDataFrame(rows, "h long, size int, s long, mins binary"), bucket=bucket).collect():
+        of.setdefault(h, set()).add(g)
+    tables = lambda m: {(k, m[6 * k : 6 * k + 6]) for k in range(lines.TABLES)}
+    n = 0
+    for (h, a, s, m), (i, b, t, o) in itertools.combinations(sorted(set(rows)), 2):
+        if ((s ^ t) & (2**64 - 1)).bit_count() <= lines.RADIUS and abs(a - b) <= 0.2 * max(a, b) and tables(m) & tables(o):
+            assert of.get(h, set()) & of.get(i, set())
+            n += 1
+    assert n > 1000
+
+
+def test_large_buckets_and_joined_places_give_the_same_lines(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    base = [rng.choice(words) for _ in range(20)]
+    rows = [(k, " ".join(rng.choice(words) if rng.random() < 0.06 else w for w in base) + "\n" + " ".join(rng.choice(words) for _ in range(9))) for k in range(60)]
+    rows += [(100, "x " * 40_000 + "\n" + "y " * 40_000 + "z"), (101, "y " * 40_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, lines.deduplicated(df).collect()))
+    assert sum(r[3] for r in want) > 50
+    assert sorted(map(tuple, lines.deduplicated(df, bucket=8, broadcast_lines=0).collect())) == want
 
 
 # ---- 6 SimHash
