@@ -2,9 +2,10 @@
 
 Talbot and Osborne, "Smoothed Bloom filter language models" (2007): an n-gram whose count has quantum q is put into the filter
 q times, together with 1, 2, ... q, and a lookup probes 1, 2, ... until a probe fails; the error is one-sided and falls with
-each probe. The filter is built in segments, one to a task, from counts that a single shuffle brings together, and its size
-is bounded by a parameter; it is broadcast, and texts are scored where they lie. Probabilities are those of a bigram model
-with a Dirichlet prior on the unigrams.
+each probe. The filter is built in segments of the hash range from counts that a single shuffle brings together, each as large as
+its own entries ask for, so that the filter grows with the corpus. Consecutive segments of up to a bounded size are broadcast, and texts
+are scored where they lie; a filter beyond that bound takes several passes over the texts, each probing the n-grams of its segments, and
+gives the same scores. Probabilities are those of a bigram model with a Dirichlet prior on the unigrams.
 """
 
 from __future__ import annotations
@@ -22,9 +23,12 @@ from pyspark.sql import functions as F
 from attestry.llm.common import forget, map_rows, partitions, table, written
 from attestry.llm.language import remainder
 
-#: Bounds of the filter: bits for an entry that it aims at, and bits at most (64 MB).
-ENTRY_BITS = 10
-MOST_BITS = 1 << 29
+#: Bits for an entry of the filter, and bits that are broadcast in one pass (64 MB).
+ENTRY_BITS = 8
+PASS_BITS = 1 << 29
+#: Tokens of the corpus for each segment of the filter, and segments at most.
+SEGMENT_TOKENS = 1 << 16
+MOST_SEGMENTS = 1 << 20
 PROBES = 4
 #: Counts are quantised to powers of this base.
 BASE = 2.0
@@ -32,8 +36,9 @@ BASE = 2.0
 PRIOR = 8.0
 #: Tokens with the highest counts, which are sent to the workers with their exact counts; the others are joined.
 HEAD = 1 << 17
-#: Tokens that a task counts before it passes its counts on.
-FLUSH = 1 << 18
+#: Words that a task keeps beside the head, and n-grams that it counts before it passes its counts on.
+FLUSH = 1 << 17
+WINDOW = 1 << 20
 END = b""
 #: An odd multiplier for each level of the filter.
 _LEVELS = [2 * (0x9E3779B97F4A7C15 * (k + 1) % (1 << 63)) % (1 << 64) + 1 for k in range(80)]
@@ -100,51 +105,67 @@ def quantum(counts: np.ndarray, base: float) -> np.ndarray:
 
 
 class LogFrequencyFilter:
-    """A Bloom filter of (n-gram, quantum) in equal segments by the high bits of the n-gram's hash.
+    """A Bloom filter of (n-gram, quantum) in segments by the high bits of the n-gram's hash; segment i has the words from bounds[i] to bounds[i + 1].
 
     All bits of an entry lie in one 64-bit word, so that a probe is one access (Putze et al., "Cache-, hash- and space-efficient
     Bloom filters", 2007).
     """
 
-    def __init__(self, words: np.ndarray, segments: int, base: float, probes: int = PROBES) -> None:
-        self.words, self.segments, self.base = words, segments, base
-        self.size = np.uint64(len(words) // segments)
+    def __init__(self, words: np.ndarray, bounds: np.ndarray, base: float, probes: int = PROBES) -> None:
+        self.words, self.base, self.segments = words, base, len(bounds) - 1
+        self.start, self.size = bounds[:-1].astype(np.uint64), np.diff(bounds).astype(np.uint64)
         bits = np.random.default_rng(11).integers(0, 64, (1 << 16, probes)).astype(np.uint64)
         self.masks = np.bitwise_or.reduce(np.uint64(1) << bits, axis=1)
 
-    def entry(self, folded: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    def entry(self, folded: np.ndarray, level: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word number in the hash's segment, and the bits of the entry; folded: hash ^ hash >> 32."""
         x = folded * np.array([_LEVELS[level]], dtype=np.uint64)
-        return (x >> np.uint64(32)) * self.size >> np.uint64(32), self.masks[(x >> np.uint64(16)) & np.uint64(0xFFFF)]
+        return (x >> np.uint64(32)) * size >> np.uint64(32), self.masks[(x >> np.uint64(16)) & np.uint64(0xFFFF)]
 
     @staticmethod
     def segment(hashes: np.ndarray, segments: int) -> np.ndarray:
         return (hashes >> np.uint64(40)) * np.uint64(segments) >> np.uint64(24)
 
-    def add(self, hashes: np.ndarray, counts: np.ndarray) -> None:
-        """hashes: of one segment, of which self.words then holds that segment alone."""
-        q = quantum(counts, self.base)
+    @classmethod
+    def of(cls, hashes: np.ndarray, counts: np.ndarray, base: float, entry_bits: int) -> LogFrequencyFilter:
+        """A filter of one segment, of as many words as its entries ask for."""
+        q = quantum(counts, base)
+        size = max(1, -(-int(q.sum()) * entry_bits // 64))
+        out = cls(np.zeros(size, np.uint64), np.array([0, size]), base)
         for level in range(1, int(q.max(initial=0)) + 1):
             h = hashes[q >= level]
-            place, mask = self.entry(h ^ h >> np.uint64(32), level)
-            np.bitwise_or.at(self.words, place, mask)
-
-    def counts(self, hashes: np.ndarray, most: int = 64) -> np.ndarray:
-        """Estimated counts: the middle of the quantum that the probes reach, 0 if the first fails."""
-        reached = np.zeros(len(hashes), dtype=np.int64)
-        alive, h = np.arange(len(hashes)), hashes
-        o = self.segment(h, self.segments) * self.size
+            place, mask = out.entry(h ^ h >> np.uint64(32), level, out.size[0])
+            np.bitwise_or.at(out.words, place, mask)
+        return out
+
+    def levels(self, hashes: np.ndarray, most: int = 64) -> np.ndarray:
+        """The quantum that the probes reach, 0 if the first fails or the segment is empty."""
+        reached = np.zeros(len(hashes), dtype=np.uint8)
+        if not len(self.words):
+            return reached
+        of = self.segment(hashes, self.segments)
+        size = self.size[of]
+        alive = np.flatnonzero(size)
+        h, o, size = hashes[alive], self.start[of[alive]], size[alive]
         h = h ^ h >> np.uint64(32)
         for level in range(1, most + 1):
-            place, mask = self.entry(h, level)
+            place, mask = self.entry(h, level, size)
             hit = self.words[place + o] & mask == mask
-            alive, h, o = alive[hit], h[hit], o[hit]
+            alive, h, o, size = alive[hit], h[hit], o[hit], size[hit]
             if not len(alive):
                 break
             reached[alive] = level
-        low = np.array([0.0, *(math.ceil(self.base ** (k - 1) - 1e-9) for k in range(1, most + 1))])
-        high = np.array([0.0, *(max(math.ceil(self.base ** (k - 1) - 1e-9), math.ceil(self.base**k - 1e-9) - 1) for k in range(1, most + 1))])
-        return ((low + high) / 2)[reached]
+        return reached
+
+    def counts(self, hashes: np.ndarray) -> np.ndarray:
+        return middles(self.base)[self.levels(hashes)]
+
+
+def middles(base: float, most: int = 64) -> np.ndarray:
+    """The count that each quantum stands for: the middle of those that it covers."""
+    low = [math.ceil(base ** (k - 1) - 1e-9) for k in range(1, most + 1)]
+    high = [max(a, math.ceil(base**k - 1e-9) - 1) for k, a in enumerate(low, start=1)]
+    return np.array([0.0, *((a + b) / 2 for a, b in zip(low, high, strict=True))])
 
 
 def texts_of(texts: Iterator[list[bytes]], most: int = 1 << 17) -> Iterator[list[list[bytes]]]:
@@ -186,7 +207,7 @@ def gram_counts(training: DataFrame, order: int, frequent: list[bytes]) -> DataF
                 size += len(numbers) * (order - 1)
                 if len(words) > len(shared.value) + FLUSH:
                     words = Vocabulary(shared.value)
-                if size > 4 * FLUSH:
+                if size > WINDOW:
                     yield from flush()
                     held, size = [], 0
         if held:
@@ -207,52 +228,68 @@ def word_hashes(counts: DataFrame) -> DataFrame:
     return counts.select("token", "c").mapInArrow(run, "h long, n long")
 
 
-def built(counts: DataFrame, entries: int, base: float, entry_bits: int, most_bits: int) -> LogFrequencyFilter:
-    """The filter of partial counts (h, n) with about that many entries. A task streams through the n-grams of its segments, sorted by hash."""
+def segments_for(tokens: int) -> int:
+    n = 16
+    while n < MOST_SEGMENTS and n * SEGMENT_TOKENS < tokens:
+        n *= 2
+    return n
+
+
+def built(counts: DataFrame, segments: int, base: float, entry_bits: int) -> DataFrame:
+    """Partial counts (h, n) -> (segment, size, bits): the filter's segments that hold an n-gram. A task streams through its n-grams, sorted by hash, a segment at a time."""
     n = partitions(counts.sparkSession)
-    segments = 16
-    while segments < 2 * n and segments < 8192:
-        segments *= 2
-    words = max(64, min(most_bits, entries * entry_bits) // segments // 64)
     place = F.floor(F.shiftrightunsigned(F.col("h"), 40).cast("double") * segments / (1 << 24)).cast("int")
-    sorted_ = counts.repartition(min(n, segments), place).select("h", "n").sortWithinPartitions("h")
+    # runs of segments to a partition; hashes spread evenly over them
+    part = F.floor(place.cast("double") * min(8 * n, segments) / segments).cast("int")
+    sorted_ = counts.select(place.alias("segment"), "h", "n").repartition(min(8 * n, segments), part).sortWithinPartitions("segment", "h").select("h", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled: dict[int, LogFrequencyFilter] = {}
-        last: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-
-        def add(h: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
-            of = LogFrequencyFilter.segment(h, segments)
-            for segment in np.unique(of).tolist():
-                if segment not in filled:
-                    yield from done()
-                    filled[segment] = LogFrequencyFilter(np.zeros(words, np.uint64), 1, base)
-                filled[segment].add(h[of == segment], sums[of == segment])
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        now = -1
 
         def done() -> Iterator[pa.RecordBatch]:
-            for segment, part in filled.items():
-                yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([part.words.tobytes()], pa.binary())], names=["segment", "bits"])
-            filled.clear()
+            if held:
+                h, counted = (np.concatenate(x) for x in zip(*held, strict=True))
+                starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+                words = LogFrequencyFilter.of(h[starts], np.add.reduceat(counted, starts), base, entry_bits).words
+                yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([len(words)], pa.int64()), pa.array([words.tobytes()], pa.binary())], names=["segment", "size", "bits"])
+                held.clear()
 
         for batch in batches:
-            h = np.concatenate([last[0], np.asarray(batch.column(0)).view(np.uint64)])
-            counted = np.concatenate([last[1], np.asarray(batch.column(1))])
-            if not len(h):
-                continue
-            starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            sums, h = np.add.reduceat(counted, starts), h[starts]
-            yield from add(h[:-1], sums[:-1])
-            last = (h[-1:], sums[-1:])  # the last n-gram of a batch may go on in the next
-        if len(last[0]):
-            yield from add(*last)
+            h, counted = np.asarray(batch.column(0)).view(np.uint64), np.asarray(batch.column(1))
+            of = LogFrequencyFilter.segment(h, segments).astype(np.int64)
+            bounds = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)] if len(of) else [0]
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                if of[a] != now:
+                    yield from done()
+                    now = int(of[a])
+                held.append((h[a:b], counted[a:b]))
         yield from done()
 
-    whole = np.zeros(segments * words, np.uint64)
-    parts = written(sorted_.mapInArrow(run, "segment int, bits binary"), "filter")
-    for row in parts.toLocalIterator():  # most_bits in all
-        whole[row["segment"] * words : (row["segment"] + 1) * words] |= np.frombuffer(row["bits"], np.uint64)
-    forget(parts)
-    return LogFrequencyFilter(whole, segments, base)
+    return written(sorted_.mapInArrow(run, "segment int, size long, bits binary"), "filter")
+
+
+def passes_of(filter_: DataFrame, segments: int, pass_bits: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Words of each segment, and the ranges of segments that are broadcast together: at least one segment and otherwise up to pass_bits bits."""
+    sizes = np.zeros(segments, dtype=np.int64)
+    for r in filter_.select("segment", "size").toLocalIterator():  # MOST_SEGMENTS numbers at most
+        sizes[r["segment"]] = r["size"]
+    out, first, held = [], 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and (held + size) * 64 > pass_bits:
+            out.append((first, i))
+            first, held = i, 0
+        held += size
+    return sizes, [*out, (first, segments)]
+
+
+def loaded(filter_: DataFrame, sizes: np.ndarray, low: int, high: int, base: float) -> LogFrequencyFilter:
+    """The filter with the segments from low to high; the others are empty."""
+    bounds = np.concatenate([[0], np.cumsum(np.where((np.arange(len(sizes)) >= low) & (np.arange(len(sizes)) < high), sizes, 0))])
+    words = np.zeros(int(bounds[-1]), np.uint64)
+    for r in filter_.where((F.col("segment") >= low) & (F.col("segment") < high)).select("segment", "bits").toLocalIterator():  # a pass's bits in all
+        words[bounds[r["segment"]] : bounds[r["segment"] + 1]] = np.frombuffer(r["bits"], np.uint64)
+    return LogFrequencyFilter(words, bounds, base)
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -277,14 +314,14 @@ def word_counts(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("c"))
 
 
-def log_probabilities(model: LogFrequencyFilter, hashes: np.ndarray, unigrams: np.ndarray, starts: np.ndarray, order: int, total: int, vocabulary: int, prior: float, texts: int) -> np.ndarray:
+def log_probabilities(counted: list[np.ndarray], starts: np.ndarray, total: int, vocabulary: int, prior: float, texts: int) -> np.ndarray:
     """log10 probability of each text: at each order the counts of its n-grams over those of their contexts, with the lower order as prior.
 
-    unigrams: the words' counts by the filter. texts: the texts learned from, which is how often the start was a context.
+    counted: for each order the filter's count of the n-gram that ends at each token. texts: the texts learned from, which is
+    how often the start was a context.
     """
-    counted = [unigrams, *map(model.counts, grams(hashes, starts, order)[1:])]
     p = (counted[0] + 1) / (total + vocabulary + 1)
-    for n in range(2, order + 1):
+    for n in range(2, len(counted) + 1):
         context = np.concatenate([[0.0], counted[n - 2][:-1]])
         context[starts] = texts
         c = np.minimum(counted[n - 1], context)
@@ -292,29 +329,40 @@ def log_probabilities(model: LogFrequencyFilter, hashes: np.ndarray, unigrams: n
     return np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)
 
 
-def scored(docs: DataFrame, training: DataFrame, order: int = 2, base: float = BASE, prior: float = PRIOR, head: int = HEAD, entry_bits: int = ENTRY_BITS, most_bits: int = MOST_BITS) -> DataFrame:
+def scored(docs: DataFrame, training: DataFrame, order: int = 2, base: float = BASE, prior: float = PRIOR, head: int = HEAD, entry_bits: int = ENTRY_BITS, pass_bits: int = PASS_BITS) -> DataFrame:
     """docs (doc_id, held_out, text) -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; a row for each.
 
     base_score has exact counts with one added; score is the filter's model. Null texts are empty: one token, the end. The
     head tokens go to the workers with their counts, the rest of a text's tokens are joined with theirs, so that no
-    vocabulary must fit in memory. Without training texts every token is unknown. The filter has most_bits at most, beyond
-    which its error grows; no n-gram is left out of it.
+    vocabulary must fit in memory. Without training texts every token is unknown. The filter has entry_bits for each entry at any
+    size; pass_bits of it are broadcast at once, and the number of passes over docs doesn't change a score. Rows that repeat are
+    scored alike. An empty table gives an empty one.
     """
     spark = docs.sparkSession
     counts = written(word_counts(training), "counts")
     total, vocabulary = (int(x or 0) for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
     top = [(bytes(r["token"]), r["c"]) for r in counts.orderBy(F.desc("c"), "token").limit(head).collect()]
+    segments = segments_for(order * total)
     rows = gram_counts(training, order, [w for w, _ in top]).unionByName(word_hashes(counts))
-    model = built(rows, vocabulary + (order - 1) * total, base, entry_bits, most_bits)
-    shared = spark.sparkContext.broadcast((top, model.words, model.segments))  # head entries and most_bits bits at most
+    filter_ = built(rows, segments, base, entry_bits)
+    sizes, ranges = passes_of(filter_, segments, pass_bits)
+    whole = len(ranges) == 1
+    shared = spark.sparkContext.broadcast((top, loaded(filter_, sizes, *ranges[0], base)))  # head entries and one pass's bits
+    bounds = [a for a, _ in ranges]
     complete = vocabulary <= head
     add = math.log10(total + vocabulary + 1)
     texts_learned = dict(top).get(END, 0)
     kinds = dict(docs.dtypes)
+    texts = docs.select("doc_id", "held_out", F.xxhash64("text").alias("mark"), "text")
+    say = lambda counted, starts: log_probabilities(counted, starts, total, vocabulary, prior, texts_learned)
+
+    def passing(model, hashes, k):
+        """Levels of one pass's n-grams, in order, and the pass of each n-gram."""
+        turn = (np.searchsorted(bounds, LogFrequencyFilter.segment(hashes, segments).astype(np.int64), side="right") - 1).astype(np.uint16)
+        return model.levels(hashes[turn == k]), turn
 
     def run(rows):
-        top, bits, segments = shared.value
-        filter_ = LogFrequencyFilter(bits, segments, base)
+        top, model = shared.value
         frequent = [w for w, _ in top]
         words, gains = Vocabulary(frequent), np.log10(np.array([c for _, c in top], dtype=np.float64) + 1)
         none, unigrams = np.zeros(0, np.int64), np.zeros(0)
@@ -322,45 +370,112 @@ def scored(docs: DataFrame, training: DataFrame, order: int = 2, base: float = B
 
         def out():
             nonlocal words, unigrams
-            texts, starts = [t for _, _, t in waiting], first_of([t for _, _, t in waiting])
-            numbers = np.array([n for t in texts for n in map(words.__getitem__, t)], dtype=np.int64)
-            more = words.of(np.arange(len(unigrams), len(words)))
-            unigrams = np.concatenate([unigrams, filter_.counts(grams(more, none, 1)[0])])  # each word is probed once
-            scores = log_probabilities(filter_, words.of(numbers), unigrams[numbers], starts, order, total, vocabulary, prior, texts_learned)
+            said = [t for _, _, _, t in waiting]
+            starts = first_of(said)
+            numbers = np.array([n for t in said for n in map(words.__getitem__, t)], dtype=np.int64)
+            found = grams(words.of(numbers), starts, order)
+            if whole:
+                more = words.of(np.arange(len(unigrams), len(words)))
+                unigrams = np.concatenate([unigrams, model.counts(grams(more, none, 1)[0])])  # each word is probed once
+                scores = say([unigrams[numbers], *map(model.counts, found[1:])], starts)
             known = numbers < len(frequent)
             there = np.add.reduceat(known.astype(np.int64), starts)
             sure = np.add.reduceat(np.where(known, np.concatenate([gains, [0.0]])[np.minimum(numbers, len(frequent))], 0.0), starts)
-            for k, (doc_id, held_out, found) in enumerate(waiting):
+            for k, (doc_id, held_out, mark, text) in enumerate(waiting):
                 rest: Counter = Counter()
-                if not complete and there[k] < len(found):
-                    at = starts[k]
-                    rest.update(found[i] for i in np.flatnonzero(~known[at : at + len(found)]).tolist())
-                yield doc_id, held_out, len(found), int(there[k]), float(sure[k]) - add * len(found), float(scores[k]), [{"token": w, "n": n} for w, n in rest.items()]
+                here = slice(starts[k], starts[k] + len(text))
+                if not complete and there[k] < len(text):
+                    rest.update(text[i] for i in np.flatnonzero(~known[here]).tolist())
+                levels = turn = None
+                if not whole:
+                    levels, turn = passing(model, np.concatenate([g[here] for g in found]), 0)
+                    levels, turn = levels.tobytes(), turn.tobytes()
+                yield doc_id, held_out, mark, len(text), int(there[k]), float(sure[k]) - add * len(text), float(scores[k]) if whole else None, [{"token": w, "n": n} for w, n in rest.items()], turn, levels
             waiting.clear()
             if len(words) > len(frequent) + FLUSH:
                 words, unigrams = Vocabulary(frequent), unigrams[: len(frequent)]
 
         size = 0
-        for doc_id, held_out, text in rows:
-            waiting.append((doc_id, held_out, tokens(text)))
-            size += len(waiting[-1][2])
+        for doc_id, held_out, mark, text in rows:
+            waiting.append((doc_id, held_out, mark, tokens(text)))
+            size += len(waiting[-1][3])
             if size > 1 << 17:
                 yield from out()
                 size = 0
         if waiting:
             yield from out()
 
-    schema = f"doc_id {kinds['doc_id']}, held_out boolean, n_tokens long, known long, sure double, score double, rest array<struct<token:binary,n:long>>"
-    rows = map_rows(docs.select("doc_id", "held_out", "text"), run, schema, binary=("text",)).withColumn("row_id", F.monotonically_increasing_id())
+    schema = f"doc_id {kinds['doc_id']}, held_out boolean, mark long, n_tokens long, known long, sure double, score double, rest array<struct<token:binary,n:long>>, turn binary, levels binary"
+    rows = map_rows(texts, run, schema, binary=("text",)).withColumn("row_id", F.monotonically_increasing_id())
     rows = written(rows, "scored")
     tail = rows.select("row_id", F.explode("rest").alias("x")).select("row_id", "x.token", "x.n").join(counts, "token")
     tail = tail.groupBy("row_id").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("gain"))
-    return rows.drop("rest").join(tail, "row_id", "left").select(
+    out = rows.drop("rest").join(tail, "row_id", "left")
+    if not whole:
+        out = out.drop("score").join(later_passes(rows, texts, filter_, sizes, ranges, base, order, top, passing, say), "row_id")
+    return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
         (F.col("sure") + F.coalesce("gain", F.lit(0.0))).alias("base_score"), "score",
     )
 
 
+def later_passes(rows: DataFrame, texts: DataFrame, filter_: DataFrame, sizes: np.ndarray, ranges: list[tuple[int, int]], base: float, order: int, top: list, passing, say) -> DataFrame:
+    """(row_id, score) from the first pass's rows: one more pass over texts for each further range of segments, and a join of their levels.
+
+    A pass leaves one byte for each of its n-grams, in the order of the text, so that all passes together leave one for each.
+    """
+    spark = rows.sparkSession
+    key = [F.col("doc_id"), F.col("mark")]
+    kind = dict(texts.dtypes)["doc_id"]
+    parts = rows.select(*key, F.lit(0).alias("k"), "levels")
+    for k, (low, high) in enumerate(ranges[1:], start=1):
+        shared = spark.sparkContext.broadcast((top, loaded(filter_, sizes, low, high, base)))
+
+        def run(found, k=k, shared=shared):
+            top, model = shared.value
+            frequent = [w for w, _ in top]
+            words, waiting, size = Vocabulary(frequent), [], 0
+
+            def out():
+                nonlocal words
+                starts = first_of([t for _, _, t in waiting])
+                numbers = np.array([n for _, _, t in waiting for n in map(words.__getitem__, t)], dtype=np.int64)
+                all_ = grams(words.of(numbers), starts, order)
+                for (doc_id, mark, text), at in zip(waiting, starts.tolist(), strict=True):
+                    yield doc_id, mark, k, passing(model, np.concatenate([g[at : at + len(text)] for g in all_]), k)[0].tobytes()
+                waiting.clear()
+                if len(words) > len(frequent) + FLUSH:
+                    words = Vocabulary(frequent)
+
+            for doc_id, mark, text in found:
+                waiting.append((doc_id, mark, tokens(text)))
+                size += len(waiting[-1][2])
+                if size > 1 << 17:
+                    yield from out()
+                    size = 0
+            if waiting:
+                yield from out()
+
+        part = written(map_rows(texts.select("doc_id", "mark", "text"), run, f"doc_id {kind}, mark long, k int, levels binary", binary=("text",)), "levels")
+        shared.unpersist()
+        parts = parts.unionByName(part)
+    parts = parts.dropDuplicates(["doc_id", "mark", "k"])  # rows that repeat have the same levels
+    both = parts.groupBy(F.col("doc_id").alias("p_doc"), F.col("mark").alias("p_mark")).agg(F.collect_list(F.struct("k", "levels")).alias("parts"))
+    joined = rows.select("row_id", "doc_id", "mark", "turn").join(both, F.col("doc_id").eqNullSafe(F.col("p_doc")) & F.col("mark").eqNullSafe(F.col("p_mark")))
+    middle = middles(base)
+
+    def add_up(found):
+        for row_id, turn, parts in found:
+            turn = np.frombuffer(turn, np.uint16)
+            reached = np.zeros(len(turn), np.uint8)
+            for p in parts:
+                reached[turn == p["k"]] = np.frombuffer(p["levels"], np.uint8)
+            yield row_id, float(say(list(middle[reached].reshape(order, -1)), np.zeros(1, np.int64))[0])
+
+    return map_rows(joined.select("row_id", "turn", "parts"), add_up, "row_id long, score double")
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by what those with crc32(doc_id) mod 7 other than 2 say; a row for each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", (remainder(by=7) == 2).alias("held_out"), "text")
     return scored(docs, docs.where(~F.col("held_out")))

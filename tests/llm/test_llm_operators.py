@@ -530,8 +530,7 @@ def test_short_copies_of_a_large_benchmark_are_found(spark):
 def test_filter_counts():
     h = ngrams.mix(np.arange(1, 5001, dtype=np.uint64))
     counts = np.concatenate([np.arange(1, 2501), np.full(2500, 1)])
-    f = ngrams.LogFrequencyFilter(np.zeros(1 << 14, np.uint64), 1, 2.0)
-    f.add(h, counts)
+    f = ngrams.LogFrequencyFilter.of(h, counts, 2.0, 36)
     got = f.counts(h)
     assert (got * 2 >= counts).all()  # one-sided but for the middle of a quantum
     assert np.mean(got <= 2 * counts) > 0.99
@@ -556,6 +555,54 @@ def test_base_scores(spark, head):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
 
 
+def brute_scores(of, train, prior=ngrams.PRIOR):
+    """Bigram probabilities from exact counts, each as the middle of its power of two."""
+    tokens = lambda t: (t or "").encode().lower().split() + [b""]
+    one, two = Counter(), Counter()
+    for t in train:
+        said = tokens(t)
+        one.update(said)
+        two.update(zip([None, *said[:-1]], said, strict=True))
+    n, v = sum(one.values()), len(one)
+    middle = lambda c: 0 if not c else (2 ** (c.bit_length() - 1) + 2 ** c.bit_length() - 1) / 2
+    out = []
+    for t in of:
+        said, score = tokens(t), 0.0
+        for before, w in zip([None, *said[:-1]], said, strict=True):
+            context = len(train) if before is None else middle(one[before])
+            p = (min(middle(two[before, w]), context) + prior * (middle(one[w]) + 1) / (n + v + 1)) / (context + prior)
+            score += math.log10(min(p, 1.0))
+        out.append(score)
+    return out
+
+
+def test_scores_against_brute_force_in_one_pass_and_in_many(spark, monkeypatch):
+    docs = corpus(spark).select("doc_id", (language.remainder(by=7) == 2).alias("held_out"), "text")
+    train = docs.where("not held_out")
+    rows = docs.collect()
+    want = brute_scores([r["text"] for r in rows], [r["text"] for r in train.collect()])
+    key = lambda r: (str(r["doc_id"]), r["n_tokens"], round(r["score"], 6))
+    exact = sorted(ngrams.scored(docs, train, entry_bits=64).collect(), key=key)
+    of = {}
+    for r, w in zip(rows, want, strict=True):
+        of.setdefault((r["doc_id"], r["text"]), w)
+    got = sorted(r["score"] for r in exact)
+    assert got == pytest.approx(sorted(want), rel=1e-3)
+    monkeypatch.setattr(ngrams, "SEGMENT_TOKENS", 1 << 9)
+    for bits in (8, 64):
+        one, many = (sorted((key(r), r["base_score"], r["n_known"]) for r in ngrams.scored(docs, train, entry_bits=bits, pass_bits=p).collect()) for p in (1 << 29, bits * 2500))
+        assert one == many and len(one) == len(rows)
+    assert ngrams.segments_for(2 * 10**13) == ngrams.MOST_SEGMENTS
+
+
+def test_the_filter_grows_and_its_error_does_not():
+    for n in (2_000, 200_000):
+        h = ngrams.mix(np.arange(1, n + 1, dtype=np.uint64))
+        f = ngrams.LogFrequencyFilter.of(h, np.ones(n, np.int64), 2.0, ngrams.ENTRY_BITS)
+        assert len(f.words) == -(-n * ngrams.ENTRY_BITS // 64)
+        assert np.mean(f.levels(ngrams.mix(np.arange(10**7, 10**7 + 20_000, dtype=np.uint64))) > 0) < 0.05
+
+
 def test_scores_without_training(spark):
     docs = corpus(spark).select("doc_id", F.lit(False).alias("held_out"), "text")
     assert {r["n_known"] for r in ngrams.scored(docs, docs.limit(0)).collect()} == {0}
