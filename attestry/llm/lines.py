@@ -1,9 +1,9 @@
 """Fuzzy line deduplication over a corpus.
 
 Lines are normalised, hashed and sketched where they lie; only hashes and sketches are shuffled. Each line lies in one bucket of
-each of TABLES tables, named by a min-hash of its word triples. Lines of a bucket are candidates if their SimHashes differ in
+each of TABLES tables, named by a min-hash of its word pairs. Lines of a bucket are candidates if their SimHashes differ in
 few bits and their lengths allow the similarity. Pigeonhole blocks of the SimHash alone can't name the buckets: lines of similarity 0.8
-differ in some 13 of 64 bits, for which blocks would have four bits. The lines of each group of candidates are fetched and compared by
+differ in some 27 of 128 bits, for which blocks would have four bits. The lines of each group of candidates are fetched and compared by
 edit similarity, each pair in the first table in which it agrees and not if it is connected already, so that a group of m alike lines
 costs about m comparisons and gives m - 1 links. Of each connected group of lines the first occurrence stays.
 """
@@ -27,20 +27,26 @@ LEAST_WORDS = 1
 #: Lines with fewer words and fewer characters are compared for equality alone, as one edit can change what they say.
 FUZZY_WORDS = 5
 FUZZY_CHARS = 20
-#: Lines whose SimHashes differ in more bits aren't compared (unrelated ones differ in some 27, those of similarity 0.8 in some 13).
-RADIUS = 22
-#: Min-hashes of a line, and the bytes of each.
-TABLES = 10
+#: Lines whose SimHashes of 128 bits differ in more bits aren't compared (unrelated ones differ in some 54, those of similarity 0.8 in some 27).
+RADIUS = 38
+#: Min-hashes of a line, the bytes of each, and the words of a shingle.
+TABLES = 6
 WIDTH = 6
-#: Triples of words with fewer bytes in all, such as those of articles, are many lines' own; they count where a line has no others.
-LONG = 12
+SHINGLE = 2
+#: Shingles of words with fewer bytes in all, such as those of articles, are many lines' own; they count where a line has no others.
+LONG = 9
 SIMILARITY = 0.8
 #: Lines of a bucket that are compared in one go; a larger bucket is dealt out in pairs of parts.
 BUCKET = 2048
 #: Buckets up to which all pairs are listed.
 PAIRS = 32
 #: Lines to fetch or to look up until which their places are broadcast (some 16 MB), and beyond which they are joined.
-BROADCAST_LINES = 1 << 18
+BROADCAST_LINES = 1 << 17
+#: Multiplier of the words' hashes, its inverse modulo 2**64, a value for each byte, and a constant that parts the SimHash's halves.
+_P = 0x9E3779B97F4A7C15
+_INVERSE = pow(_P, -1, 1 << 64)
+_BYTES = np.array([xxhash.xxh64_intdigest(bytes([c]), 5) for c in range(256)], dtype=np.uint64)
+_K = np.uint64(0x2545F4914F6CDD1D)
 #: An odd multiplier for each table of min-hashes.
 _ODD = [np.uint64(int.from_bytes(xxhash.xxh64_digest(bytes([k]), 3)) | 1) for k in range(TABLES)]
 #: Bytes of words and line ends stay, all others become spaces.
@@ -52,24 +58,27 @@ def normal(line: str) -> str:
     return b" ".join(line.lower().encode().translate(_PLAIN).split()).decode()
 
 
+def trimmed(a: Sequence, b: Sequence) -> tuple[Sequence, Sequence]:
+    """Both without what they share at the beginning, and then at the end; found by halving, as slices compare fast."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[low:middle] == b[low:middle] else (low, middle - 1)
+    a, b = a[low:], b[low:]
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[len(a) - middle : len(a) - low] == b[len(b) - middle : len(b) - low] else (low, middle - 1)
+    return a[: len(a) - low], b[: len(b) - low]
+
+
 def distance(a: Sequence, b: Sequence, most: int) -> int:
     """Levenshtein distance of two texts or lists, or more than most if it is more (Myers 1999, on whole integers)."""
     if len(a) > len(b):
         a, b = b, a
     if len(b) - len(a) > most:
         return most + 1
-    same = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        same += 1
-    a, b = a[same:], b[same:]
-    same = 0
-    for x, y in zip(reversed(a), reversed(b), strict=False):
-        if x != y:
-            break
-        same += 1
-    a, b = a[: len(a) - same], b[: len(b) - same]
+    a, b = trimmed(a, b)
     if not a:
         return len(b)
     full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
@@ -97,112 +106,167 @@ def distance(a: Sequence, b: Sequence, most: int) -> int:
 def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     """Whether 1 - distance / longer length is at least `least`.
 
-    A distance in words bounds that in characters by the longest word and its space, and is found sooner.
+    Bounds that are found sooner come first: what differs between a common beginning and end, words replaced one by one, and a
+    distance in words, which bounds that in characters by the longest word and its space.
     """
     longer = max(len(a), len(b))
     most = int((1 - least) * longer + 1e-9)
+    if abs(len(a) - len(b)) > most:
+        return False
+    a, b = trimmed(a, b)
+    if max(len(a), len(b)) <= most:
+        return True
     one, two = a.split(" "), b.split(" ")
+    if len(one) == len(two) and sum(max(len(x), len(y)) for x, y in zip(one, two, strict=True) if x != y) <= most:
+        return True  # words replaced in their places
     few = most // (1 + max(map(len, one + two)))
     return few > 0 and distance(one, two, few) <= few or distance(a, b, most) <= most
 
 
-class WordNumbers(dict):
-    """Numbers of words in the order in which they come, and their hashes and bytes: small numbers make arrays sooner."""
-
-    def __init__(self) -> None:
-        self.hashes, self.sizes = np.zeros(1 << 16, dtype="<u8"), np.zeros(1 << 16, dtype=np.int64)
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        if n == len(self.hashes):
-            self.hashes, self.sizes = (np.concatenate([x, np.zeros(n, dtype=x.dtype)]) for x in (self.hashes, self.sizes))
-        self.hashes[n], self.sizes[n] = xxhash.xxh64_intdigest(word, 7), len(word)
-        return n
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
 
 
-def min_hashes(tokens: np.ndarray, lengths: np.ndarray, starts: np.ndarray, tables: int = TABLES) -> np.ndarray:
-    """For each run of token hashes, beginning at starts, WIDTH bytes of the least hash of its triples in each table.
+def min_hashes(tokens: np.ndarray, lengths: np.ndarray, starts: np.ndarray, tables: int = TABLES, shingle: int = SHINGLE) -> np.ndarray:
+    """For each run of token hashes, beginning at starts, WIDTH bytes of the least hash of its shingles in each table.
 
-    Triples go on from the end of a run to its beginning, so that each token is in three.
+    Shingles go on from the end of a run to its beginning, so that each token is in as many.
     """
     sizes = np.diff([*starts, len(tokens)])
     first, size = np.repeat(starts, sizes), np.repeat(sizes, sizes)
     at = np.arange(len(tokens)) - first
-    triples, length = tokens, lengths
-    for k in (1, 2):
+    whole, length = tokens, lengths
+    for k in range(1, shingle):
         there = first + (at + k) % size
-        triples, length = triples * np.uint64(0x9E3779B97F4A7C15) + tokens[there], length + lengths[there]
-        triples = (triples ^ (triples >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        triples ^= triples >> np.uint64(29)
+        whole, length = mixed(whole * np.uint64(0x9E3779B97F4A7C15) + tokens[there]), length + lengths[there]
     last = np.where(length < LONG, np.uint64(0xFF << 56), np.uint64(0))
     out = np.empty((len(starts), tables), dtype="<u8")
     for k, odd in enumerate(_ODD[:tables]):
-        x = triples * odd
+        x = whole * odd
         out[:, k] = np.minimum.reduceat((x ^ (x >> np.uint64(32))) | last, starts)
     return np.ascontiguousarray(out.view(np.uint8).reshape(len(starts), tables, 8)[:, :, :WIDTH]).reshape(len(starts), -1)
 
 
+def sketches(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each run of token hashes the SimHash of its distinct tokens, of 128 bits in two columns."""
+    most = 1 << 24
+    if len(starts) > most:
+        cut = starts[most]
+        return np.concatenate([sketches(tokens[:cut], starts[:most]), sketches(tokens[cut:], starts[most:] - cut)])
+    run = np.repeat(np.arange(len(starts), dtype=np.uint64), np.diff([*starts, len(tokens)])) << np.uint64(40)
+    found = np.sort(run | tokens >> np.uint64(24))
+    found = found[np.concatenate([[True], found[1:] != found[:-1]])]
+    run = found >> np.uint64(40)
+    firsts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+    tokens = mixed(found << np.uint64(24))
+    return np.stack([majorities(tokens, firsts), majorities(mixed(tokens + _K), firsts)], axis=1)
+
+
 class LineHashes:
-    """Per text the number, hash, length, SimHash and min-hashes of each line; words' hashes are remembered up to a bound.
+    """Per text the number, hash, length, SimHash and min-hashes of each line.
 
-    A line's features are its distinct words, so that frequent ones don't make all lines of a language alike. Lines of few words
-    have pairs of characters instead, which parts unspaced scripts too. Min-hashes are those of word triples, or of windows of
-    characters in lines of few words; a line too short for FUZZY_WORDS and FUZZY_CHARS has none, and one that this object saw
-    not long ago has none again.
+    Words of many texts are parted and hashed at once; a line's hash is that of its normal form. A line's features are its
+    distinct words, so that frequent ones don't make all lines of a language alike. Lines of few words have pairs of characters
+    instead, which parts unspaced scripts too. Min-hashes are those of word shingles, or of windows of characters in lines of few words; a
+    line too short for FUZZY_WORDS and FUZZY_CHARS has none, and one that this object saw not long ago has none again.
     """
 
     def __init__(self, least_words: int, most: int = 1 << 17) -> None:
-        self.least, self.most, self.held, self.met = least_words, most, WordNumbers(), set()
-
-    def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, int, int, int, bytes | None]]]:
-        if len(self.held) > self.most:
-            self.held = WordNumbers()
+        self.least, self.most, self.met = max(1, least_words), most, set()
+        self.powers = self.inverses = np.ones(1, dtype=np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if n > len(self.powers):
+            powers, inverses = (np.full(2 * n, x, dtype=np.uint64) for x in (_P, _INVERSE))
+            powers[0] = inverses[0] = 1
+            self.powers, self.inverses = np.multiply.accumulate(powers), np.multiply.accumulate(inverses)
+
+    def words(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Beginnings, ends and hashes of the words of translated bytes that end in a line feed."""
+        apart = (text == 32) | (text == 10)
+        edge = np.flatnonzero(apart[1:] != apart[:-1]) + 1
+        if not apart[0]:
+            edge = np.concatenate([[0], edge])
+        first, end = edge[::2], edge[1::2]
+        self._grow(len(text) + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[text] * self.powers[: len(text)])])
+        return first, end, mixed((sums[end] - sums[first]) * self.inverses[first])
+
+    def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, int, int, int, int, bytes | None]]]:
         if len(self.met) > self.most:
             self.met = set()
-        of, digest = self.held.__getitem__, xxhash.xxh3_64_intdigest
-        numbers, keys, sizes, long, hashes, starts, tokens, firsts, ends = [], [], [], [], [], [], [], [], []
-        for text in texts:
-            for number, line in enumerate(text.lower().encode().translate(_PLAIN).split(b"\n")):
-                words = line.split()
-                if len(words) < self.least or not words:
-                    continue
-                whole = b" ".join(words)
-                key = digest(whole)
-                told = features = ()
-                if key not in self.met:
-                    self.met.add(key)
-                    if len(words) >= FUZZY_WORDS:
-                        told = list(map(of, words))
-                        features = set(told)
-                    elif len(whole) >= FUZZY_CHARS and len(said := whole.decode()) >= FUZZY_CHARS:
-                        width = 2 if 2 * sum(c > "\x7f" for c in said) > len(said) else 6
-                        told = [of(said[i : i + width].encode()) for i in range(len(said) - width + 1)]
-                        features = {of(said[i : i + 2].encode()) for i in range(len(said) - 1)}
-                if told:
-                    long.append(len(numbers))
-                    starts.append(len(hashes))
-                    hashes.extend(features)
-                    firsts.append(len(tokens))
-                    tokens.extend(told)
-                numbers.append(number)
-                keys.append(key)
-                sizes.append(len(whole) if whole.isascii() else len(whole.decode()))
-            ends.append(len(numbers))
-        sims, mins = [0] * len(numbers), [None] * len(numbers)
+        raw = ("\n".join(texts) + "\n").lower().encode().translate(_PLAIN)
+        text = np.frombuffer(raw, dtype=np.uint8)
+        first, end, hashes = self.words(text)
+        feeds = np.flatnonzero(text == 10)
+        line = np.searchsorted(feeds, first)
+        starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
+        counts = np.diff([*starts, len(line)])
+        # normal forms lie in one buffer, each word with one space behind it
+        kept = text != 32
+        kept[feeds] = False
+        kept[end] = True
+        place = np.cumsum(kept) - kept
+        plain = text[kept]
+        plain[plain == 10] = 32
+        plain = memoryview(plain.tobytes())
+        inside = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])  # characters before each byte
+        chars = np.add.reduceat(inside[end] - inside[first], starts) + counts - 1 if len(starts) else counts
+        begin, stop = (place[first[starts]].tolist(), place[end[starts + counts - 1]].tolist()) if len(starts) else ([], [])
+        listed, keys, sizes, long, runs, odd = [], [], [], [], [], []
+        for k, (a, b, n, size) in enumerate(zip(begin, stop, counts.tolist(), chars.tolist(), strict=True)):
+            if n < self.least:
+                continue
+            key = xxhash.xxh3_64_intdigest(plain[a:b])
+            if key not in self.met:
+                self.met.add(key)
+                if n >= FUZZY_WORDS:
+                    long.append(len(listed))
+                    runs.append(k)
+                elif size >= FUZZY_CHARS:
+                    odd.append((len(listed), bytes(plain[a:b]).decode()))
+            listed.append(k)
+            keys.append(key)
+            sizes.append(size)
+        sims, mins = [(0, 0)] * len(listed), [None] * len(listed)
         if long:
-            found = majorities(self.held.hashes[np.array(hashes, dtype=np.int64)], np.array(starts)).tolist()
-            of_words = np.array(tokens, dtype=np.int64)
-            least = min_hashes(self.held.hashes[of_words], self.held.sizes[of_words], np.array(firsts))
-            for i, s, m in zip(long, found, least, strict=True):
-                sims[i], mins[i] = s, m.tobytes()
-        rows = list(zip(numbers, np.array(keys, dtype=np.uint64).view(np.int64).tolist(), sizes, sims, mins, strict=True))
-        for a, b in zip([0, *ends[:-1]], ends, strict=True):
-            yield rows[a:b]
+            mine = np.zeros(len(starts), dtype=bool)
+            mine[runs] = True
+            mine = np.repeat(mine, counts)
+            begins = np.cumsum([0, *counts[runs][:-1]])
+            self._sketch(long, hashes[mine], (end - first)[mine], begins, hashes[mine], begins, sims, mins)
+        if odd:
+            shingled, features = [], []
+            for _, said in odd:
+                width = 2 if 2 * sum(c > "\x7f" for c in said) > len(said) else 6
+                shingled.append([said[i : i + width].encode() for i in range(len(said) - width + 1)])
+                features.append([said[i : i + 2].encode() for i in range(len(said) - 1)])
+            of = lambda lists: np.array([xxhash.xxh64_intdigest(x, 7) for xs in lists for x in xs], dtype=np.uint64)
+            ends = lambda lists: np.cumsum([0, *(len(x) for x in lists[:-1])])
+            self._sketch([i for i, _ in odd], of(shingled), np.array([len(x) for xs in shingled for x in xs]), ends(shingled), of(features), ends(features), sims, mins)
+        number, at = line[starts].tolist(), 0
+        base = 0
+        for said in texts:
+            lines = said.count("\n") + 1
+            rows = []
+            while at < len(listed) and number[listed[at]] < base + lines:
+                key = keys[at]
+                rows.append((number[listed[at]] - base, key - (key >> 63 << 64), sizes[at], *sims[at], mins[at]))
+                at += 1
+            base += lines
+            yield rows
+
+    @staticmethod
+    def _sketch(places: list[int], tokens: np.ndarray, lengths: np.ndarray, starts: np.ndarray, features: np.ndarray, begins: np.ndarray, sims: list, mins: list) -> None:
+        for i, s, m in zip(places, sketches(features, begins).tolist(), min_hashes(tokens, lengths, starts), strict=True):
+            sims[i], mins[i] = tuple(s), m.tobytes()
 
 
 def occurrences(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """docs (doc_id, text) -> (doc_id, mark, line, lead, h, size, s, mins): mark is a hash of the text, line counts from 0, lead
-    is the text's first line that is listed. mins is null in lines that are too short, and where a task repeats a line."""
+    """docs (doc_id, text) -> (doc_id, mark, line, lead, h, size, s, t, mins): mark is a hash of the text, line counts from 0, lead
+    is the text's first line that is listed. s and t are the SimHash's halves. mins is null in lines that are too short, and where a task repeats a line."""
 
     def run(rows):
         hashed, waiting, size = LineHashes(least_words), [], 0
@@ -223,45 +287,51 @@ def occurrences(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
             yield from out()
 
     kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, mark long, line int, lead boolean, h long, size int, s long, mins binary"
+    schema = f"doc_id {kind}, mark long, line int, lead boolean, h long, size int, s long, t long, mins binary"
     return map_rows(docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), "text"), run, schema)
 
 
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of the SimHashes of lines (size, s, t)."""
+    return np.bitwise_count((a[..., 1:] ^ b[..., 1:]).view(np.uint64)).sum(axis=-1)  # of signed numbers it would count the absolute value's
+
+
 class Near:
-    """Which of two lines may be similar, by SimHash and length."""
+    """Which of two lines may be similar, by SimHash and length. Lines are rows of (size, s, t)."""
 
     def __init__(self, radius: int, similarity: float) -> None:
         self.radius, self.similarity = radius, similarity
 
-    def __call__(self, s: np.ndarray, size: np.ndarray, t: np.ndarray, other: np.ndarray) -> np.ndarray:
-        near = np.bitwise_count(s ^ t) <= self.radius
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        near = differing(a, b) <= self.radius
         # a line can't be similar to one that is shorter by more than the edits allowed
+        size, other = a[..., 0], b[..., 0]
         return near & (np.abs(size - other) <= (1 - self.similarity) * np.maximum(size, other) + 1e-9)
 
 
-def near_pairs(s: np.ndarray, size: np.ndarray, group: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes (i, j) of near values of one group, group numbers being sorted."""
+def near_pairs(lines: np.ndarray, group: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes (i, j) of near lines of one group, group numbers being sorted."""
     first, second = [], []
-    here = np.arange(len(s))
-    for offset in range(1, len(s)):
-        here = here[here + offset < len(s)]
+    here = np.arange(len(lines))
+    for offset in range(1, len(lines)):
+        here = here[here + offset < len(lines)]
         here = here[group[here] == group[here + offset]]
         if not len(here):
             break
-        found = here[near(s[here], size[here], s[here + offset], size[here + offset])]
+        found = here[near(lines[here], lines[here + offset])]
         first.append(found)
         second.append(found + offset)
     return (np.concatenate(first), np.concatenate(second)) if first else (here[:0], here[:0])
 
 
-def spanned(s: np.ndarray, size: np.ndarray, near: Near) -> Iterator[np.ndarray]:
-    """Index sets of the components of two and more near values; each value is compared once with those not yet reached."""
-    left = np.arange(len(s))
+def spanned(lines: np.ndarray, near: Near) -> Iterator[np.ndarray]:
+    """Index sets of the components of two and more near lines; each is compared once with those not yet reached."""
+    left = np.arange(len(lines))
     while len(left):
         found, at, left = [left[:1]], 0, left[1:]
         while at < len(found):
             for i in found[at]:
-                hit = near(s[left], size[left], s[i], size[i])
+                hit = near(lines[left], lines[i])
                 if hit.any():
                     found.append(left[hit])
                     left = left[~hit]
@@ -270,32 +340,30 @@ def spanned(s: np.ndarray, size: np.ndarray, near: Near) -> Iterator[np.ndarray]
             yield np.concatenate(found)
 
 
-GROUPS = pa.schema([("hot", pa.bool_()), ("key", pa.int64()), ("g", pa.int64()), ("h", pa.int64()), ("size", pa.int32()), ("s", pa.int64())])
+GROUPS = pa.schema([("hot", pa.bool_()), ("key", pa.int64()), ("g", pa.int64()), ("h", pa.int64()), ("size", pa.int64()), ("s", pa.int64()), ("t", pa.int64())])
 
 
-def _rows(hot: bool, key: np.ndarray | None, g: np.ndarray | None, h: np.ndarray, size: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
+def _rows(hot: bool, key: np.ndarray | None, g: np.ndarray | None, h: np.ndarray, lines: np.ndarray) -> pa.RecordBatch:
     none = pa.nulls(len(h), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), hot)), none if key is None else pa.array(key), none if g is None else pa.array(g), pa.array(h), pa.array(size), pa.array(s)], schema=GROUPS)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), hot)), none if key is None else pa.array(key), none if g is None else pa.array(g), pa.array(h), *(pa.array(x) for x in lines.T)], schema=GROUPS)
 
 
 def _bucket_groups(near: Near, most: int | None):
-    """Batches of (key, h, size, s), sorted by (key, h), to rows (hot, key, g, h, size, s): the groups of near lines in each bucket, by a hash g of their members.
+    """Batches of (key, h, size, s, t), sorted by (key, h), to rows (hot, key, g, h, size, s, t): the groups of near lines in each bucket, by a hash g of their members.
 
     The lines of a bucket beyond `most` come back as they are, with hot set. Rows that repeat key and h count once.
     """
 
-    def compare(key: np.ndarray, h: np.ndarray, size: np.ndarray, s: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def compare(key: np.ndarray, h: np.ndarray, lines: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Whole buckets."""
-        u = s.view(np.uint64)
         number = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
         sizes = np.bincount(number)
         groups = []
         for large in np.flatnonzero(sizes > PAIRS).tolist():
             mine = np.flatnonzero(number == large)
-            groups += (mine[found] for found in spanned(u[mine], size[mine], near))
-        small = np.flatnonzero((sizes > 1) & (sizes <= PAIRS))
-        small = np.flatnonzero(np.isin(number, small))
-        pairs = near_pairs(u[small], size[small], number[small], near)
+            groups += (mine[found] for found in spanned(lines[mine], near))
+        small = np.flatnonzero((sizes[number] > 1) & (sizes[number] <= PAIRS))
+        pairs = near_pairs(lines[small], number[small], near)
         root: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -313,23 +381,23 @@ def _bucket_groups(near: Near, most: int | None):
         if groups:
             names = [xxhash.xxh64_intdigest(np.sort(h[x]).tobytes()) for x in groups]
             all_ = np.concatenate(groups)
-            yield _rows(False, None, np.repeat(np.array(names, dtype=np.uint64).view(np.int64), [len(x) for x in groups]), h[all_], size[all_], s[all_])
+            yield _rows(False, None, np.repeat(np.array(names, dtype=np.uint64).view(np.int64), [len(x) for x in groups]), h[all_], lines[all_])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (np.int64, np.int64, np.int32, np.int64)
-        kept = tuple(np.zeros(0, k) for k in kinds)
+        kept = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 3), np.int64)
         hot = None  # the bucket that is passed through, and the last of its lines
         for batch in batches:
-            key, h, size, s = (np.concatenate([a, np.asarray(b)]) for a, b in zip(kept, batch.columns, strict=True))
+            key, h, size, s, t = (np.asarray(x) for x in batch.columns)
+            key, h, lines = (np.concatenate(x) for x in zip(kept, (key, h, np.stack([size, s, t], axis=1)), strict=True))
             new = np.ones(len(key), dtype=bool)
             new[1:] = (key[1:] != key[:-1]) | (h[1:] != h[:-1])
             if hot is not None and len(key) and (int(key[0]), int(h[0])) == hot:
                 new[: int(((key == hot[0]) & (h == hot[1])).sum())] = False
-            key, h, size, s = key[new], h[new], size[new], s[new]
+            key, h, lines = key[new], h[new], lines[new]
             if hot is not None and (n := int((key == hot[0]).sum())):
-                yield _rows(True, key[:n], None, h[:n], size[:n], s[:n])
+                yield _rows(True, key[:n], None, h[:n], lines[:n])
                 hot = (hot[0], int(h[n - 1]))
-                key, h, size, s = key[n:], h[n:], size[n:], s[n:]
+                key, h, lines = key[n:], h[n:], lines[n:]
             if len(key):
                 hot = None
                 bounds = np.array([0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)])
@@ -338,16 +406,16 @@ def _bucket_groups(near: Near, most: int | None):
                     keep = np.ones(len(key), dtype=bool)
                     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                         if b - a > most:
-                            yield _rows(True, key[a:b], None, h[a:b], size[a:b], s[a:b])
+                            yield _rows(True, key[a:b], None, h[a:b], lines[a:b])
                             keep[a:b] = False
                             if b == len(key):
                                 hot, last = (int(key[a]), int(h[b - 1])), 0
-                    key, h, size, s = key[keep], h[keep], size[keep], s[keep]
+                    key, h, lines = key[keep], h[keep], lines[keep]
                 whole = len(key) - last
                 if whole:
-                    yield from compare(key[:whole], h[:whole], size[:whole], s[:whole])
-                key, h, size, s = key[whole:], h[whole:], size[whole:], s[whole:]
-            kept = (key, h, size, s)
+                    yield from compare(key[:whole], h[:whole], lines[:whole])
+                key, h, lines = key[whole:], h[whole:], lines[whole:]
+            kept = (key, h, lines)
         if len(kept[0]):
             yield from compare(*kept)
 
@@ -355,44 +423,46 @@ def _bucket_groups(near: Near, most: int | None):
 
 
 def alike_groups(lines: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
-    """lines (h, size, s, mins; repeated or not) -> (g, h): groups in which any two lines that agree on a min-hash and are near are found together.
+    """lines (h, size, s, t, mins; repeated or not) -> (g, h): groups in which any two lines that agree on a min-hash and are near are found together.
 
     Buckets of more than `bucket` lines are dealt into parts by hash, and each pair of parts is a bucket of its own.
     """
     n = partitions(lines.sparkSession)
     near = Near(radius, similarity)
-    schema = "hot boolean, key long, g long, h long, size int, s long"
+    schema = "hot boolean, key long, g long, h long, size long, s long, t long"
     names = F.array(*(F.xxhash64(F.lit(k), F.substring("mins", WIDTH * k + 1, WIDTH)) for k in range(TABLES)))
-    rows = lines.select(F.explode(names).alias("key"), "h", "size", "s")
+    rows = lines.select(F.explode(names).alias("key"), "h", F.col("size").cast("long").alias("size"), "s", "t")
     found = written(rows.repartition(n, "key").sortWithinPartitions("key", "h").mapInArrow(_bucket_groups(near, bucket), schema), "groups")
     out = found.where("not hot").select("g", "h")
-    hot = found.where("hot").select("key", "h", "size", "s")
+    hot = found.where("hot").select("key", "h", "size", "s", "t")
     parts = hot.groupBy("key").agg(F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) * 2 / bucket)).cast("int").alias("parts"))
     if parts.head(1):
         part = F.pmod(F.xxhash64("h"), F.col("parts")).cast("int")
         dealt = hot.join(parts, "key").withColumn("a", part).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        dealt = dealt.where("a <> b").select(F.xxhash64("key", F.least("a", "b"), F.greatest("a", "b")).alias("key"), "h", "size", "s")
+        dealt = dealt.where("a <> b").select(F.xxhash64("key", F.least("a", "b"), F.greatest("a", "b")).alias("key"), "h", "size", "s", "t")
         dealt = dealt.repartition(n, "key").sortWithinPartitions("key", "h")
         out = out.unionByName(dealt.mapInArrow(_bucket_groups(near, None), schema).select("g", "h"))
     return out.distinct()
 
 
-def verified(members: list[tuple[int, int, int, bytes, str]], near: Near, similarity: float) -> Iterator[tuple[int, int]]:
-    """members (h, size, s, mins, text) of a group -> links (h, h) that connect those whose texts are similar.
+def verified(members: list[tuple[int, int, int, int, bytes, str]], near: Near, similarity: float) -> Iterator[tuple[int, int]]:
+    """members (h, size, s, t, mins, text) of a group -> links (h, h) that connect those whose texts are similar.
 
     A pair is compared only in the first table in which it agrees, of all those in which the whole group does.
     """
     h = [m[0] for m in members]
-    size, s = np.array([m[1] for m in members]), np.array([m[2] for m in members], dtype=np.int64).view(np.uint64)
-    mins = np.frombuffer(b"".join(m[3] for m in members), dtype=np.uint8).reshape(len(members), -1, WIDTH)
+    lines = np.array([m[1:4] for m in members], dtype=np.int64)
+    mins = np.frombuffer(b"".join(m[4] for m in members), dtype=np.uint8).reshape(len(members), -1, WIDTH)
     here = int(np.argmax((mins == mins[:1]).all(axis=(0, 2))))
     label = np.arange(len(members))
     for i in range(1, len(members)):
-        other = np.flatnonzero(near(s[:i], size[:i], s[i], size[i]))
+        other = np.flatnonzero(near(lines[:i], lines[i]))
         if here and len(other):
             other = other[~(mins[other, :here] == mins[i, :here]).all(axis=2).any(axis=1)]
-        for j in other[np.argsort(np.bitwise_count(s[other] ^ s[i]), kind="stable")].tolist():
-            if label[i] != label[j] and similar(members[i][4], members[j][4], similarity):
+        if len(other) > 1:
+            other = other[np.argsort(differing(lines[other], lines[i]), kind="stable")]
+        for j in other.tolist():
+            if label[i] != label[j] and similar(members[i][5], members[j][5], similarity):
                 yield h[i], h[j]
                 label[label == label[i]] = label[j]
 
@@ -404,13 +474,13 @@ def line_groups(docs: DataFrame, seen: DataFrame, radius: int = RADIUS, similari
     within the radius. Places of up to broadcast_lines lines are broadcast, more are joined.
     """
     n = partitions(docs.sparkSession)
-    lines = seen.where("mins is not null").select("h", "size", "s", "mins")
+    lines = seen.where("mins is not null").select("h", "size", "s", "t", "mins")
     groups = written(alike_groups(lines, radius, similarity, bucket), "near")
     places = written(groups.select("h").distinct(), "members")
     few = F.broadcast if places.count() <= broadcast_lines else lambda df: df
-    told = F.first(F.when(F.col("mins").isNotNull(), F.struct("size", "s", "mins")), ignorenulls=True).alias("told")
+    told = F.first(F.when(F.col("mins").isNotNull(), F.struct("size", "s", "t", "mins")), ignorenulls=True).alias("told")
     first = seen.join(few(places), "h").groupBy("h").agg(F.min(F.struct("doc_id", "mark", "line")).alias("at"), told)
-    wanted = first.groupBy("at.doc_id", "at.mark").agg(F.collect_list(F.struct("at.line", "h", "told.size", "told.s", "told.mins")).alias("wanted"))
+    wanted = first.groupBy("at.doc_id", "at.mark").agg(F.collect_list(F.struct("at.line", "h", "told.size", "told.s", "told.t", "told.mins")).alias("wanted"))
     wanted = few(wanted.select(F.col("doc_id").alias("w_doc"), F.col("mark").alias("w_mark"), "wanted"))
     here = docs.where("text is not null").select("doc_id", "text")
     here = here.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.xxhash64("text") == F.col("w_mark"))).select("text", "wanted")
@@ -419,10 +489,10 @@ def line_groups(docs: DataFrame, seen: DataFrame, radius: int = RADIUS, similari
         for text, places in rows:
             said = text.split("\n")
             for p in places:
-                yield p["h"], p["size"], p["s"], p["mins"], normal(said[p["line"]])
+                yield p["h"], p["size"], p["s"], p["t"], p["mins"], normal(said[p["line"]])
 
-    texts = written(map_rows(here, fetch, "h long, size int, s long, mins binary, said string").dropDuplicates(["h"]), "texts")
-    rows = groups.join(texts, "h").repartition(n, "g").sortWithinPartitions("g", "h").select("g", "h", "size", "s", "mins", "said")
+    texts = written(map_rows(here, fetch, "h long, size int, s long, t long, mins binary, said string").dropDuplicates(["h"]), "texts")
+    rows = groups.join(texts, "h").repartition(n, "g").sortWithinPartitions("g", "h").select("g", "h", "size", "s", "t", "mins", "said")
     near = Near(radius, similarity)
 
     def verify(found):

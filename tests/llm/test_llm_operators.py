@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from attestry.llm import chat, decontamination, language, licenses, lines, mixing, ngrams, quality, simhash, warc
@@ -298,25 +299,35 @@ def test_lines_of_documents_are_found_by_edit_similarity_alone(spark):
 @pytest.mark.parametrize("bucket", [2048, 8])
 def test_alike_groups_lose_no_pair(spark, bucket):
     rng = random.Random(2)
-    base, rows = rng.getrandbits(64), []
+    base, rows = rng.getrandbits(128), []
+    signed = lambda v: v - (v >> 63 << 64)
     for h in range(150):
         v = base
-        for _ in range(rng.randint(0, 15)):
-            v ^= 1 << rng.randrange(64)
+        for _ in range(rng.randint(0, 26)):
+            v ^= 1 << rng.randrange(128)
         mins = b"".join(rng.choice((b"common", bytes(rng.choices(range(256), k=6)))) for _ in range(lines.TABLES))
-        rows += [(h, rng.randint(80, 110), v - (v >> 63 << 64), mins)] * rng.randint(1, 2)
+        rows += [(h, rng.randint(80, 110), signed(v >> 64), signed(v & (1 << 64) - 1), mins)] * rng.randint(1, 2)
     of = {}
-    for g, h in lines.alike_groups(spark.createDataFrame(rows, "h long, size int, s long, mins binary"), bucket=bucket).collect():
+    for g, h in lines.alike_groups(spark.createDataFrame(rows, "h long, size int, s long, t long, mins binary"), bucket=bucket).collect():
         of.setdefault(h, set()).add(g)
     tables = lambda m: {(k, m[6 * k : 6 * k + 6]) for k in range(lines.TABLES)}
+    bits = lambda x, y: ((x ^ y) & (2**64 - 1)).bit_count()
     n = 0
-    for (h, a, s, m), (i, b, t, o) in itertools.combinations(sorted(set(rows)), 2):
-        if ((s ^ t) & (2**64 - 1)).bit_count() <= lines.RADIUS and abs(a - b) <= 0.2 * max(a, b) and tables(m) & tables(o):
+    for (h, a, s, t, m), (i, b, u, v, o) in itertools.combinations(sorted(set(rows)), 2):
+        if bits(s, u) + bits(t, v) <= lines.RADIUS and abs(a - b) <= 0.2 * max(a, b) and tables(m) & tables(o):
             assert of.get(h, set()) & of.get(i, set())
             n += 1
     assert n > 1000
 
 
+def test_line_hashes_are_those_of_normal_forms():
+    rng = random.Random(3)
+    texts = ["", "\n", " a\n\nb c ", "Ünï  Σς!x\n--\n" + "é" * 30, "x" * 5000, "İ ß\r\n\x1e", *("".join(rng.choice("ab Éß.\n\t日-") for _ in range(rng.randint(0, 60))) for _ in range(300))]
+    for said, found in zip(texts, lines.LineHashes(1)(texts), strict=True):
+        want = [(n, x) for n, x in enumerate(lines.normal(y) for y in said.split("\n")) if x]
+        assert [(n, h, size) for n, h, size, *_ in found] == [(n, (k := xxhash.xxh3_64_intdigest(x)) - (k >> 63 << 64), len(x)) for n, x in want]
+
+
 def test_large_buckets_and_joined_places_give_the_same_lines(spark):
     rng = random.Random(8)
     words = [f"w{i}" for i in range(300)]
