@@ -1,13 +1,15 @@
 """Licence scans by sentence rules.
 
 Texts are parted into sentence fragments, fragments that stand together are normalised and looked up among known licence
-sentences, and the sequence of their identifiers is matched against rules, each an ordered list of identifiers for a licence.
-A text without any word of licences is done after one search.
+sentences, and the sequence of their identifiers is matched against rules, each an ordered list of identifiers for a licence and the
+most other fragments that may lie between two of them. A text that lacks all of a few words, of which each known sentence has
+one, is done after a search for them.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,13 @@ SENTENCES = {
     "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+    "bsd-names-regents": "neither the name of the university nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-warranty-regents": "this software is provided by the regents and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "bsd-liability-owner": "in no event shall the copyright owner or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    "bsd-liability": "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    "zlib-warranty": "this software is provided as is without any express or implied warranty",
+    "zlib-liability": "in no event will the authors be held liable for any damages arising from the use of this software",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
     "bsd-names": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "bsd-warranty": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
     "apache-use": "you may not use this file except in compliance with the license",
@@ -34,8 +43,12 @@ SENTENCES = {
     "gpl-later-2": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
     "gpl-later-3": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lgpl-later-3": "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-later-3": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "mpl-copy": "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
     "mpl-form": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "unlicense-domain": "this is free and unencumbered software released into the public domain",
+    "unlicense-anyone": "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
 }
 #: Names that notices give to licences.
 NAMES = {
@@ -56,28 +69,35 @@ NAMES = {
 }
 #: How notices begin.
 OPENINGS = ("licensed under", "released under", "distributed under", "published under", "available under", "this work is licensed under", "this software is licensed under", "this project is licensed under", "this file is licensed under", "spdx license identifier")
-#: (licence, identifiers in order). Of rules that share sentences the one with more sentences wins, then the first.
-RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
-    ("MIT", ("mit-grant", "mit-notice", "mit-warranty")),
-    ("MIT", ("mit-grant", "mit-notice", "mit-warranty", "mit-liability")),
-    ("ISC", ("isc-grant", "isc-warranty")),
-    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-warranty")),
-    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
-    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
-    ("Apache-2.0", ("notice:Apache-2.0", "apache-use", "apache-copy", "apache-basis", "apache-see")),
-    ("Apache-2.0", ("apache-use", "apache-copy", "apache-basis")),
-    ("GPL-2.0-or-later", ("gpl-later-2",)),
-    ("GPL-2.0-or-later", ("gpl-later-2", "gpl-hope")),
-    ("GPL-3.0-or-later", ("gpl-later-3",)),
-    ("GPL-3.0-or-later", ("gpl-later-3", "gpl-hope")),
-    ("MPL-2.0", ("mpl-form",)),
-    ("Unlicense", ("unlicense-domain",)),
-    *((name, (f"notice:{name}",)) for name in NAMES),
-)
-#: Fragments that one sentence may be spread over, and other fragments between two sentences of a rule.
-FRAGMENTS = 12
+#: Other fragments between two sentences of a rule, where the rule says nothing else; long enough for list items and notices.
 GAP = 6
-_ANCHOR = re.compile(r"licen[cs]e|permission|redistribut|warrant|copyright|liable|spdx|free software|public domain|(?:released|distributed|published|available)[^a-z0-9]+under", re.IGNORECASE)
+#: (licence, identifiers in order, gap). Of rules that share sentences the one with more sentences wins, then the first. Notices are whole by
+#: themselves; texts that are printed in one piece have the gap of their longest list.
+RULES: tuple[tuple[str, tuple[str, ...], int], ...] = (
+    ("MIT", ("mit-grant", "mit-notice", "mit-warranty"), GAP),
+    ("MIT", ("mit-grant", "mit-notice", "mit-warranty", "mit-liability"), GAP),
+    ("ISC", ("isc-grant", "isc-warranty"), GAP),
+    *(
+        ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", names, *rest), GAP)
+        for names in ("bsd-names", "bsd-names-regents")
+        for rest in ((), ("bsd-warranty",), ("bsd-warranty-regents",))
+    ),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary"), GAP),
+    ("Apache-2.0", ("notice:Apache-2.0", "apache-use", "apache-copy", "apache-basis", "apache-see"), GAP),
+    ("Apache-2.0", ("apache-use", "apache-copy", "apache-basis"), GAP),
+    ("GPL-2.0-or-later", ("gpl-later-2",), GAP),
+    ("GPL-2.0-or-later", ("gpl-later-2", "gpl-hope"), GAP),
+    ("GPL-3.0-or-later", ("gpl-later-3",), GAP),
+    ("GPL-3.0-or-later", ("gpl-later-3", "gpl-hope"), GAP),
+    ("LGPL-3.0-or-later", ("lgpl-later-3",), GAP),
+    ("AGPL-3.0-or-later", ("agpl-later-3",), GAP),
+    ("MPL-2.0", ("mpl-form",), GAP),
+    ("MPL-2.0", ("mpl-form", "mpl-copy"), GAP),
+    ("Zlib", ("zlib-warranty", "zlib-liability", "zlib-grant"), GAP),
+    ("Unlicense", ("unlicense-domain",), GAP),
+    ("Unlicense", ("unlicense-domain", "unlicense-anyone"), GAP),
+    *((name, (f"notice:{name}",), 0) for name in NAMES),
+)
 _PART = re.compile(r"[.!?:;](?=\s|$)|\n")
 _PLAIN = re.compile(r"[a-z0-9]+")
 
@@ -98,28 +118,38 @@ def known_sentences() -> dict[str, str]:
     return out
 
 
+def telling_words(sentences: dict[str, str]) -> list[str]:
+    """A few words of which every sentence has one, long ones where there are such."""
+    left = [set(s.split(" ")) for s in sentences]
+    left = [{w for w in words if len(w) >= 7} or words for words in left]
+    out = []
+    while left:
+        counts = Counter(w for words in left for w in words)
+        out.append(min(counts, key=lambda w: (-counts[w], -len(w), w)))
+        left = [words for words in left if out[-1] not in words]
+    return out
+
+
 class Scanner:
-    def __init__(self, sentences: dict[str, str], rules=RULES, gap: int = GAP) -> None:
+    def __init__(self, sentences: dict[str, str], rules=RULES) -> None:
         self.known = sentences
         self.rules = sorted(rules, key=lambda r: -len(r[1]))
-        self.gap = gap
-        self.starts = {s.split(" ", 1)[0] for s in sentences}
-        self.most = max(map(len, sentences))
+        self.words = telling_words(sentences)
+        self.beginnings = {s[:i] for s in sentences for i, c in enumerate(s + " ") if c == " "}
 
     def sentences(self, text: str) -> list[tuple[int, int, str]]:
         """(first fragment, last fragment, identifier) of the known sentences in a text, the longest at each place."""
         fragments = [n for x in _PART.split(text) if (n := normal(x))]
         out, i = [], 0
         while i < len(fragments):
-            found = None
-            if fragments[i].split(" ", 1)[0] in self.starts:
-                said = ""
-                for j in range(i, min(i + FRAGMENTS, len(fragments))):
-                    said = f"{said} {fragments[j]}" if said else fragments[j]
-                    if len(said) > self.most:
-                        break
-                    if said in self.known:
-                        found = (i, j, self.known[said])
+            found, said, j = None, fragments[i], i
+            while said in self.beginnings:  # of known sentences, so that this ends with the longest
+                if said in self.known:
+                    found = (i, j, self.known[said])
+                j += 1
+                if j == len(fragments):
+                    break
+                said = f"{said} {fragments[j]}"
             if found:
                 out.append(found)
                 i = found[1]
@@ -128,17 +158,18 @@ class Scanner:
 
     def __call__(self, text: str | None) -> tuple[list[tuple[str, int, int, int]], int]:
         """Matches (licence, first and last fragment, sentences) in order, and how many known sentences the text has."""
-        if not text or not _ANCHOR.search(text):
+        low = (text or "").lower()
+        if not any(w in low for w in self.words):
             return [], 0
         found = self.sentences(text)
         used, out = set(), []
-        for licence, wanted in self.rules:
+        for licence, wanted, gap in self.rules if found else ():
             for at, (first, _, name) in enumerate(found):
                 if name != wanted[0] or at in used:
                     continue
                 places, k = [at], at + 1
                 while len(places) < len(wanted) and k < len(found):
-                    if found[k][0] - found[places[-1]][1] - 1 > self.gap:
+                    if found[k][0] - found[places[-1]][1] - 1 > gap:
                         break
                     if found[k][2] == wanted[len(places)] and k not in used:
                         places.append(k)
@@ -149,15 +180,17 @@ class Scanner:
         return sorted(out, key=lambda m: (m[1], m[2], m[0])), len(found)
 
 
-def scanned(docs: DataFrame, sentences: dict[str, str] | None = None, rules=RULES, gap: int = GAP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scanned(docs: DataFrame, sentences: dict[str, str] | None = None, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs -> (doc_id, matches array<struct<licence,first,last,sentences>>, n_sentences): a row for each row, in no order.
 
-    first and last count the text's sentence fragments from 0. Null and empty texts have no matches. A sentence serves one match.
+    first and last count the text's sentence fragments from 0. Null and empty texts have no matches; an empty table gives an empty
+    one. A sentence serves one match: of rules that share it the longest, then the first listed, and of places the first. Rows that
+    repeat are scanned each; other columns of docs don't matter. A sentence may be spread over any number of fragments.
     """
     known = known_sentences() if sentences is None else sentences
 
     def run(rows):
-        scan = Scanner(known, rules, gap)
+        scan = Scanner(known, rules)
         for doc_id, text in rows:
             matches, n = scan(text)
             yield doc_id, [dict(zip(("licence", "first", "last", "sentences"), m, strict=True)) for m in matches], n
@@ -167,5 +200,6 @@ def scanned(docs: DataFrame, sentences: dict[str, str] | None = None, rules=RULE
 
 
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences found in each document (distinct, sorted), its matches and its known sentences; a row for each."""
     rows = scanned(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.array_join(F.sort_array(F.array_distinct(F.col("matches.licence"))), " ").alias("licences"), F.size("matches").cast("long").alias("n_matches"), "n_sentences")
