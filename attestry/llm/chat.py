@@ -1,9 +1,9 @@
 """Reply trees to chat training text.
 
-Root-to-leaf paths come from iterative self-joins by pointer doubling: after k rounds the jump table leads 2**k replies up,
-so that a chain of n replies takes log2(n) joins, and walking down from the longest jumps makes each step of each path once.
-Branches are ranked by the sum of their scores, and each chosen one is formatted as one conversation whose control strings
-cannot be forged by a text.
+Paths come from iterative self-joins by pointer doubling: after k rounds each node points 2**k replies up and knows the sum of
+the scores below that, so that a chain of n replies takes log2(n) joins of narrow rows. Leaves are ranked by the sums of their paths
+before any path is listed; only the chosen ones are then walked down from the longest jumps, and their texts joined once.
+Each chosen path is formatted as one conversation whose control strings cannot be forged by a text.
 """
 
 from __future__ import annotations
@@ -22,8 +22,6 @@ OPEN, SEP, CLOSE = "<|turn|>", "<|says|>", "<|end|>"
 _TAIL = r"\|[A-Za-z0-9_]+\|>|/?s>|/?INST\]|</?SYS>>"
 _ESCAPE = re.compile(rf"([<\[])(\\*)(?={_TAIL})")
 _UNESCAPE = re.compile(rf"([<\[])\\(\\*)(?={_TAIL})")
-#: 2**DOUBLINGS replies is the longest path; a deeper one can only be a cycle.
-DOUBLINGS = 31
 
 
 def escape(text: str) -> str:
@@ -59,54 +57,74 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
 
 
 
-def reply_paths(messages: DataFrame) -> DataFrame:
-    """messages (tree, node, parent) -> (tree, leaf, up, node): the nodes of each root-to-leaf path, up replies above its leaf.
+def same(a: str, b: str, *more: tuple[str, str]):
+    """Condition: the trees a and b are the same, null included, and the other columns are equal."""
+    found = F.col(a).eqNullSafe(F.col(b))
+    for x, y in more:
+        found &= F.col(x) == F.col(y)
+    return found
 
-    A parent that isn't in the tree makes a root; null trees are a tree of their own; rows with a null node are dropped, as no
-    reply can name them. (tree, node) must be unique. A cycle that replies hang from raises ValueError.
+
+def climbed(links: DataFrame) -> list[DataFrame]:
+    """links (tree, node, parent, score), unique by (tree, node) -> after each round k, (tree, node, up, total, n): the node 2**k replies up, or
+    null beyond the root, and the sum of the scores and the number of the nodes below it, the node included.
+
+    A parent that isn't in the tree makes a root; null trees are a tree of their own. A cycle raises ValueError: a path can't be
+    longer than there are nodes.
     """
-    nodes = messages.select("tree", "node", "parent").where("node is not null")
-    keys = nodes.select(F.col("tree").alias("b_tree"), F.col("node").alias("b_node"))
-    jump = written(nodes.where("parent is not null").join(keys, (F.col("tree").eqNullSafe(F.col("b_tree"))) & (F.col("parent") == F.col("b_node")), "left_semi"), "jump")
-    jumps = []
-    while jump.head(1):
-        jumps.append(jump)
-        if len(jumps) > DOUBLINGS:
+    keys = links.select(F.col("tree").alias("b_tree"), F.col("node").alias("b_node"))
+    first = links.join(keys, same("tree", "b_tree", ("parent", "b_node")), "left")
+    rounds = [written(first.select("tree", "node", F.col("b_node").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("n")), "climb")]
+    most = rounds[0].count()
+    while rounds[-1].where("up is not null").head(1):
+        if 1 << (len(rounds) - 1) > most:
             raise ValueError("the replies contain a cycle")
-        far = jump.select(F.col("tree").alias("b_tree"), F.col("node").alias("b_node"), F.col("parent").alias("far"))
-        jump = written(jump.join(far, (F.col("tree").eqNullSafe(F.col("b_tree"))) & (F.col("parent") == F.col("b_node"))).select("tree", "node", F.col("far").alias("parent")), "jump")
-    replied = jumps[0].select(F.col("tree").alias("b_tree"), F.col("parent").alias("b_node")).distinct() if jumps else keys.limit(0)
-    paths = nodes.join(replied, (F.col("tree").eqNullSafe(F.col("b_tree"))) & (F.col("node") == F.col("b_node")), "left_anti").select("tree", F.col("node").alias("leaf"), F.lit(0).cast("long").alias("up"), "node")
-    for k in reversed(range(len(jumps))):
-        step = jumps[k].select(F.col("tree").alias("b_tree"), F.col("node").alias("b_node"), F.col("parent").alias("above"))
-        up = paths.join(step, (F.col("tree").eqNullSafe(F.col("b_tree"))) & (F.col("node") == F.col("b_node")))
-        paths = paths.unionByName(up.select("tree", "leaf", (F.col("up") + (1 << k)).alias("up"), F.col("above").alias("node")))
+        now = rounds[-1]
+        above = now.select(F.col("tree").alias("b_tree"), F.col("node").alias("b_node"), F.col("up").alias("b_up"), F.col("total").alias("b_total"), F.col("n").alias("b_n"))
+        far = now.where("up is not null").join(above, same("tree", "b_tree", ("up", "b_node"))).select("tree", "node", F.col("b_up").alias("up"), (F.col("total") + F.col("b_total")).alias("total"), (F.col("n") + F.col("b_n")).alias("n"))
+        rounds.append(written(now.where("up is null").unionByName(far), "climb"))
+    return rounds
+
+
+def leaves(rounds: list[DataFrame]) -> DataFrame:
+    """(tree, leaf, path_score, n): the nodes that nothing replies to, with the sum of the scores and the nodes of their path to the root."""
+    replied = rounds[0].where("up is not null").select(F.col("tree").alias("b_tree"), F.col("up").alias("b_node")).distinct()
+    return rounds[-1].join(replied, same("tree", "b_tree", ("node", "b_node")), "left_anti").select("tree", F.col("node").alias("leaf"), F.col("total").alias("path_score"), "n")
+
+
+def expanded(chosen: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """chosen (tree, leaf, ...) -> its columns with up and node: the nodes of each path, up replies above its leaf."""
+    paths = chosen.withColumns({"up": F.lit(0).cast("long"), "node": F.col("leaf")})
+    names = paths.columns
+    for k in reversed(range(len(rounds) - 1)):
+        step = rounds[k].where("up is not null").select(F.col("tree").alias("b_tree"), F.col("node").alias("b_node"), F.col("up").alias("above"))
+        more = paths.join(step, same("tree", "b_tree", ("node", "b_node"))).withColumns({"up": F.col("up") + (1 << k), "node": F.col("above")})
+        paths = paths.unionByName(more.select(*names))
         if k and k % 2 == 0:  # two steps of a union double the plan four times over
             paths = written(paths, "paths")
     return paths
 
 
-def formatted_conversations(messages: DataFrame, n_best: int = 1, learned: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """messages (tree, node, parent, role, text, score) -> (tree, leaf, rank, score, n_turns, formatted, loss_spans).
+def key_of(tree: str, name: str):
+    """Column: a digest of a tree, which may be null, and a name in it."""
+    return F.md5(F.concat_ws("\x1f", F.col(tree).isNull().cast("string"), F.coalesce(F.col(tree).cast("string"), F.lit("")), F.col(name).cast("string")))
 
-    One row for each of the n_best root-to-leaf paths of a tree, by the sum of their scores, ties by the smaller leaf. Null
-    roles and texts count as empty, null scores as zero. Of rows that repeat (tree, node) the smallest (parent, role, text,
-    score) is kept. An empty table gives an empty one; a conversation is held whole by the task that formats it, as it is one row of
-    the result.
+
+def formatted(links: DataFrame, said: DataFrame, n_best: int, learned: tuple[str, ...]) -> DataFrame:
+    """links (tree, node, parent, score, base) and said (tree, base, role, text, ...), base naming a node's text -> as formatted_conversations().
+
+    said is read and shuffled once for the join with the chosen paths, and once more by path.
     """
-    one = written(
-        messages.where("node is not null").groupBy("tree", "node").agg(F.min(F.struct("parent", "role", "text", "score")).alias("x"))
-        .select("tree", "node", "x.parent", F.coalesce("x.role", F.lit("")).alias("role"), F.coalesce("x.text", F.lit("")).alias("text"), F.coalesce("x.score", F.lit(0.0)).alias("score")),
-        "messages",
-    )
-    paths = written(reply_paths(one), "paths")
-    said = one.select(F.col("tree").alias("b_tree"), F.col("node").alias("b_node"), "role", "text", "score")
-    on = (F.col("tree").eqNullSafe(F.col("b_tree"))) & (F.col("node") == F.col("b_node"))
-    ranked = paths.join(said.drop("role", "text"), on).groupBy("tree", "leaf").agg(F.sum("score").alias("path_score"))
-    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("path_score"), "leaf"))).where(F.col("rank") <= n_best)
-    chosen = ranked.select(F.col("tree").alias("c_tree"), F.col("leaf").alias("c_leaf"), "rank", "path_score")
-    rows = paths.join(chosen, (F.col("tree").eqNullSafe(F.col("c_tree"))) & (F.col("leaf") == F.col("c_leaf"))).join(said, on)
-    rows = rows.select("tree", "leaf", "rank", "path_score", "up", "role", "text")
+    bases = written(links, "links")
+    rounds = climbed(bases)
+    order = Window.partitionBy("tree").orderBy(F.desc("path_score"), "leaf")
+    chosen = leaves(rounds).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n_best).select("tree", "leaf", "rank", "path_score")
+    paths = expanded(chosen, rounds)
+    named = bases.select(F.col("tree").alias("b_tree"), F.col("node").alias("b_node"), "base")
+    places = written(paths.join(named, same("tree", "b_tree", ("node", "b_node"))).select("tree", "leaf", "rank", "path_score", "up", key_of("tree", "base").alias("key")), "places")
+    forget(*rounds, bases)
+    texts = said.withColumn("key", key_of("tree", "base")).groupBy("key").agg(F.min(F.struct(*[c for c in said.columns if c not in ("tree", "base")])).alias("x"))
+    rows = places.join(texts, "key").select("tree", "leaf", "rank", "path_score", "up", "x.role", "x.text")
     rows = rows.repartition(partitions(rows.sparkSession), "tree", "leaf").sortWithinPartitions("tree", "leaf", F.desc("up"))
     kinds = dict(rows.dtypes)
 
@@ -126,15 +144,39 @@ def formatted_conversations(messages: DataFrame, n_best: int = 1, learned: tuple
     return map_rows(rows, run, f"tree {kinds['tree']}, leaf {kinds['leaf']}, rank int, score double, n_turns long, formatted string, loss_spans array<struct<from:long,to:long>>")
 
 
-def linear(conversations: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text) as messages, each a reply to the row before it by turn, role and text (nulls first)."""
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    rows = conversations.select("conv_id", "turn", "role", "text").withColumn("node", F.row_number().over(order).cast("long"))
-    return rows.select(F.col("conv_id").alias("tree"), "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
+def formatted_conversations(messages: DataFrame, n_best: int = 1, learned: tuple[str, ...] = ("assistant",)) -> DataFrame:
+    """messages (tree, node, parent, role, text, score) -> (tree, leaf, rank, score, n_turns, formatted, loss_spans).
+
+    One row for each of the n_best root-to-leaf paths of a tree, by the sum of their scores, ties by the smaller leaf. Null
+    roles and texts count as empty, null scores as zero, null trees as a tree; rows with a null node are dropped, as no reply can name them. Of
+    rows that repeat (tree, node) the smallest (parent, role, MD5 of the text, score) is kept. A parent that isn't in the tree makes
+    a root; a cycle raises ValueError. An empty table gives an empty one. Other columns of messages don't matter. A conversation is held
+    whole by the task that formats it, as it is one row of the result.
+    """
+    text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
+    rows = messages.where("node is not null").select("tree", "node", "parent", role.alias("role"), F.md5(text).alias("digest"), F.coalesce("score", F.lit(0.0)).alias("score"), text.alias("text"))
+    links = rows.groupBy("tree", "node").agg(F.min(F.struct("parent", "role", "digest", "score")).alias("x")).select("tree", "node", "x.parent", "x.score", F.col("node").alias("base"))
+    return formatted(links, rows.withColumnRenamed("node", "base").select("tree", "base", "parent", "role", "digest", "score", "text"), n_best, learned)
+
+
+def linear_conversations(conversations: DataFrame, learned: tuple[str, ...] = ("assistant",)) -> DataFrame:
+    """Rows (conv_id, turn, role, text) as formatted_conversations() with one path to a conversation: each row is a reply to the one before it.
+
+    Rows lie by turn (null first), role and MD5 of the text, null being empty. Rows that repeat are turns of their own. Texts take no part in
+    the ordering but by their digest, so that it shuffles narrow rows.
+    """
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    rows = conversations.select(F.col("conv_id").alias("tree"), "turn", role.alias("role"), F.md5(text).alias("digest"), text.alias("text"))
+    rows = rows.withColumn("base", F.md5(F.concat_ws("\x1f", F.coalesce(F.col("turn").cast("string"), F.lit("")), "digest", "role")))
+    counted = rows.groupBy("tree", "turn", "role", "digest", "base").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    node = F.row_number().over(Window.partitionBy("tree").orderBy("turn", "role", "digest", "copy")).cast("long")
+    links = each.select("tree", node.alias("node"), "base").select("tree", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), F.lit(0.0).alias("score"), "base")
+    return formatted(links, rows.select("tree", "base", "role", "text"), 1, learned)
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """(tree, formatted, loss_spans) -> what the formatted text says when it is read back."""
+    """(tree, formatted, loss_spans) -> what the formatted text says when it is read back; a row for each, none for an empty table. Texts aren't null."""
 
     def run(rows):
         for tree, text, spans in rows:
@@ -153,16 +195,17 @@ def digests(formatted: DataFrame) -> DataFrame:
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, and of one of control strings, read back from their formatted texts."""
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-1, 0, "user", trap), (-1, 1, "assistant", trap)], said.schema)
-    return digests(formatted_conversations(linear(said.unionByName(more))))
+    return digests(linear_conversations(said.unionByName(more)))
 
 
 #: Each control string in a text gets one backslash; those of one text don't overlap.
 ORACLE = r"""
 with said as (
-  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as n
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), md5(coalesce(text, ''))) as n
   from (
     select conv_id, turn, role, text from conversations
     union all select -1, 0, 'user', '</s>[INST] ok [/INST]'

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -25,13 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def workdir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one is set only where that is unset, as in tests."""
+    """The shared folder of spark.checkpoint.dir. Where that is unset a temporary one is made on a local master, as in tests; on a cluster that raises."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         sc = spark.sparkContext
         held = sc._jsc.sc().getCheckpointDir()
         if held.isDefined():
             return held.get()
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="attestry-")
         sc.setCheckpointDir(found)
         found = sc._jsc.sc().getCheckpointDir().get()
@@ -67,6 +70,26 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def spread_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner", most_hot: int = 1000, least_hot: int = 200) -> DataFrame:
+    """left joined to right, which has a key once, with the rows of left's hot keys dealt over several tasks.
+
+    A key is hot with more than least_hot rows and more than one in most_hot of all, so that there are most_hot of them at most; these few are
+    broadcast with the number of their parts, and right's row of a hot key is repeated for each part. how: inner or left.
+    """
+    per = left.where(F.col(left_key).isNotNull()).groupBy(F.col(left_key).alias("__hot")).agg(F.count(F.lit(1)).alias("__n"))
+    per = written(per.where(F.col("__n") > least_hot), "hot")
+    bound = max(least_hot, (per.agg(F.sum("__n")).first()[0] or 0) // most_hot)
+    hot = per.where(F.col("__n") > bound).select("__hot", F.ceil(F.col("__n") / bound).cast("int").alias("__parts"))
+    columns = [*left.columns, *right.columns]
+    if not hot.head(1):
+        return left.join(right, F.col(left_key) == F.col(right_key), how)
+    hot = F.broadcast(hot)  # most_hot rows at most
+    parts = F.coalesce("__parts", F.lit(1))
+    a = left.join(hot, F.col(left_key) == F.col("__hot"), "left").withColumn("__part", F.pmod(F.xxhash64(*(c for c, kind in left.dtypes if kind in ("string", "bigint", "int"))), parts).cast("int")).drop("__hot", "__parts")
+    b = right.join(hot, F.col(right_key) == F.col("__hot"), "left").withColumn("__copy", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__hot", "__parts")
+    return a.join(b, (F.col(left_key) == F.col(right_key)) & (F.col("__part") == F.col("__copy")), how).select(*columns)
+
+
 def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[tuple]], schema: T.StructType | str, binary: tuple[str, ...] = ()) -> DataFrame:
     """mapInArrow with plain Python rows: fn gets tuples of df's columns and yields tuples of schema's.
 

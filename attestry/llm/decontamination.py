@@ -4,7 +4,8 @@ Documents are cut into overlapping passages of words. Words of the benchmark are
 frequency over all passages; a randomised eigendecomposition of the passages' term covariance (the right singular vectors of
 the TF-IDF matrix) is summed over all passages in one pass and solved on the driver, where it is terms by rank. Passages and
 benchmark items are compared by cosine in that space, and candidates are checked on their words: by the longest common
-subsequence with the item, and for paraphrases also by that of its rarer words, or by its last words.
+subsequence with the item, and for paraphrases also by that of its rarer words, or by its last words. Items of few words have no
+such shape; they are looked for word by word.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm.common import map_rows, partitions, table, written
+from attestry.llm.common import forget, map_rows, partitions, table, written
 
 #: Words of a passage and from one passage to the next; a passage is a whole number of strides.
 STRIDE = 32
@@ -38,11 +39,18 @@ RARE_SHARE = 0.4
 ITEMS = 256
 #: Terms whose part of the covariance is summed in one row.
 ROWS = 512
+#: Items of fewer words count only as a whole, with their words on end, and of fewer than ALONE words only as the whole text.
+LEAST_WORDS = 8
+ALONE = 3
 _WORD = re.compile(r"\w+")
+_APART = bytes(c if chr(c).isalnum() and c < 128 or c == 95 else 32 for c in range(256))
 
 
 def words_in(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    low = (text or "").lower()
+    if low.isascii():  # the same words, parted faster
+        return low.encode().translate(_APART).decode().split()
+    return _WORD.findall(low)
 
 
 def common_subsequence(item: list[int], passage: list[int]) -> int:
@@ -59,21 +67,14 @@ def common_subsequence(item: list[int], passage: list[int]) -> int:
     return len(item) - row.bit_count()
 
 
-class Numbers(dict):
-    """Numbers of words, 0 for one that isn't there; faster in map() than get() with a default."""
-
-    def __missing__(self, word: str) -> int:
-        return 0
-
-
 class Terms:
     """The benchmark's words as numbers from 1; any other word is 0."""
 
     def __init__(self, items: list[tuple[int, list[str]]]) -> None:
-        self.number = Numbers((w, i + 1) for i, w in enumerate(sorted({w for _, ws in items for w in ws})))
+        self.number = {w: i + 1 for i, w in enumerate(sorted({w for _, ws in items for w in ws}))}
 
     def __call__(self, words: list[str]) -> np.ndarray:
-        return np.array(list(map(self.number.__getitem__, words)), dtype=np.int32)
+        return np.array(list(map(self.number.get, words, itertools.repeat(0))), dtype=np.int32)
 
 
 def strides(ids: np.ndarray, values: np.ndarray, step: int = STRIDE) -> np.ndarray:
@@ -96,19 +97,20 @@ def passages(sums: np.ndarray, n: int = STRIDES) -> np.ndarray:
 
 
 def numbered(docs: DataFrame, terms: Terms) -> DataFrame:
-    """(doc_id, ids binary): the documents' words as term numbers, in order, without what is behind the last term; two bytes each if that does."""
+    """(doc_id, ids binary, n_words): the documents' words as term numbers, in order, without what is behind the last term; two bytes each if that does."""
     id_kind = dict(docs.dtypes)["doc_id"]
     kind = kind_of(len(terms.number))
     shared = docs.sparkSession.sparkContext.broadcast(terms.number)  # the words of ITEMS items at most
 
     def run(rows):
-        number = shared.value.__getitem__
+        number = shared.value.get
         for doc_id, text in rows:
-            ids = np.array(list(map(number, words_in(text))), dtype=kind)
+            words = words_in(text)
+            ids = np.array(list(map(number, words, itertools.repeat(0))), dtype=kind)
             last = np.flatnonzero(ids)
-            yield doc_id, ids[: last[-1] + 1].tobytes() if len(last) else b""
+            yield doc_id, ids[: last[-1] + 1].tobytes() if len(last) else b"", len(words)
 
-    return map_rows(docs.select("doc_id", "text"), run, f"doc_id {id_kind}, ids binary")
+    return map_rows(docs.select("doc_id", "text"), run, f"doc_id {id_kind}, ids binary, n_words long")
 
 
 def kind_of(terms: int) -> type:
@@ -213,11 +215,12 @@ def latent_space(ids: DataFrame, items: list[np.ndarray], weights: np.ndarray, r
     omega = np.linalg.qr(rng.standard_normal((terms, min(terms, rank + 8))))[0]
     sketch, size = covariance(ids, omega * weights[:, None])
     sketch *= weights[:, None]
-    own = np.zeros((len(items), terms))
-    for i, item in enumerate(items):
-        np.add.at(own[i], item, weights[item])
-    mine = own.T @ (own @ omega)
-    weight = 1.0 if not size else share / (1 - share) * size / max(1e-12, float(((own @ omega) ** 2).sum()))
+    mine, length = np.zeros((terms, omega.shape[1])), 0.0
+    for item in items:
+        y = weights[item] @ omega[item]
+        np.add.at(mine, item, weights[item][:, None] * y)
+        length += float((y**2).sum())
+    weight = 1.0 if not size else share / (1 - share) * size / max(1e-12, length)
     sketch += weight * mine
     nu = 1e-7 * np.linalg.norm(sketch) + 1e-12
     sketch += nu * omega
@@ -231,6 +234,36 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+class ShortFinder:
+    """Items of few words in a document, from its term numbers: their words on end, found by a hash of as many words from each place."""
+
+    def __init__(self, items: list[tuple[object, np.ndarray]], alone: int = ALONE) -> None:
+        self.alone = alone
+        self.of: dict[int, dict[int, list[tuple[object, list[int]]]]] = {}
+        for item, ids in items:
+            self.of.setdefault(len(ids), {}).setdefault(int(self.hashed(ids, len(ids))[0]), []).append((item, ids.tolist()))
+        self.keys = {n: np.array(sorted(found), dtype=np.uint64) for n, found in self.of.items()}
+
+    @staticmethod
+    def hashed(ids: np.ndarray, n: int) -> np.ndarray:
+        out, ids = np.zeros(len(ids) - n + 1, dtype=np.uint64), ids.astype(np.uint64)
+        for k in range(n):
+            out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + ids[k : len(ids) - n + 1 + k]
+        return out
+
+    def __call__(self, ids: np.ndarray, n_words: int) -> dict[object, float]:
+        found = {}
+        for n, keys in self.keys.items():
+            if len(ids) < n or n < self.alone and n_words != n:
+                continue
+            hashes = self.hashed(ids, n)
+            for at in np.flatnonzero(np.isin(hashes, keys)).tolist():
+                for item, said in self.of[n][int(hashes[at])]:
+                    if said == ids[at : at + n].tolist():
+                        found[item] = 1.0
+        return found
+
+
 class Finder:
     """Items of the benchmark in a document, from its term numbers."""
 
@@ -289,47 +322,72 @@ class Finder:
         return found
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, least: float = LEAST_COSINE, verbatim: float = VERBATIM, paraphrase: float = PARAPHRASE, least_words: int = 8, items_at_once: int = ITEMS) -> DataFrame:
+def blocks_of(benchmark: DataFrame, items_at_once: int) -> Iterator[list[tuple[object, list[str]]]]:
+    """The benchmark's items with a word, in order, a block at a time; the driver holds one block."""
+    block: list[tuple[object, list[str]]] = []
+    for r in benchmark.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
+        if words := words_in(r["text"]):
+            block.append((r["item_id"], words))
+        if len(block) == items_at_once:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, least: float = LEAST_COSINE, verbatim: float = VERBATIM, paraphrase: float = PARAPHRASE, least_words: int = LEAST_WORDS, items_at_once: int = ITEMS, share: float = ITEM_SHARE) -> DataFrame:
     """docs (doc_id, text), benchmark (item_id, text) -> (doc_id, item_id, share): items found in documents, in no order.
 
-    The benchmark is a stated query set: it is looked for in blocks of items_at_once items, each a pass over all documents.
-    Items of fewer than least_words words are too short to be told from chance and are left out, null texts with them; items that
-    repeat are found each. Documents with null or empty texts have no leaks. Results are by row of docs, so that rows that repeat
-    a doc_id give repeated results.
+    The benchmark is a stated query set: it is looked for in blocks of items_at_once items, each a pass over all documents. Items of
+    fewer than least_words words are found only with all their words on end, and of fewer than ALONE words only where they are the
+    whole text. Items without a word, null texts with them, are found nowhere; items that repeat are found each. Documents with null or
+    empty texts have no leaks, and empty tables give none. Results are by row of docs, so that rows that repeat a doc_id give repeated results.
     """
-    queries = [(r["item_id"], words) for r in benchmark.select("item_id", "text").toLocalIterator() if len(words := words_in(r["text"])) >= least_words]
+    spark = docs.sparkSession
     kind, key = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
     schema = f"doc_id {kind}, item_id {key}, share double"
-    out = docs.sparkSession.createDataFrame([], schema)
-    queries.sort(key=lambda q: (q[0] is None, q[0] or 0, q[1]))
-    for at in range(0, len(queries), items_at_once):
-        block = queries[at : at + items_at_once]
+    out, ids, shared = spark.createDataFrame([], schema), None, None
+    for n, block in enumerate(blocks_of(benchmark, items_at_once)):
+        if ids is not None:  # more than one pass: each is done before the next, and leaves its few rows
+            out = written(out, "leaks")
+            forget(ids)
+            shared.unpersist()
         terms = Terms(block)
-        items = [(i, terms(words)) for i, words in block]
+        items = [(i, terms(words)) for i, words in block if len(words) >= least_words]
+        short = [(i, terms(words)) for i, words in block if len(words) < least_words]
         ids = written(numbered(docs, terms), "ids")
-        weights = term_weights(ids, len(terms.number))
-        space = latent_space(ids, [x for _, x in items], weights, rank)
-        shared = docs.sparkSession.sparkContext.broadcast((items, space * weights[:, None], weights))  # ITEMS items, terms by rank numbers
-
-        def run(rows, shared=shared):
-            items, values, weights = shared.value
-            finder, kind = Finder(items, values, least, verbatim, paraphrase, weights), kind_of(len(values) - 1)
-            for doc_id, raw in rows:
-                for item, share in finder(np.frombuffer(raw, kind)).items():
+        weights = values = None
+        if items:
+            weights = term_weights(ids, len(terms.number))
+            values = latent_space(ids, [x for _, x in items], weights, rank, share) * weights[:, None]
+        shared = spark.sparkContext.broadcast((items, short, values, weights))  # items_at_once items, terms by rank numbers
+
+        def run(rows, shared=shared, kind=kind_of(len(terms.number))):
+            items, short, values, weights = shared.value
+            finder = Finder(items, values, least, verbatim, paraphrase, weights) if items else lambda ids: {}
+            whole = ShortFinder(short)
+            for doc_id, raw, n_words in rows:
+                ids = np.frombuffer(raw, kind)
+                for item, share in (finder(ids) | whole(ids, n_words)).items():
                     yield doc_id, item, share
 
-        out = out.unionByName(map_rows(ids, run, schema))
+        out = out.unionByName(map_rows(ids, run, schema)) if n else map_rows(ids, run, schema)
     return out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """docs (doc_id, text) -> a row for each doc_id: contaminated, items (sorted) and share, the largest of an item's words found."""
+    """docs (doc_id, text) -> a row for each doc_id, null included: contaminated, items (sorted) and share, the largest of an item's words found.
+
+    Rows that repeat a doc_id are taken together; null and empty texts are clean, and without items every text is. Other columns of docs don't matter.
+    """
     found = leaks(docs.select("doc_id", "text"), benchmark, **options).groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.max("share").alias("share"))
     found = found.select(F.col("doc_id").alias("f_doc"), "items", "share")
     every = docs.select("doc_id").distinct()
     rows = every.join(found, F.col("doc_id").eqNullSafe(F.col("f_doc")), "left")
-    return rows.select("doc_id", F.col("items").isNotNull().alias("contaminated"), F.coalesce("items", F.array().cast("array<bigint>")).alias("items"), F.coalesce("share", F.lit(0.0)).alias("share"))
+    none = F.array().cast(f"array<{dict(benchmark.dtypes)['item_id']}>")
+    return rows.select("doc_id", F.col("items").isNotNull().alias("contaminated"), F.coalesce("items", none).alias("items"), F.coalesce("share", F.lit(0.0)).alias("share"))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against the whole benchmark: whether a text holds an item, which ones and how much of them; a row for each doc_id."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -10,6 +10,7 @@ costs about m comparisons and gives m - 1 links. Of each connected group of line
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -28,7 +29,7 @@ LEAST_WORDS = 1
 FUZZY_WORDS = 5
 FUZZY_CHARS = 20
 #: Lines whose SimHashes of 128 bits differ in more bits aren't compared (unrelated ones differ in some 54, those of similarity 0.8 in some 27).
-RADIUS = 38
+RADIUS = 35
 #: Min-hashes of a line, the bytes of each, and the words of a shingle.
 TABLES = 6
 WIDTH = 6
@@ -40,8 +41,8 @@ SIMILARITY = 0.8
 BUCKET = 2048
 #: Buckets up to which all pairs are listed.
 PAIRS = 32
-#: Lines to fetch or to look up until which their places are broadcast (some 16 MB), and beyond which they are joined.
-BROADCAST_LINES = 1 << 17
+#: Lines to fetch or to look up until which their places are broadcast (some 24 MB), and beyond which they are joined.
+BROADCAST_LINES = 1 << 19
 #: Multiplier of the words' hashes, its inverse modulo 2**64, a value for each byte, and a constant that parts the SimHash's halves.
 _P = 0x9E3779B97F4A7C15
 _INVERSE = pow(_P, -1, 1 << 64)
@@ -85,42 +86,51 @@ def distance(a: Sequence, b: Sequence, most: int) -> int:
     at: dict[object, int] = {}
     for i, x in enumerate(a):
         at[x] = at.get(x, 0) | 1 << i
-    plus, minus, score = full, 0, len(a)
-    for rest, y in zip(range(len(b) - 1, -1, -1), b, strict=True):
-        eq = at.get(y, 0)
-        vertical = eq | minus
-        eq |= ((eq & plus) + plus) ^ plus
-        up, down = minus | ~(eq | plus) & full, plus & eq
-        if up & top:
-            score += 1
-        elif down & top:
-            score -= 1
-        if score - rest > most:
-            return most + 1
-        up = (up << 1 | 1) & full
-        down = down << 1 & full
-        plus, minus = down | ~(vertical | up) & full, up & vertical
+    plus, minus, score, shift = full, 0, len(a), len(b) - len(a)
+    for j in range(0, len(b), 16):
+        for y in b[j : j + 16]:
+            eq = at.get(y, 0)
+            vertical = eq | minus
+            eq |= ((eq & plus) + plus) ^ plus
+            up, down = minus | ~(eq | plus) & full, plus & eq
+            if up & top:
+                score += 1
+            elif down & top:
+                score -= 1
+            up = (up << 1 | 1) & full
+            down = down << 1 & full
+            plus, minus = down | ~(vertical | up) & full, up & vertical
+        # no distance falls along a diagonal, so that on the last one it bounds the whole from below
+        if (i := j + 16 - shift) > 0 and j + 16 < len(b):
+            mask = (1 << i) - 1
+            if j + 16 + (plus & mask).bit_count() - (minus & mask).bit_count() > most:
+                return most + 1
     return score
 
 
-def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
-    """Whether 1 - distance / longer length is at least `least`.
+def edits(a: str, b: str, most: int) -> int | None:
+    """A number of edits, at most `most`, that turn a into b; None if there is none.
 
     Bounds that are found sooner come first: what differs between a common beginning and end, words replaced one by one, and a
     distance in words, which bounds that in characters by the longest word and its space.
     """
-    longer = max(len(a), len(b))
-    most = int((1 - least) * longer + 1e-9)
     if abs(len(a) - len(b)) > most:
-        return False
+        return None
     a, b = trimmed(a, b)
-    if max(len(a), len(b)) <= most:
-        return True
+    if (n := max(len(a), len(b))) <= most:
+        return n
     one, two = a.split(" "), b.split(" ")
-    if len(one) == len(two) and sum(max(len(x), len(y)) for x, y in zip(one, two, strict=True) if x != y) <= most:
-        return True  # words replaced in their places
-    few = most // (1 + max(map(len, one + two)))
-    return few > 0 and distance(one, two, few) <= few or distance(a, b, most) <= most
+    if len(one) == len(two) and (n := sum(max(len(x), len(y)) for x, y in zip(one, two, strict=True) if x != y)) <= most:
+        return n
+    longest = 1 + max(map(len, one + two))
+    if (few := most // longest) and (n := distance(one, two, few)) <= few:
+        return n * longest
+    return n if (n := distance(a, b, most)) <= most else None
+
+
+def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
+    """Whether 1 - distance / longer length is at least `least`."""
+    return edits(a, b, int((1 - least) * max(len(a), len(b)) + 1e-9)) is not None
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -351,7 +361,7 @@ def _rows(hot: bool, key: np.ndarray | None, g: np.ndarray | None, h: np.ndarray
 def _bucket_groups(near: Near, most: int | None):
     """Batches of (key, h, size, s, t), sorted by (key, h), to rows (hot, key, g, h, size, s, t): the groups of near lines in each bucket, by a hash g of their members.
 
-    The lines of a bucket beyond `most` come back as they are, with hot set. Rows that repeat key and h count once.
+    The last four bits of a key are its table, which is what a group's rows have for a key. The lines of a bucket beyond `most` come back as they are, with hot set. Rows that repeat key and h count once.
     """
 
     def compare(key: np.ndarray, h: np.ndarray, lines: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -381,7 +391,7 @@ def _bucket_groups(near: Near, most: int | None):
         if groups:
             names = [xxhash.xxh64_intdigest(np.sort(h[x]).tobytes()) for x in groups]
             all_ = np.concatenate(groups)
-            yield _rows(False, None, np.repeat(np.array(names, dtype=np.uint64).view(np.int64), [len(x) for x in groups]), h[all_], lines[all_])
+            yield _rows(False, key[all_] & 15, np.repeat(np.array(names, dtype=np.uint64).view(np.int64), [len(x) for x in groups]), h[all_], lines[all_])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 3), np.int64)
@@ -423,48 +433,77 @@ def _bucket_groups(near: Near, most: int | None):
 
 
 def alike_groups(lines: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
-    """lines (h, size, s, t, mins; repeated or not) -> (g, h): groups in which any two lines that agree on a min-hash and are near are found together.
+    """lines (h, size, s, t, mins; repeated or not) -> (g, h, tab): groups, and the first table of each, in which any two lines that agree on a min-hash and are near are found together.
 
     Buckets of more than `bucket` lines are dealt into parts by hash, and each pair of parts is a bucket of its own.
     """
     n = partitions(lines.sparkSession)
     near = Near(radius, similarity)
     schema = "hot boolean, key long, g long, h long, size long, s long, t long"
-    names = F.array(*(F.xxhash64(F.lit(k), F.substring("mins", WIDTH * k + 1, WIDTH)) for k in range(TABLES)))
+    name = lambda k, *columns: F.xxhash64(*columns).bitwiseAND(F.lit(-16)).bitwiseOR(k)
+    names = F.array(*(name(F.lit(k), F.lit(k), F.substring("mins", WIDTH * k + 1, WIDTH)) for k in range(TABLES)))
     rows = lines.select(F.explode(names).alias("key"), "h", F.col("size").cast("long").alias("size"), "s", "t")
     found = written(rows.repartition(n, "key").sortWithinPartitions("key", "h").mapInArrow(_bucket_groups(near, bucket), schema), "groups")
-    out = found.where("not hot").select("g", "h")
+    out = found.where("not hot").select("g", "key", "h")
     hot = found.where("hot").select("key", "h", "size", "s", "t")
     parts = hot.groupBy("key").agg(F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) * 2 / bucket)).cast("int").alias("parts"))
     if parts.head(1):
         part = F.pmod(F.xxhash64("h"), F.col("parts")).cast("int")
         dealt = hot.join(parts, "key").withColumn("a", part).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        dealt = dealt.where("a <> b").select(F.xxhash64("key", F.least("a", "b"), F.greatest("a", "b")).alias("key"), "h", "size", "s", "t")
+        dealt = dealt.where("a <> b").select(name(F.col("key").bitwiseAND(F.lit(15)), "key", F.least("a", "b"), F.greatest("a", "b")).alias("key"), "h", "size", "s", "t")
         dealt = dealt.repartition(n, "key").sortWithinPartitions("key", "h")
-        out = out.unionByName(dealt.mapInArrow(_bucket_groups(near, None), schema).select("g", "h"))
-    return out.distinct()
+        out = out.unionByName(dealt.mapInArrow(_bucket_groups(near, None), schema).select("g", "key", "h"))
+    return out.groupBy("g", "h").agg(F.min("key").cast("int").alias("tab"))
+
+
+class Cluster:
+    """Linked lines: the text of one of them, and edits within which all are of it. Distances obey the triangle inequality."""
 
+    def __init__(self, text: str) -> None:
+        self.text, self.reach, self.longest = text, 0, len(text)
 
-def verified(members: list[tuple[int, int, int, int, bytes, str]], near: Near, similarity: float) -> Iterator[tuple[int, int]]:
-    """members (h, size, s, t, mins, text) of a group -> links (h, h) that connect those whose texts are similar.
+    def take(self, other: Cluster, edits: int) -> None:
+        """Adds lines of which one is that many edits from one of these."""
+        self.reach += edits + 2 * other.reach
+        self.longest = max(self.longest, other.longest)
 
-    A pair is compared only in the first table in which it agrees, of all those in which the whole group does.
+    def out_of_reach(self, text: str, similarity: float) -> bool:
+        """Whether a text is too far from the one that is known for any of these lines to be similar to it."""
+        most = int((1 - similarity) * max(len(text), self.longest) + 1e-9) + self.reach
+        return most < max(len(text), len(self.text)) and edits(text, self.text, most) is None
+
+
+def verified(members: list[tuple[int, int, int, int, bytes, str]], table: int, near: Near, similarity: float) -> Iterator[tuple[int, int]]:
+    """members (h, size, s, t, mins, text) of a table's group -> links (h, h) that connect those whose texts are similar.
+
+    A pair that agrees in an earlier table is compared there.
     """
     h = [m[0] for m in members]
     lines = np.array([m[1:4] for m in members], dtype=np.int64)
     mins = np.frombuffer(b"".join(m[4] for m in members), dtype=np.uint8).reshape(len(members), -1, WIDTH)
-    here = int(np.argmax((mins == mins[:1]).all(axis=(0, 2))))
+    clusters = [Cluster(m[5]) for m in members]
     label = np.arange(len(members))
     for i in range(1, len(members)):
         other = np.flatnonzero(near(lines[:i], lines[i]))
-        if here and len(other):
-            other = other[~(mins[other, :here] == mins[i, :here]).all(axis=2).any(axis=1)]
+        if table and len(other):
+            other = other[~(mins[other, :table] == mins[i, :table]).all(axis=2).any(axis=1)]
         if len(other) > 1:
             other = other[np.argsort(differing(lines[other], lines[i]), kind="stable")]
+        text, far, tried = members[i][5], set(), Counter(label[other].tolist())
         for j in other.tolist():
-            if label[i] != label[j] and similar(members[i][5], members[j][5], similarity):
+            of = int(label[j])
+            if of == label[i] or of in far:
+                continue
+            cluster = clusters[of]
+            if tried[of] > 2 and cluster.out_of_reach(text, similarity):
+                far.add(of)
+                continue
+            tried[of] = 0  # one look at the whole cluster is enough
+            n = edits(text, members[j][5], int((1 - similarity) * max(len(text), len(members[j][5])) + 1e-9))
+            if n is not None:
                 yield h[i], h[j]
-                label[label == label[i]] = label[j]
+                cluster.take(clusters[label[i]], n)
+                label[label == label[i]] = of
 
 
 def line_groups(docs: DataFrame, seen: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, bucket: int = BUCKET, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
@@ -480,7 +519,8 @@ def line_groups(docs: DataFrame, seen: DataFrame, radius: int = RADIUS, similari
     few = F.broadcast if places.count() <= broadcast_lines else lambda df: df
     told = F.first(F.when(F.col("mins").isNotNull(), F.struct("size", "s", "t", "mins")), ignorenulls=True).alias("told")
     first = seen.join(few(places), "h").groupBy("h").agg(F.min(F.struct("doc_id", "mark", "line")).alias("at"), told)
-    wanted = first.groupBy("at.doc_id", "at.mark").agg(F.collect_list(F.struct("at.line", "h", "told.size", "told.s", "told.t", "told.mins")).alias("wanted"))
+    first = written(first.select("h", "at", "told.*"), "first")
+    wanted = first.groupBy("at.doc_id", "at.mark").agg(F.collect_list(F.struct("at.line", "h")).alias("wanted"))
     wanted = few(wanted.select(F.col("doc_id").alias("w_doc"), F.col("mark").alias("w_mark"), "wanted"))
     here = docs.where("text is not null").select("doc_id", "text")
     here = here.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.xxhash64("text") == F.col("w_mark"))).select("text", "wanted")
@@ -489,19 +529,19 @@ def line_groups(docs: DataFrame, seen: DataFrame, radius: int = RADIUS, similari
         for text, places in rows:
             said = text.split("\n")
             for p in places:
-                yield p["h"], p["size"], p["s"], p["t"], p["mins"], normal(said[p["line"]])
+                yield p["h"], normal(said[p["line"]])
 
-    texts = written(map_rows(here, fetch, "h long, size int, s long, t long, mins binary, said string").dropDuplicates(["h"]), "texts")
-    rows = groups.join(texts, "h").repartition(n, "g").sortWithinPartitions("g", "h").select("g", "h", "size", "s", "t", "mins", "said")
+    texts = written(map_rows(here, fetch, "h long, said string").dropDuplicates(["h"]).join(first.drop("at"), "h"), "texts")
+    rows = groups.join(texts, "h").repartition(n, "g").sortWithinPartitions("g", "tab", "h").select("g", "tab", "h", "size", "s", "t", "mins", "said")
     near = Near(radius, similarity)
 
     def verify(found):
-        for _, members in grouped(found, 1):
-            yield from verified([m[1:] for m in members], near, similarity)
+        for (_, table), members in grouped(found, 2):
+            yield from verified([m[2:] for m in members], table, near, similarity)
 
     label = components(map_rows(rows, verify, "a long, b long"))
     out = written(label.select(F.col("node").alias("h"), "label"), "labels")
-    forget(groups, places, texts)
+    forget(groups, places, first, texts)
     return out
 
 

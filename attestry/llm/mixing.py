@@ -27,26 +27,25 @@ BLOCK_WORDS = 128
 SHARD_SLOTS = 1 << 16
 #: Parts of a source in which offsets are summed apart.
 BUCKETS = 4096
-#: A mix is a configuration: sources are listed on the driver, up to this many.
-MAX_SOURCES = 200_000
+#: Sources up to which they are broadcast to the documents (some 10 MB), and beyond which they are joined.
+BROADCAST_SOURCES = 100_000
 
 
 def targets(sizes: list[int], weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> list[float]:
     """Words to take from each source: shares of the whole by weight, none above most times its size, the excess reshared by weight."""
-    share = [weights[i % len(weights)] for i in range(len(sizes))]
-    out, open_, left = [0.0] * len(sizes), set(range(len(sizes))), float(sum(sizes))
-    while open_:
-        total = sum(share[i] for i in open_)
-        over = {i for i in open_ if left * share[i] / total > most * sizes[i]}
-        if not over:
-            for i in open_:
-                out[i] = left * share[i] / total
+    size = np.array(sizes, dtype=np.float64)
+    share = np.resize(np.array(weights, dtype=np.float64), len(size))
+    out, open_, left = np.zeros(len(size)), np.ones(len(size), dtype=bool), float(sum(sizes))
+    while open_.any():
+        fair = left * share / share[open_].sum()
+        over = open_ & (fair > most * size)
+        if not over.any():
+            out[open_] = fair[open_]
             break
-        for i in over:
-            out[i] = most * sizes[i]
-        left -= sum(out[i] for i in over)
-        open_ -= over
-    return out
+        out[over] = most * size[over]
+        left -= float(out[over].sum())
+        open_ &= ~over
+    return out.tolist()
 
 
 def taken(left: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
@@ -147,48 +146,51 @@ def packed(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 
 
 def sources_of(sized: DataFrame, weights: tuple[float, ...]) -> list[tuple]:
-    """(number, source, size, target) by code point, null last."""
-    found = sized.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    """(number, source, size, target) by code point, null last: a row for each source, as a mix is a configuration (some 200 bytes each on the driver)."""
+    found = sized.groupBy("source").agg(F.sum("size").alias("n")).collect()
     rows = sorted(((r["source"], int(r["n"] or 0)) for r in found), key=lambda r: (r[0] is None, (r[0] or "").encode("utf-32-be", "surrogatepass")))
     goal = targets([n for _, n in rows], weights)
     return [(i, s, n, t) for i, ((s, n), t) in enumerate(zip(rows, goal, strict=True))]
 
 
-def mixed(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+def mixed(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, block: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 7, broadcast_sources: int = BROADCAST_SOURCES) -> tuple[DataFrame, DataFrame]:
     """sized (doc_id, source, size long) -> (placed, pieces).
 
     placed has each row with row_id, source_size and target; pieces has the mix: shard, slot, row_id, doc_id, and the words
     [from_word, to_word) of the document that the slot takes there. Pieces of a slot lie in the order of from_at.
-    Rows of size 0 have no pieces. Repeated rows are documents of their own. Null doc_ids and sources are values like others.
+    Rows of size 0 have no pieces. Repeated rows are documents of their own. Null doc_ids and sources are values like others. Of documents
+    that have the same doc_id and size in a source the order is any. An empty table gives empty ones.
     """
     spark = sized.sparkSession
     listed = sources_of(sized, weights)
     plans = [_plan(i, n, t, block, seed) for i, _, n, t in listed]
     names = spark.createDataFrame([(i, s, n, t) for i, s, n, t in listed], "number int, b_source string, source_size long, target double")
-    rows = packed(sized).join(F.broadcast(names), F.col("source").eqNullSafe(F.col("b_source"))).drop("b_source")  # at most MAX_SOURCES rows
+    if len(listed) <= broadcast_sources:
+        names = F.broadcast(names)
+    rows = packed(sized).join(names, F.col("source").eqNullSafe(F.col("b_source"))).drop("b_source")
     placed = written(rows.withColumn("row_id", F.monotonically_increasing_id()), "placed")
 
     quota = np.array([p["slots"] for p in plans], dtype=np.int64)
     shards = shards_of(quota, shard_slots)
-    info = [(p["blocks"], p["slots"], p["last"], n) for p, (_, _, n, _) in zip(plans, listed, strict=True)]
+    info = np.array([(p["blocks"], p["slots"], -1 if p["last"] is None else p["last"], n) for p, (_, _, n, _) in zip(plans, listed, strict=True)], dtype=np.int64).reshape(-1, 4)
+    shared = spark.sparkContext.broadcast((quota, info))  # five numbers for each source
 
     def slots(batches):
+        quota, info = shared.value
         for batch in batches:
             numbers = batch.column(0).to_pylist()  # of a range, so that they follow each other
             for shard, before, counts in draw(quota, shard_slots, seed, numbers[0], numbers[-1] + 1) if numbers else ():
                 slot = 0
                 for i in np.flatnonzero(counts).tolist():
                     n, first = int(counts[i]), int(before[i])
-                    blocks, total, last, size = info[i]
+                    blocks, total, last, size = info[i].tolist()
                     j = np.arange(first, first + n)
                     epoch, inner = j // blocks, j % blocks
                     index = np.empty(n, dtype=np.int64)
                     for e in np.unique(epoch):
                         index[epoch == e] = permuted(inner[epoch == e], blocks, f"{seed}/{i}/{e}".encode())
                     words = np.minimum(block, size - index * block)
-                    if last is not None:
+                    if last >= 0:
                         words[j == total - 1] = last
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(n, shard, np.int32)), pa.array(slot + np.arange(n, dtype=np.int32)), pa.array(np.full(n, i, np.int32)), pa.array(index), pa.array(words)], names=["shard", "slot", "number", "block", "words"])
                     slot += n
@@ -206,7 +208,8 @@ def mixed(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, block: int = B
 def mix_report(docs: DataFrame) -> DataFrame:
     """docs (doc_id, source, text) -> a row for each with size, source_size, target and the words that the mix takes of it.
 
-    Null and empty texts have size 0 and are never taken. An empty table gives an empty one.
+    Null and empty texts have size 0 and are never taken. An empty table gives an empty one. Rows that repeat are documents of their own,
+    and sources of equal weight and size are told apart by name; other columns of docs don't matter.
     """
     sized = written(docs.select("doc_id", F.col("source").cast("string").alias("source"), count_words().alias("size")), "sized")
     placed, pieces = mixed(sized)
@@ -215,4 +218,5 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that the mix takes of each document, with the sizes and targets behind it; a row for each."""
     return mix_report(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

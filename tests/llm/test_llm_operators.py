@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from attestry.llm import chat, decontamination, language, licenses, lines, mixing, ngrams, quality, simhash, warc
+from attestry.llm.common import spread_join
 from attestry.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -89,15 +90,45 @@ def test_reply_trees(spark):
 
 
 def test_long_chains_and_cycles(spark):
-    chain = spark.createDataFrame([("t", i, i - 1 if i else None) for i in range(300)], "tree string, node long, parent long")
-    got = chat.reply_paths(chain).collect()
+    chain = spark.createDataFrame([("t", i, i - 1 if i else None, 1.0) for i in range(300)], "tree string, node long, parent long, score double")
+    rounds = chat.climbed(chain)
+    assert [tuple(r) for r in chat.leaves(rounds).collect()] == [("t", 299, 300.0, 300)]
+    got = chat.expanded(chat.leaves(rounds).select("tree", "leaf"), rounds).collect()
     assert len(got) == 300 and {r["up"] for r in got} == set(range(300)) and all(r["node"] == 299 - r["up"] for r in got)
+    for ring in ([(1, 2), (2, 1)], [(1, 1)], [(1, 2), (2, 3), (3, 1), (4, 3), (5, None)]):
+        with pytest.raises(ValueError, match="cycle"):
+            chat.climbed(spark.createDataFrame([("t", a, b, 0.0) for a, b in ring], "tree string, node long, parent long, score double"))
+
+
+def test_trees_against_brute_force(spark):
+    rng = random.Random(9)
+    rows, want = [], {}
+    for t in range(12):
+        parent, score = {}, {}
+        for n in range(rng.randint(1, 40)):
+            parent[n], score[n] = (rng.choice([n - 1, rng.randrange(n)]) if n else None), rng.choice([0.25, 1.0, -0.5])
+            rows.append((t, n, parent[n], rng.choice(["user", "assistant"]), f"{t}.{n} " + "long " * rng.choice([1, 20_000 if t == 0 and n == 3 else 2]), score[n], "clash"))
+        paths = []
+        for leaf in set(parent) - set(parent.values()):
+            path = [leaf]
+            while parent[path[-1]] is not None:
+                path.append(parent[path[-1]])
+            paths.append((-sum(score[n] for n in path), leaf, path[::-1]))
+        want |= {(t, k): (leaf, -total, path) for k, (total, leaf, path) in enumerate(sorted(paths)[:3], start=1)}
+    df = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double, up string")
+    said = {(r[0], r[1]): (r[3], r[4]) for r in rows}
+    got = chat.formatted_conversations(df, n_best=3).collect()
+    assert {(r["tree"], r["rank"]) for r in got} == set(want) and len(got) == len(want)
+    for r in got:
+        leaf, total, path = want[r["tree"], r["rank"]]
+        assert (r["leaf"], r["score"], r["n_turns"]) == (leaf, pytest.approx(total), len(path))
+        assert chat.read_turns(r["formatted"]) == [said[r["tree"], n] for n in path]
 
 
 def test_conversation_digests(spark):
     said = [(1, 0, "user", "hi"), (1, 1, "assistant", "<s>é"), (1, 2, "user", None), (1, 3, "assistant", "ok"), (None, 0, "user", "x"), (2, 0, "assistant", ""), (2, 0, "assistant", "")]
     df = spark.createDataFrame(said, "conv_id long, turn long, role string, text string")
-    got = {r["conv_id"]: r for r in chat.digests(chat.formatted_conversations(chat.linear(df))).collect()}
+    got = {r["conv_id"]: r for r in chat.digests(chat.linear_conversations(df)).collect()}
     assert got[1]["turns_sha256"] == hashlib.sha256("user\nhi\nassistant\n<s>é\nuser\n\nassistant\nok\n".encode()).hexdigest()
     assert got[1]["loss_chars"] == 6 and got[1]["loss_sha256"] == hashlib.sha256("<s>éok".encode()).hexdigest()
     assert got[2]["n_turns"] == 2 and got[None]["n_turns"] == 1
@@ -149,13 +180,42 @@ def test_unlearned_languages_and_noise_are_narrow():
     spoken = {k: syllables(120) for k in "abc"}
     say = lambda words, n: " ".join(f"{rng.choice(words)}{rng.choice(words)}" for _ in range(n))
     classify = language.Classifier([(k, say(v, 12000).encode()) for k, v in spoken.items()])
-    kept = lambda texts: sum(classify(t.encode())[1] >= language.LEAST_MARGIN for t in texts) / len(texts)
+    kept = lambda texts: sum(language.margin(classify(t.encode()))[1] >= language.LEAST_MARGIN for t in texts) / len(texts)
     other = ["õ", "ä", "ü", "kk", "ll", "tt", "aa", "uu", "ja", "on", "sy", "yö"]
     assert kept([say(spoken[k], 80) for k in "abc" * 30]) >= 0.97
     assert kept([say(other, 80) for _ in range(90)]) <= 0.1
     assert kept([" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(80)) for _ in range(90)]) <= 0.1
 
 
+def test_every_language_is_learned_from_texts_alone(spark):
+    rows = [("en", EN + f" {i}") for i in range(5)] + [("xx", " ".join(f"qo{i % 7}ra zu" for i in range(20_000)))] * 2 + [("12", "12 12"), (None, "who")]
+    a = spark.createDataFrame([(i, lang, t) for i, (lang, t) in enumerate(rows)], "doc_id long, lang string, text string")
+    b = spark.createDataFrame([(-i, lang, t) for i, (lang, t) in enumerate(reversed(rows))], "doc_id long, lang string, text string")
+    learned = language.learn(a)
+    assert [x for x, _ in learned] == ["en", "xx"] and learned == language.learn(b)
+    assert 10_000 < len(learned[1][1]) <= 2 * language.SAMPLE_CHARS + 2
+    more = [(f"l{k}", " ".join(f"{c}{d}{k}" for c in "abcdefgh" for d in "xyz").encode() * 20) for k, c in enumerate("ijklmno")]
+    for block in (1, 2, 64):
+        found = {r["doc_id"]: (r["lang_pred"], r["score"], r["n"]) for r in language.classified(a.withColumn("n", F.lit("x")), learned + more, block=block).collect()}
+        assert [found[k][0] for k in (0, 5, 7)] == ["en", "xx", "und"]
+        assert block == 1 or found == before
+        before = found
+    private = language.classified(a.withColumn("score", F.lit("kept")), learned, names=("__l", "__m"))
+    assert private.where("score = 'kept'").count() == len(rows)
+
+
+def test_marks_belong_to_words():
+    assert language.plain("हिन्दी, ok 12_x") == "हिन्दी ok x".encode()
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = docs.where((language.remainder() == 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    found = language.classified(held, language.learn(docs.where(language.remainder() != 2)))
+    n, right, kept = found.agg(F.count(F.lit(1)), F.count_if(F.col("lang") == F.col("lang_pred")), F.count_if(~language.rejected())).first()
+    assert right >= 0.97 * n and kept >= 0.95 * n
+
+
 # ---- 4 WARC
 
 
@@ -166,18 +226,53 @@ def test_warc(spark, tmp_path):
     warc.write_warc(df, str(tmp_path / "w"))
     records = warc.read_warc(spark, str(tmp_path / "w"))
     got = warc.revisited(warc.transactions(records)).collect()
-    assert len(got) == len(rows) and all(r["request"] and len(r["metadata"]) == 1 for r in got)
+    assert len(got) == len(rows) and all(len(r["requests"]) == len(r["metadata"]) == 1 and not r["others"] for r in got)
     digest = hashlib.sha1(big.encode()).hexdigest()
     mine = [r for r in got if r["payload_digest"] == digest]
     assert sorted(r["main"]["type"] for r in mine) == ["response"] + ["revisit"] * 4
     kept = next(r for r in mine if r["main"]["type"] == "response")
     assert b"page-id: 5\r\n" == bytes(kept["metadata"][0]["payload"]) and bytes(kept["main"]["payload"]) == big.encode()
-    assert all(r["original"] == kept["capture_id"] and r["payload_bytes"] == len(big.encode()) for r in mine if r is not kept)
+    assert all(r["original"] == kept["main"]["record_id"] and r["payload_bytes"] == len(big.encode()) for r in mine if r is not kept)
     assert sum(r["main"]["type"] == "response" for r in got) == 5
+    plan = lambda n: sorted(map(str, warc.captures(df.withColumn("digest", F.lit("clash")), broadcast_rows=n).drop("payload").collect()))
+    assert plan(0) == plan(1 << 17)
     warc.write_warc(df.limit(0), str(tmp_path / "e"))
     assert warc.transactions(warc.read_warc(spark, str(tmp_path / "e"))).count() == 0
 
 
+def test_records_are_connected_in_any_direction(spark):
+    rows = [
+        ("r1", "response", ["q1"]), ("q1", "request", ["r1"]), ("q2", "request", ["r1", "m1"]), ("m1", "metadata", []), ("x", "conversion", ["m1"]),  # a cycle and several links
+        ("r2", "revisit", []), ("q3", "request", ["r2"]), ("m3", "metadata", ["q3"]), ("m2", "metadata", ["r2", "r2"]),  # a chain
+        ("q9", "request", ["lost"]), ("m9", "metadata", ["lost"]), ("r3", "response", []), ("r4", "resource", ["r3"]), ("me", "response", ["me"]), (None, "damaged", []), ("r3", "response", []),
+    ]
+    df = spark.createDataFrame(rows, "record_id string, type string, concurrent_to array<string>").withColumn("capture", F.lit("clash"))
+    names = lambda xs: [x["record_id"] for x in xs]
+    got = {(r["main"] and r["main"]["record_id"], *(tuple(names(r[k])) for k in ("requests", "metadata", "others"))) for r in warc.transactions(df).collect()}
+    assert got == {("r1", ("q1", "q2"), ("m1",), ("x",)), ("r2", ("q3",), ("m2", "m3"), ()), (None, ("q9",), ("m9",), ()), ("r3", (), (), ("r4",)), ("me", (), (), ())}
+
+
+def test_damaged_archives(spark, tmp_path):
+    import gzip
+
+    one = b"WARC/1.1\r\nWARC-Record-ID: a\r\nWARC-Type: metadata\r\nWARC-Concurrent-To: b\r\nWARC-Concurrent-To: c\r\nX: caf\xe9\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
+    bad = b"WARC/1.1\r\nWARC-Type: response\r\n\r\nbody\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(b"junk\r\n" + one + bad + one + b"WARC/1.1\r\nContent-Length: 99\r\n\r\nshort")
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(one) + gzip.compress(one))
+    got = sorted((r["type"], r["record_id"] or "", tuple(r["concurrent_to"])) for r in warc.read_warc(spark, str(tmp_path)).collect())
+    assert got == [("damaged", "", ())] * 3 + [("metadata", "a", ("b", "c"))] * 4
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_are_joined_in_parts(spark, how):
+    rng = random.Random(1)
+    left = [(i, rng.choice(["hot"] * 5 + [f"k{rng.randrange(30)}", "gone", None])) for i in range(800)]
+    a, b = spark.createDataFrame(left, "id long, k string"), spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(30)], "b string, v int")
+    want = [(i, k, {"hot": 1}.get(k, int(k[1:]) if k and k[0] == "k" else None)) for i, k in left]
+    got = [(r["id"], r["k"], r["v"]) for r in spread_join(a, b, "k", "b", how, least_hot=10).collect()]
+    assert sorted(map(str, got)) == sorted(str(w) for w in want if how == "left" or w[2] is not None)
+
+
 # ---- 5 lines
 
 
@@ -289,7 +384,7 @@ def test_lines_of_documents_are_found_by_edit_similarity_alone(spark):
     rows = spark.createDataFrame([(k, x) for k, x in enumerate(said)], "doc_id long, text string")
     groups = lines.alike_groups(lines.occurrences(rows).where("mins is not null"))
     of = {}
-    for g, h in groups.collect():
+    for g, h, _ in groups.collect():
         of.setdefault(h, set()).add(g)
     key = {r["doc_id"]: r["h"] for r in lines.occurrences(rows).collect()}
     found = sum(bool(of.get(key[i], set()) & of.get(key[j], set())) for i, j in pairs)
@@ -308,7 +403,7 @@ def test_alike_groups_lose_no_pair(spark, bucket):
         mins = b"".join(rng.choice((b"common", bytes(rng.choices(range(256), k=6)))) for _ in range(lines.TABLES))
         rows += [(h, rng.randint(80, 110), signed(v >> 64), signed(v & (1 << 64) - 1), mins)] * rng.randint(1, 2)
     of = {}
-    for g, h in lines.alike_groups(spark.createDataFrame(rows, "h long, size int, s long, t long, mins binary"), bucket=bucket).collect():
+    for g, h, _ in lines.alike_groups(spark.createDataFrame(rows, "h long, size int, s long, t long, mins binary"), bucket=bucket).collect():
         of.setdefault(h, set()).add(g)
     tables = lambda m: {(k, m[6 * k : 6 * k + 6]) for k in range(lines.TABLES)}
     bits = lambda x, y: ((x ^ y) & (2**64 - 1)).bit_count()
@@ -447,6 +542,52 @@ def test_pieces_fill_the_slots(spark):
     assert placed.count() == 30
 
 
+def test_mix_against_brute_force(spark):
+    """taken, rebuilt from the drawn slots word by word, on the order in which the documents lie."""
+    docs = corpus(spark)
+    words = lambda t: len(__import__("re").findall(r"[^\x20\x09-\x0D]+", t or ""))
+    rows = docs.collect()
+    sized = spark.createDataFrame([(r["doc_id"], r["source"], words(r["text"])) for r in rows], "doc_id long, source string, size long")
+    assert sorted((str(r["doc_id"]), r["size"]) for r in mixing.mix_report(docs).collect()) == sorted((str(r["doc_id"]), words(r["text"])) for r in rows)
+    for broadcast in (0, 100):
+        placed, pieces = (x.collect() for x in mixing.mixed(sized, block=16, shard_slots=32, seed=3, broadcast_sources=broadcast))
+        names = sorted({r["source"] for r in placed}, key=lambda s: (s is None, s or ""))
+        total = [sum(r["size"] for r in placed if r["source"] == s) for s in names]
+        goal = mixing.targets(total)
+        line = {}
+        for r in sorted(placed, key=lambda r: r["start"]):
+            at = line.setdefault(r["source"], [])
+            assert r["size"] == 0 or r["start"] == len(at)
+            at += [r["row_id"]] * r["size"]
+        plans = [mixing._plan(i, n, t, 16, 3) for i, (n, t) in enumerate(zip(total, goal, strict=True))]
+        want, slots = Counter(), 0
+        for shard, before, counts in mixing.draw(np.array([p["slots"] for p in plans]), 32, 3):
+            assert shard == slots // 32
+            for i, n in enumerate(counts.tolist()):
+                for j in range(int(before[i]), int(before[i]) + n):
+                    slots += 1
+                    epoch, inner = divmod(j, plans[i]["blocks"])
+                    block = int(mixing.permuted(np.array([inner]), plans[i]["blocks"], f"3/{i}/{epoch}".encode())[0])
+                    said = line[names[i]][16 * block : 16 * block + 16]
+                    if j == plans[i]["slots"] - 1 and plans[i]["last"] is not None:
+                        said = said[: plans[i]["last"]]
+                    want.update(said)
+        got = Counter()
+        for p in pieces:
+            got[p["row_id"]] += p["to_word"] - p["from_word"]
+        assert got == want and slots == sum(p["slots"] for p in plans)
+        for s, n, t in zip(names, total, goal, strict=True):
+            assert abs(sum(got[x] for x in set(line.get(s, ()))) - t) <= 1 and t <= 3 * n
+
+
+def test_many_sources(spark):
+    n = 3000
+    sized = spark.createDataFrame([(i, f"s{i}", i % 5) for i in range(n)], "doc_id long, source string, size long")
+    placed, pieces = mixing.mixed(sized, block=4, shard_slots=64)
+    took = {r["row_id"]: r["n"] for r in pieces.groupBy("row_id").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("n")).collect()}
+    assert all(abs(took.get(r["row_id"], 0) - r["target"]) <= 0.5 for r in placed.collect())
+
+
 # ---- 8 decontamination
 
 
@@ -535,6 +676,45 @@ def test_short_copies_of_a_large_benchmark_are_found(spark):
     assert got <= {(k, k) for k in range(300)} and len(got) >= 0.95 * 300
 
 
+def test_short_items_are_found_word_by_word(spark):
+    items = ["What is the capital of France, exactly?", "two words", "a b c", "Yes", None, "", "?!"]
+    docs = [items[0], "so: what IS the\ncapital of france exactly 9", "what is the capital of big france exactly", "Two, words!", "these two words", "x a b c", "a b x c", "yes", "yes yes", None, "", "long " * 50_000 + "a b c"]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").withColumn("ids", F.lit("clash"))
+    for key in ("long", "string"):
+        b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string").withColumn("item_id", F.col("item_id").cast(key))
+        got = {(r["doc_id"], int(r["item_id"])) for r in decontamination.leaks(d, b).collect()}
+        assert got == {(0, 0), (1, 0), (3, 1), (5, 2), (7, 3), (11, 2)}
+        assert decontamination.contamination(d, b).where("contaminated").count() == 6
+
+
+def test_leaks_against_brute_force(spark):
+    """The same verdicts without the latent space: every item against every place of every text."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text is not null").select("doc_id", "text")
+    bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    rng = random.Random(4)
+    held = [r["text"].split() for r in bench.collect()]
+    rows = [tuple(r) for r in docs.collect()]
+    for k in range(120):
+        item = [w if rng.random() > rng.choice([0, 0.2, 0.3]) else "zzz" for w in held[k % len(held)]]
+        text = rng.choice(rows)[1].split()[:300]
+        text[len(text) // 2 : len(text) // 2] = item
+        rows.append((10_000 + k, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = [(r["item_id"], decontamination.words_in(r["text"])) for r in bench.collect()]
+    terms = decontamination.Terms(items)
+    counts = Counter(x for _, t in rows for x in set(terms(decontamination.words_in(t)).tolist()))
+    weights = np.array([0.0, *(math.log((1 + len(rows)) / (1 + counts[i])) for i in range(1, len(terms.number) + 1))])
+    finder = decontamination.Finder([(i, terms(w)) for i, w in items], np.ones((len(weights), 2)), 0.4, decontamination.VERBATIM, decontamination.PARAPHRASE, weights)
+    want = set()
+    for doc_id, text in rows:
+        ids = terms(decontamination.words_in(text))
+        for k, (i, item) in enumerate(finder.items):
+            if decontamination.common_subsequence(item, ids.tolist()) >= decontamination.PARAPHRASE * len(item) and finder.verdict(item, finder.rare[k], ids) is not None:
+                want.add((doc_id, i))
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, bench).collect()}
+    assert len(want) > 100 and len(got & want) >= 0.98 * len(want) and len(got - want) <= 0.02 * len(want)
+
+
 # ---- 9 n-grams
 
 
@@ -623,6 +803,57 @@ def test_scores_without_training(spark):
 # ---- 10 licences
 
 
+def test_wrapped_texts_and_notices_are_found():
+    scan = licenses.Scanner(licenses.known_sentences())
+    mit = ". ".join(licenses.SENTENCES[k] for k in ("mit-grant", "mit-notice", "mit-warranty")) + "."
+    for width in (80, 40, 30, 25, 18):
+        assert [m[0] for m in scan("Intro.\n" + "\n".join(__import__("textwrap").wrap(mit, width)))[0]] == ["MIT"], width
+    for text, licence in (("Released under MIT.", "MIT"), ("Distributed under GPL version 3.", "GPL-3.0-only"), ("Available under CC BY 4.0.", "CC-BY-4.0"), ("This is free and unencumbered software released into the public\ndomain.", "Unlicense")):
+        assert [m[0] for m in scan(text)[0]] == [licence]
+
+
+def test_scans_against_brute_force():
+    """Every window of fragments against every sentence, and every rule over the sequence that this gives."""
+    rng = random.Random(14)
+    known = licenses.known_sentences()
+    scan = licenses.Scanner(known)
+    said = list(licenses.SENTENCES.values()) + rng.sample(list(known), 60)
+    rules = sorted(licenses.RULES, key=lambda r: -len(r[1]))
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 12)):
+            x = rng.choice([rng.choice(said), rng.choice(said), "some other words", "the license", " ".join(rng.choice(said).split()[:4])])
+            parts.append(x.replace(" ", "\n", rng.randint(0, 3)) if rng.random() < 0.5 else x.upper())
+        if rng.random() < 0.5:
+            at = rng.randrange(len(rules))
+            parts[1:1] = [licenses.SENTENCES.get(k, "licensed under the mit license") for k in rules[at][1]]
+        text = ".\n".join(parts)
+        fragments = [n for x in licenses._PART.split(text) if (n := licenses.normal(x))]
+        found, i = [], 0
+        while i < len(fragments):
+            ends = [j for j in range(i, len(fragments)) if " ".join(fragments[i : j + 1]) in known]
+            if ends:
+                found.append((i, ends[-1], known[" ".join(fragments[i : ends[-1] + 1])]))
+                i = ends[-1]
+            i += 1
+        assert scan.sentences(text) == found
+        used, want = set(), []
+        for licence, wanted, gap in rules:
+            for at in range(len(found)):
+                places = []
+                for k in range(at, len(found)):
+                    if places and found[k][0] - found[places[-1]][1] - 1 > gap or len(places) == len(wanted):
+                        break
+                    if k not in used and found[k][2] == wanted[len(places)]:
+                        places.append(k)
+                    elif not places:
+                        break
+                if len(places) == len(wanted):
+                    used |= set(places)
+                    want.append((licence, found[at][0], found[places[-1]][1], len(wanted)))
+        assert scan(text) == (sorted(want, key=lambda m: (m[1], m[2], m[0])), len(found))
+
+
 def test_licences(spark):
     mit = (
         "// Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal\n// in the Software without restriction, including without limitation the rights\n// to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\n// copies of the Software, and to permit persons to whom the Software is\n// furnished to do so, subject to the following conditions:\n\n"
