@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Default domain and prefix of this engine's fingerprints; both are parameters.
 DOMAIN = b"attestry/row/v1\x00"
@@ -30,8 +32,8 @@ def encode_null() -> Column:
 
 
 def encode_integer(value: Column) -> Column:
-    """A non-negative integer of up to 63 bits in as few bytes as it needs, zero in one."""
-    digits = F.hex(value.cast("long"))
+    """A non-negative integer, or its digits, of any size, in as few bytes as it needs, zero in one."""
+    digits = to_hex(value)
     return _typed("I", F.unhex(F.concat(F.when(F.length(digits) % 2 == 1, F.lit("0")).otherwise(F.lit("")), digits)))
 
 
@@ -66,11 +68,58 @@ def fingerprint(material: Column, domain: bytes = DOMAIN, prefix: str = PREFIX,
     return F.concat(F.lit(prefix), digest(F.concat(F.lit(domain), material)))
 
 
+#: Digits that a long and a decimal hold.
+LONG_DIGITS, DECIMAL_DIGITS = 18, 38
+
+
+@F.pandas_udf(T.StringType())
+def _far_to_hex(values: pd.Series) -> pd.Series:
+    return values.map(lambda x: None if x is None else format(_number(x), "x"))
+
+
+@F.pandas_udf(T.StringType())
+def _far_from_hex(values: pd.Series) -> pd.Series:
+    return values.map(lambda x: None if x is None else _digits(int(x, 16)))
+
+
+def _number(digits: str) -> int:
+    """int() of digits of any length, which int() itself bounds."""
+    if len(digits) <= 4000:
+        return int(digits)
+    half = len(digits) // 2
+    return _number(digits[:-half]) * 10**half + _number(digits[-half:])
+
+
+def _digits(number: int) -> str:
+    """str() of a number of any size, which str() itself bounds."""
+    if number.bit_length() <= 13_000:
+        return str(number)
+    half = number.bit_length() // 7
+    high, low = divmod(number, 10**half)
+    return _digits(high) + _digits(low).zfill(half)
+
+
 def to_hex(value: Column) -> Column:
-    """Lower-case hexadecimal of a non-negative integer without leading zeros, for transport."""
-    return F.lower(F.hex(value.cast("long")))
+    """Lower-case hexadecimal, without leading zeros, of a non-negative integer or of its digits, of any size; for transport.
+
+    Up to 38 digits are built-in arithmetic; Python gets null for those and works on longer ones alone.
+    """
+    digits = value.cast("string")
+    size = F.length(digits)
+    whole = F.when(size <= DECIMAL_DIGITS, digits).cast("decimal(38,0)")
+    limb = F.lit(1 << 56).cast("decimal(38,0)")
+    low = F.pmod(whole, limb)
+    rest = ((whole - low) / limb).cast("decimal(38,0)")
+    middle = F.pmod(rest, limb)
+    parts = [((rest - middle) / limb), middle, low]
+    hexes = [F.lpad(F.lower(F.hex(x.cast("long"))), 14, "0") for x in parts]
+    wide = F.regexp_replace(F.concat(*hexes), r"\A0+", "")
+    far = _far_to_hex(F.when(size > DECIMAL_DIGITS, digits))
+    return F.when(size <= LONG_DIGITS, F.lower(F.hex(digits.cast("long")))).when(size <= DECIMAL_DIGITS, wide).otherwise(far)
 
 
 def from_hex(value: Column) -> Column:
-    """The inverse of to_hex; null for text that it can't have made."""
-    return F.when(value.rlike(r"\A(0|[1-9a-f][0-9a-f]{0,15})\z"), F.conv(value, 16, 10).cast("decimal(20,0)"))
+    """The digits that to_hex() was given; null for text that it can't have made. Python gets those that don't fit a long alone."""
+    good = value.rlike(r"\A(0|[1-9a-f][0-9a-f]*)\z")
+    near = F.length(value) <= 15
+    return F.when(good, F.when(near, F.conv(value, 16, 10)).otherwise(_far_from_hex(F.when(good & ~near, value))))

@@ -13,8 +13,14 @@ SPACE = r"[\s\x1c-\x1f]"
 #: Texts that stand for no amount, besides N/A in any case.
 NO_AMOUNT = ("", "-", "–", "—")
 _AMOUNT = r"\A\$?([0-9]+|[0-9]{1,3}(,[0-9]{3})+)\z"
-#: RFC 3986, appendix B.
-_URL = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)"
+#: RFC 3986, appendix B, with the scheme of section 3.1.
+_URL = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)"
+#: A host, as a name or a bracketed address, and a port or none.
+_HOST = r"\A(?:\[[0-9A-Fa-f:.]+\]|[^:\[\]@]+)(?::[0-9]*)?\z"
+#: Words that locators and names of files may not hold, in any case.
+SENSITIVE = ("authorization", "bearer", "cookie", "password", "secret", "session", "token")
+#: What can't be printed: characters of the categories C and Z other than the space.
+UNPRINTABLE = r"[\p{C}\p{Z}&&[^ ]]"
 
 
 def strip(value: Column) -> Column:
@@ -81,18 +87,26 @@ def canonical_url(value: Column) -> Column:
 def full_http_url(value: Column) -> Column:
     """canonical_url of a full http(s) URL without user information, else null."""
     parts = url_parts(value)
-    good = F.lower(parts["scheme"]).isin("http", "https") & (parts["authority"] != "") & ~F.contains(parts["authority"], F.lit("@")) & url_is_clean(value)
+    good = F.lower(parts["scheme"]).isin("http", "https") & parts["authority"].rlike(_HOST) & url_is_clean(value)
     return F.when(good, canonical_url(value))
 
 
 def linked_url(value: Column) -> Column:
     """canonical_url of a full http(s) URL, one that begins with // and a host, or a root-relative path; else null."""
     parts = url_parts(value)
-    rooted = (parts["scheme"] == "") & value.startswith("/") & ((parts["authority"] != "") | ~value.startswith("//"))
-    good = rooted & ~F.contains(parts["authority"], F.lit("@")) & url_is_clean(value)
+    rooted = (parts["scheme"] == "") & value.startswith("/") & F.when(value.startswith("//"), parts["authority"].rlike(_HOST)).otherwise(True)
+    good = rooted & url_is_clean(value)
     return F.coalesce(full_http_url(value), F.when(good, canonical_url(value)))
 
 
+def absolute_image_url(value: Column, base: str) -> Column:
+    """absolute_url() if the reference is clean and leads to a public http(s) host, else null."""
+    parts = url_parts(value)
+    clean = (value != "") & ~value.rlike(rf"(?U){SPACE}|\\") & ((parts["scheme"] == "") | parts["scheme"].isin("http", "https") & parts["authority"].rlike(_HOST)) & ~(value.startswith("//") & ~parts["authority"].rlike(_HOST))
+    whole = absolute_url(value, base)
+    return F.when(clean & url_parts(whole)["authority"].rlike(_HOST), whole)
+
+
 def absolute_url(value: Column, base: str) -> Column:
     """A reference joined to the site that it was found on: full, //host, root-relative or relative to the root."""
     scheme = base.split(":", 1)[0]
@@ -122,18 +136,26 @@ def is_utc_timestamp(value: Column) -> Column:
 
 
 def is_safe_basename(value: Column) -> Column:
-    return F.coalesce(value.rlike(r"\A[A-Za-z0-9][A-Za-z0-9._-]*\z") & ~_sensitive(value), F.lit(False))
+    """A file's name of lower-case ASCII letters, digits, points and hyphens that doesn't begin with either of these, and holds no sensitive word."""
+    return F.coalesce(value.rlike(r"\A[a-z0-9][a-z0-9.-]*\z") & ~_sensitive(value), F.lit(False))
 
 
 def _sensitive(value: Column) -> Column:
-    return value.rlike(r"(?i)secret|token|password|credential|api[_-]?key")
+    return value.rlike(f"(?i)(?:{'|'.join(SENSITIVE)})")
 
 
 def is_safe_locator(value: Column) -> Column:
-    """No secrets, absolute paths, file URLs, user information or query; a scheme must be http or https."""
+    """Text without white space at its ends, control characters, sensitive words, absolute paths or file URLs; one with a scheme must be
+    http(s) with a host and have neither user information nor a query. A bracket that holds no address makes it unsafe."""
     parts = url_parts(value)
-    bad = (strip(value) == "") | _sensitive(value) | value.rlike(r"(?i)\A(/|~|[a-z]:[\\/]|file:)|\\|\?") | F.contains(parts["authority"], F.lit("@")) | value.rlike(r"\p{Cntrl}") | parts["authority"].rlike(r"\[(?![0-9A-Fa-f:.]+\])")
-    return F.coalesce(~bad & ((parts["scheme"] == "") | F.lower(parts["scheme"]).isin("http", "https")), F.lit(False))
+    bad = (value == "") | (value != strip(value)) | value.rlike(r"\p{C}") | _sensitive(value) | value.rlike(r"(?i)\A(?:[/\\~]|[a-z]:[\\/])|file://") | parts["authority"].rlike(r"\[(?![0-9A-Fa-f:.]+\])")
+    far = F.lower(parts["scheme"]).isin("http", "https") & parts["authority"].rlike(_HOST) & ~value.rlike(r"\A[^?#]*\?[^#]")
+    return F.coalesce(~bad & ((parts["scheme"] == "") | far), F.lit(False))
+
+
+def printable(value: Column, most: int = 80) -> Column:
+    """The text's beginning with a question mark for what can't be printed, for messages."""
+    return F.substring(F.regexp_replace(value, UNPRINTABLE, "?"), 1, most)
 
 
 def paginator(value: Column) -> dict[str, Column]:

@@ -1,13 +1,16 @@
-"""What Spark has no function for: normal form C, case folding, control characters, integers beyond 38 digits. Arrow UDFs."""
+"""What Spark has no function for: normal form C, case folding, control characters. Arrow UDFs, which get nulls for ASCII texts where those are as they should be."""
 
 from __future__ import annotations
 
 import unicodedata
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from attestry.functions.scalars import collapse_whitespace
+
 
 @F.pandas_udf(T.StringType())
 def nfc(values: pd.Series) -> pd.Series:
@@ -26,22 +29,25 @@ def has_control(values: pd.Series) -> pd.Series:
     return values.map(lambda x: x is not None and any(unicodedata.category(c)[0] == "C" for c in x))
 
 
-def add_digits(a: str, b: str) -> str:
-    """Sum of two digit strings of any length, nine digits at a time."""
-    width = max(len(a), len(b)) + 9 & ~0
-    out, carry = [], 0
-    for end in range(0, width, 9):
-        x = a[max(0, len(a) - end - 9) : len(a) - end] if end < len(a) else ""
-        y = b[max(0, len(b) - end - 9) : len(b) - end] if end < len(b) else ""
-        carry, part = divmod(int(x or 0) + int(y or 0) + carry, 10**9)
-        out.append(f"{part:09d}")
-    return "".join(reversed(out)).lstrip("0") or "0"
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def nfc_each(values: pd.Series) -> pd.Series:
+    return values.map(lambda xs: None if xs is None else [None if x is None else unicodedata.normalize("NFC", x) for x in xs])
 
 
-@F.pandas_udf(T.StringType())
-def sum_digits(values: pd.Series) -> str:
-    """Exact sum of digit strings of any length, as a grouped aggregate."""
-    total = "0"
-    for v in values.dropna():
-        total = add_digits(total, v)
-    return total
+def _wide(value: Column) -> Column:
+    return value.rlike(r"[^\x00-\x7f]")
+
+
+def normal_form(value: Column) -> Column:
+    """Normal form C; texts of ASCII, which are in it, don't go to Python."""
+    return F.coalesce(nfc(F.when(_wide(value), value)), value)
+
+
+def normal_forms(values: Column) -> Column:
+    """Normal form C of each text of an array."""
+    return F.coalesce(nfc_each(F.when(F.exists(values, lambda x: F.coalesce(_wide(x), F.lit(False))), values)), values)
+
+
+def folded(value: Column) -> Column:
+    """Normal form C with white space collapsed and case folded; lower() does that for ASCII."""
+    return F.coalesce(folded_name(F.when(_wide(value), value)), F.lower(collapse_whitespace(value)))
