@@ -48,8 +48,9 @@ class ReconcileError(AttestryError):
 
 
 class DiagnosticsError(AttestryError):
-    """Input with diagnostics; all of them are in `diagnostics`, in their fixed order."""
+    """Input with diagnostics. `diagnostics` has the first of them in their fixed order, `count` how many there are, and `frame` all of them."""
 
-    def __init__(self, diagnostics: list[dict]) -> None:
-        self.diagnostics = diagnostics
-        super().__init__("\n".join(f"- {d['location']}" + (f" record {d['record_number']}" if d["record_number"] else "") + f" {d['field']}: {d['code']}: {d['message']}" for d in diagnostics))
+    def __init__(self, diagnostics: list[dict], count: int | None = None, frame=None) -> None:
+        self.diagnostics, self.count, self.frame = diagnostics, len(diagnostics) if count is None else count, frame
+        said = [f"- {d['location']}" + (f" record {d['record_number']}" if d["record_number"] else "") + f" {d['field']}: {d['code']}: {d['message']}" for d in diagnostics]
+        super().__init__("\n".join(said + ([f"- and {self.count - len(diagnostics)} more"] if self.count > len(diagnostics) else [])))

@@ -31,10 +31,14 @@ def encode_null() -> Column:
     return _typed("N", F.lit(b""))
 
 
+def encode_hex(digits: Column) -> Column:
+    """An integer from its hexadecimal digits."""
+    return _typed("I", F.unhex(F.concat(F.when(F.length(digits) % 2 == 1, F.lit("0")).otherwise(F.lit("")), digits)))
+
+
 def encode_integer(value: Column) -> Column:
     """A non-negative integer, or its digits, of any size, in as few bytes as it needs, zero in one."""
-    digits = to_hex(value)
-    return _typed("I", F.unhex(F.concat(F.when(F.length(digits) % 2 == 1, F.lit("0")).otherwise(F.lit("")), digits)))
+    return encode_hex(to_hex(value))
 
 
 def encode_sequence(*values: Column) -> Column:
@@ -118,6 +122,18 @@ def to_hex(value: Column) -> Column:
     return F.when(size <= LONG_DIGITS, F.lower(F.hex(digits.cast("long")))).when(size <= DECIMAL_DIGITS, wide).otherwise(far)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _each_far_to_hex(values: pd.Series) -> pd.Series:
+    return values.map(lambda xs: None if xs is None else [None if x is None else format(_number(x), "x") for x in xs])
+
+
+def all_to_hex(values: Column) -> Column:
+    """to_hex() of each of an array's digits; arrays with a number beyond a long go to Python, the others as null."""
+    far = F.exists(values, lambda x: F.coalesce(F.length(x) > LONG_DIGITS, F.lit(False)))
+    near = F.transform(values, lambda x: F.lower(F.hex(F.when(F.length(x) <= LONG_DIGITS, x).cast("long"))))
+    return F.coalesce(_each_far_to_hex(F.when(far, values)), near)
+
+
 def from_hex(value: Column) -> Column:
     """The digits that to_hex() was given; null for text that it can't have made. Python gets those that don't fit a long alone."""
     good = value.rlike(r"\A(0|[1-9a-f][0-9a-f]*)\z")

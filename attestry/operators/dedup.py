@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attestry.errors import CollisionError
+from attestry.operators.ordering import with_previous
 
 
 class Deduplicated(NamedTuple):
@@ -53,5 +54,4 @@ def position_gaps(rows: DataFrame, position: str, *keys: str) -> DataFrame:
 
 def out_of_order(unique: DataFrame, order: str, first: str) -> DataFrame:
     """Rows whose first position is not after that of the row before, in the order given."""
-    before = F.lag(first).over(Window.orderBy(order))
-    return unique.withColumn("before", before).where(F.col("before") >= F.col(first)).drop("before")
+    return with_previous(unique, order, before=first).where(F.col("before") >= F.col(first)).drop("before")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestry.errors import DiagnosticsError
+from attestry.operators.ordering import numbered
 
 LOCATIONS = ("metadata", "file", "row")
 SCHEMA = "location string, field string, code string, message string, record_number long"
@@ -31,8 +32,15 @@ def ordered(diagnostics: DataFrame, fields: Sequence[str]) -> DataFrame:
     return diagnostics.withColumns({"location_rank": place, "record_rank": F.coalesce("record_number", F.lit(0)), "field_rank": F.when(at > 0, at).otherwise(len(fields) + 1).cast("int")})
 
 
-def raise_if_any(diagnostics: DataFrame, fields: Sequence[str], most: int = 10_000) -> None:
-    """Raises all diagnostics at once, sorted; most bounds what is brought to the driver for the message."""
-    rows = ordered(diagnostics, fields).orderBy("location_rank", "record_rank", "field_rank", "field", "code").limit(most).collect()
-    if rows:
-        raise DiagnosticsError([r.asDict() for r in rows])
+def raise_if_any(diagnostics: DataFrame, fields: Sequence[str], most: int = 1000) -> None:
+    """Raises DiagnosticsError for any diagnostics: the first `most` of them, in order, are in its message, and all in its frame."""
+    found = diagnostics.persist()
+    if count := found.count():
+        rows = ordered(found, fields).orderBy("location_rank", "record_rank", "field_rank", "field", "code").limit(most).collect()
+        raise DiagnosticsError([{k: r[k] for k in ("location", "field", "code", "message", "record_number")} for r in rows], count, found)
+    found.unpersist()
+
+
+def positioned(diagnostics: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """ordered() with position, from 1 to n over all, without bringing them together in a task."""
+    return numbered(ordered(diagnostics, fields), "position", "location_rank", "record_rank", "field_rank", "field", "code")

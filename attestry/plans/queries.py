@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +9,7 @@ from attestry.functions import encoding as E
 from attestry.functions import scalars as S
 from attestry.functions import unicode as U
 from attestry.operators import audit, dedup, diagnostics, policy, reconcile
+from attestry.session import scratch
 from attestry.sources import html_table, pages, strict_csv, strict_json
 
 QUERIES: dict = {}
@@ -32,12 +30,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared place that spark.checkpoint.dir names, or a temporary one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base.rstrip('/')}/attestry-{uuid.uuid4().hex}"
-
-
 # ------------------------------------------------------------------ fingerprints and deduplication
 
 DOCUMENT_FP = f"""
@@ -269,16 +261,13 @@ def cell_rules(spark, sf_dir):
 select c_custkey, 'c_name', 'even', 'must not be even', from customer where c_custkey % 2 = 0 union all select c_custkey, 'c_name', 'ten', 'must not end in 0' from customer where c_custkey % 10 = 0)
 select 'row' as location, field, code, message, record_number, row_number() over (order by record_number, case field when 'c_name' then 1 else 2 end, code) as position from d""")
 def diagnostics_ordered(spark, sf_dir):
-    from pyspark.sql import Window
-
     rules = {
         ("c_acctbal", "negative"): (F.col("c_acctbal") < 0, "must not be negative"),
         ("c_name", "even"): (F.col("c_custkey") % 2 == 0, "must not be even"),
         ("c_name", "ten"): (F.col("c_custkey") % 10 == 0, "must not end in 0"),
     }
     found = diagnostics.violations(read(spark, sf_dir, "customer"), rules, "c_custkey")
-    keys = Window.orderBy("location_rank", "record_rank", "field_rank", "code")  # a report's numbering is one sequence
-    ranked = diagnostics.ordered(found, ["c_name", "c_acctbal"]).withColumn("position", F.row_number().over(keys).cast("long"))
+    ranked = diagnostics.positioned(found, ["c_name", "c_acctbal"])
     return ranked.select("location", "field", "code", "message", "record_number", "position")
 
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -26,3 +29,13 @@ def local_session(cores: int | str = "*", app: str = "attestry", shuffle_partiti
     spark = builder.config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder that spark.checkpoint.dir names; where that is unset a temporary one on a local master, and an error on a cluster."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.gettempdir()
+    return f"{base.rstrip('/')}/attestry-{uuid.uuid4().hex}"

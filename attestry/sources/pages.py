@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attestry.errors import CollectionError
 from attestry.functions.scalars import paginator
+from attestry.operators.ordering import with_previous
 
 CELL = "struct<heading:string,salary_text:string,marker_text:string>"
 SNAPSHOT = f"indicator_text string, back_disabled boolean, forward_disabled boolean, headings array<string>, rows array<struct<display_text:string,url:string,logo_url:string,rank_text:string,description:string,cells:array<{CELL}>>>, content_token string"
@@ -35,11 +36,9 @@ def rows_of(pages: DataFrame) -> DataFrame:
 def walk_problems(pages: DataFrame) -> DataFrame:
     """(page, problem) of numbered pages with columns walk (the order of landing), headings, n_rows and content_token.
 
-    A walk is a list of pages, as long as a paginator; it is ordered in one window of narrow columns.
+    Of pages that lack on end the first is named.
     """
-    w = Window.orderBy("walk")
-    before = lambda c: F.lag(c).over(w)
-    rows = pages.withColumns({"first": before("walk").isNull(), "p_page": before("page"), "p_final": before("final_page"), "p_headings": before("headings"), "p_token": before("content_token")})
+    rows = with_previous(pages, "walk", p_walk="walk", p_page="page", p_final="final_page", p_headings="headings", p_token="content_token").withColumn("first", F.col("p_walk").isNull()).drop("p_walk")
     tests = {
         "paginator": F.col("page").isNull(), "first_page": F.col("first") & (F.col("page") != 1), "step": ~F.col("first") & (F.col("page") != F.col("p_page") + 1),
         "final_page_changed": ~F.col("first") & (F.col("final_page") != F.col("p_final")), "headings_changed": ~F.col("first") & (F.col("headings") != F.col("p_headings")),
@@ -47,8 +46,11 @@ def walk_problems(pages: DataFrame) -> DataFrame:
         "forward_button": F.col("forward_disabled") != (F.col("page") == F.col("final_page")), "empty_page": (F.col("n_rows") == 0) & (F.col("page") < F.col("final_page")),
     }
     each = rows.select("page", F.explode(F.array_compact(F.array(*(F.when(t, F.lit(n)) for n, t in tests.items())))).alias("problem"))
-    visited = pages.agg(F.max("final_page").alias("m"), F.collect_set("page").alias("seen"))
-    missing = visited.select(F.explode(F.array_except(F.sequence(F.lit(1), F.greatest(F.coalesce("m", F.lit(1)), F.lit(1))), "seen")).alias("page"), F.lit("missing_page").alias("problem"))
+    # pages that lack, a row for each gap: a paginator may claim any number of them
+    seen = pages.where("page is not null").select("page").distinct()
+    last = pages.agg(F.coalesce(F.max("final_page"), F.lit(1)).alias("m")).select((F.col("m") + 1).alias("page"))
+    gaps = with_previous(seen.unionByName(last).distinct(), "page", before="page").withColumn("gap", F.coalesce("before", F.lit(0)) + 1)
+    missing = gaps.where("gap < page").select(F.col("gap").cast("int").alias("page"), F.lit("missing_page").alias("problem"))
     return each.unionByName(missing)
 
 
