@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from attestry.llm.common import forget, grouped, map_rows, partitions, table, written
+from attestry.llm.common import bound_batches, forget, grouped, map_rows, partitions, spread_join, table, written
 from attestry.llm.components import components
 from attestry.llm.simhash import majorities
 
@@ -31,7 +31,7 @@ FUZZY_CHARS = 20
 #: Lines whose SimHashes of 128 bits differ in more bits aren't compared (unrelated ones differ in some 54, those of similarity 0.8 in some 27).
 RADIUS = 35
 #: Min-hashes of a line, the bytes of each, and the words of a shingle.
-TABLES = 6
+TABLES = 5
 WIDTH = 6
 SHINGLE = 2
 #: Shingles of words with fewer bytes in all, such as those of articles, are many lines' own; they count where a line has no others.
@@ -205,6 +205,14 @@ class LineHashes:
         return first, end, mixed((sums[end] - sums[first]) * self.inverses[first])
 
     def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, int, int, int, int, bytes | None]]]:
+        owner, *columns = self.columns(texts)
+        rows = list(zip(*(x if isinstance(x, list) else x.tolist() for x in columns), strict=True))
+        bounds = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield rows[a:b]
+
+    def columns(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
+        """For each listed line its text's index, and its number, hash, length, the SimHash's halves and min-hashes."""
         if len(self.met) > self.most:
             self.met = set()
         raw = ("\n".join(texts) + "\n").lower().encode().translate(_PLAIN)
@@ -240,7 +248,7 @@ class LineHashes:
             listed.append(k)
             keys.append(key)
             sizes.append(size)
-        sims, mins = [(0, 0)] * len(listed), [None] * len(listed)
+        sims, mins = np.zeros((len(listed), 2), dtype=np.int64), [None] * len(listed)
         if long:
             mine = np.zeros(len(starts), dtype=bool)
             mine[runs] = True
@@ -256,49 +264,47 @@ class LineHashes:
             of = lambda lists: np.array([xxhash.xxh64_intdigest(x, 7) for xs in lists for x in xs], dtype=np.uint64)
             ends = lambda lists: np.cumsum([0, *(len(x) for x in lists[:-1])])
             self._sketch([i for i, _ in odd], of(shingled), np.array([len(x) for xs in shingled for x in xs]), ends(shingled), of(features), ends(features), sims, mins)
-        number, at = line[starts].tolist(), 0
-        base = 0
-        for said in texts:
-            lines = said.count("\n") + 1
-            rows = []
-            while at < len(listed) and number[listed[at]] < base + lines:
-                key = keys[at]
-                rows.append((number[listed[at]] - base, key - (key >> 63 << 64), sizes[at], *sims[at], mins[at]))
-                at += 1
-            base += lines
-            yield rows
+        number = line[starts[listed]] if listed else np.zeros(0, dtype=np.int64)
+        begins = np.cumsum([0, *(said.count("\n") + 1 for said in texts)])
+        owner = np.searchsorted(begins, number, side="right") - 1
+        keys = np.array(keys, dtype=np.uint64).view(np.int64)
+        return owner, number - begins[owner], keys, np.array(sizes, dtype=np.int64), sims[:, 0], sims[:, 1], mins
 
     @staticmethod
-    def _sketch(places: list[int], tokens: np.ndarray, lengths: np.ndarray, starts: np.ndarray, features: np.ndarray, begins: np.ndarray, sims: list, mins: list) -> None:
-        for i, s, m in zip(places, sketches(features, begins).tolist(), min_hashes(tokens, lengths, starts), strict=True):
-            sims[i], mins[i] = tuple(s), m.tobytes()
+    def _sketch(places: list[int], tokens: np.ndarray, lengths: np.ndarray, starts: np.ndarray, features: np.ndarray, begins: np.ndarray, sims: np.ndarray, mins: list) -> None:
+        sims[places] = sketches(features, begins)
+        for i, m in zip(places, min_hashes(tokens, lengths, starts), strict=True):
+            mins[i] = m.tobytes()
 
 
 def occurrences(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """docs (doc_id, text) -> (doc_id, mark, line, lead, h, size, s, t, mins): mark is a hash of the text, line counts from 0, lead
     is the text's first line that is listed. s and t are the SimHash's halves. mins is null in lines that are too short, and where a task repeats a line."""
 
-    def run(rows):
-        hashed, waiting, size = LineHashes(least_words), [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = LineHashes(least_words)
 
-        def out():
-            for (doc_id, mark, _), found in zip(waiting, hashed([w[2] for w in waiting]), strict=True):
-                for k, (line, *rest) in enumerate(found):
-                    yield doc_id, mark, line, k == 0, *rest
-            waiting.clear()
+        def out(part: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+            owner, line, h, size, s, t, mins = hashed.columns(texts)
+            lead = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, dtype=bool)
+            names = ["doc_id", "mark", "line", "lead", "h", "size", "s", "t", "mins"]
+            return pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), part.column(1).take(pa.array(owner)), pa.array(line.astype(np.int32)), pa.array(lead), pa.array(h), pa.array(size.astype(np.int32)), pa.array(s), pa.array(t), pa.array(mins, pa.binary())], names=names)
 
-        for row in rows:
-            waiting.append(row)
-            size += len(row[2])
-            if size > 1 << 18:
-                yield from out()
-                size = 0
-        if waiting:
-            yield from out()
+        for batch in batches:
+            texts, first, size = [], 0, 0
+            for i, text in enumerate(batch.column(2)):
+                texts.append(text.as_py())
+                size += len(texts[-1])
+                if size > 1 << 18:
+                    yield out(batch.slice(first, len(texts)), texts)
+                    texts, first, size = [], i + 1, 0
+            if texts:
+                yield out(batch.slice(first, len(texts)), texts)
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, mark long, line int, lead boolean, h long, size int, s long, t long, mins binary"
-    return map_rows(docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), "text"), run, schema)
+    bound_batches(docs.sparkSession)
+    return docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(run, schema)
 
 
 def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -555,8 +561,8 @@ def repeated_lines(docs: DataFrame, radius: int = RADIUS, similarity: float = SI
     lines = seen.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
     again = lines.join(linked.withColumnRenamed("h", "l_h"), F.col("h") == F.col("l_h"), "left").where("n > 1 or label is not null")
     again = written(again.select("h", "first", F.coalesce("label", "h").alias("label")), "again")
-    keep = again.groupBy("label").agg(F.min("first").alias("keep"))
-    rule = again.select("h", "label").join(keep, "label").select("h", "keep")
+    keep = again.groupBy(F.col("label").alias("k_label")).agg(F.min("first").alias("keep"))
+    rule = spread_join(again.select("h", "label"), keep, "label", "k_label").select("h", "keep")  # a label may have many lines
     if again.count() <= broadcast_lines:
         rule = F.broadcast(rule)
     gone = seen.select("doc_id", "mark", "line", "h").join(rule, "h").where(~place.eqNullSafe(F.col("keep")))

@@ -27,7 +27,7 @@ from attestry.llm.language import remainder
 ENTRY_BITS = 8
 PASS_BITS = 1 << 29
 #: Tokens of the corpus for each segment of the filter, and segments at most.
-SEGMENT_TOKENS = 1 << 16
+SEGMENT_TOKENS = 1 << 18
 MOST_SEGMENTS = 1 << 20
 PROBES = 4
 #: Counts are quantised to powers of this base.
@@ -241,7 +241,7 @@ def built(counts: DataFrame, segments: int, base: float, entry_bits: int) -> Dat
     place = F.floor(F.shiftrightunsigned(F.col("h"), 40).cast("double") * segments / (1 << 24)).cast("int")
     # runs of segments to a partition; hashes spread evenly over them
     part = F.floor(place.cast("double") * min(8 * n, segments) / segments).cast("int")
-    sorted_ = counts.select(place.alias("segment"), "h", "n").repartition(min(8 * n, segments), part).sortWithinPartitions("segment", "h").select("h", "n")
+    sorted_ = counts.select("h", "n").repartition(min(8 * n, segments), part).sortWithinPartitions("h").select("h", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []

@@ -11,7 +11,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
 def test_stages_keep_columns_and_clean_documents(spark, tmp_path):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("score", F.lit("clash"))
+    clash = ("score", "lang_pred", "n_lines", "n_removed", "bucket", "row_id", "component_id")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({c: F.lit(f"kept {c}") for c in clash})
     n = docs.count()
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, docs, SF)
@@ -20,6 +21,7 @@ def test_stages_keep_columns_and_clean_documents(spark, tmp_path):
         if k < 4:
             assert out.columns == docs.columns
             assert 0.8 * n <= out.count() <= docs.count()
+            assert all(out.where(F.col(c) != f"kept {c}").count() == 0 for c in clash)
         docs = out
     assert docs.agg(F.sum("taken")).first()[0] > 0
 
