@@ -14,17 +14,20 @@ from attestry.llm.common import table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language is found by a clear margin; texts without a letter, or null, go. lang becomes what was found."""
-    dictionaries = language.learn(docs.where(language.remainder() != 2))
-    found = language.classified(docs, dictionaries)
-    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= language.LEAST_MARGIN))
-    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    """Keeps documents whose language is found by a clear margin; texts without a letter, or null, go. lang becomes what was found.
+
+    An empty table, and one without any language to learn, give an empty one.
+    """
+    dictionaries = language.learn(docs.where(language.remainder() != 2).select("text", "lang"))
+    found = language.classified(docs, dictionaries, names=("__lang_pred", "__margin"))
+    kept = found.where(~language.rejected("__lang_pred", "__margin"))
+    return kept.withColumn("lang", F.col("__lang_pred")).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes lines that repeat, exactly or nearly, from all texts but the first; no document goes. n_chars follows the text."""
-    found = lines.deduplicated(docs)
-    return found.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    """Removes lines that repeat, exactly or nearly, from all texts but the first; no document goes. n_chars follows the text. An empty table stays empty."""
+    found = lines.deduplicated(docs, counts=("__n_lines", "__n_removed"))
+    return found.withColumn("n_chars", F.when(F.col("__n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
