@@ -26,10 +26,10 @@ def violations(rows: DataFrame, rules: Mapping[tuple[str, str], tuple[Column, st
 
 
 def ordered(diagnostics: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """diagnostics with sort keys: metadata, file, rows; then the record, the field in the header's order, the code."""
+    """diagnostics with sort keys: metadata, file, rows; then the record, the field in the header's order (others first, and a file's all alike), the code."""
     place = reduce(lambda c, i: c.when(F.col("location") == LOCATIONS[i], i), range(1, len(LOCATIONS)), F.when(F.col("location") == LOCATIONS[0], 0)).otherwise(len(LOCATIONS))
     at = F.array_position(F.array(*(F.lit(f) for f in fields)), F.col("field"))
-    return diagnostics.withColumns({"location_rank": place, "record_rank": F.coalesce("record_number", F.lit(0)), "field_rank": F.when(at > 0, at).otherwise(len(fields) + 1).cast("int")})
+    return diagnostics.withColumns({"location_rank": place, "record_rank": F.coalesce("record_number", F.lit(0)), "field_rank": F.when((F.col("location") != "file") & (at > 0), at).otherwise(0).cast("int")})
 
 
 def raise_if_any(diagnostics: DataFrame, fields: Sequence[str], most: int = 1000) -> None:

@@ -59,30 +59,25 @@ def normalised(rows: DataFrame, position: str | None = None) -> DataFrame:
     return out.drop("amount_problem")
 
 
-def identity(url: Column | None = None) -> Column:
-    """struct<kind,value> of the row's player: its id, else its canonical URL, else its folded name; null if there is no valid one."""
-    link = F.col("player_url") if url is None else url
-    name = F.nullif(U.folded(F.when(F.col("player_id").isNull() & (F.coalesce(link, F.lit("")) == ""), F.col("player_display_text"))), F.lit(""))
-    kind = F.when(F.col("player_id").isNotNull(), "player_id").when(F.coalesce(link, F.lit("")) != "", "player_url").otherwise("player_display_text")
-    value = F.when(F.col("player_id").isNotNull(), F.col("player_id")).when(F.coalesce(link, F.lit("")) != "", S.linked_url(link)).otherwise(name)
-    return F.when(value.isNotNull(), F.struct(kind.alias("kind"), value.alias("value")))
-
-
-def _canonical_cells() -> Column:
-    """array<struct<heading,amount,marker>>, sorted by heading."""
-    cells = F.col("salary_season_cells")
-    markers = U.normal_forms(F.transform(cells, lambda c: c["marker_text"]))
-    said = F.transform(F.arrays_zip(cells.alias("cells"), markers.alias("markers")), lambda x: F.struct(x["cells"]["heading"].alias("heading"), S.money_digits(x["cells"]["salary_text"]).alias("amount"), S.strip(x["markers"]).alias("marker")))
-    return F.array_sort(said)
+def with_identity(rows: DataFrame) -> DataFrame:
+    """rows with player, a struct<kind,value>: the id, else the canonical URL, else the folded name; null where that isn't valid."""
+    link = F.nullif(F.col("player_url"), F.lit(""))
+    named = rows.withColumn("__name", F.nullif(U.folded(F.when(F.col("player_id").isNull() & link.isNull(), F.col("player_display_text"))), F.lit("")))
+    kind = F.when(F.col("player_id").isNotNull(), "player_id").when(link.isNotNull(), "player_url").otherwise("player_display_text")
+    named = named.withColumns({"__kind": kind, "__value": F.coalesce("player_id", F.when(link.isNotNull(), S.linked_url(link)).otherwise(F.col("__name")))})
+    return named.withColumn("player", F.when(F.col("__value").isNotNull(), F.struct(F.col("__kind").alias("kind"), F.col("__value").alias("value")))).drop("__name", "__kind", "__value")
 
 
 def with_canonical(rows: DataFrame) -> DataFrame:
-    """rows with the columns that their payload is made of: __marker, __description, __cells, __player, __logo."""
-    return rows.withColumns({
-        "__marker": S.strip(U.normal_form(F.col("target_season_marker_text"))),
-        "__description": S.canonical_description(U.normal_form(F.col("source_row_description"))),
-        "__cells": _canonical_cells(), "__player": identity(), "__logo": S.full_http_url(F.col("team_logo_url")),
+    """rows with the columns that their payload is made of: player, __marker, __description, __logo, and __cells, an array<struct<heading,amount,marker>> sorted by heading."""
+    cells = F.col("salary_season_cells")
+    out = with_identity(rows).withColumns({
+        "__marker": U.normal_form(F.col("target_season_marker_text")), "__description": U.normal_form(F.col("source_row_description")),
+        "__markers": U.normal_forms(F.transform(cells, lambda c: c["marker_text"])), "__logo": S.full_http_url(F.col("team_logo_url")),
     })
+    cell = lambda x: F.struct(x["cells"]["heading"].alias("heading"), S.money_digits(x["cells"]["salary_text"]).alias("amount"), S.strip(x["markers"]).alias("marker"))
+    said = F.transform(F.arrays_zip(cells.alias("cells"), F.col("__markers").alias("markers")), cell)
+    return out.withColumns({"__marker": S.strip(F.col("__marker")), "__description": S.canonical_description(F.col("__description")), "__cells": F.array_sort(said)}).drop("__markers")
 
 
 def canonical_rules() -> dict[tuple[str, str], tuple[Column, str]]:
@@ -114,36 +109,36 @@ def canonical_rules() -> dict[tuple[str, str], tuple[Column, str]]:
     }
 
 
-def row_payload() -> Column:
-    """The typed bytes of a row of with_canonical(): seven named fields in their order. Names are fixed values."""
-    text, number = E.encode_string, E.encode_integer
-    named = lambda kind, value, encode: E.encode_sequence(E.encode_string(F.lit(kind)), encode(value))
-    player, asset = F.col("__player"), F.col("team_logo_asset_id")
-    who = F.when(player["kind"] == "player_id", named("player_id", player["value"], number)).otherwise(E.encode_sequence(text(player["kind"]), text(player["value"])))
-    team = F.when(asset.isNotNull(), named("team_logo_asset_id", asset, number)).otherwise(named("team_logo_url", F.col("__logo"), text))
-    cells = F.transform("__cells", lambda c: E.encode_sequence(text(c["heading"]), E.nullable(_cell_integer, c["amount"]), text(c["marker"])))
-    return E.payload({
-        "target_season": text(F.col("target_season")), "player_identity": who, "team_identity": team,
-        AMOUNT: E.nullable(number, F.col(AMOUNT)), "target_season_marker": text(F.col("__marker")),
-        "source_row_description": E.nullable(text, F.col("__description")), "salary_season_cells": E.encode_array(cells),
-    })
-
-
-def _cell_integer(hexed: Column) -> Column:
-    """An integer from its hexadecimal digits; a cell's amounts are converted before, as Python can't be called inside an array."""
-    return E.encode_hex(hexed)
-
-
 def with_payload(rows: DataFrame, domain: bytes = E.DOMAIN, prefix: str = E.PREFIX, digest: Callable[[Column], Column] = E.sha256_hex) -> DataFrame:
-    """rows with payload, fingerprint and problems, the codes that keep a row from having them (both null then)."""
+    """rows with payload, fingerprint and problems, the codes that keep a row from having them (both null then).
+
+    The payload has seven named fields in their order; the names are fixed values. It is made in steps, as each level of it needs the length of the one below.
+    """
+    names = rows.columns
+    text = E.encode_string
     made = with_canonical(rows)
-    rules = canonical_rules()
-    bad = F.array_compact(F.array(*(F.when(F.coalesce(test, F.lit(False)), F.lit(f"{field}:{code}")) for (field, code), (test, _) in rules.items())))
+    bad = F.array_compact(F.array(*(F.when(F.coalesce(test, F.lit(False)), F.lit(f"{field}:{code}")) for (field, code), (test, _) in canonical_rules().items())))
     made = made.withColumn("problems", bad)
-    hexes = E.all_to_hex(F.transform("__cells", lambda c: c["amount"]))
-    made = made.withColumn("__cells", F.transform(F.arrays_zip(F.col("__cells").alias("c"), hexes.alias("x")), lambda z: F.struct(z["c"]["heading"].alias("heading"), z["x"].alias("amount"), z["c"]["marker"].alias("marker"))))
-    made = made.withColumn("payload", F.when(F.size("problems") == 0, row_payload()))
-    return made.withColumn("fingerprint", E.fingerprint(F.col("payload"), domain, prefix, digest)).drop("__marker", "__description", "__cells", "__player", "__logo")
+    player, asset, good = F.col("player"), F.col("team_logo_asset_id"), F.size("problems") == 0
+    made = made.withColumns({
+        "__who_hex": E.to_hex(F.when(good & (player["kind"] == "player_id"), player["value"])), "__team_hex": E.to_hex(F.when(good, asset)), "__amount_hex": E.to_hex(F.when(good, F.col(AMOUNT))),
+        "__hexes": E.all_to_hex(F.when(good, F.transform("__cells", lambda c: c["amount"]))),
+    })
+    parts = F.transform(F.arrays_zip(F.col("__cells").alias("c"), F.col("__hexes").alias("x")), lambda z: F.concat(text(z["c"]["heading"]), E.nullable(E.encode_hex, z["x"]), text(z["c"]["marker"])))
+    made = made.withColumns({
+        "__who": F.concat(text(player["kind"]), F.when(F.col("__who_hex").isNotNull(), E.encode_hex(F.col("__who_hex"))).otherwise(text(player["value"]))),
+        "__team": F.when(asset.isNotNull(), F.concat(text(F.lit("team_logo_asset_id")), E.encode_hex(F.col("__team_hex")))).otherwise(F.concat(text(F.lit("team_logo_url")), text(F.col("__logo")))),
+        "__parts": parts,
+    })
+    made = made.withColumn("__seasons", F.aggregate("__parts", F.lit(b""), lambda acc, x: F.concat(acc, E.encode_sequence(x))))
+    values = {
+        "target_season": text(F.col("target_season")), "player_identity": E.encode_sequence(F.col("__who")), "team_identity": E.encode_sequence(F.col("__team")), AMOUNT: E.nullable(E.encode_hex, F.col("__amount_hex")),
+        "target_season_marker": text(F.col("__marker")), "source_row_description": E.nullable(text, F.col("__description")), "salary_season_cells": E.encode_sequence(F.col("__seasons")),
+    }
+    made = made.withColumns({f"__v{i}": v for i, v in enumerate(values.values())})
+    made = made.withColumn("__body", F.concat(*(E.encode_field(name, F.col(f"__v{i}")) for i, name in enumerate(values))))
+    made = made.withColumn("payload", F.when(good, E.encode_sequence(F.col("__body"))))
+    return made.withColumn("fingerprint", E.fingerprint(F.col("payload"), domain, prefix, digest)).select(*names, "problems", "payload", "fingerprint")
 
 
 def fingerprinted(rows: DataFrame, position: str = "input_position", **options) -> DataFrame:

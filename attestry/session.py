@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Kept apart from cluster settings: only what results depend on is forced.
 REQUIRED = {
@@ -39,3 +39,10 @@ def scratch(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/attestry-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder: what reads it more than once neither repeats its work nor carries its plan, and a lost executor costs nothing."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -105,7 +105,4 @@ class Links:
 
 def lateral(spark: SparkSession, docs: DataFrame, udtf, html: str, keep: tuple[str, ...]) -> DataFrame:
     """The UDTF's rows for each document, in parallel over documents."""
-    name = f"attestry_{udtf.func.__name__.lower()}"
-    spark.udtf.register(name, udtf)
-    docs.select(*keep, html).createOrReplaceTempView(f"{name}_docs")
-    return spark.sql(f"select {', '.join(f'd.{k}' for k in keep)}, r.* from {name}_docs d, lateral {name}(d.{html}) r")
+    return docs.select(*keep, html).lateralJoin(udtf(F.col(html).outer())).drop(html)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attestry.errors import DiagnosticsError
+from attestry.operators import diagnostics
 
 #: One field and what ends it: quoted with doubled quotes, or bare without quotes; a comma, CRLF or the end.
 _FIELD = re.compile(r'(?:"((?:[^"\r\n]|"")*)"|([^",\r\n]*))(,|\r\n|\Z)')
@@ -108,11 +108,8 @@ def read_strict_csv(spark: SparkSession, path: str, header: Sequence[str]) -> Da
             for i, row in enumerate(rows, start=1):
                 yield None, i, row
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    name = f"attestry_scan_{abs(hash(header))}"
-    spark.udtf.register(name, Scan)
-    files.createOrReplaceTempView(f"{name}_files")
-    return spark.sql(f"select regexp_extract(path, '[^/]*$', 0) as source, sha2(content, 256) as lineage, s.* from {name}_files, lateral {name}(content) s")
+    files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "[^/]*$", 0).alias("source"), F.sha2("content", 256).alias("lineage"), "content")
+    return files.lateralJoin(Scan(F.col("content").outer())).drop("content")
 
 
 def file_faults(scanned: DataFrame) -> DataFrame:
@@ -130,15 +127,13 @@ def as_columns(scanned: DataFrame, header: Sequence[str], nullable: Sequence[str
 
 
 def load(spark: SparkSession, path: str, header: Sequence[str], nullable: Sequence[str] = ()) -> DataFrame:
-    """as_columns() of files without faults; raises DiagnosticsError with all file faults and records of a wrong width."""
+    """as_columns() of files without faults; raises DiagnosticsError for file faults and records of a wrong width."""
     scanned = read_strict_csv(spark, path, header)
     rows = as_columns(scanned, header, nullable)
     width = rows.where(F.col("n_fields") != len(header)).select(
         F.lit("row").alias("location"), F.lit("record").alias("field"), F.when(F.col("n_fields") == 0, "blank_record").otherwise("column_count").alias("code"), F.lit("the record must have the header's columns").alias("message"), "record_number"
     )
-    bad = file_faults(scanned).unionByName(width).limit(10_000).collect()
-    if bad:
-        raise DiagnosticsError(sorted((r.asDict() for r in bad), key=lambda d: (d["location"] != "file", d["record_number"] or 0, d["code"])))
+    diagnostics.raise_if_any(file_faults(scanned).unionByName(width), ())
     return rows.drop("n_fields")
 
 

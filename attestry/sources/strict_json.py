@@ -56,3 +56,33 @@ def checked_cells(values: pd.Series) -> pd.Series:
         return json.dumps(cells, ensure_ascii=False)
 
     return values.map(one)
+
+
+_CODE = T.StructType([T.StructField("code", T.StringType()), T.StructField("cell", T.IntegerType())])
+_CELL = T.StructType([T.StructField(n, T.StringType()) for n in ("heading", "salary_text", "marker_text")])
+
+
+@F.pandas_udf(T.StructType([T.StructField("codes", T.ArrayType(_CODE)), T.StructField("cells", T.ArrayType(_CELL))]))
+def cell_report(values: pd.Series) -> pd.DataFrame:
+    """The cells of a JSON text, null for those of another shape or type, and the codes of what the text itself breaks; nulls for null."""
+    names = {"heading", "salary_text", "marker_text"}
+
+    def one(text):
+        if text is None:
+            return None, None
+        try:
+            cells = loads(text)
+        except (ValueError, RecursionError):
+            return [{"code": "invalid_json", "cell": 0}], None
+        if not isinstance(cells, list) or not cells:
+            return [{"code": "wrong_json_shape", "cell": 0}], None
+        codes, out = [], []
+        for i, c in enumerate(cells, start=1):
+            shape = isinstance(c, dict) and c.keys() == names
+            sound = shape and all(isinstance(x, str) for x in c.values())
+            if not sound:
+                codes.append({"code": "invalid_cell_type" if shape else "invalid_cell_shape", "cell": i})
+            out.append(c if sound else None)
+        return codes, out
+
+    return pd.DataFrame([one(x) for x in values], columns=["codes", "cells"])
