@@ -455,7 +455,7 @@ def alike_groups(lines: DataFrame, radius: int = RADIUS, similarity: float = SIM
     parts = hot.groupBy("key").agg(F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) * 2 / bucket)).cast("int").alias("parts"))
     if parts.head(1):
         part = F.pmod(F.xxhash64("h"), F.col("parts")).cast("int")
-        dealt = hot.join(parts, "key").withColumn("a", part).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        dealt = spread_join(hot, parts.withColumnRenamed("key", "p_key"), "key", "p_key").withColumn("a", part).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         dealt = dealt.where("a <> b").select(name(F.col("key").bitwiseAND(F.lit(15)), "key", F.least("a", "b"), F.greatest("a", "b")).alias("key"), "h", "size", "s", "t")
         dealt = dealt.repartition(n, "key").sortWithinPartitions("key", "h")
         out = out.unionByName(dealt.mapInArrow(_bucket_groups(near, None), schema).select("g", "key", "h"))
