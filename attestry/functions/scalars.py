@@ -108,9 +108,13 @@ def absolute_image_url(value: Column, base: str) -> Column:
 
 
 def absolute_url(value: Column, base: str) -> Column:
-    """A reference joined to the site that it was found on: full, //host, root-relative or relative to the root."""
-    scheme = base.split(":", 1)[0]
-    return F.when(value.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), value).when(value.startswith("//"), F.concat(F.lit(f"{scheme}:"), value)).when(value.startswith("/"), F.concat(F.lit(base.rstrip("/")), value)).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), value))
+    """A reference joined to the page that it was found on: full, //host, root-relative or relative to the page's folder."""
+    scheme, rest = base.split("://", 1)
+    host, _, path = rest.partition("/")
+    root = f"{scheme}://{host}"
+    folder = f"{root}/{path.rpartition('/')[0]}".rstrip("/") + "/"
+    said = F.when(value.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), value).when(value.startswith("//"), F.concat(F.lit(f"{scheme}:"), value))
+    return said.when(value.startswith("/"), F.concat(F.lit(root), value)).otherwise(F.concat(F.lit(folder), value))
 
 
 def trailing_id(value: Column) -> Column:

@@ -96,6 +96,31 @@ class TableRows:
         yield from table_rows(html or "")
 
 
+def snapshot(html: str):
+    """(headings, rows) of saved HTML: a row for each table row outside a head that has direct cells; one with a single cell has nothing but its text."""
+    root = Tree(html).root
+    headings = [h.text() for h in root.all("th")]
+    rows = []
+    for tr in root.all("tr"):
+        cells = [c for c in tr.children if isinstance(c, Node) and c.tag == "td"]
+        if not cells or tr.inside("thead"):
+            continue
+        row = {"display_text": "", "url": None, "logo_url": "", "rank_text": cells[0].text(), "description": None, "cells": []}
+        if len(cells) > 1:
+            link, image = cells[1].first("a"), cells[1].first("img")
+            mark = [c.first("sup") for c in cells]
+            row |= {"display_text": (link or cells[1]).text(), "url": link.attrs.get("href") if link else None, "logo_url": image.attrs.get("src", "") if image else "", "description": tr.attrs.get("data-description", tr.attrs.get("aria-description"))}
+            row["cells"] = [{"heading": h, "salary_text": c.text("sup"), "marker_text": m.text() if m else ""} for h, c, m in zip(headings[2:], cells[2:], mark[2:], strict=False)]
+        rows.append(row)
+    return headings, rows
+
+
+@F.udtf(returnType="headings array<string>, rows array<struct<display_text:string,url:string,logo_url:string,rank_text:string,description:string,cells:array<struct<heading:string,salary_text:string,marker_text:string>>>>")
+class Snapshot:
+    def eval(self, html: str):
+        yield snapshot(html or "")
+
+
 @F.udtf(returnType="link_position int, href string, label string")
 class Links:
     def eval(self, html: str):
