@@ -241,7 +241,7 @@ def read_import(spark: SparkSession, path: str, season: str, imported_at: str, m
         wrong = settled(record_problems(records, known))
         found += [strict_csv.file_faults(scanned), wrong]
         locator = _safe_locator(spark, value) or "commissioner salary CSV"
-        rows = R.with_payload(R.with_amounts(raw_rows(records.where(F.col("n_fields") == len(HEADER)), locator, imported_at if asked[1] else "1970-01-01T00:00:00Z")).drop("amount_problem"))
+        rows = R.with_payload(settled(R.with_amounts(raw_rows(records.where(F.col("n_fields") == len(HEADER)), locator, imported_at if asked[1] else "1970-01-01T00:00:00Z")).drop("amount_problem")))
         rows = settled(rows)
         other = wrong.select("record_number").distinct()
         late = rows.where(F.size("problems") > 0).select(F.col("input_position").cast("long").alias("record_number")).join(other, "record_number", "left_anti")
