@@ -114,6 +114,7 @@ def judged(docs: DataFrame, rules=RULES, text_col: str = "text") -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and verdict of each document; a row for each."""
     rows = judged(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     q = F.col("quality")
     base = (q["n_words"] < 10) | (100 * q["n_repeat_words"] > 20 * q["n_words"])

@@ -179,5 +179,6 @@ def near_duplicates(docs: DataFrame, radius: int = 2, width: int = 3, id_col: st
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of each document; a row for each."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

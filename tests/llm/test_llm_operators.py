@@ -489,6 +489,22 @@ def test_chains_of_fingerprints_link(spark):
     assert components(simhash.near_fingerprints(df)).select("label").distinct().count() == 1
 
 
+def test_fingerprints_by_hand(spark):
+    """From the text alone: words between ASCII white space, triples with repeats, XXH64 with seed 42, bits set in over half."""
+    import re
+
+    def by_hand(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+        hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+        return format(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)), "016x")
+
+    rows = [(1, None), (2, ""), (3, "One"), (4, "One\x0btwo\x0cTHREE"), (5, "É a\u00a0b ÉA c"), (6, "x y z " * 4000), (7, "a b c a b c d"), (8, "\u2028 \x1c q")]
+    docs = corpus(spark).select("doc_id", "text").where("doc_id > 8").distinct().unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {(r["doc_id"], format(r["fp"] & (1 << 64) - 1, "016x")) for r in simhash.near_duplicates(docs).collect()}
+    assert got == {(r["doc_id"], by_hand(r["text"])) for r in docs.collect()}
+
+
 # ---- 7 mixing
 
 
