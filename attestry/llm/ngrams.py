@@ -140,6 +140,8 @@ class LogFrequencyFilter:
 
     def levels(self, hashes: np.ndarray, most: int = 64) -> np.ndarray:
         """The quantum that the probes reach, 0 if the first fails or the segment is empty."""
+        if len(hashes) > 1 << 14:  # what a step works on stays in the processor's cache
+            return np.concatenate([self.levels(hashes[i : i + (1 << 14)], most) for i in range(0, len(hashes), 1 << 14)])
         reached = np.zeros(len(hashes), dtype=np.uint8)
         if not len(self.words):
             return reached
