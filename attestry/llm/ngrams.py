@@ -2,28 +2,31 @@
 
 Talbot and Osborne, "Smoothed Bloom filter language models" (2007): an n-gram whose count has quantum q is put into the filter
 q times, together with 1, 2, ... q, and a lookup probes 1, 2, ... until a probe fails; the error is one-sided and falls with
-each probe. The filter is built in segments of the hash range from counts that a single shuffle brings together, each as large as
-its own entries ask for, so that the filter grows with the corpus. Consecutive segments of up to a bounded size are broadcast, and texts
-are scored where they lie; a filter beyond that bound takes several passes over the texts, each probing the n-grams of its segments, and
-gives the same scores. Probabilities are those of a bigram model with a Dirichlet prior on the unigrams.
+each probe. Texts are cut into windows; the distinct n-grams of a window go, sorted by hash, in pieces to the tasks that have their
+segments of the hash range. Each task builds the filter of its segments, as large as their entries ask for, probes it for
+each piece and sends the levels back to the window, where probabilities are taken. No task holds more than its segments and nothing is
+read once more for a larger filter, so that the cost grows with the corpus alone. Probabilities are those of a bigram model with a
+Dirichlet prior on the unigrams.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
+import pickle
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.llm.common import forget, map_rows, partitions, table, written
+from attestry.llm.common import bound_batches, grouped, map_rows, partitions, table, written
 from attestry.llm.language import remainder
 
-#: Bits for an entry of the filter, and bits that are broadcast in one pass (64 MB).
+#: Bits for an entry of the filter, and bits of it that a task holds (64 MB).
 ENTRY_BITS = 8
 PASS_BITS = 1 << 29
 #: Tokens of the corpus for each segment of the filter, and segments at most.
@@ -34,11 +37,16 @@ PROBES = 4
 BASE = 2.0
 #: Weight of the unigram prior, in tokens.
 PRIOR = 8.0
-#: Tokens with the highest counts, which are sent to the workers with their exact counts; the others are joined.
+#: Tokens with the highest counts, which are sent to the workers with their exact counts; the others' counts are asked for.
 HEAD = 1 << 17
-#: Words that a task keeps beside the head, and n-grams that it counts before it passes its counts on.
-FLUSH = 1 << 17
+#: Distinct words that a task counts beyond this are passed on.
+FLUSH = 1 << 18
+#: N-grams of the training texts for each task that probes, at most, and tokens of a window.
+PART_GRAMS = 1 << 22
 WINDOW = 1 << 20
+#: What a piece is for.
+LEARN, ASK, NAMED, COUNTED = 1, 2, 4, 8
+PIECES = "deal int, window long, part int, kind int, data binary, n binary"
 END = b""
 #: An odd multiplier for each level of the filter.
 _LEVELS = [2 * (0x9E3779B97F4A7C15 * (k + 1) % (1 << 63)) % (1 << 64) + 1 for k in range(80)]
@@ -61,7 +69,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Vocabulary(dict):
     """Numbers of words in the order in which they come, from a start; with their hashes."""
 
-    def __init__(self, words: list[bytes] = ()) -> None:
+    def __init__(self, words: Iterable[bytes] = ()) -> None:
         from xxhash import xxh64_intdigest
 
         self.digest, self.hashes, self.held = xxh64_intdigest, [], np.zeros(0, np.uint64)
@@ -170,128 +178,166 @@ def middles(base: float, most: int = 64) -> np.ndarray:
     return np.array([0.0, *((a + b) / 2 for a, b in zip(low, high, strict=True))])
 
 
-def texts_of(texts: Iterator[list[bytes]], most: int = 1 << 17) -> Iterator[list[list[bytes]]]:
-    """Texts together up to a number of tokens, so that arrays are worth their while."""
-    held, size = [], 0
-    for t in texts:
-        held.append(t)
-        size += len(t)
-        if size > most:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def first_of(texts: list[list[bytes]]) -> np.ndarray:
     return np.array([0, *itertools.accumulate(len(t) for t in texts[:-1])], dtype=np.int64)
 
 
-def gram_counts(training: DataFrame, order: int, frequent: list[bytes]) -> DataFrame:
-    """(h long, n long): partial counts of the 2- to order-grams of the texts, by hash; each task adds up what fits in memory.
+def segments_for(tokens: int) -> int:
+    n = 16
+    while n < MOST_SEGMENTS and n * SEGMENT_TOKENS < tokens:
+        n *= 2
+    return n
 
-    frequent: words whose hashes each task keeps throughout.
-    """
-    shared = training.sparkSession.sparkContext.broadcast(frequent)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held, size = Vocabulary(shared.value), [], 0
+def flat(x: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes first, so that what they share is compressed."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
 
-        def flush():
-            h, n = np.unique(np.concatenate(held), return_counts=True)
-            for i in range(0, len(h), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(h[i : i + (1 << 16)].view(np.int64)), pa.array(n[i : i + (1 << 16)].astype(np.int64))], names=["h", "n"])
 
-        for batch in batches:
-            for texts in texts_of(tokens(t.as_py()) for t in batch.column(0).cast(pa.binary())):
-                numbers = np.array([n for t in texts for n in map(words.__getitem__, t)], dtype=np.int64)
-                held += grams(words.of(numbers), first_of(texts), order)[1:]
-                size += len(numbers) * (order - 1)
-                if len(words) > len(shared.value) + FLUSH:
-                    words = Vocabulary(shared.value)
-                if size > WINDOW:
-                    yield from flush()
-                    held, size = [], 0
-        if held:
-            yield from flush()
+def unflat(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8).reshape(size, len(data) // size).T.copy().view(kind).reshape(-1)
 
-    return training.select("text").mapInArrow(run, "h long, n long")
 
+def packed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(data, asbytes=True)
 
-def word_hashes(counts: DataFrame) -> DataFrame:
-    """(token, c) -> (h, n), h being the hash of the token as a 1-gram."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = Vocabulary([t.as_py() for t in batch.column(0)])
-            h = grams(np.array(words.hashes, dtype=np.uint64), np.zeros(0, np.int64), 1)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(1)], names=["h", "n"])
+def unpacked(data: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
 
-    return counts.select("token", "c").mapInArrow(run, "h long, n long")
 
+def distinct(numbers: np.ndarray, words: Vocabulary, starts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """A window's distinct n-grams, sorted by hash; how often it has each; and for n = 1 to order the place among them of the n-gram that ends at each token."""
+    seen = np.bincount(numbers, minlength=len(words))
+    there = np.flatnonzero(seen)
+    rank = np.zeros(len(seen), np.int64)
+    rank[there] = np.arange(len(there))
+    found = [unigrams(words.of(there)), *grams(words.of(numbers), starts, order)[1:]]
+    all_, times = np.concatenate(found), np.concatenate([seen[there], np.ones(len(numbers) * (order - 1), np.int64)])
+    by = np.argsort(all_)
+    h = all_[by]
+    new = np.concatenate([[True], h[1:] != h[:-1]])
+    places = np.empty(len(h), np.int64)
+    places[by] = np.cumsum(new) - 1
+    return h[new], np.add.reduceat(times[by], np.flatnonzero(new)), [places[rank[numbers]], *places[len(there) :].reshape(order - 1, len(numbers))]
 
-def segments_for(tokens: int) -> int:
-    n = 16
-    while n < MOST_SEGMENTS and n * SEGMENT_TOKENS < tokens:
-        n *= 2
-    return n
 
+def filter_of(hashes: np.ndarray, counts: np.ndarray, segments: int, base: float, entry_bits: int) -> LogFrequencyFilter:
+    """The filter with those segments that the n-grams fall into, the others empty; repeated hashes are added up."""
+    by = np.argsort(hashes)
+    h = hashes[by]
+    starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    h, n = h[starts], np.add.reduceat(counts[by], starts) if len(h) else counts
+    of = LogFrequencyFilter.segment(h, segments).astype(np.int64)
+    sizes, held = np.zeros(segments, np.int64), []
+    for a, b in runs(of):
+        held.append(LogFrequencyFilter.of(h[a:b], n[a:b], base, entry_bits).words)
+        sizes[of[a]] = len(held[-1])
+    return LogFrequencyFilter(np.concatenate(held) if held else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(sizes)]), base)
 
-def built(counts: DataFrame, segments: int, base: float, entry_bits: int) -> DataFrame:
-    """Partial counts (h, n) -> (segment, size, bits): the filter's segments that hold an n-gram. A task streams through its n-grams, sorted by hash, a segment at a time."""
-    n = partitions(counts.sparkSession)
-    place = F.floor(F.shiftrightunsigned(F.col("h"), 40).cast("double") * segments / (1 << 24)).cast("int")
-    # runs of segments to a partition; hashes spread evenly over them
-    part = F.floor(place.cast("double") * min(8 * n, segments) / segments).cast("int")
-    sorted_ = counts.select("h", "n").repartition(min(8 * n, segments), part).sortWithinPartitions("h").select("h", "n")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        now = -1
+def parts_for(tokens: int, segments: int, least: int, entry_bits: int, pass_bits: int) -> int:
+    """Tasks that the filter's segments are dealt to: at least as many as least, and so many that n-grams and filter of a task stay bounded."""
+    return min(segments, max(least, -(-tokens // PART_GRAMS), -(-tokens * entry_bits // pass_bits)))
+
+
+def part_of(hashes: np.ndarray, segments: int, parts: int) -> np.ndarray:
+    return (LogFrequencyFilter.segment(hashes, segments) * np.uint64(parts) // np.uint64(segments)).astype(np.int64)
+
+
+def runs(of: np.ndarray) -> Iterator[tuple[int, int]]:
+    """From where to where equal numbers follow each other."""
+    return itertools.pairwise([*np.flatnonzero(np.diff(of, prepend=-1)).tolist(), len(of)])
+
+
+def unigrams(words: np.ndarray) -> np.ndarray:
+    return grams(words, np.zeros(0, np.int64), 1)[0]
+
 
-        def done() -> Iterator[pa.RecordBatch]:
-            if held:
-                h, counted = (np.concatenate(x) for x in zip(*held, strict=True))
-                starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-                words = LogFrequencyFilter.of(h[starts], np.add.reduceat(counted, starts), base, entry_bits).words
-                yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([len(words)], pa.int64()), pa.array([words.tobytes()], pa.binary())], names=["segment", "size", "bits"])
-                held.clear()
+def counted_words(counts: DataFrame, segments: int, parts: int) -> DataFrame:
+    """(token, c) -> pieces of words with their exact counts, for the tasks that have the words' segments."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        words, times = Vocabulary(), []
+
+        def out():
+            of = part_of(unigrams(np.array(words.hashes, dtype=np.uint64)), segments, parts)
+            by = np.argsort(of, kind="stable")
+            names, n = list(words), np.array(times, dtype=np.uint64)[by]
+            for a, b in runs(of[by]):
+                yield int(of[by[a]]), 0, int(of[by[a]]), COUNTED, packed(b" ".join([names[i] for i in by[a:b].tolist()])), packed(flat(n[a:b]))
+
+        for token, c in batches:
+            words[token]
+            times.append(c)
+            if len(times) > FLUSH:
+                yield from out()
+                words, times = Vocabulary(), []
+        if times:
+            yield from out()
+
+    return map_rows(counts.select("token", "c"), run, PIECES)
+
+
+def answered(pieces: DataFrame, segments: int, parts: int, base: float, entry_bits: int) -> DataFrame:
+    """windows' pieces (deal, window, part, kind, data, n) -> (window, part, data): the levels of each asked piece's n-grams and, behind all parts, the exact counts of
+    its words, in order.
+
+    A task gets all pieces of its segments, makes their filter of those to learn from, and probes it for those that ask. Windows themselves, as part -1, go through.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["window", "part", "data"]
+        hashes, counts, asking, naming, exact = [], [], [], [], {}
         for batch in batches:
-            h, counted = np.asarray(batch.column(0)).view(np.uint64), np.asarray(batch.column(1))
-            of = LogFrequencyFilter.segment(h, segments).astype(np.int64)
-            bounds = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)] if len(of) else [0]
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                if of[a] != now:
-                    yield from done()
-                    now = int(of[a])
-                held.append((h[a:b], counted[a:b]))
-        yield from done()
-
-    return written(sorted_.mapInArrow(run, "segment int, size long, bits binary"), "filter")
-
-
-def passes_of(filter_: DataFrame, segments: int, pass_bits: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Words of each segment, and the ranges of segments that are broadcast together: at least one segment and otherwise up to pass_bits bits."""
-    sizes = np.zeros(segments, dtype=np.int64)
-    for r in filter_.select("segment", "size").toLocalIterator():  # MOST_SEGMENTS numbers at most
-        sizes[r["segment"]] = r["size"]
-    out, first, held = [], 0, 0
-    for i, size in enumerate(sizes.tolist()):
-        if held and (held + size) * 64 > pass_bits:
-            out.append((first, i))
-            first, held = i, 0
-        held += size
-    return sizes, [*out, (first, segments)]
-
-
-def loaded(filter_: DataFrame, sizes: np.ndarray, low: int, high: int, base: float) -> LogFrequencyFilter:
-    """The filter with the segments from low to high; the others are empty."""
-    bounds = np.concatenate([[0], np.cumsum(np.where((np.arange(len(sizes)) >= low) & (np.arange(len(sizes)) < high), sizes, 0))])
-    words = np.zeros(int(bounds[-1]), np.uint64)
-    for r in filter_.where((F.col("segment") >= low) & (F.col("segment") < high)).select("segment", "bits").toLocalIterator():  # a pass's bits in all
-        words[bounds[r["segment"]] : bounds[r["segment"] + 1]] = np.frombuffer(r["bits"], np.uint64)
-    return LogFrequencyFilter(words, bounds, base)
+            whole = pc.less(batch.column(2), 0)
+            if pc.any(whole).as_py():
+                yield batch.filter(whole).select(names)
+            for _, window, part, kind, data, n in zip(*(c.to_pylist() for c in batch.filter(pc.invert(whole)).columns), strict=True):
+                if kind == COUNTED:
+                    exact.update(zip(unpacked(data).split(b" "), unflat(unpacked(n), np.uint64).tolist(), strict=True))
+                    continue
+                if kind == NAMED:
+                    naming.append((window, part, data))
+                    continue
+                h = unflat(data, np.uint64)
+                if kind & LEARN:
+                    hashes.append(h)
+                    counts.append(unflat(unpacked(n), np.uint32))
+                if kind & ASK:
+                    asking.append((window, part, h))
+        none = [np.zeros(0, np.uint64)]
+        model = filter_of(np.concatenate(hashes or none), np.concatenate(counts or none).astype(np.int64), segments, base, entry_bits)
+        hashes, counts = [], []
+
+        def answers():
+            for i in range(0, len(asking), 1 << 8):
+                some = asking[i : i + (1 << 8)]
+                reached = np.split(model.levels(np.concatenate([h for _, _, h in some])), np.cumsum([len(h) for _, _, h in some])[:-1])
+                for (window, part, _), levels in zip(some, reached, strict=True):
+                    yield window, part, packed(levels.tobytes())
+            for window, part, data in naming:
+                yield window, parts + part, packed(flat(np.array([exact.get(w, 0) for w in unpacked(data).split(b" ")], dtype=np.uint64)))
+
+        for some in iter(lambda rows=answers(): list(itertools.islice(rows, 1 << 10)), []):
+            window, part, data = zip(*some, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(window, pa.int64()), pa.array(part, pa.int32()), pa.array(data, pa.binary())], names=names)
+
+    bound_batches(pieces.sparkSession)
+    return pieces.repartition(parts, "deal").mapInArrow(run, "window long, part int, data binary")
+
+
+def head_of(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The most frequent words, as many as most at most; of words with equal counts all or none."""
+    least, n = None, 0
+    # a row for each count that a word has, of which there are some sqrt(2 * tokens) at most
+    for c, words in sorted(((r["c"], r["words"]) for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True):
+        n += words
+        if n > most:
+            break
+        least = c
+    return [] if least is None else sorted(((bytes(r["token"]), r["c"]) for r in counts.where(F.col("c") >= least).collect()), key=lambda x: (-x[1], x[0]))
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -309,7 +355,7 @@ def word_counts(training: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch.column(0).cast(pa.binary()):
                 counts.update(tokens(text.as_py()))
-                if len(counts) > 2 * FLUSH:
+                if len(counts) > FLUSH:
                     yield from flush()
         yield from flush()
 
@@ -331,153 +377,117 @@ def log_probabilities(counted: list[np.ndarray], starts: np.ndarray, total: int,
     return np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)
 
 
-def scored(docs: DataFrame, training: DataFrame, order: int = 2, base: float = BASE, prior: float = PRIOR, head: int = HEAD, entry_bits: int = ENTRY_BITS, pass_bits: int = PASS_BITS) -> DataFrame:
+def scored(docs: DataFrame, training: DataFrame | None = None, order: int = 2, base: float = BASE, prior: float = PRIOR, head: int = HEAD, entry_bits: int = ENTRY_BITS, pass_bits: int = PASS_BITS) -> DataFrame:
     """docs (doc_id, held_out, text) -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; a row for each.
 
-    base_score has exact counts with one added; score is the filter's model. Null texts are empty: one token, the end. The
-    head tokens go to the workers with their counts, the rest of a text's tokens are joined with theirs, so that no
-    vocabulary must fit in memory. Without training texts every token is unknown. The filter has entry_bits for each entry at any
-    size; pass_bits of it are broadcast at once, and the number of passes over docs doesn't change a score. Rows that repeat are
-    scored alike. An empty table gives an empty one.
+    training (text): what is learned from; None: the docs that are not held out, which are then read once for both. base_score has exact
+    counts with one added; score is the filter's model. Null texts are empty: one token, the end. The head tokens go to the workers with
+    their counts, the others' counts are asked for where their segments are, so that no vocabulary must fit in memory. Without training texts
+    every token is unknown. The filter has entry_bits for each entry at any size; a task holds some pass_bits of it at most, and the number
+    of tasks doesn't change a score. Rows that repeat are scored alike. An empty table gives an empty one.
     """
     spark = docs.sparkSession
-    counts = written(word_counts(training), "counts")
-    total, vocabulary = (int(x or 0) for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
-    top = [(bytes(r["token"]), r["c"]) for r in counts.orderBy(F.desc("c"), "token").limit(head).collect()]
+    counts = written(word_counts(docs.where(~F.col("held_out")) if training is None else training), "counts")
+    total, vocabulary, texts_learned = (int(x or 0) for x in counts.agg(F.sum("c"), F.count(F.lit(1)), F.sum(F.when(F.length("token") == len(END), F.col("c")))).first())
+    top = head_of(counts, head)
     segments = segments_for(order * total)
-    rows = gram_counts(training, order, [w for w, _ in top]).unionByName(word_hashes(counts))
-    filter_ = built(rows, segments, base, entry_bits)
-    sizes, ranges = passes_of(filter_, segments, pass_bits)
-    whole = len(ranges) == 1
-    shared = spark.sparkContext.broadcast((top, loaded(filter_, sizes, *ranges[0], base)))  # head entries and one pass's bits
-    bounds = [a for a, _ in ranges]
-    complete = vocabulary <= head
+    parts = parts_for(order * total, segments, partitions(spark), entry_bits, pass_bits)
+    hashes = np.array(Vocabulary([w for w, _ in top]).hashes, dtype=np.uint64)
+    shared = spark.sparkContext.broadcast((top, hashes))  # head entries
     add = math.log10(total + vocabulary + 1)
-    texts_learned = dict(top).get(END, 0)
     kinds = dict(docs.dtypes)
-    texts = docs.select("doc_id", "held_out", F.xxhash64("text").alias("mark"), "text")
-    say = lambda counted, starts: log_probabilities(counted, starts, total, vocabulary, prior, texts_learned)
-
-    def passing(model, hashes, k):
-        """Levels of one pass's n-grams, in order, and the pass of each n-gram."""
-        turn = (np.searchsorted(bounds, LogFrequencyFilter.segment(hashes, segments).astype(np.int64), side="right") - 1).astype(np.uint16)
-        return model.levels(hashes[turn == k]), turn
-
-    def run(rows):
-        top, model = shared.value
-        frequent = [w for w, _ in top]
-        words, gains = Vocabulary(frequent), np.log10(np.array([c for _, c in top], dtype=np.float64) + 1)
-        none, unigrams = np.zeros(0, np.int64), np.zeros(0)
-        waiting = []
-
-        def out():
-            nonlocal words, unigrams
-            said = [t for _, _, _, t in waiting]
-            starts = first_of(said)
-            numbers = np.array([n for t in said for n in map(words.__getitem__, t)], dtype=np.int64)
-            found = grams(words.of(numbers), starts, order)
-            if whole:
-                more = words.of(np.arange(len(unigrams), len(words)))
-                unigrams = np.concatenate([unigrams, model.counts(grams(more, none, 1)[0])])  # each word is probed once
-                scores = say([unigrams[numbers], *map(model.counts, found[1:])], starts)
-            known = numbers < len(frequent)
-            there = np.add.reduceat(known.astype(np.int64), starts)
-            sure = np.add.reduceat(np.where(known, np.concatenate([gains, [0.0]])[np.minimum(numbers, len(frequent))], 0.0), starts)
-            for k, (doc_id, held_out, mark, text) in enumerate(waiting):
-                rest: Counter = Counter()
-                here = slice(starts[k], starts[k] + len(text))
-                if not complete and there[k] < len(text):
-                    rest.update(text[i] for i in np.flatnonzero(~known[here]).tolist())
-                levels = turn = None
-                if not whole:
-                    levels, turn = passing(model, np.concatenate([g[here] for g in found]), 0)
-                    levels, turn = levels.tobytes(), turn.tobytes()
-                yield doc_id, held_out, mark, len(text), int(there[k]), float(sure[k]) - add * len(text), float(scores[k]) if whole else None, [{"token": w, "n": n} for w, n in rest.items()], turn, levels
+    together = training is None
+    window = WINDOW
+
+    def by_part(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The parts of words by their hashes, sorted, and the order in which they are."""
+        of = part_of(unigrams(words), segments, parts)
+        by = np.argsort(of, kind="stable")
+        return of[by], by
+
+    def cutting(rows, together: bool, kind: int):
+        """Windows of texts with their pieces; together: texts that are not held out are learned from as well."""
+        from pyspark import TaskContext
+
+        frequent = [w for w, _ in shared.value[0]]
+        number, size = TaskContext.get().partitionId() << 32, 0
+        words, waiting = Vocabulary(frequent), {}
+
+        def out(kind, texts):
+            starts = first_of([t for _, _, t in texts])
+            numbers = np.concatenate([t for _, _, t in texts])
+            h, times, _ = distinct(numbers, words, starts, order)
+            of = part_of(h, segments, parts)
+            for a, b in runs(of):
+                yield int(of[a]), number, int(of[a]), kind, flat(h[a:b]), packed(flat(times[a:b].astype(np.uint32))) if kind & LEARN else None
+            if kind & ASK:
+                there = np.unique(numbers[numbers >= len(frequent)])
+                of, by = by_part(words.of(there))
+                there, names = there[by], list(words)
+                named = [names[i] for i in there.tolist()]
+                for a, b in runs(of):
+                    yield int(of[a]), number, int(of[a]), NAMED, packed(b" ".join(named[a:b])), None
+                rank = np.arange(len(words), dtype=np.uint32)
+                rank[there] = len(frequent) + np.arange(len(there), dtype=np.uint32)
+                about = [(doc_id, held_out, len(t)) for doc_id, held_out, t in texts], named, flat(rank[numbers])
+                yield (number // (1 << 32) + number) % parts, number, -1, kind, packed(pickle.dumps(about)), None
+
+        def all_out():
+            nonlocal number, size, words
+            for of, texts in waiting.items():
+                yield from out(of, texts)
+                number += 1
             waiting.clear()
-            if len(words) > len(frequent) + FLUSH:
-                words, unigrams = Vocabulary(frequent), unigrams[: len(frequent)]
-
-        size = 0
-        for doc_id, held_out, mark, text in rows:
-            waiting.append((doc_id, held_out, mark, tokens(text)))
-            size += len(waiting[-1][3])
-            if size > 1 << 17:
-                yield from out()
-                size = 0
-        if waiting:
-            yield from out()
-
-    schema = f"doc_id {kinds['doc_id']}, held_out boolean, mark long, n_tokens long, known long, sure double, score double, rest array<struct<token:binary,n:long>>, turn binary, levels binary"
-    rows = map_rows(texts, run, schema, binary=("text",)).withColumn("row_id", F.monotonically_increasing_id())
-    rows = written(rows, "scored")
-    tail = rows.select("row_id", F.explode("rest").alias("x")).select("row_id", "x.token", "x.n").join(counts, "token")
-    tail = tail.groupBy("row_id").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("gain"))
-    out = rows.drop("rest").join(tail, "row_id", "left")
-    if not whole:
-        out = out.drop("score").join(later_passes(rows, texts, filter_, sizes, ranges, base, order, top, passing, say), "row_id")
-    return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("sure") + F.coalesce("gain", F.lit(0.0))).alias("base_score"), "score",
-    )
-
-
-def later_passes(rows: DataFrame, texts: DataFrame, filter_: DataFrame, sizes: np.ndarray, ranges: list[tuple[int, int]], base: float, order: int, top: list, passing, say) -> DataFrame:
-    """(row_id, score) from the first pass's rows: one more pass over texts for each further range of segments, and a join of their levels.
-
-    A pass leaves one byte for each of its n-grams, in the order of the text, so that all passes together leave one for each.
-    """
-    spark = rows.sparkSession
-    key = [F.col("doc_id"), F.col("mark")]
-    kind = dict(texts.dtypes)["doc_id"]
-    parts = rows.select(*key, F.lit(0).alias("k"), "levels")
-    for k, (low, high) in enumerate(ranges[1:], start=1):
-        shared = spark.sparkContext.broadcast((top, loaded(filter_, sizes, low, high, base)))
-
-        def run(found, k=k, shared=shared):
-            top, model = shared.value
-            frequent = [w for w, _ in top]
-            words, waiting, size = Vocabulary(frequent), [], 0
-
-            def out():
-                nonlocal words
-                starts = first_of([t for _, _, t in waiting])
-                numbers = np.array([n for _, _, t in waiting for n in map(words.__getitem__, t)], dtype=np.int64)
-                all_ = grams(words.of(numbers), starts, order)
-                for (doc_id, mark, text), at in zip(waiting, starts.tolist(), strict=True):
-                    yield doc_id, mark, k, passing(model, np.concatenate([g[at : at + len(text)] for g in all_]), k)[0].tobytes()
-                waiting.clear()
-                if len(words) > len(frequent) + FLUSH:
-                    words = Vocabulary(frequent)
-
-            for doc_id, mark, text in found:
-                waiting.append((doc_id, mark, tokens(text)))
-                size += len(waiting[-1][2])
-                if size > 1 << 17:
-                    yield from out()
-                    size = 0
-            if waiting:
-                yield from out()
-
-        part = written(map_rows(texts.select("doc_id", "mark", "text"), run, f"doc_id {kind}, mark long, k int, levels binary", binary=("text",)), "levels")
-        shared.unpersist()
-        parts = parts.unionByName(part)
-    parts = parts.dropDuplicates(["doc_id", "mark", "k"])  # rows that repeat have the same levels
-    both = parts.groupBy(F.col("doc_id").alias("p_doc"), F.col("mark").alias("p_mark")).agg(F.collect_list(F.struct("k", "levels")).alias("parts"))
-    joined = rows.select("row_id", "doc_id", "mark", "turn").join(both, F.col("doc_id").eqNullSafe(F.col("p_doc")) & F.col("mark").eqNullSafe(F.col("p_mark")))
-    middle = middles(base)
-
-    def add_up(found):
-        for row_id, turn, parts in found:
-            turn = np.frombuffer(turn, np.uint16)
-            reached = np.zeros(len(turn), np.uint8)
-            for p in parts:
-                reached[turn == p["k"]] = np.frombuffer(p["levels"], np.uint8)
-            yield row_id, float(say(list(middle[reached].reshape(order, -1)), np.zeros(1, np.int64))[0])
-
-    return map_rows(joined.select("row_id", "turn", "parts"), add_up, "row_id long, score double")
+            size = 0
+            if len(words) > len(frequent):  # a window names those words that the head lacks
+                words = Vocabulary(frequent)
+
+        for doc_id, held_out, text in rows:
+            said = tokens(text)
+            waiting.setdefault(ASK | LEARN if together and held_out is False else kind, []).append((doc_id, held_out, np.fromiter(map(words.__getitem__, said), np.int64, len(said))))
+            size += len(said)
+            if size > window:
+                yield from all_out()
+        yield from all_out()
+
+    def scoring(rows):
+        top, hashes = shared.value
+        middle, head = middles(base), len(top)
+        head_gains = np.log10(np.array([c for _, c in top], dtype=np.float64) + 1)
+        for (window,), group in grouped(rows, 1):
+            _, part, data = next(group)
+            if part != -1:
+                raise RuntimeError(f"window {window} is missing; its input changed when a task was repeated")
+            texts, names, numbers = pickle.loads(unpacked(data))
+            numbers = unflat(numbers, np.uint32).astype(np.int64)
+            words = Vocabulary(names)
+            words.held, words.hashes = np.concatenate([hashes, np.array(words.hashes, dtype=np.uint64)]), range(head + len(names))
+            starts = np.array([0, *itertools.accumulate(n for _, _, n in texts[:-1])], dtype=np.int64)
+            h, _, places = distinct(numbers, words, starts, order)
+            found = [(part, unpacked(data)) for _, part, data in group]
+            reached = np.frombuffer(b"".join(x for part, x in found if part < parts), np.uint8)
+            exact = np.concatenate([np.zeros(0, np.uint64), *(unflat(x, np.uint64) for part, x in found if part >= parts)])
+            if len(reached) != len(h) or len(exact) != len(names):
+                raise RuntimeError(f"window {window} has {len(h)} n-grams and {len(names)} words to be counted, and got {len(reached)} and {len(exact)}; its input changed when a task was repeated")
+            scores = log_probabilities([middle[reached[p]] for p in places], starts, total, vocabulary, prior, texts_learned).tolist()
+            gains = np.concatenate([head_gains, np.log10(exact.astype(np.float64) + 1)])
+            known = np.concatenate([np.ones(head, np.int64), exact > 0])
+            there = np.add.reduceat(known[numbers], starts).tolist()
+            sure = np.add.reduceat(gains[numbers], starts).tolist()
+            for (doc_id, held_out, n), score, k, gain in zip(texts, scores, there, sure, strict=True):
+                yield doc_id, held_out, n, k, total, gain - add * n, score
+
+    pieces = map_rows(docs.select("doc_id", "held_out", "text"), lambda rows: cutting(rows, together, ASK), PIECES, binary=("text",))
+    if not together:
+        learned = training.select(F.lit(None).alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"), "text")
+        pieces = pieces.unionByName(map_rows(learned, lambda rows: cutting(rows, False, LEARN), PIECES, binary=("text",)))
+    if vocabulary > len(top):
+        pieces = pieces.unionByName(counted_words(counts.where(F.col("c") < min((c for _, c in top), default=total + 1)), segments, parts))
+    rows = answered(pieces, segments, parts, base, entry_bits).repartition(partitions(spark), "window").sortWithinPartitions("window", "part")
+    schema = f"doc_id {kinds['doc_id']}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return written(map_rows(rows, scoring, schema), "scored")
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by what those with crc32(doc_id) mod 7 other than 2 say; a row for each."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", (remainder(by=7) == 2).alias("held_out"), "text")
-    return scored(docs, docs.where(~F.col("held_out")))
+    return scored(table(spark, sf_dir, "documents").select("doc_id", (remainder(by=7) == 2).alias("held_out"), "text"))

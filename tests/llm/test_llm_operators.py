@@ -802,6 +802,47 @@ def test_scores_against_brute_force_in_one_pass_and_in_many(spark, monkeypatch):
     assert ngrams.segments_for(2 * 10**13) == ngrams.MOST_SEGMENTS
 
 
+def test_texts_are_read_as_often_for_a_filter_in_many_parts_as_for_one(spark, monkeypatch):
+    monkeypatch.setattr(ngrams, "SEGMENT_TOKENS", 1 << 9)
+    monkeypatch.setattr(ngrams, "WINDOW", 1 << 10)
+    docs = corpus(spark).select("doc_id", (language.remainder(by=7) == 2).alias("held_out"), "text")
+
+    def run(p, together=False):
+        read = spark.sparkContext.accumulator(0)
+
+        def passed(batches):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        rows = docs.mapInArrow(passed, docs.schema)
+        out = ngrams.scored(rows, *([] if together else [rows.where("not held_out")]), pass_bits=p).collect()
+        return sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in out), read.value
+
+    one, reads = run(1 << 29)
+    assert len(one) == docs.count()
+    for p in (20_000, 2_000):
+        assert run(p) == (one, reads)
+        again, less = run(p, together=True)
+        assert again == one and less < reads
+
+
+def test_distinct_ngrams_of_a_window():
+    words = ngrams.Vocabulary([b"x", b"a"])
+    said = [b"a b a b a".split() + [b""], [b""], b"a b".split() + [b""]]
+    numbers, starts = np.array([words[w] for t in said for w in t]), ngrams.first_of(said)
+    h, times, places = ngrams.distinct(numbers, words, starts, 3)
+    assert (h[1:] > h[:-1]).all()
+    of = [tuple([None, None, *t][i : i + 3]) for t in said for i in range(len(t))]
+    for n, got in enumerate(places):
+        want = [x[2 - n :] for x in of]
+        counts = Counter(want)
+        assert len(set(zip(got.tolist(), want, strict=True))) == len(counts) == len(set(got.tolist()))
+        assert times[got].tolist() == [counts[x] for x in want]
+    for x, kind in ((h, np.uint64), (times.astype(np.uint32), np.uint32), (h[:0], np.uint64)):
+        assert ngrams.unflat(ngrams.unpacked(ngrams.packed(ngrams.flat(x))), kind).tolist() == x.tolist()
+
+
 def test_the_filter_grows_and_its_error_does_not():
     for n in (2_000, 200_000):
         h = ngrams.mix(np.arange(1, n + 1, dtype=np.uint64))
