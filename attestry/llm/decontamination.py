@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,8 @@ RARE_SHARE = 0.4
 ITEMS = 256
 #: Terms whose part of the covariance is summed in one row.
 ROWS = 512
+#: Term numbers, in bytes, of the documents that are compared at once.
+BATCH_BYTES = 1 << 17
 #: Items of fewer words count only as a whole, with their words on end, and of fewer than ALONE words only as the whole text.
 LEAST_WORDS = 8
 ALONE = 3
@@ -77,23 +79,49 @@ class Terms:
         return np.array(list(map(self.number.get, words, itertools.repeat(0))), dtype=np.int32)
 
 
-def strides(ids: np.ndarray, values: np.ndarray, step: int = STRIDE) -> np.ndarray:
-    """For each stride of a document's words the sum of its terms' rows of values."""
-    where = np.flatnonzero(ids)
-    n = max(1, -(-len(ids) // step))
-    out = np.zeros((n, values.shape[1]), dtype=np.float32)
-    if len(where):
-        of = where // step
-        starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-        out[of[starts]] = np.add.reduceat(values[ids[where]], starts, axis=0)
+def run_sums(values: np.ndarray, rows: np.ndarray, starts: np.ndarray, longest: int = STRIDE * STRIDES) -> np.ndarray:
+    """Sums of values[rows] over the runs that begin at starts, rows of all runs at once; np.add.reduceat takes some eight times as long over so many columns."""
+    lengths = np.diff(np.append(starts, len(rows)))
+    if len(lengths) and lengths.max() > longest:
+        pieces = -(-lengths // longest)
+        first = np.cumsum(pieces) - pieces
+        parts = run_sums(values, rows, np.repeat(starts, pieces) + (np.arange(pieces.sum()) - np.repeat(first, pieces)) * longest, longest)
+        return run_sums(parts, np.arange(len(parts)), first, longest)
+    by = np.argsort(-lengths, kind="stable")
+    at, lengths = starts[by], lengths[by]
+    sums = values[rows[at]]
+    for k in range(1, int(lengths.max(initial=0))):
+        m = np.searchsorted(-lengths, -k)  # runs longer than k
+        sums[:m] += values[rows[at[:m] + k]]
+    out = np.empty_like(sums)
+    out[by] = sums
     return out
 
 
-def passages(sums: np.ndarray, n: int = STRIDES) -> np.ndarray:
-    """Sums over n strides on end, one passage beginning at each stride but the last ones."""
-    if len(sums) <= n:
-        return sums.sum(axis=0, keepdims=True)
-    return sum(sums[k : len(sums) - n + 1 + k] for k in range(n))
+def strides(docs: list[np.ndarray], values: np.ndarray, step: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
+    """For each stride of the documents' words the sum of its terms' rows of values; and the number of strides of each document, one at least."""
+    counts = np.array([max(1, -(-len(ids) // step)) for ids in docs])
+    out = np.zeros((counts.sum(), values.shape[1]), dtype=np.float32)
+    where = [np.flatnonzero(ids) for ids in docs]
+    rows = np.concatenate([ids[w] for ids, w in zip(docs, where, strict=True)])
+    of = np.concatenate([first + w // step for first, w in zip((np.cumsum(counts) - counts).tolist(), where, strict=True)])
+    if len(rows):
+        starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        out[of[starts]] = run_sums(values, rows, starts)
+    return out, counts
+
+
+def passages(sums: np.ndarray, counts: np.ndarray, n: int = STRIDES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums over n strides on end, one passage beginning at each stride of a document but the last ones; and the document and the stride of each."""
+    many = np.maximum(1, counts - n + 1)
+    doc = np.repeat(np.arange(len(counts)), many)
+    stride = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    at = np.repeat(np.cumsum(counts) - counts, many) + stride
+    out = sums[at]
+    for k in range(1, n):
+        more = stride + k < counts[doc]
+        out[more] += sums[at[more] + k]
+    return out, doc, stride
 
 
 def numbered(docs: DataFrame, terms: Terms) -> DataFrame:
@@ -161,12 +189,12 @@ def covariance(ids: DataFrame, omega: np.ndarray) -> tuple[np.ndarray, float]:
             nonlocal size
             term, spot = np.concatenate(held), np.concatenate(spots)
             starts = np.flatnonzero(np.concatenate([[True], spot[1:] != spot[:-1]]))
-            y = np.add.reduceat(omega[term], starts, axis=0)
+            y = run_sums(omega, term, starts)
             size += float((y.astype(np.float64) ** 2).sum())
             order = np.argsort(term, kind="stable")
             row = np.repeat(np.arange(len(starts)), np.diff([*starts, len(term)]))[order]
             firsts = np.flatnonzero(np.concatenate([[True], np.diff(term[order]) != 0]))
-            out[term[order][firsts]] += np.add.reduceat(y[row], firsts, axis=0)
+            out[term[order][firsts]] += run_sums(y, row, firsts)
 
         for batch in batches:
             for raw in batch.column(0):
@@ -265,20 +293,25 @@ class ShortFinder:
 
 
 class Finder:
-    """Items of the benchmark in a document, from its term numbers."""
+    """Items of the benchmark in documents, from their term numbers."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], values: np.ndarray, least: float, verbatim: float, paraphrase: float, weights: np.ndarray) -> None:
         self.items = [(i, ids.tolist()) for i, ids in items]
         self.rare = [set(ids[weights[ids] >= np.median(weights[ids])].tolist()) for _, ids in items]
         self.bags = [np.unique(ids, return_counts=True) for _, ids in items]
+        self.bag_terms, self.bag_counts = (np.concatenate(x) for x in zip(*self.bags, strict=True))
+        self.bag_starts = np.cumsum([0, *(len(terms) for terms, _ in self.bags[:-1])])
+        self.needs = min(verbatim, paraphrase) * np.array([len(ids) for _, ids in items])
         self.longest = max(len(ids) for _, ids in items)
         self.values = values.astype(np.float32)
         self.queries = unit(np.stack([values[ids].sum(axis=0) for _, ids in items])).astype(np.float32)
         self.least, self.verbatim, self.paraphrase = least, verbatim, paraphrase
 
-    def candidates(self, ids: np.ndarray) -> np.ndarray:
-        """Pairs (passage, item) whose cosine suffices."""
-        return np.argwhere(unit(passages(strides(ids, self.values))) @ self.queries.T >= self.least)
+    def candidates(self, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs (passage, item) whose cosine suffices, as the numbers of the document, of its stride, and of the item; in order."""
+        sums, doc, stride = passages(*strides(docs, self.values))
+        passage, item = np.nonzero(unit(sums) @ self.queries.T >= self.least)
+        return doc[passage], stride[passage], item
 
     def verdict(self, item: list[int], rare: set[int], near: np.ndarray) -> float | None:
         """Share of the item's words in the best window of the words near a candidate, if it is a copy or a paraphrase."""
@@ -304,20 +337,33 @@ class Finder:
                     best = max(best, n)
         return best / len(item) if best else None
 
-    def __call__(self, ids: np.ndarray) -> dict[int, float]:
-        found: dict[int, float] = {}
-        if not len(ids):
-            return found
-        least = min(self.verbatim, self.paraphrase)
-        for passage, pairs in itertools.groupby(self.candidates(ids).tolist(), key=lambda c: c[0]):
+    def __call__(self, docs: list[np.ndarray]) -> list[dict[object, float]]:
+        """For each document the items found and how much of them."""
+        out: list[dict[object, float]] = [{} for _ in docs]
+        full = [d for d, ids in enumerate(docs) if len(ids)]
+        if full:
+            doc, stride, item = self.candidates([docs[d] for d in full])
+            edges = [0, *(np.flatnonzero(doc[1:] != doc[:-1]) + 1).tolist(), len(doc)] if len(doc) else [0]
+            for a, b in itertools.pairwise(edges):
+                d = full[doc[a]]
+                out[d] = self.found(docs[d], stride[a:b], item[a:b])
+        return out
+
+    def found(self, ids: np.ndarray, stride: np.ndarray, item: np.ndarray) -> dict[object, float]:
+        """The document's items, from its candidates by the strides that their passages begin with."""
+        found: dict[object, float] = {}
+        # the words that an item and the text, or the surroundings of a passage, share bound the common subsequence from above
+        there = np.bincount(ids, minlength=len(self.values))
+        enough = np.add.reduceat(np.minimum(there[self.bag_terms], self.bag_counts), self.bag_starts) >= self.needs
+        hold = enough[item]
+        for passage, pairs in itertools.groupby(zip(stride[hold].tolist(), item[hold].tolist(), strict=True), key=lambda c: c[0]):
             start = passage * STRIDE
             near = ids[max(0, start - self.longest) : start + STRIDE * STRIDES + self.longest]
             there = np.bincount(near, minlength=len(self.values))
             for _, k in pairs:
-                number, item = self.items[k]
+                number, words = self.items[k]
                 terms, counts = self.bags[k]
-                # the words that item and surroundings share bound the common subsequence from above
-                if np.minimum(there[terms], counts).sum() >= least * len(item) and (share := self.verdict(item, self.rare[k], near)) is not None:
+                if np.minimum(there[terms], counts).sum() >= self.needs[k] and (share := self.verdict(words, self.rare[k], near)) is not None:
                     found[number] = max(share, found.get(number, 0.0))
         return found
 
@@ -335,6 +381,19 @@ def blocks_of(benchmark: DataFrame, items_at_once: int) -> Iterator[list[tuple[o
         yield block
 
 
+def together(rows: Iterator[tuple], size: Callable[[tuple], int], most: int) -> Iterator[list[tuple]]:
+    """Rows in lists that end with the one by which their sizes, one at least for each, exceed most."""
+    held, total = [], 0
+    for row in rows:
+        held.append(row)
+        total += max(1, size(row))
+        if total > most:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, least: float = LEAST_COSINE, verbatim: float = VERBATIM, paraphrase: float = PARAPHRASE, least_words: int = LEAST_WORDS, items_at_once: int = ITEMS, share: float = ITEM_SHARE) -> DataFrame:
     """docs (doc_id, text), benchmark (item_id, text) -> (doc_id, item_id, share): items found in documents, in no order.
 
@@ -364,12 +423,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, least: float
 
         def run(rows, shared=shared, kind=kind_of(len(terms.number))):
             items, short, values, weights = shared.value
-            finder = Finder(items, values, least, verbatim, paraphrase, weights) if items else lambda ids: {}
+            finder = Finder(items, values, least, verbatim, paraphrase, weights) if items else lambda docs: [{} for _ in docs]
             whole = ShortFinder(short)
-            for doc_id, raw, n_words in rows:
-                ids = np.frombuffer(raw, kind)
-                for item, share in (finder(ids) | whole(ids, n_words)).items():
-                    yield doc_id, item, share
+            for batch in together(rows, lambda row: len(row[1]), BATCH_BYTES):
+                docs = [np.frombuffer(raw, kind) for _, raw, _ in batch]
+                for (doc_id, _, n_words), ids, found in zip(batch, docs, finder(docs), strict=True):
+                    for item, share in (found | whole(ids, n_words)).items():
+                        yield doc_id, item, share
 
         out = out.unionByName(map_rows(ids, run, schema)) if n else map_rows(ids, run, schema)
     return out

@@ -731,6 +731,33 @@ def test_leaks_against_brute_force(spark):
     assert len(want) > 100 and len(got & want) >= 0.98 * len(want) and len(got - want) <= 0.02 * len(want)
 
 
+def test_sums_over_runs_of_any_length():
+    rng = np.random.default_rng(3)
+    values = rng.integers(-9, 9, (50, 7)).astype(np.float32)
+    for lengths in ([1], [5, 1, 64, 65, 3], [9000, 1, 1, 129], rng.integers(1, 200, 300).tolist()):
+        rows = rng.integers(0, 50, sum(lengths))
+        starts = np.cumsum([0, *lengths[:-1]])
+        want = [values[rows[a : a + n]].sum(axis=0).tolist() for a, n in zip(starts, lengths, strict=True)]
+        assert decontamination.run_sums(values, rows, starts).tolist() == want
+    assert decontamination.run_sums(values, np.zeros(0, np.int64), np.zeros(0, np.int64)).shape == (0, 7)
+
+
+def test_documents_are_compared_together_as_alone():
+    rng = np.random.default_rng(6)
+    items = [(k, rng.integers(1, 300, int(n))) for k, n in enumerate(rng.integers(8, 50, 30))]
+    weights = np.array([0.0, *rng.uniform(1, 5, 299)])
+    finder = decontamination.Finder(items, rng.standard_normal((300, 24)) * weights[:, None], 0.4, decontamination.VERBATIM, decontamination.PARAPHRASE, weights)
+    docs = [np.zeros(0, np.int64), np.zeros(40, np.int64)]
+    for n in (1, 31, 32, 33, 64, 65, 96, 400, 3000):
+        text = rng.integers(0, 300, n)
+        docs += [text, np.concatenate([text, items[n % 30][1], text])]
+    alone = [finder([d])[0] for d in docs]
+    assert finder(docs) == alone and finder([]) == []
+    assert all(any(i == n % 30 and share == 1.0 for i, share in found.items()) for n, found in zip((1, 31, 32, 33, 64, 65, 96, 400, 3000), alone[3::2], strict=True))
+    assert alone[:2] == [{}, {}]
+    assert [len(b) for b in decontamination.together(iter([(b"",)] * 10), lambda r: len(r[0]), 3)] == [4, 4, 2]
+
+
 # ---- 9 n-grams
 
 
