@@ -43,13 +43,11 @@ HEAD = 1 << 17
 FLUSH = 1 << 18
 #: N-grams of the training texts for each task that probes, at most, and tokens of a window.
 PART_GRAMS = 1 << 22
-WINDOW = 1 << 18
+WINDOW = 1 << 19
 #: What a piece is for.
 LEARN, ASK, NAMED, COUNTED = 1, 2, 4, 8
 PIECES = "deal int, window long, part int, kind int, data binary, n binary"
 END = b""
-#: The bits of an n-gram's hash that windows tell them apart by and send, 48: of 10^10 n-grams one in some 28,000 shares its hash with another, where the filter errs in one of 40.
-KEPT = np.uint64(0xFFFF_FFFF_FFFF_0000)
 #: An odd multiplier for each level of the filter.
 _LEVELS = [2 * (0x9E3779B97F4A7C15 * (k + 1) % (1 << 63)) % (1 << 64) + 1 for k in range(80)]
 _K1, _K2, _K3 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -216,7 +214,7 @@ def distinct(numbers: np.ndarray, words: Vocabulary, starts: np.ndarray, order:
     rank = np.zeros(len(seen), np.int64)
     rank[there] = np.arange(len(there))
     found = [unigrams(words.of(there)), *grams(words.of(numbers), starts, order)[1:]]
-    all_, times = np.concatenate(found) & KEPT, np.concatenate([seen[there], np.ones(len(numbers) * (order - 1), np.int64)])
+    all_, times = np.concatenate(found), np.concatenate([seen[there], np.ones(len(numbers) * (order - 1), np.int64)])
     by = np.argsort(all_)
     h = all_[by]
     new = np.concatenate([[True], h[1:] != h[:-1]])
