@@ -4,13 +4,12 @@ Lines are normalised, hashed and sketched where they lie; only hashes and sketch
 each of TABLES tables, named by a min-hash of its word pairs. Lines of a bucket are candidates if their SimHashes differ in
 few bits and their lengths allow the similarity. Pigeonhole blocks of the SimHash alone can't name the buckets: lines of similarity 0.8
 differ in some 27 of 128 bits, for which blocks would have four bits. The lines of each group of candidates are fetched and compared by
-edit similarity, each pair in the first table in which it agrees and not if it is connected already, so that a group of m alike lines
-costs about m comparisons and gives m - 1 links. Of each connected group of lines the first occurrence stays.
+edit similarity, many pairs at once, each in the first table in which it agrees and not if it is connected already, so that a group of m
+alike lines costs about m comparisons and gives m - 1 links. Of each connected group of lines the first occurrence stays.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -19,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from attestry.llm.common import bound_batches, forget, grouped, map_rows, partitions, spread_join, table, written
+from attestry.llm.common import bound_batches, forget, map_rows, partitions, spread_join, table, written
 from attestry.llm.components import components
 from attestry.llm.simhash import majorities
 
@@ -43,6 +42,17 @@ BUCKET = 2048
 PAIRS = 32
 #: Lines to fetch or to look up until which their places are broadcast (some 24 MB), and beyond which they are joined.
 BROADCAST_LINES = 1 << 19
+#: Lines of more characters are compared one by one, as are pairs that few others of their length accompany.
+BATCH_CHARS = 4096
+BATCH_FEW = 12
+#: Words of 64 bits of a batch's state, and of its table of letters.
+BATCH_STATE = 4096
+BATCH_TABLE = 4 << 20
+#: Lines, and their characters, from which the groups that came are compared.
+CHUNK_LINES = 1 << 15
+CHUNK_BYTES = 16 << 20
+#: Pairs that are held before they are compared.
+PAIRS_HELD = 1 << 20
 #: Multiplier of the words' hashes, its inverse modulo 2**64, a value for each byte, and a constant that parts the SimHash's halves.
 _P = 0x9E3779B97F4A7C15
 _INVERSE = pow(_P, -1, 1 << 64)
@@ -133,6 +143,139 @@ def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     return edits(a, b, int((1 - least) * max(len(a), len(b)) + 1e-9)) is not None
 
 
+def distances(patterns: np.ndarray, texts: np.ndarray, m: np.ndarray, n: np.ndarray, left: int, right: int) -> np.ndarray:
+    """Levenshtein distances of pairs at once, of edits that go no more than left and right columns from the diagonal (Myers 1999 in blocks of 64 rows, Ukkonen's band).
+
+    Rows of patterns have a multiple of 64 letters, of which the last m count, after as many zeros as texts have before their n;
+    letters are small numbers. At each step the block k is one column behind the block k - 1, so that all blocks move on at once.
+    """
+    count, high = patterns.shape
+    blocks, wide = high // 64, texts.shape[1]
+    used = np.zeros(int(max(patterns.max(), texts.max())) + 1, dtype=bool)
+    used[patterns] = True
+    place = np.where(used, np.cumsum(used) - 1, used.sum())  # letters of no pattern share the last place
+    letters = int(used.sum()) + 1
+    row = np.arange(count) * letters
+    table = np.zeros(count * letters * blocks, dtype=np.uint64)
+    at = (row[:, None] + place[patterns]) * blocks + np.arange(high) // 64
+    np.add.at(table, at.ravel(), np.tile(np.uint64(1) << (np.arange(high) % 64).astype(np.uint64), count))
+    column = np.ascontiguousarray(((row[:, None] + place[texts]) * blocks).T)
+    ks = np.arange(blocks)[:, None]
+    plus, minus = np.full((blocks, count), ~np.uint64(0)), np.zeros((blocks, count), np.uint64)
+    up, down = np.zeros((blocks + 1, count), np.uint64), np.zeros((blocks + 1, count), np.uint64)
+    up[0] = 1
+    eqs, ats, xs, ys, zs = (np.empty((blocks, count), kind) for kind in (np.uint64, np.int64, np.uint64, np.uint64, np.uint64))
+    score, until = np.full(count, 64, dtype=np.int64), n + (high - m)
+    one, top = np.uint64(1), np.uint64(63)
+    low, end, sooner = 0, 1, int(until.min())
+    for step in range(wide + blocks - 1):
+        last, low = low, max(0, -((right + 63 - step) // 65), step - wide + 1)
+        if end < min(blocks, step + 1, (step + left) // 65 + 1):
+            score += 64 - up[end].view(np.int64) + down[end].view(np.int64)
+            end += 1
+        p, v, u, d, eq, to, x, y, z = (a[low:end] for a in (plus, minus, up, down, eqs, ats, xs, ys, zs))
+        np.add(column[step - end + 1 : step - low + 1][::-1], ks[low:end], out=to)
+        table.take(to, out=eq, mode="clip")
+        np.bitwise_or(eq, v, out=x)
+        np.bitwise_or(eq, d, out=eq)
+        np.bitwise_and(eq, p, out=y)
+        np.add(y, p, out=y)
+        np.bitwise_xor(y, p, out=y)
+        np.bitwise_or(y, eq, out=y)
+        np.bitwise_or(y, p, out=z)
+        np.invert(z, out=z)
+        np.bitwise_or(z, v, out=z)  # rises along the rows
+        np.bitwise_and(y, p, out=y)  # falls
+        np.right_shift(z, top, out=eq)
+        np.left_shift(z, one, out=z)
+        np.bitwise_or(z, u, out=z)
+        np.right_shift(y, top, out=v)
+        np.left_shift(y, one, out=y)
+        np.bitwise_or(y, d, out=y)
+        up[low + 1 : end + 1] = eq
+        down[low + 1 : end + 1] = v
+        np.bitwise_or(x, z, out=p)
+        np.invert(p, out=p)
+        np.bitwise_or(p, y, out=p)
+        np.bitwise_and(z, x, out=v)
+        if low > last:
+            up[low], down[low] = 1, 0  # above the band each column counts one more
+        moved = up[end].view(np.int64) - down[end].view(np.int64)
+        if end == blocks and step - blocks + 1 >= sooner:
+            moved[step - blocks + 1 >= until] = 0
+        score += moved
+    return score
+
+
+class Texts:
+    """Texts whose pairs are compared many at once."""
+
+    def __init__(self, texts: list[str]) -> None:
+        self.texts = texts
+        self.sizes = np.array([len(x) for x in texts], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
+        used = np.zeros(0x110000, dtype=bool)
+        used[codes] = True
+        known = np.flatnonzero(used)
+        letters = np.zeros(0x110000, dtype=np.int32)
+        letters[known] = np.arange(1, len(known) + 1)
+        self.codes = np.append(letters[codes], 0)
+        self.alphabet, self.narrow = len(known), int((known < 0x250).sum())
+        self.wide = np.maximum.reduceat(self.codes, self.starts) > self.narrow
+
+    def letters(self, first: np.ndarray, size: np.ndarray, shift: np.ndarray, width: int) -> np.ndarray:
+        """A row for each text from first on, of size letters after shift zeros; zeros follow."""
+        at = np.arange(width) - shift[:, None]
+        return np.where((at >= 0) & (at < size[:, None]), self.codes.take(first[:, None] + at, mode="clip"), 0)
+
+    def shared(self, a: np.ndarray, b: np.ndarray, most: np.ndarray, step: int) -> np.ndarray:
+        """How many letters, most at most, are the same from the places a and b on, in steps of 1 or -1."""
+        out, open_, done = np.zeros(len(a), dtype=np.int64), np.arange(len(a)), 0
+        while len(open_):
+            at = step * np.arange(done, done + 64)
+            differ = self.codes.take(a[open_, None] + at, mode="clip") != self.codes.take(b[open_, None] + at, mode="clip")
+            here = np.where(differ.any(axis=1), differ.argmax(axis=1), 64)
+            out[open_] = np.minimum(done + here, most[open_])
+            done += 64
+            open_ = open_[(here == 64) & (done < most[open_])]
+        return out
+
+    def edits(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """For pairs of texts' numbers a number of edits, at most `most`, that turn one into the other; -1 if there is none."""
+        out = np.full(len(a), -1, dtype=np.int64)
+        a, b = np.where(self.sizes[a] <= self.sizes[b], a, b), np.where(self.sizes[a] <= self.sizes[b], b, a)
+        m, n = self.sizes[a], self.sizes[b]
+        alike = self.shared(self.starts[a], self.starts[b], m, 1)
+        first, second, m, n = self.starts[a] + alike, self.starts[b] + alike, m - alike, n - alike
+        alike = self.shared(first + m - 1, second + n - 1, m, -1)
+        m, n = m - alike, n - alike
+        out[n <= most] = n[n <= most]
+        left = np.flatnonzero((n - m <= most) & (out < 0))
+        wide = self.wide[a[left]] | self.wide[b[left]]
+        order = np.lexsort((m[left], wide))
+        left, wide = left[order], wide[order]
+        while len(left):
+            size, letters = int(m[left[0]]), (self.alphabet if wide[0] else self.narrow) + 2
+            blocks = (size + size // 2 + 127) // 64
+            fit = (m[left] <= 64 * blocks) & (wide == wide[0])
+            count = int(fit.argmin()) if not fit.all() else len(left)
+            count = max(1, min(count, BATCH_STATE // min(blocks, int(most[left[0]]) // 64 + 2), BATCH_TABLE // (letters * blocks)))
+            some, left, wide = left[:count], left[count:], wide[count:]
+            if size > BATCH_CHARS or count < BATCH_FEW:
+                for k in some.tolist():
+                    found = edits(self.texts[a[k]], self.texts[b[k]], int(most[k]))
+                    out[k] = -1 if found is None else found
+                continue
+            high = -(-int(m[some].max()) // 64) * 64
+            shift, more = high - m[some], n[some] - m[some]
+            patterns, texts = self.letters(first[some], m[some], shift, high), self.letters(second[some], n[some], shift, int((n[some] + shift).max()))
+            # a path of `most` edits that ends on another diagonal leaves neither by more
+            found = distances(patterns, texts, m[some], n[some], int(((most[some] - more) // 2).max()), int(((most[some] + more) // 2).max()))
+            out[some] = np.where(found <= most[some], found, -1)
+        return out
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
@@ -201,8 +344,10 @@ class LineHashes:
             edge = np.concatenate([[0], edge])
         first, end = edge[::2], edge[1::2]
         self._grow(len(text) + 1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[text] * self.powers[: len(text)])])
-        return first, end, mixed((sums[end] - sums[first]) * self.inverses[first])
+        terms = _BYTES.take(text)
+        terms *= self.powers[: len(text)]
+        sums = np.add.reduceat(terms, edge)[::2] if len(edge) else np.zeros(0, np.uint64)  # the last edge is an end, and a line feed stands there
+        return first, end, mixed(sums * self.inverses[first])
 
     def __call__(self, texts: list[str]) -> Iterator[list[tuple[int, int, int, int, int, bytes | None]]]:
         owner, *columns = self.columns(texts)
@@ -226,13 +371,14 @@ class LineHashes:
         kept = text != 32
         kept[feeds] = False
         kept[end] = True
-        place = np.cumsum(kept) - kept
         plain = text[kept]
         plain[plain == 10] = 32
         plain = memoryview(plain.tobytes())
-        inside = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])  # characters before each byte
-        chars = np.add.reduceat(inside[end] - inside[first], starts) + counts - 1 if len(starts) else counts
-        begin, stop = (place[first[starts]].tolist(), place[end[starts + counts - 1]].tolist()) if len(starts) else ([], [])
+        within = np.flatnonzero((text & 0xC0) == 0x80)  # bytes that begin no character, all of them in words
+        length = np.add.reduceat(end - first, starts) + counts if len(starts) else counts
+        chars = length - 1 - np.searchsorted(within, end[starts + counts - 1]) + np.searchsorted(within, first[starts])
+        stop = np.cumsum(length)
+        begin, stop = (stop - length).tolist(), (stop - 1).tolist()
         listed, keys, sizes, long, runs, odd = [], [], [], [], [], []
         for k, (a, b, n, size) in enumerate(zip(begin, stop, counts.tolist(), chars.tolist(), strict=True)):
             if n < self.least:
@@ -365,13 +511,22 @@ def _rows(hot: bool, key: np.ndarray | None, g: np.ndarray | None, h: np.ndarray
 
 
 def _bucket_groups(near: Near, most: int | None):
-    """Batches of (key, h, size, s, t), sorted by (key, h), to rows (hot, key, g, h, size, s, t): the groups of near lines in each bucket, by a hash g of their members.
+    """Batches of (key, h, size, s, t), sorted by key, to rows (hot, key, g, h, size, s, t): the groups of near lines in each bucket, by a hash g of their members.
 
-    The last four bits of a key are its table, which is what a group's rows have for a key. The lines of a bucket beyond `most` come back as they are, with hot set. Rows that repeat key and h count once.
+    The last four bits of a key are its table, which is what a group's rows have for a key. The lines of a bucket beyond `most` come back as they are, with hot set and repeated ones among them; else rows that repeat key and h count once.
     """
 
     def compare(key: np.ndarray, h: np.ndarray, lines: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Whole buckets."""
+        same = key[1:] == key[:-1]
+        met = np.concatenate([[False], same]) | np.concatenate([same, [False]])  # few buckets have more than one line
+        key, h, lines = key[met], h[met], lines[met]
+        if not len(key):
+            return
+        order = np.lexsort((h, key))
+        key, h = key[order], h[order]
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (h[1:] != h[:-1])])
+        key, h, lines = key[new], h[new], lines[order[new]]
         number = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
         sizes = np.bincount(number)
         groups = []
@@ -401,18 +556,12 @@ def _bucket_groups(near: Near, most: int | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 3), np.int64)
-        hot = None  # the bucket that is passed through, and the last of its lines
+        hot = None  # the bucket that is passed through
         for batch in batches:
             key, h, size, s, t = (np.asarray(x) for x in batch.columns)
             key, h, lines = (np.concatenate(x) for x in zip(kept, (key, h, np.stack([size, s, t], axis=1)), strict=True))
-            new = np.ones(len(key), dtype=bool)
-            new[1:] = (key[1:] != key[:-1]) | (h[1:] != h[:-1])
-            if hot is not None and len(key) and (int(key[0]), int(h[0])) == hot:
-                new[: int(((key == hot[0]) & (h == hot[1])).sum())] = False
-            key, h, lines = key[new], h[new], lines[new]
-            if hot is not None and (n := int((key == hot[0]).sum())):
+            if hot is not None and (n := int((key == hot).sum())):
                 yield _rows(True, key[:n], None, h[:n], lines[:n])
-                hot = (hot[0], int(h[n - 1]))
                 key, h, lines = key[n:], h[n:], lines[n:]
             if len(key):
                 hot = None
@@ -420,12 +569,12 @@ def _bucket_groups(near: Near, most: int | None):
                 last = int(bounds[-1] - bounds[-2])
                 if most is not None and (np.diff(bounds) > most).any():
                     keep = np.ones(len(key), dtype=bool)
-                    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                        if b - a > most:
-                            yield _rows(True, key[a:b], None, h[a:b], lines[a:b])
-                            keep[a:b] = False
-                            if b == len(key):
-                                hot, last = (int(key[a]), int(h[b - 1])), 0
+                    for k in np.flatnonzero(np.diff(bounds) > most).tolist():
+                        a, b = int(bounds[k]), int(bounds[k + 1])
+                        yield _rows(True, key[a:b], None, h[a:b], lines[a:b])
+                        keep[a:b] = False
+                        if b == len(key):
+                            hot, last = int(key[a]), 0
                     key, h, lines = key[keep], h[keep], lines[keep]
                 whole = len(key) - last
                 if whole:
@@ -449,67 +598,146 @@ def alike_groups(lines: DataFrame, radius: int = RADIUS, similarity: float = SIM
     name = lambda k, *columns: F.xxhash64(*columns).bitwiseAND(F.lit(-16)).bitwiseOR(k)
     names = F.array(*(name(F.lit(k), F.lit(k), F.substring("mins", WIDTH * k + 1, WIDTH)) for k in range(TABLES)))
     rows = lines.select(F.explode(names).alias("key"), "h", F.col("size").cast("long").alias("size"), "s", "t")
-    found = written(rows.repartition(n, "key").sortWithinPartitions("key", "h").mapInArrow(_bucket_groups(near, bucket), schema), "groups")
+    found = written(rows.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_bucket_groups(near, bucket), schema), "groups")
     out = found.where("not hot").select("g", "key", "h")
-    hot = found.where("hot").select("key", "h", "size", "s", "t")
+    hot = found.where("hot").select("key", "h", "size", "s", "t").dropDuplicates(["key", "h"])
     parts = hot.groupBy("key").agg(F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) * 2 / bucket)).cast("int").alias("parts"))
     if parts.head(1):
         part = F.pmod(F.xxhash64("h"), F.col("parts")).cast("int")
         dealt = spread_join(hot, parts.withColumnRenamed("key", "p_key"), "key", "p_key").withColumn("a", part).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         dealt = dealt.where("a <> b").select(name(F.col("key").bitwiseAND(F.lit(15)), "key", F.least("a", "b"), F.greatest("a", "b")).alias("key"), "h", "size", "s", "t")
-        dealt = dealt.repartition(n, "key").sortWithinPartitions("key", "h")
+        dealt = dealt.repartition(n, "key").sortWithinPartitions("key")
         out = out.unionByName(dealt.mapInArrow(_bucket_groups(near, None), schema).select("g", "key", "h"))
     return out.groupBy("g", "h").agg(F.min("key").cast("int").alias("tab"))
 
 
-class Cluster:
-    """Linked lines: the text of one of them, and edits within which all are of it. Distances obey the triangle inequality."""
+def firsts(key: np.ndarray) -> np.ndarray:
+    """Places where sorted values begin."""
+    return np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+
 
-    def __init__(self, text: str) -> None:
-        self.text, self.reach, self.longest = text, 0, len(text)
+class Clusters:
+    """Lines with those linked to them. Of each cluster one line is known, and edits within which all others are of it; distances obey the triangle inequality."""
 
-    def take(self, other: Cluster, edits: int) -> None:
-        """Adds lines of which one is that many edits from one of these."""
-        self.reach += edits + 2 * other.reach
-        self.longest = max(self.longest, other.longest)
+    def __init__(self, sizes: np.ndarray) -> None:
+        n = len(sizes)
+        self.label = np.arange(n)  # the known line
+        self.bound, self.reach, self.longest = np.zeros(n, np.int64), np.zeros(n, np.int64), sizes.copy()
+        self.members: dict[int, list[int]] = {}
 
-    def out_of_reach(self, text: str, similarity: float) -> bool:
-        """Whether a text is too far from the one that is known for any of these lines to be similar to it."""
-        most = int((1 - similarity) * max(len(text), self.longest) + 1e-9) + self.reach
-        return most < max(len(text), len(self.text)) and edits(text, self.text, most) is None
+    def link(self, i: int, j: int, edits: int) -> None:
+        a, b = int(self.label[i]), int(self.label[j])
+        if a == b:
+            return
+        one, two = self.members.get(a) or [a], self.members.get(b) or [b]
+        if len(one) < len(two):
+            i, j, a, b, one, two = j, i, b, a, two, one
+        self.bound[two] += int(self.bound[i]) + edits + int(self.bound[j])
+        self.label[two] = a
+        self.reach[a] = max(int(self.reach[a]), int(self.bound[two].max()))
+        self.longest[a] = max(int(self.longest[a]), int(self.longest[b]))
+        self.members[a] = one + two
+        self.members.pop(b, None)
 
 
-def verified(members: list[tuple[int, int, int, int, bytes, str]], table: int, near: Near, similarity: float) -> Iterator[tuple[int, int]]:
-    """members (h, size, s, t, mins, text) of a table's group -> links (h, h) that connect those whose texts are similar.
+def linked(group: np.ndarray, tab: np.ndarray, lines: np.ndarray, mins: np.ndarray, said: list[str], near: Near, similarity: float) -> np.ndarray:
+    """Lines (size, s, t) of whole groups, with sorted group numbers, their tables, min-hashes and texts -> for each the number of a line that all those have which
+    links connect with it. Lines of a group link if they are near and their texts similar. A pair that agrees in an earlier table is compared there.
 
-    A pair that agrees in an earlier table is compared there.
+    In each round many pairs are compared that are not connected yet.
     """
-    h = [m[0] for m in members]
-    lines = np.array([m[1:4] for m in members], dtype=np.int64)
-    mins = np.frombuffer(b"".join(m[4] for m in members), dtype=np.uint8).reshape(len(members), -1, WIDTH)
-    clusters = [Cluster(m[5]) for m in members]
-    label = np.arange(len(members))
-    for i in range(1, len(members)):
-        other = np.flatnonzero(near(lines[:i], lines[i]))
-        if table and len(other):
-            other = other[~(mins[other, :table] == mins[i, :table]).all(axis=2).any(axis=1)]
-        if len(other) > 1:
-            other = other[np.argsort(differing(lines[other], lines[i]), kind="stable")]
-        text, far, tried = members[i][5], set(), Counter(label[other].tolist())
-        for j in other.tolist():
-            of = int(label[j])
-            if of == label[i] or of in far:
-                continue
-            cluster = clusters[of]
-            if tried[of] > 2 and cluster.out_of_reach(text, similarity):
-                far.add(of)
+    texts = Texts(said)
+    sizes = texts.sizes
+    clusters = Clusters(sizes)
+    label = clusters.label
+    allowed = lambda size: ((1 - similarity) * size + 1e-9).astype(np.int64)
+
+    def rounds(i: np.ndarray, j: np.ndarray) -> None:
+        order = np.lexsort((differing(lines[i], lines[j]), i))
+        i, j, count = i[order], j[order], 0
+        while len(i):
+            count += 1
+            if count == 1:  # each line with the nearest
+                some = firsts(i)
+            elif count == 2:  # each two clusters
+                a, b = label[i], label[j]
+                some = np.unique(np.minimum(a, b) * len(sizes) + np.maximum(a, b), return_index=True)[1]
+            else:  # each line with each cluster
+                key, some, of, many = np.unique(i * len(sizes) + label[j], return_index=True, return_inverse=True, return_counts=True)
+                if count & (count + 1) == 0:
+                    a, b = i[some], label[j[some]]
+                    most = allowed(np.maximum(sizes[a], clusters.longest[b])) + clusters.reach[b]
+                    look = np.flatnonzero((many > 2) & (most < np.maximum(sizes[a], sizes[b])))
+                    far = np.zeros(len(some), dtype=bool)
+                    far[look] = texts.edits(a[look], b[look], most[look]) < 0
+                    stay = ~far[of]
+                    i, j = i[stay], j[stay]
+                    some = np.unique(i * len(sizes) + label[j], return_index=True)[1]
+            a, b = i[some], j[some]
+            found = texts.edits(a, b, allowed(np.maximum(sizes[a], sizes[b])))
+            for x, y, n in zip(a[found >= 0].tolist(), b[found >= 0].tolist(), found[found >= 0].tolist(), strict=True):
+                clusters.link(x, y, n)
+            stay = label[i] != label[j]
+            stay[some] = False
+            i, j = i[stay], j[stay]
+
+    first, second, held = [], [], 0
+    here = np.arange(len(lines))
+    for offset in range(1, len(lines)):
+        here = here[: np.searchsorted(here, len(lines) - offset)]
+        here = here[group[here] == group[here + offset]]
+        if not len(here):
+            break
+        there = here + offset
+        pick = near(lines[here], lines[there])
+        for k in range(TABLES - 1):
+            pick &= (mins[here, k] != mins[there, k]) | (tab[here] <= k)
+        pick &= label[here] != label[there]
+        first.append(there[pick])
+        second.append(here[pick])
+        held += int(pick.sum())
+        if held > PAIRS_HELD:
+            rounds(np.concatenate(first), np.concatenate(second))
+            first, second, held = [], [], 0
+    if held:
+        rounds(np.concatenate(first), np.concatenate(second))
+    return label
+
+
+def _links(near: Near, similarity: float):
+    """Batches of (g, tab, h, size, s, t, mins, said), sorted by (g, tab), to links (a, b) of lines; a group of m linked lines has m - 1."""
+
+    def compare(table: pa.Table) -> pa.RecordBatch:
+        g, tab, h, size, s, t = (table.column(k).to_numpy() for k in range(6))
+        mins = np.frombuffer(b"".join(table.column(6).to_pylist()), dtype=np.uint8).reshape(len(h), -1, WIDTH)
+        wide = np.zeros((*mins.shape[:2], 8), dtype=np.uint8)
+        wide[:, :, :WIDTH] = mins
+        group = np.cumsum(np.concatenate([[0], (g[1:] != g[:-1]) | (tab[1:] != tab[:-1])]))
+        # lines met in several groups are lines of their own here
+        label = linked(group, tab, np.stack([size.astype(np.int64), s, t], axis=1), wide.view("<u8")[:, :, 0], table.column(7).to_pylist(), near, similarity)
+        apart = h != h[label]
+        return pa.RecordBatch.from_arrays([pa.array(h[apart]), pa.array(h[label][apart])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if sum(x.num_rows for x in held) < CHUNK_LINES and size < CHUNK_BYTES:
                 continue
-            tried[of] = 0  # one look at the whole cluster is enough
-            n = edits(text, members[j][5], int((1 - similarity) * max(len(text), len(members[j][5])) + 1e-9))
-            if n is not None:
-                yield h[i], h[j]
-                cluster.take(clusters[label[i]], n)
-                label[label == label[i]] = of
+            table = pa.Table.from_batches(held)
+            g, tab = table.column(0).to_numpy(), table.column(1).to_numpy()
+            whole = int(np.searchsorted(-((g == g[-1]) & (tab == tab[-1])).astype(np.int64)[::-1], 0))  # lines of the last group, which may go on
+            whole = len(g) - whole
+            if whole:
+                yield compare(table.slice(0, whole))
+                table = table.slice(whole)
+            held, size = table.to_batches(), table.nbytes
+        if held and (table := pa.Table.from_batches(held)).num_rows:
+            yield compare(table)
+        pa.default_memory_pool().release_unused()
+
+    return run
 
 
 def line_groups(docs: DataFrame, seen: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, bucket: int = BUCKET, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
@@ -538,14 +766,8 @@ def line_groups(docs: DataFrame, seen: DataFrame, radius: int = RADIUS, similari
                 yield p["h"], normal(said[p["line"]])
 
     texts = written(map_rows(here, fetch, "h long, said string").dropDuplicates(["h"]).join(first.drop("at"), "h"), "texts")
-    rows = groups.join(texts, "h").repartition(n, "g").sortWithinPartitions("g", "tab", "h").select("g", "tab", "h", "size", "s", "t", "mins", "said")
-    near = Near(radius, similarity)
-
-    def verify(found):
-        for (_, table), members in grouped(found, 2):
-            yield from verified([m[2:] for m in members], table, near, similarity)
-
-    label = components(map_rows(rows, verify, "a long, b long"))
+    rows = groups.join(texts, "h").repartition(max(1, n // 4), "g").sortWithinPartitions("g", "tab", "h").select("g", "tab", "h", "size", "s", "t", "mins", "said")
+    label = components(rows.mapInArrow(_links(Near(radius, similarity), similarity), "a long, b long"))
     out = written(label.select(F.col("node").alias("h"), "label"), "labels")
     forget(groups, places, first, texts)
     return out

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -297,6 +298,57 @@ def test_edit_distance():
         assert lines.similar(a, b) == (d <= int(0.2 * longer + 1e-9))
 
 
+def test_edits_of_many_pairs_are_those_of_each_and_cost_less():
+    rng = random.Random(4)
+    said, most = ["", "", "x" * 5000, "x" * 4990 + "y"], [0, 1200]
+    for k in range(600):
+        letters, n = ("ab ", "abcdefgh ijk", "日本語中文字abc ")[k % 3], rng.choice([0, 1, 5, 63, 64, 65, 128, 129, 200, 300])
+        text = [rng.choice(letters) for _ in range(n)]
+        other = [x for c in text for x in rng.choice(([c], [c], [c], [c], [c], [c], [c], [], [rng.choice(letters)], [c, rng.choice(letters)]))]
+        said += ["".join(text), "".join(other)]
+        most.append(rng.choice([n // 5, rng.randint(0, 100)]))
+    one, two = np.arange(0, len(said), 2), np.arange(1, len(said), 2)
+    got = lines.Texts(said).edits(one, two, np.array(most)).tolist()
+    for a, b, m, n in zip(said[::2], said[1::2], most, got, strict=True):
+        d = lines.distance(a, b, len(a) + len(b))
+        assert d <= n <= m if d <= m else n == -1
+    assert 100 < sum(n >= 0 for n in got) < 500
+    base = ["".join(rng.choice("abcdefghijk ") for _ in range(400)) for _ in range(300)]
+    assert (lines.Texts(base).edits(np.arange(0, 300, 2), np.arange(1, 300, 2), np.full(150, 200)) < 0).sum() == sum(lines.distance(a, b, 200) > 200 for a, b in zip(base[::2], base[1::2], strict=True))
+    t = time.process_time()
+    lines.Texts(base).edits(np.arange(0, 300, 2), np.arange(1, 300, 2), np.full(150, 200))
+    many, t = time.process_time() - t, time.process_time()
+    for a, b in zip(base[::2], base[1::2], strict=True):
+        lines.edits(a, b, 200)
+    assert many < 0.6 * (time.process_time() - t)
+
+
+def test_linked_lines_are_those_that_comparing_all_pairs_connects():
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(200)]
+    base = [[rng.choice(words) for _ in range(20)] for _ in range(3)]
+    said, group = [], []
+    for g in range(6):
+        for _ in range(40):
+            said.append(" ".join(rng.choice(words) if rng.random() < 0.12 else w for w in rng.choice(base)))
+            group.append(g)
+    size = np.array([len(x) for x in said])
+    mins = np.array([[rng.randrange(4) for _ in range(lines.TABLES)] for _ in said], dtype=np.uint64)
+    tab = np.repeat([0, 1, 2, 3, 4, 0], 40)
+    near = lines.Near(lines.RADIUS, lines.SIMILARITY)
+    for held in (1 << 20, 50):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(lines, "PAIRS_HELD", held)
+            label = lines.linked(np.array(group), tab, np.stack([size, 0 * size, 0 * size], axis=1), mins, said, near, lines.SIMILARITY)
+        root = list(range(len(said)))
+        for i, j in itertools.combinations(range(len(said)), 2):
+            if group[i] == group[j] and not (mins[i, : tab[i]] == mins[j, : tab[i]]).any() and lines.similar(said[i], said[j]):
+                a, b = root[i], root[j]
+                root = [a if x == b else x for x in root]
+        assert len({*zip(root, label.tolist(), strict=True)}) == len(set(root)) == len(set(label.tolist()))
+        assert 6 < len(set(root)) < 200
+
+
 def test_lines_against_brute_force(spark):
     rng = random.Random(6)
     words = [f"w{i}" for i in range(400)]
