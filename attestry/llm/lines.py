@@ -705,7 +705,7 @@ def linked(group: np.ndarray, tab: np.ndarray, lines: np.ndarray, mins: np.ndarr
 
 
 def _links(near: Near, similarity: float):
-    """Batches of (g, tab, h, size, s, t, mins, said), sorted by (g, tab), to links (a, b) of lines; a group of m linked lines has m - 1."""
+    """Batches of (g, tab, h, size, s, t, mins, said), sorted by (g, tab), to links (a, b) of lines; of m lines that are linked in one go there are m - 1."""
 
     def compare(table: pa.Table) -> pa.RecordBatch:
         g, tab, h, size, s, t = (table.column(k).to_numpy() for k in range(6))
@@ -713,10 +713,16 @@ def _links(near: Near, similarity: float):
         wide = np.zeros((*mins.shape[:2], 8), dtype=np.uint8)
         wide[:, :, :WIDTH] = mins
         group = np.cumsum(np.concatenate([[0], (g[1:] != g[:-1]) | (tab[1:] != tab[:-1])]))
-        # lines met in several groups are lines of their own here
         label = linked(group, tab, np.stack([size.astype(np.int64), s, t], axis=1), wide.view("<u8")[:, :, 0], table.column(7).to_pylist(), near, similarity)
-        apart = h != h[label]
-        return pa.RecordBatch.from_arrays([pa.array(h[apart]), pa.array(h[label][apart])], names=["a", "b"])
+        # a line that is in several groups connects them; each is linked with the smallest that it reaches here, which leaves few rounds to components()
+        names, name = np.unique(h, return_inverse=True)
+        least, before = np.arange(len(names)), None
+        while before is None or (least != before).any():
+            before, low = least.copy(), np.full(len(h), len(names))
+            np.minimum.at(low, label, least[name])
+            np.minimum.at(least, name, low[label])
+        apart = least != np.arange(len(names))
+        return pa.RecordBatch.from_arrays([pa.array(names[apart]), pa.array(names[least[apart]])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
